@@ -1,0 +1 @@
+"""The operator inventory holds no streaming work, so there is nothing to build here."""
