@@ -8,7 +8,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("files", "shaping", "cleaning", "joining", "profiling", "judging")
+MODULES = ("files", "shaping", "cleaning", "joining", "profiling", "judging", "drawing", "learning", "stages")
 
 
 @dataclass(frozen=True)
