@@ -39,23 +39,22 @@ def _told(value: Column, digits: int | None) -> Column:
     return value if digits is None else F.round(value, digits)
 
 
-def regression_metrics(
-    df: DataFrame,
-    by: Sequence[str] = (),
-    actual: str = ACTUAL,
-    predicted: str = PREDICTED,
-    error_pct: str | None = ERROR_PCT,
-    digits: int | None = None,
-) -> DataFrame:
-    """RMSE, MAE, R2 and (if the column is named) mean error percentage in one pass, per group."""
+def metric_columns(
+    actual: str = ACTUAL, predicted: str = PREDICTED, error_pct: str | None = ERROR_PCT, digits: int | None = None
+) -> list[Column]:
+    """Aggregates n, rmse, mae, r2 and, if the column is named, mean_error_pct."""
     out = [
+        F.count(F.lit(1)).alias("n"),
         _told(rmse(actual, predicted), digits).alias("rmse"),
         _told(mae(actual, predicted), digits).alias("mae"),
         _told(r_squared(actual, predicted), digits).alias("r2"),
     ]
-    if error_pct:
-        out.append(_told(F.avg(error_pct), digits).alias("mean_error_pct"))
-    return df.groupBy(*by).agg(F.count("*").alias("n"), *out)
+    return out + ([_told(F.avg(error_pct), digits).alias("mean_error_pct")] if error_pct else [])
+
+
+def regression_metrics(df: DataFrame, by: Sequence[str] = (), **how) -> DataFrame:
+    """RMSE, MAE, R2 and mean error percentage in one pass, per group if asked."""
+    return df.groupBy(*by).agg(*metric_columns(**how))
 
 
 def model_comparison(df: DataFrame, model: str = MODEL, **how) -> DataFrame:
@@ -113,33 +112,40 @@ def best_and_worst(
     return ends.select(F.inline(F.array(*rows)))
 
 
-def error_bands(
-    df: DataFrame,
-    error_pct: str = ERROR_PCT,
-    edges: Sequence[float] = BAND_EDGES,
-    labels: Sequence[str] = BAND_LABELS,
-) -> DataFrame:
-    """(band, label, n, pct) of half-open bands; a band without rows is there with 0.
-
-    The share is of all rows, also those whose error percentage is null.
-    """
+def band_columns(error_pct: str = ERROR_PCT, edges: Sequence[float] = BAND_EDGES) -> list[Column]:
+    """Aggregates band_0, band_1, ...: rows per half-open band."""
     at = band_index(error_pct, edges)
-    counted = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(at == i).alias(f"n_{i}") for i in range(len(labels))],
-    )
+    return [F.count_if(at == i).alias(f"band_{i}") for i in range(len(edges) + 1)]
+
+
+def band_rows(counted: DataFrame, total: str, labels: Sequence[str] = BAND_LABELS) -> DataFrame:
+    """(band, label, n, pct) from one row of band counts and a total."""
     rows = [
         F.struct(
             F.lit(i).alias("band"),
             F.lit(label).alias("label"),
-            F.col(f"n_{i}").alias("n"),
-            F.try_divide(F.col(f"n_{i}") * F.lit(100.0), F.col("total").cast("double")).alias("pct"),
+            F.col(f"band_{i}").alias("n"),
+            F.try_divide(F.col(f"band_{i}") * F.lit(100.0), F.col(total).cast("double")).alias("pct"),
         )
         for i, label in enumerate(labels)
     ]
     return counted.select(F.inline(F.array(*rows)))
 
 
+def error_bands(
+    df: DataFrame,
+    error_pct: str = ERROR_PCT,
+    edges: Sequence[float] = BAND_EDGES,
+    labels: Sequence[str] = BAND_LABELS,
+) -> DataFrame:
+    """Count and share per band; a band without rows is there with 0.
+
+    The share is of all rows, also those whose error percentage is null.
+    """
+    counted = df.agg(F.count(F.lit(1)).alias("total"), *band_columns(error_pct, edges))
+    return band_rows(counted, "total", labels)
+
+
 def range_index(value: Column, low: Column, high: Column, parts: int) -> Column:
     """1-based equal-width range, closed on the right; the minimum belongs to the first range.
 

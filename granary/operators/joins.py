@@ -9,20 +9,24 @@ from pyspark.sql import functions as F
 
 from granary.functions.aggregates import Measure
 from granary.functions.cleaning import as_column, lookup
-from granary.sources.workspace import has_at_most
+from granary.sources.workspace import has_at_most, settle
 
 # A dimension of (key, category) rows is broadcast up to this many rows, some ten megabytes.
 BROADCAST_ROWS = 200_000
 
 
-def integrate_left(facts: DataFrame, features: DataFrame, on: Sequence[str]) -> DataFrame:
+def integrate_left(
+    facts: DataFrame, features: DataFrame, on: Sequence[str], facts_grouped: bool = False
+) -> DataFrame:
     """Every fact row with the features of its key, null where there are none.
 
-    No hint: when both sides were grouped by the key they already lie
-    together and join without another shuffle, otherwise the features'
-    measured size decides.
+    ``facts_grouped`` says that the facts were grouped by the same key: then
+    both sides already lie together and join without another shuffle.
+    Otherwise the features are settled first. Their written size decides
+    whether they are broadcast and the facts stay where they are; beyond that
+    both sides are plainly shuffled, where the planner can split a hot key.
     """
-    return facts.join(features, list(on), "left")
+    return facts.join(features if facts_grouped else settle(features, "features"), list(on), "left")
 
 
 def rolled_up(

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from dataclasses import dataclass
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -67,9 +67,21 @@ def regressors(label: str) -> dict[str, Estimator]:
     }
 
 
+@dataclass(frozen=True)
+class Trained:
+    """A fitted preparation and the regressors fitted behind it."""
+
+    preparation: PipelineModel
+    regressors: dict[str, Model]
+
+    def pipeline(self, name: str) -> PipelineModel:
+        """Preparation and one regressor as a single model, to save or to score raw rows with."""
+        return PipelineModel(stages=[*self.preparation.stages, self.regressors[name]])
+
+
 def fit_models(
     train: DataFrame, label: str, stages: Sequence[Estimator], models: Mapping[str, Estimator]
-) -> dict[str, PipelineModel]:
+) -> Trained:
     """Fit the preparation on the training rows once, then every regressor on the prepared table.
 
     The prepared table is written once: the many passes of tree building
@@ -77,10 +89,7 @@ def fit_models(
     """
     preparation = Pipeline(stages=list(stages)).fit(train)
     prepared = settle(preparation.transform(train).select(SCALED, label), "training")
-    return {
-        name: PipelineModel(stages=[*preparation.stages, model.fit(prepared)])
-        for name, model in models.items()
-    }
+    return Trained(preparation, {name: model.fit(prepared) for name, model in models.items()})
 
 
 def score(model: PipelineModel, df: DataFrame, prediction: str = "prediction") -> DataFrame:
@@ -90,11 +99,20 @@ def score(model: PipelineModel, df: DataFrame, prediction: str = "prediction") -
 
 
 def score_all(
-    models: Mapping[str, PipelineModel], df: DataFrame, prediction: str = "prediction", label: str = "model"
+    trained: Trained, df: DataFrame, prediction: str = "prediction", label: str = "model"
 ) -> DataFrame:
-    """Predictions of every model in one table, told apart by a model column."""
-    parts = [score(m, df, prediction).withColumn(label, F.lit(n)) for n, m in models.items()]
-    return reduce(DataFrame.unionByName, parts)
+    """Predictions of every model in one table, told apart by a model column.
+
+    The rows are read and prepared once; each model adds its prediction, and
+    the predictions of a row are unfolded last.
+    """
+    wide = trained.preparation.transform(df)
+    rows = []
+    for i, (name, model) in enumerate(trained.regressors.items()):
+        own = f"__prediction_{i}"
+        wide = model.copy({model.predictionCol: own}).transform(wide)
+        rows.append(F.struct(F.lit(name).alias(label), F.col(own).alias(prediction)))
+    return wide.select(*df.columns, F.inline(F.array(*rows)))
 
 
 def evaluate(df: DataFrame, label: str, prediction: str, metric: str) -> float:

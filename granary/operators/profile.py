@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,12 +133,14 @@ def value_counts(df: DataFrame, value: str | Column, name: str = "value") -> Dat
     return df.groupBy(as_column(value).alias(name)).agg(F.count("*").alias("n"))
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
-    """(row, col, r) for all ordered pairs; each unordered pair is computed once."""
-    computed = df.agg(
-        *[pearson(a, b).alias(f"r_{i}_{j}") for (i, a), (j, b) in combinations(enumerate(columns), 2)],
-        *[pearson(a, a).alias(f"r_{i}_{i}") for i, a in enumerate(columns)],
-    )
+def correlation_columns(columns: Sequence[str]) -> list[Column]:
+    """Aggregates r_i_j (i <= j); each unordered pair is computed once."""
+    pairs = combinations_with_replacement(enumerate(columns), 2)
+    return [pearson(a, b).alias(f"r_{i}_{j}") for (i, a), (j, b) in pairs]
+
+
+def correlation_rows(computed: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
+    """(row, col, r) for all ordered pairs from one row of r_i_j."""
     rows = []
     for i, a in enumerate(columns):
         for j, b in enumerate(columns):
@@ -148,6 +150,10 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None
     return computed.select(F.inline(F.array(*rows)))
 
 
+def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
+    return correlation_rows(df.agg(*correlation_columns(columns)), columns, digits)
+
+
 def feature_target_correlation(
     df: DataFrame, features: Sequence[str], target: str, digits: int | None = None
 ) -> DataFrame:
@@ -185,9 +191,10 @@ def histogram(df: DataFrame, column: str, bins: int, density: bool = False) -> D
     column gets a range of width one around its value.
     """
     x = F.col(column).cast("double")
-    ends = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).select(
+    ends = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n")).select(
         F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+        "n",
     )
     lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
     placed = df.where(x.isNotNull()).select(x.alias("x"), lo.alias("lo"), hi.alias("hi"))
@@ -206,7 +213,7 @@ def histogram(df: DataFrame, column: str, bins: int, density: bool = False) -> D
     )
     if not density:
         return out.drop("width")
-    total = counted.agg(F.sum("n")).scalar()
+    total = ends.select("n").scalar()
     return out.withColumn(
         "density", F.try_divide(F.col("n").cast("double"), total.cast("double") * F.col("width"))
     ).drop("width")

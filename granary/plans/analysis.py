@@ -11,11 +11,17 @@ from pyspark.sql import functions as F
 from granary.functions.aggregates import Measure
 from granary.functions.scoring import rating
 from granary.operators import accuracy as acc
+from granary.operators.features import grouped_measures
 from granary.operators.profile import (
+    correlation_columns,
     correlation_matrix,
+    correlation_rows,
+    feature_target_correlation,
     growth_rate,
     histogram,
     joint_extent,
+    linear_trend,
+    value_counts,
     volume_summary,
 )
 
@@ -48,31 +54,34 @@ def plot_data(
     synthetic: DataFrame,
     features: Sequence[str],
     target: str,
+    category: str,
+    year: str,
     actual: str = acc.ACTUAL,
     predicted: str = acc.PREDICTED,
 ) -> dict[str, DataFrame]:
-    """Tables behind the overview, distribution and residual charts."""
+    """Tables behind the overview, distribution, trend and residual charts."""
+    sums = [Measure(c, c, "sum", None) for c in (target, features[0])]
+    means = [Measure(c, c, "mean", None) for c in features[1:]]
     out = {
         "volume": volume_summary(gold, synthetic),
+        "year_coverage": value_counts(gold, year, year),
+        "category_counts": value_counts(gold, category, category),
+        "yearly_series": grouped_measures(gold, [year, category], [*sums, *means]),
+        "feature_target": feature_target_correlation(gold, features, target),
+        "correlation_real": correlation_matrix(gold, [*features, target]),
+        "correlation_synthetic": correlation_matrix(synthetic, [*features, target]),
         "extent": joint_extent(predictions, actual, predicted),
         "residuals": acc.residual_points(predictions, actual, predicted),
-        f"histogram_{target}": histogram(gold, target, 30),
-        f"synthetic_histogram_{target}": histogram(synthetic, target, 30),
     }
-    for c in [*features, target]:
-        out[f"density_{c}"] = histogram(gold, c, 20, density=True)
-        out[f"synthetic_density_{c}"] = histogram(synthetic, c, 20, density=True)
+    for source, df in (("real", gold), ("synthetic", synthetic)):
+        out[f"histogram_{source}_{target}"] = histogram(df, target, 30)
+        for c in [*features, target]:
+            out[f"density_{source}_{c}"] = histogram(df, c, 20, density=True)
+    for c in features:
+        out[f"trend_{c}"] = linear_trend(gold, c, target)
     return out
 
 
-def _long(df: DataFrame, section: str, metrics: dict[str, Column]) -> DataFrame:
-    rows = [
-        F.struct(F.lit(section).alias("section"), F.lit(n).alias("metric"), c.cast("string").alias("value"))
-        for n, c in metrics.items()
-    ]
-    return df.select(F.inline(F.array(*rows)))
-
-
 def report_table(
     predictions: DataFrame,
     gold: DataFrame,
@@ -87,92 +96,86 @@ def report_table(
     error_pct: str = acc.ERROR_PCT,
     target_scale: int | None = None,
 ) -> DataFrame:
-    """The summary report as (section, metric, value); values are text rounded as in a printed report."""
+    """The summary report as (section, metric, value); values are text rounded as in a printed report.
 
-    def fixed(column: str | Column, digits: int) -> Column:
-        c = F.col(column) if isinstance(column, str) else column
-        return c.cast(f"decimal(28,{digits})")
-
-    def whole(column: str) -> Column:
-        return F.col(column).cast("bigint")
-
-    metrics = acc.regression_metrics(predictions, (), actual, predicted, error_pct)
-    bands = acc.error_bands(predictions, error_pct)
-    by_category = acc.error_by(predictions, category, category, error_pct, actual)
-    volumes = volume_summary(gold, synthetic)
-    span = gold.agg(
-        F.min(year).alias("first"), F.max(year).alias("last"), F.count_distinct(category).alias("k")
+    Two passes over the predictions (whole and per category), two over the
+    gold rows (whole and per year), a row count of the synthetic ones.
+    """
+    judged = predictions.agg(
+        *acc.metric_columns(actual, predicted, error_pct), *acc.band_columns(error_pct)
     )
+    names = [*features, target]
+    overview = gold.agg(
+        F.count(F.lit(1)).alias("n_real"),
+        F.min(year).alias("first_year"),
+        F.max(year).alias("last_year"),
+        F.count_distinct(category).alias("n_categories"),
+        *correlation_columns(names),
+    ).withColumn("n_synthetic", synthetic.agg(F.count(F.lit(1))).scalar())
     growth = growth_rate(gold, year, Measure("total", target, "sum", None, target_scale))
-    corr = correlation_matrix(gold, [*features, target])
+    by_category = acc.error_by(predictions, category, category, error_pct, actual)
+
+    ratio = F.try_divide(F.col("n_synthetic").cast("double"), F.col("n_real").cast("double"))
+    fixed = {
+        "performance": {
+            "model": F.lit(model),
+            "r2": _fixed("r2", 4),
+            "rating": rating("r2"),
+            "rmse": _fixed("rmse", 2),
+            "mae": _fixed("mae", 2),
+            "mean_error_pct": _fixed("mean_error_pct", 2),
+            "test_predictions": F.col("n"),
+        },
+        "data": {
+            "rows_real": F.col("n_real"),
+            "rows_synthetic": F.col("n_synthetic"),
+            "rows_combined": F.col("n_real") + F.col("n_synthetic"),
+            "augmentation_factor": _fixed(ratio, 0),
+            "first_year": F.col("first_year"),
+            "last_year": F.col("last_year"),
+            "categories": F.col("n_categories"),
+        },
+        "trend": {
+            "first_total": _fixed("first_total", 0),
+            "last_total": _fixed("last_total", 0),
+            "growth_pct": _fixed("growth_pct", 2),
+        },
+    }
     parts = [
+        _long(judged, "performance", fixed["performance"]),
+        _long(overview, "data", fixed["data"]),
         _long(
-            metrics,
-            "performance",
-            {
-                "model": F.lit(model),
-                "r2": fixed("r2", 4),
-                "rating": rating("r2"),
-                "rmse": fixed("rmse", 2),
-                "mae": fixed("mae", 2),
-                "mean_error_pct": fixed("mean_error_pct", 2),
-                "test_predictions": whole("n"),
-            },
-        ),
-        volumes.select(
-            F.lit("data").alias("section"),
-            F.concat(F.lit("rows_"), "dataset").alias("metric"),
-            whole("n_rows").cast("string").alias("value"),
-        ),
-        volumes.where(F.col("dataset") == "synthetic").select(
-            F.lit("data").alias("section"),
-            F.lit("augmentation_factor").alias("metric"),
-            fixed("ratio_to_real", 0).cast("string").alias("value"),
+            acc.band_rows(judged, "n"),
+            "error_bands",
+            {"n": F.col("n"), "pct": _fixed("pct", 1)},
+            F.col("label"),
         ),
         _long(
-            span, "data", {"first_year": whole("first"), "last_year": whole("last"), "categories": whole("k")}
-        ),
-        bands.select(
-            F.lit("error_bands").alias("section"),
-            F.concat(F.lit("n "), "label").alias("metric"),
-            F.col("n").cast("string").alias("value"),
-        ),
-        bands.select(
-            F.lit("error_bands").alias("section"),
-            F.concat(F.lit("pct "), "label").alias("metric"),
-            fixed("pct", 1).cast("string").alias("value"),
-        ),
-        by_category.select(
-            F.lit("by_category").alias("section"),
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.concat(F.lit(f"{n} "), F.col(category)).alias("metric"),
-                            c.cast("string").alias("value"),
-                        )
-                        for n, c in (
-                            ("mean_error_pct", fixed("mean_error_pct", 2)),
-                            ("n", whole("n")),
-                            ("mean_actual", fixed("mean_actual", 2)),
-                        )
-                    ]
-                )
-            ),
-        ),
-        corr.select(
-            F.lit("correlation").alias("section"),
-            F.concat_ws(" ", "row", "col").alias("metric"),
-            fixed("r", 3).cast("string").alias("value"),
+            by_category,
+            "by_category",
+            {"mean_error_pct": _fixed("mean_error_pct", 2), "n": F.col("n"), "mean_actual": _fixed("mean_actual", 2)},
+            F.col(category),
         ),
         _long(
-            growth,
-            "trend",
-            {
-                "first_total": fixed("first_total", 0),
-                "last_total": fixed("last_total", 0),
-                "growth_pct": fixed("growth_pct", 2),
-            },
+            correlation_rows(overview, names), "correlation", {"r": _fixed("r", 3)}, F.concat_ws(" ", "row", "col")
         ),
+        _long(growth, "trend", fixed["trend"]),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def _fixed(value: str | Column, digits: int) -> Column:
+    return (F.col(value) if isinstance(value, str) else value).cast(f"decimal(28,{digits})")
+
+
+def _long(df: DataFrame, section: str, metrics: dict[str, Column], of: Column | None = None) -> DataFrame:
+    """Each metric of each row as (section, metric, value); ``of`` is added to the metric's name."""
+    rows = [
+        F.struct(
+            F.lit(section).alias("section"),
+            (F.lit(name) if of is None else F.concat_ws(" ", F.lit(name), of)).alias("metric"),
+            value.cast("string").alias("value"),
+        )
+        for name, value in metrics.items()
+    ]
+    return df.select(F.inline(F.array(*rows)))

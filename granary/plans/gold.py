@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 
 from granary.functions.aggregates import Measure
-from granary.operators.features import yearly_features
 from granary.operators.joins import integrate_left
 from granary.operators.shaping import add_literals, project_required, rename
 
 
-def choose_measures(
-    df: DataFrame, wanted: Sequence[tuple[str, Sequence[tuple[Sequence[str], str | Column]]]], **how
-) -> list[Measure]:
-    """For each output the first source expression whose columns the table has; outputs without one are left out."""
+Choice = tuple[Sequence[str], str | Callable[[], Column]]
+
+
+def choose_measures(df: DataFrame, wanted: Sequence[tuple[str, Sequence[Choice]]], **how) -> list[Measure]:
+    """For each output the first source whose columns the table has; outputs without one are left out."""
     out = []
     for name, options in wanted:
         for needed, source in options:
             if all(c in df.columns for c in needed):
-                out.append(Measure(name, source, **how))
+                out.append(Measure(name, source() if callable(source) else source, **how))
                 break
     return out
 
@@ -49,6 +49,7 @@ def gold_features(
     feature_columns: Sequence[str],
     required: Sequence[str],
     out_names: Mapping[str, str] | None = None,
+    facts_grouped: bool = False,
 ) -> DataFrame:
     """Feature table in the required column order, sorted by its keys.
 
@@ -59,11 +60,9 @@ def gold_features(
     if not all(c in out.columns for c in feature_columns):
         if features is None:
             raise ValueError("the integrated table lacks features and none are given")
-        out = integrate_left(out, features, on)
+        out = integrate_left(out, features, on, facts_grouped)
     out, _ = project_required(out, required)
     out = rename(out, out_names or {})
     order = [(out_names or {}).get(c, c) for c in on]
     return out.orderBy(*[c for c in order if c in out.columns])
 
-
-__all__ = ["choose_measures", "gold_features", "integrate_sources", "yearly_features"]

@@ -6,19 +6,19 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.cleaning import iso_stamp
 from granary.operators.accuracy import best_model, model_comparison, with_errors
-from granary.operators.learning import feature_stages, fit_models, regressors, score_all
+from granary.operators.learning import Trained, feature_stages, fit_models, regressors, score_all
 from granary.sources.workspace import settle
 
 
 @dataclass(frozen=True)
 class Fitted:
-    models: dict[str, PipelineModel]
+    trained: Trained
     predictions: DataFrame  # test rows of all models
     metrics: DataFrame
     best: str

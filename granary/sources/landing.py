@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator, Sequence
 from urllib.parse import unquote
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,13 +16,16 @@ COPY_SCHEMA = "relative_path string, target string, ok boolean, message string"
 HEADER_SCHEMA = "path string, header string"
 CHUNK = 8 << 20
 
+# The task functions travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def open_store(uri: str):
     """Arrow file system and path of a Spark path (``file:/x``, ``hdfs://..``, ``s3a://..``)."""
     from pyarrow import fs
 
     if uri.startswith("file:"):
-        return fs.LocalFileSystem(), unquote("/" + uri[len("file:") :].lstrip("/"))
+        return fs.LocalFileSystem(), "/" + uri[len("file:") :].lstrip("/")
     if uri.startswith("/"):
         return fs.LocalFileSystem(), uri
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
@@ -29,7 +34,8 @@ def open_store(uri: str):
 def manifest(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     """One row per file below ``root``: path, relative_path, name, length, modified.
 
-    The ``content`` column is never selected, so no file is opened.
+    The ``content`` column is never selected, so no file is opened. The scan
+    passes over empty files; they are added from the reader's own listing.
     """
     files = (
         spark.read.format("binaryFile")
@@ -37,15 +43,26 @@ def manifest(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
         .option("pathGlobFilter", glob)
         .load(root)
     )
-    return files.select(
-        "path",
-        relative_to(F.col("path"), root).alias("relative_path"),
-        F.element_at(F.split("path", "/"), -1).alias("name"),
-        "length",
-        F.col("modificationTime").alias("modified"),
+    listed = [(_plain(p),) for p in files.inputFiles()]
+    seen = files.select("path", "length", F.col("modificationTime").alias("modified"))
+    return (
+        spark.createDataFrame(listed, "path string")
+        .join(seen, "path", "left")
+        .select(
+            "path",
+            relative_to(F.col("path"), root).alias("relative_path"),
+            F.element_at(F.split("path", "/"), -1).alias("name"),
+            F.coalesce("length", F.lit(0)).cast("bigint").alias("length"),
+            "modified",
+        )
     )
 
 
+def _plain(uri: str) -> str:
+    """A listed, percent-encoded URI in the spelling of the ``path`` column."""
+    return unquote(uri.replace("file:///", "file:/", 1) if uri.startswith("file:///") else uri)
+
+
 def relative_to(path: Column, root: str) -> Column:
     """Part of a file path below ``root``, whatever scheme prefix the reader put in front."""
     tail = root.split("://", 1)[-1].removeprefix("file:").strip("/") + "/"
@@ -128,5 +145,6 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def first_lines(files: DataFrame) -> DataFrame:
-    """First line of every file of a manifest; each task reads only the head of its files."""
+    """First line of every file of a manifest that is not empty; a task reads only the heads of its files."""
+    files = files.where(F.col("length") > 0)
     return _spread(files.select("path")).mapInPandas(_first_lines, HEADER_SCHEMA)

@@ -107,7 +107,6 @@ def feature_pipeline(spark, folder):
     f"{sql_round('regr_intercept(l_extendedprice, l_quantity)', 4)} as intercept from lineitem"
 )
 def linreg_ols_single(spark, folder):
-    """The fitted line read off the model's own predictions at 0 and 1."""
     model = Pipeline(stages=_line_stages()).fit(_rows(spark, folder))
     line = model.stages[-1]
     ends = spark.createDataFrame([(float(line.coefficients[0]), float(line.intercept))], "slope double, intercept double")
@@ -168,7 +167,7 @@ def trained_models(spark, folder):
 def feature_importance(spark, folder):
     rows = settle(_rows(spark, folder), "rows")
     stages = learning.feature_stages(NUMERIC, CATEGORY)
-    model = learning.fit_models(rows, LABEL, stages, _small_models("RandomForest"))["RandomForest"]
+    model = learning.fit_models(rows, LABEL, stages, _small_models("RandomForest")).pipeline("RandomForest")
     return learning.feature_importance(model, [*NUMERIC, learning.indexed_name(CATEGORY)], rows)
 
 

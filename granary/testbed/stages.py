@@ -181,6 +181,7 @@ def gold_features(spark, folder):
         ["rain", "humidity", "temperature"],
         ["category", "year", "production", "area", "rain", "humidity", "temperature"],
         {"category": "nation"},
+        facts_grouped=True,
     )
 
 
@@ -231,7 +232,7 @@ def _sql_report():
         parts.append(row("by_category", f"'{metric} ' || l_returnflag", value, "p group by l_returnflag"))
     for a in names:
         for b in names:
-            parts.append(row("correlation", f"'{a} {b}'", fixed(f"corr({a}, {b})", 3), "g"))
+            parts.append(row("correlation", f"'r {a} {b}'", fixed(f"corr({a}, {b})", 3), "g"))
     t = f"(select year, {sql_sum('target')} as total from g group by 1)"
     first, last = f"(select min_by(total, year) from {t})", f"(select max_by(total, year) from {t})"
     years = "(select max(year) - min(year) from g)"
