@@ -61,7 +61,9 @@ def train_and_compare(
 
     The prediction table of all models is settled once; every later report reads it.
     """
-    fitted = fit_models(train, label, feature_stages(numeric, category), models or regressors(label))
+    needed = [*numeric, *([category] if category else []), label]
+    stages = feature_stages(numeric, category)
+    fitted = fit_models(train.select(*needed), label, stages, models or regressors(label))
     model = columns.get("model", "model")
     scored = score_all(fitted, test, label=model)
     table = settle(prediction_table(scored, label, "prediction", keep, **columns), "predictions")

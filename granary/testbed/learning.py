@@ -11,7 +11,7 @@ from granary.operators import accuracy as acc
 from granary.operators import learning, sampling
 from granary.plans.modelling import train_and_compare
 from granary.sources.tables import load_model, save_model
-from granary.sources.workspace import scratch_path, settle
+from granary.sources.workspace import scratch_path
 from granary.testbed.registry import query, sql_round, table
 
 LABEL, CATEGORY = "l_extendedprice", "l_returnflag"
@@ -165,7 +165,7 @@ def trained_models(spark, folder):
 
 @query()
 def feature_importance(spark, folder):
-    rows = settle(_rows(spark, folder), "rows")
+    rows = _rows(spark, folder).drop(*KEYS)
     stages = learning.feature_stages(NUMERIC, CATEGORY)
     model = learning.fit_models(rows, LABEL, stages, _small_models("RandomForest")).pipeline("RandomForest")
     return learning.feature_importance(model, [*NUMERIC, learning.indexed_name(CATEGORY)], rows)

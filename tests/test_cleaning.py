@@ -59,6 +59,14 @@ def test_codes_and_names(spark):
     assert got == ["KEPULAUAN RIAU", "ACEH"]
 
 
+@pytest.mark.parametrize("entries", [0, 3, 200])
+def test_lookup_whatever_the_size_of_the_mapping(spark, entries):
+    mapping = {f"k{i}": i for i in range(entries)}
+    df = spark.createDataFrame([("k0",), ("k2",), ("k199",), ("z",), (None,)], "k string")
+    got = [r[0] for r in df.select(cleaning.lookup("k", mapping, -1)).collect()]
+    assert got == [mapping.get(k, -1) for k in ("k0", "k2", "k199", "z", None)]
+
+
 def test_union_is_by_name_and_tolerates_missing_columns(spark, rows):
     a = spark.createDataFrame([("x", 1, 2.0)], "k string, target int, area double")
     b = spark.createDataFrame([(5.0, "y")], "area double, k string")
