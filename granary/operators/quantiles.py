@@ -1,70 +1,83 @@
 """Exact order statistics without gathering or sorting the column.
 
 The built-in exact median keeps every distinct value in one task's memory.
-Here each pass brackets the wanted rank between two values of a bounded
-sketch, counts exactly how many rows lie below, and goes on inside the
-bracket until few rows are left. Sketch error only costs passes: the counts
-decide, so the result is exact.
+Here each pass counts the values per bucket, which combines map-side and
+returns one small row per bucket, then goes on inside the one bucket that
+holds the wanted rank until few values are left. The first pass uses a
+logarithmic scale, so that far outliers cannot crowd the rest into a single
+bucket; later passes divide what is then a narrow interval evenly.
 """
 
 from __future__ import annotations
 
 from math import floor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FEW_ROWS = 50_000
-SKETCH = 10_000
-MARGIN = 2.0 / SKETCH
+BUCKETS = 1024
+LARGEST = 1.7976931348623157e308
 
 
-def _value_at(values: DataFrame, rank: int, rows: int, few_rows: int) -> float:
-    """The value with ``rank`` values before it in sorted order."""
-    inside, before = values, 0
-    while rows > few_rows:
-        share = (rank - before) / rows
-        ends = [max(0.0, share - MARGIN), min(1.0, share + MARGIN)]
-        low, high = inside.agg(F.percentile_approx("x", ends, SKETCH)).first()[0]
-        n = inside.agg(
-            F.count_if(F.col("x") < low),
-            F.count_if(F.col("x") <= low),
-            F.count_if(F.col("x") < high),
-            F.count_if(F.col("x") <= high),
-        ).first()
-        at = rank - before
-        if at < n[0]:
-            inside, rows = inside.where(F.col("x") < low), n[0]
-        elif at < n[1]:
-            return low
-        elif at < n[2]:
-            inside = inside.where((F.col("x") > low) & (F.col("x") < high))
-            before, rows = before + n[1], n[2] - n[1]
-        elif at < n[3]:
-            return high
-        else:
-            inside = inside.where(F.col("x") > high)
-            before, rows = before + n[3], rows - n[3]
+def _log_scale(x: Column) -> Column:
+    return F.signum(x) * F.log1p(F.abs(x))
+
+
+def _even_scale(x: Column) -> Column:
+    return x
+
+
+def _neighbours(
+    values: DataFrame, rank: int, rows: int, low: float, high: float, few_rows: int
+) -> tuple[float, float | None]:
+    """The value with ``rank`` values before it in sorted order, and the one that follows."""
+    scale, inside, before, following = _log_scale, values, 0, None
+    while rows > few_rows and low < high:
+        x, a, b = scale(F.col("x")), scale(F.lit(low)), scale(F.lit(high))
+        at = F.least(F.floor((x - a) / (b - a) * F.lit(float(BUCKETS))), F.lit(BUCKETS - 1))
+        found = (
+            inside.groupBy(F.when(b > a, at).otherwise(F.lit(0)).alias("at"))
+            .agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+            .orderBy("at")
+            .collect()
+        )
+        for i, bucket in enumerate(found):
+            if rank < before + bucket.n:
+                break
+            before += bucket.n
+        if i + 1 < len(found):
+            following = found[i + 1].low
+        rows, low, high = bucket.n, bucket.low, bucket.high
+        inside = values.where(F.col("x").between(low, high))
+        scale = _even_scale
+    if low == high:
+        return low, (low if rank + 1 < before + rows else following)
     few = F.sort_array(F.collect_list("x"))
-    return inside.agg(F.get(few, F.lit(rank - before))).first()[0]
+    pair = inside.agg(few.alias("few")).select(
+        F.get("few", F.lit(rank - before)), F.get("few", F.lit(rank - before + 1))
+    )
+    value, next_value = pair.first()
+    return value, (following if next_value is None else next_value)
 
 
 def exact_quantile(
     df: DataFrame, column: str, share: float = 0.5, few_rows: int = FEW_ROWS
 ) -> float | None:
-    """Quantile with linear interpolation between neighbours; nulls and NaN are left out."""
-    values = df.select(F.col(column).cast("double").alias("x"))
-    values = values.where(F.col("x").isNotNull() & ~F.isnan("x"))
-    rows = values.count()
+    """Quantile with linear interpolation between neighbours; nulls and NaN are left out.
+
+    Infinite values count as the largest finite ones.
+    """
+    x = F.col(column).cast("double")
+    values = df.where(x.isNotNull() & ~F.isnan(x)).select(
+        F.least(F.greatest(x, F.lit(-LARGEST)), F.lit(LARGEST)).alias("x")
+    )
+    rows, low, high = values.agg(F.count("*"), F.min("x"), F.max("x")).first()
     if rows == 0:
         return None
     position = (rows - 1) * share
     rank = floor(position)
-    value = _value_at(values, rank, rows, few_rows)
+    value, following = _neighbours(values, rank, rows, low, high, few_rows)
     if position == rank:
         return value
-    up_to, next_value = values.agg(
-        F.count_if(F.col("x") <= value), F.min(F.when(F.col("x") > value, F.col("x")))
-    ).first()
-    following = value if up_to > rank + 1 else next_value
     return value + (following - value) * (position - rank)

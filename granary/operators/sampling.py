@@ -14,6 +14,13 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int | None = None) ->
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
+def keyed_sample(
+    df: DataFrame, fraction: float, keys: Sequence[str], salt: str = "sample"
+) -> DataFrame:
+    """Sample by a draw on the row's key: the same rows in every run, layout and retry."""
+    return df.where(uniform(list(keys), salt) < fraction)
+
+
 def label_split(
     df: DataFrame, keys: Sequence[str], train: float = 0.8, salt: str = "split-42", name: str = "split"
 ) -> DataFrame:

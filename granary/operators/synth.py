@@ -16,6 +16,7 @@ from granary.operators.shaping import unite
 from granary.sources.workspace import settle
 
 INDEX_BUCKETS_HEX = 3  # 4096 buckets
+ROWS_PER_TASK = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -82,7 +83,8 @@ def draw_rows(
     named = settle(number_values(categories, category, "__pick"), "categories")
     k = named.agg(F.count("*")).scalar()
     ident = F.col(id_column)
-    drawn = spark.range(n).withColumnRenamed("id", id_column).select(
+    slices = max(spark.sparkContext.defaultParallelism, n // ROWS_PER_TASK + 1)
+    drawn = spark.range(0, n, 1, slices).withColumnRenamed("id", id_column).select(
         ident,
         (F.lit(1) + F.floor(uniform(ident, f"{salt}:row", 0) * k)).cast("bigint").alias("__pick"),
         integer_between(uniform(ident, f"{salt}:row", 1), *years).alias(year),

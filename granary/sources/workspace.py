@@ -21,7 +21,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/granary/{label}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, grouped by application so that old ones can be cleared."""
+    owner = spark.conf.get("spark.app.id", "session")
+    return f"{shared_folder(spark)}/granary/{owner}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

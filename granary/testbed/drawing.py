@@ -30,9 +30,23 @@ def sql_uniform(key, salt, half=0):
     return f"(cast(cast('0x' || {digits} as bigint) as double) / {SPAN})"
 
 
+def measures():
+    """Lineitem's numbers in the roles of harvest measures."""
+    return [
+        (F.col("l_extendedprice") * 10.0).alias("area"),
+        (F.col("l_quantity") * 50.0).alias("rain"),
+        (F.col("l_discount") * 200.0 + 70.0).alias("humidity"),
+        (F.col("l_tax") * 100.0 + 24.0).alias("temperature"),
+    ]
+
+
+def observed_ranges(spark, folder):
+    return synth.derive_ranges(table(spark, folder, "lineitem").select(*measures()), RULES)
+
+
 def real_rows(spark, folder):
     """Lineitem in the roles of yearly harvest rows; the supplier's nation is the category."""
-    nation = F.broadcast(table(spark, folder, "nation"))
+    nation = table(spark, folder, "nation")
     supplier = table(spark, folder, "supplier")
     owners = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("category")
@@ -40,21 +54,17 @@ def real_rows(spark, folder):
     return table(spark, folder, "lineitem").join(owners, "l_suppkey").select(
         "category",
         F.year("l_shipdate").alias("year"),
-        (F.col("l_extendedprice") * 10.0).alias("area"),
-        (F.col("l_quantity") * 50.0).alias("rain"),
-        (F.col("l_discount") * 200.0 + 70.0).alias("humidity"),
-        (F.col("l_tax") * 100.0 + 24.0).alias("temperature"),
+        *measures(),
         (F.col("l_partkey") * 1000).alias("target"),
     )
 
 
 def drawn_rows(spark, folder):
     """As many synthetic rows as there are orders."""
-    real = real_rows(spark, folder)
     n = table(spark, folder, "orders").count()
+    nations = table(spark, folder, "nation").withColumnRenamed("n_name", "category")
     return synth.draw_rows(
-        spark, n, synth.derive_ranges(real, RULES), RULES, table(spark, folder, "nation")
-        .withColumnRenamed("n_name", "category"), "category", years=YEARS,
+        spark, n, observed_ranges(spark, folder), RULES, nations, "category", years=YEARS
     )
 
 
@@ -90,17 +100,33 @@ SQL_DRAWS = (
     f"temperature_low + {sql_uniform('id', '42:values1', 1)} * (temperature_high - temperature_low) as temperature "
     f"from picked join cats using (pick), {SQL_RANGES})"
 )
-SQL_TARGETS = (
-    "(select *, greatest(1000, cast(trunc((area * 4.5::double + (rain - 1500.0::double) * 0.8::double + "
-    "(85.0::double - abs(humidity - 82.0::double)) * 50.0::double + (28.0::double - abs(temperature - 27.0::double)) "
-    "* 1000.0::double) * (case category when 'NATION_1' then 1.2::double when 'NATION_2' then 0.9::double "
-    "when 'NATION_3' then 0.8::double when 'NATION_4' then 1.3::double else 1.0::double end) + "
-    f"(year - 2000) * 500.0::double) as bigint)) as target from {SQL_DRAWS})"
+SQL_BASE = (
+    "(area * 4.5::double + (rain - 1500.0::double) * 0.8::double + (85.0::double - abs(humidity - 82.0::double)) "
+    "* 50.0::double + (28.0::double - abs(temperature - 27.0::double)) * 1000.0::double)"
 )
+SQL_RAW = (
+    f"{SQL_BASE} * (case category when 'NATION_1' then 1.2::double when 'NATION_2' then 0.9::double "
+    "when 'NATION_3' then 0.8::double when 'NATION_4' then 1.3::double else 1.0::double end) "
+    "+ (year - 2000) * 500.0::double"
+)
+SQL_NOISE = (
+    f"sqrt(-2.0::double * ln(1.0::double - {sql_uniform('id', '42:noise')})) "
+    f"* cos(2.0::double * pi() * {sql_uniform('id', '42:noise', 1)})"
+)
+SQL_TARGETS = f"(select *, greatest(1000, cast(trunc({SQL_RAW}) as bigint)) as target from {SQL_DRAWS})"
 
 
-@query()
+@query(
+    "select o_orderkey, o_totalprice from orders where "
+    f"{sql_uniform('o_orderkey', 'sample')} < 0.01::double"
+)
 def sample_rows(spark, folder):
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    return sampling.keyed_sample(orders, 0.01, ["o_orderkey"])
+
+
+@query()
+def sample_bernoulli(spark, folder):
     return sampling.bernoulli_sample(table(spark, folder, "lineitem"), 0.01, seed=42)
 
 
@@ -127,7 +153,7 @@ def split_sizes(spark, folder):
 
 @query(f"select * from {SQL_RANGES}")
 def synthetic_ranges(spark, folder):
-    return synth.derive_ranges(real_rows(spark, folder), RULES)
+    return observed_ranges(spark, folder)
 
 
 @query(f"select * from {SQL_DRAWS}")
@@ -140,7 +166,10 @@ def synthetic_target(spark, folder):
     return drawn_targets(spark, folder).select("id", "category", "year", "target")
 
 
-@query()
+@query(
+    f"select id, category, year, greatest(1000, cast(trunc({SQL_RAW} + {SQL_NOISE} * ({SQL_BASE} * 0.1::double)) as bigint)) "
+    f"as target from {SQL_DRAWS}"
+)
 def synthetic_target_noisy(spark, folder):
     return drawn_targets(spark, folder, noisy=True).select("id", "category", "year", "target")
 

@@ -35,8 +35,8 @@ SQL_FACTS = (
 
 
 def named_nation(spark, folder, owner, owner_key, nation_key):
-    """(owner key, nation name); the nation table has 25 rows at any scale."""
-    nation = F.broadcast(table(spark, folder, "nation"))
+    """(owner key, nation name)."""
+    nation = table(spark, folder, "nation")
     owners = table(spark, folder, owner).select(owner_key, nation_key)
     return owners.join(nation, F.col(nation_key) == F.col("n_nationkey")).select(
         owner_key, F.col("n_name").alias("category")

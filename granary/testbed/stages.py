@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.aggregates import Measure
 from granary.plans import analysis, gold, silver
+from granary.sources.workspace import settle
 from granary.testbed.drawing import SQL_REAL, SQL_TARGETS, drawn_targets, real_rows
 from granary.testbed.joining import SQL_FACTS, SQL_FEATURES, nation_facts, nation_features
 from granary.testbed.judging import PREDICTIONS, predictions
@@ -129,7 +130,8 @@ def silver_facts(spark, folder):
 def validate_silver(spark, folder):
     """Checks of both silver tables; event numbers in the customers' spelling serve as keys to reconcile."""
     key = F.concat(F.lit("CUSTOMER#"), F.lpad(F.col("event_id").cast("string"), 9, "0"))
-    measured, facts = _silver(spark, folder).withColumn("key", key), _silver_facts(spark, folder)
+    measured = settle(_silver(spark, folder), "silver").withColumn("key", key)
+    facts = settle(_silver_facts(spark, folder), "silver")
     checks = silver.validate_silver(
         measured, facts, "key", "customer", nulls_of=["temp", "rain", "none"], fact_nulls_of=["balance"]
     ).where("metric <> 'n_categories' or dataset <> 'measurements'")
@@ -250,7 +252,7 @@ def _sql_report():
 def report_table(spark, folder):
     return analysis.report_table(
         predictions(spark, folder).withColumnRenamed("l_returnflag", "category"),
-        real_rows(spark, folder),
+        settle(real_rows(spark, folder), "gold"),
         drawn_targets(spark, folder),
         "category",
         "year",

@@ -52,6 +52,12 @@ def _rows(columns, rows):
     return sorted(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
+KINDS = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
 def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None if both give the same columns, value kinds and rows, else what differs."""
     cursor = con.execute(sql)
@@ -59,14 +65,11 @@ def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str |
     expected_rows = cursor.fetchall()
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    expected_kinds = {d[0]: str(d[1]) for d in cursor.description}
+    for name, kind in df.dtypes:
+        if KINDS.get(kind, kind) != expected_kinds[name]:
+            return f"{name}: {kind} != {expected_kinds[name]}"
     found_rows = [tuple(r) for r in df.collect()]
-    for name in names:
-        kinds = [
-            {type(r[cols.index(name)]) for r in rows} - {type(None)}
-            for cols, rows in ((df.columns, found_rows), (names, expected_rows))
-        ]
-        if kinds[0] and kinds[1] and kinds[0] != kinds[1]:
-            return f"{name}: {kinds[0]} != {kinds[1]}"
     found, expected = _rows(df.columns, found_rows), _rows(names, expected_rows)
     if len(found) != len(expected):
         return f"{len(found)} rows != {len(expected)}"
