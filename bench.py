@@ -45,7 +45,7 @@ HEADLINE = (
     "synthetic_target_noisy",
     "union_real_synthetic",
     "split_train_test",
-    "feature_pipeline",
+    "feature_preparation",
     "linreg_elastic",
     "rf_metrics",
     "gbt_metrics",

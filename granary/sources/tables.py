@@ -64,8 +64,14 @@ def write_table(
 
     By default every task writes what it holds. A fixed file count costs a
     shuffle, but unlike ``coalesce`` leaves the work before it parallel.
+    Partition columns bring their rows together first, or each task would
+    leave a small file per value; the rebalancing splits a value that holds
+    too many rows for one task.
     """
-    out = df.repartition(num_files) if num_files else df
+    if num_files:
+        out = df.repartition(num_files)
+    else:
+        out = df.hint("rebalance", *partition_by) if partition_by else df
     writer = out.write.mode("overwrite").option("compression", compression)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 

@@ -46,7 +46,7 @@ def clean_numeric_malformed(spark, folder):
 
 @query(
     "select o_orderkey, case when o_orderkey % 7 = 0 or o_orderkey % 11 = 0 then null "
-    "else cast(o_orderdate as date) end as day from orders"
+    "else cast(cast(o_orderdate as date) as varchar) end as day from orders"
 )
 def parse_date_dmy(spark, folder):
     k = F.col("o_orderkey")
@@ -54,7 +54,8 @@ def parse_date_dmy(spark, folder):
         F.when(k % 7 == 0, "31/02/2023").when(k % 11 == 0, "1/2/2023")
         .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
     )
-    return table(spark, folder, "orders").select("o_orderkey", parse_day(text).alias("day"))
+    day = parse_day(text).cast("string")  # as text, which every engine shows alike when null
+    return table(spark, folder, "orders").select("o_orderkey", day.alias("day"))
 
 
 @query(

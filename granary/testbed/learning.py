@@ -93,7 +93,7 @@ def standard_scale(spark, folder):
     + sql_round("(flag - avg(flag) over ()) / stddev_samp(flag) over ()", 6)
     + " + 0.0 as flag_scaled from x"
 )
-def feature_pipeline(spark, folder):
+def feature_preparation(spark, folder):
     """Index, assemble and standardise in one fitted pipeline."""
     rows = _rows(spark, folder)
     wide = Pipeline(stages=learning.feature_stages(NUMERIC, CATEGORY)).fit(rows).transform(rows)

@@ -74,9 +74,11 @@ def _silver(spark, folder):
     return silver.clean_measurements(bronze_events(spark, folder), MEASUREMENTS, AS_OF)
 
 
-@query(f"select * from {SQL_SILVER}")
+@query(f"select * replace (cast(day as varchar) as day) from {SQL_SILVER}")
 def silver_measurements(spark, folder):
-    return _silver(spark, folder).withColumn("processed_at", F.col("processed_at").cast("timestamp_ntz"))
+    return _silver(spark, folder).withColumns(
+        {"processed_at": F.col("processed_at").cast("timestamp_ntz"), "day": F.col("day").cast("string")}
+    )
 
 
 def bronze_customers(spark, folder):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.aggregates import Measure
 from granary.operators import features, impute, joins
+from granary.plans import silver
 
 
 def test_group_means_fill_only_their_group(spark, rows):
@@ -19,6 +20,17 @@ def test_group_means_fill_only_their_group(spark, rows):
     )
 
 
+def test_score_may_judge_the_raw_values(spark):
+    raw = spark.createDataFrame([("a", "1", "5"), ("a", "", "6"), ("b", "", "")], "code string, x string, y string")
+    spec = dict(
+        names={}, code="code", category="name", code_names={}, date=None, numeric=["x", "y"],
+        score_on=["x", "y"], keep_if_any=["x", "y"],
+    )
+    for before, scores in ((False, [1.0, 1.0]), (True, [0.5, 1.0])):
+        out = silver.clean_measurements(raw, silver.MeasurementSpec(**spec, score_before_fill=before))
+        assert sorted(r.data_quality_score for r in out.collect()) == scores
+
+
 def test_global_mean_and_all_null_column(spark, rows):
     df = spark.createDataFrame([(1.0, None), (None, None), (2.0, None)], "x double, y double")
     assert rows(impute.impute_global_mean(df, ["x", "y"])) == [(1.0, None), (1.5, None), (2.0, None)]

@@ -73,6 +73,7 @@ def test_sinks(spark, tmp_path):
     assert len([p for p in (tmp_path / "t").iterdir() if p.suffix == ".parquet"]) == 4
     tables.write_table(df, f"{tmp_path}/p", partition_by=["k"])
     assert spark.read.parquet(f"{tmp_path}/p").where("k = 1").count() == 333
+    assert len(list((tmp_path / "p").rglob("*.parquet"))) == 3
     assert tables.export_table(spark, f"{tmp_path}/t", f"{tmp_path}/copy")
     assert not tables.export_table(spark, f"{tmp_path}/nothing", f"{tmp_path}/copy2")
     assert tables.is_empty(None) and tables.is_empty(df.where("id < 0")) and not tables.is_empty(df)
