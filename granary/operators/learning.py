@@ -85,13 +85,12 @@ def fit_models(
     """Fit the preparation on the training rows once, then every regressor on the prepared table.
 
     Hand in only the columns needed. The training rows are written once,
-    spread evenly: that one shuffle pays off over dozens of passes, which
-    would otherwise wait for the largest input file, and a lost executor does
-    not send them back to the source. So is the prepared table, from which
-    tree building starts again and again.
+    rebalanced to even files of the advisory size: that one shuffle pays off
+    over dozens of passes, which would otherwise wait for the largest input
+    file, and a lost executor does not send them back to the source. So is
+    the prepared table, from which tree building starts again and again.
     """
-    tasks = 2 * train.sparkSession.sparkContext.defaultParallelism
-    rows = settle(train.repartition(tasks), "training")
+    rows = settle(train.hint("rebalance"), "training")
     preparation = Pipeline(stages=list(stages)).fit(rows)
     prepared = settle(preparation.transform(rows).select(SCALED, label), "prepared")
     return Trained(preparation, {name: model.fit(prepared) for name, model in models.items()})

@@ -18,12 +18,17 @@ from granary.functions.cleaning import lookup
 from granary.operators import learning, sampling, synth
 from granary.operators.accuracy import best_model
 from granary.operators.features import yearly_features
+from granary.operators.joins import reconcile_keys
+from granary.operators.profile import describe_numeric
 from granary.operators.shaping import present
 from granary.plans import analysis, gold, modelling, silver
 from granary.presets import harvest as h
 from granary.sources import delimited, landing, tables
 
 
+SPLIT_KEYS = ("source", "id", h.CATEGORY, h.YEAR)
+
+
 @dataclass(frozen=True)
 class HarvestLake:
     spark: SparkSession
@@ -76,6 +81,12 @@ class HarvestLake:
             nulls_of=h.WEATHER_KEYS,
         )
 
+    def key_report(self) -> DataFrame:
+        """Which provinces both silver tables know, and which only one."""
+        return reconcile_keys(
+            self.table("silver/weather"), h.WEATHER.category, self.table("silver/facts"), h.FACTS.key
+        )
+
     # silver to gold
 
     def history(self) -> DataFrame:
@@ -92,9 +103,13 @@ class HarvestLake:
         return yearly_features(weather, "province", "tanggal", measures, h.YEAR, h.DEFAULT_YEAR)
 
     def build_gold(self, use_history: bool = True) -> DataFrame:
-        """Write the gold table; returns the check of what was written."""
+        """Write the gold table; returns the check of what was written.
+
+        The facts stand in when the history is not wanted or lacks its key column.
+        """
         history = self.history() if use_history else None
-        facts = None if use_history else self.table("silver/facts")
+        usable = history is not None and h.CATEGORY in history.columns
+        facts = None if usable else self.table("silver/facts")
         integrated = gold.integrate_sources(
             history, facts, h.CATEGORY, h.HISTORY_NAMES, h.FACT_NAMES, h.YEAR, h.DEFAULT_YEAR
         )
@@ -109,6 +124,9 @@ class HarvestLake:
         )
         return tables.write_verified(table, self.path("gold/features"))
 
+    def export_gold(self, target: str) -> bool:
+        return tables.export_table(self.spark, self.path("gold/features"), target)
+
     # synthetic rows and models
 
     def build_synthetic(self, rows: int = h.SYNTHETIC_ROWS, noise: bool = True) -> None:
@@ -132,10 +150,14 @@ class HarvestLake:
     def compare_sources(self) -> DataFrame:
         return synth.compare_sources(self.combined(), [*h.FEATURES, h.TARGET])
 
+    def split_report(self) -> DataFrame:
+        """Sizes and shares of the training and test rows."""
+        return sampling.split_sizes(sampling.label_split(self.combined(), SPLIT_KEYS))
+
     def train(self, models: Mapping[str, Estimator] | None = None) -> modelling.Fitted:
         """Fit and judge all models; writes the predictions of all, the metrics and the best model."""
         rows = self.combined()
-        train, test = sampling.split_train_test(rows, ["source", "id", h.CATEGORY, h.YEAR])
+        train, test = sampling.split_train_test(rows, SPLIT_KEYS)
         keep = [h.CATEGORY, h.YEAR, *h.FEATURES]
         done = modelling.train_and_compare(
             train, test, h.TARGET, h.FEATURES, h.CATEGORY, keep, models, as_of=self.as_of, **h.PREDICTION_NAMES
@@ -163,6 +185,9 @@ class HarvestLake:
         out = analysis.accuracy_pack(
             predictions, h.CATEGORY, h.YEAR, [h.CATEGORY, h.YEAR], names["actual"], names["error_pct"]
         )
+        out["prediction_statistics"] = describe_numeric(
+            predictions, [names[n] for n in ("actual", "predicted", "error", "error_pct")]
+        )
         out["model_comparison"] = self.table("metrics")
         out["summary"] = analysis.report_table(
             predictions, real, synthetic, h.CATEGORY, h.YEAR, h.TARGET, h.FEATURES, best,

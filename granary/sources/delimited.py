@@ -28,8 +28,13 @@ def string_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def _header_line(spark: SparkSession, path: str) -> str | None:
-    row = spark.read.text(path).first()
+def _below(glob: str | None) -> dict[str, object]:
+    """Reader options for all files below a folder whose names match."""
+    return {"recursiveFileLookup": True, "pathGlobFilter": glob} if glob else {}
+
+
+def _header_line(spark: SparkSession, path: str, glob: str | None = None) -> str | None:
+    row = spark.read.options(**_below(glob)).text(path).first()
     return None if row is None else row.value.lstrip(BOM)
 
 
@@ -75,12 +80,21 @@ def scan_tagged_files(
     pattern: str = r"([^/]+)\.csv$",
     glob: str = "*.csv",
     codes: Sequence[str] | None = None,
+    same_header: bool = False,
 ) -> DataFrame | None:
     """All files below ``root`` in one read per distinct header, each row tagged from its path.
 
     Files whose header differs are united by column name, absent columns as
     null. Codes without a file are simply not there; None if nothing is left.
+    ``same_header`` promises one header for all and saves looking at each file.
     """
+    if same_header:
+        line = _header_line(spark, root, glob)
+        if not line:
+            return None
+        files = _reader(spark, sep).options(**_below(glob)).schema(string_schema(header_names(line, sep)))
+        rows = files.csv(root).withColumn(tag, file_tag(pattern))
+        return rows if codes is None else rows.where(F.col(tag).isin(*codes))
     heads = first_lines(manifest(spark, root, glob)).where(F.col("header") != "")
     if codes is not None:
         heads = heads.where(F.regexp_extract("path", pattern, 1).isin(*codes))

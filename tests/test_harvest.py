@@ -65,6 +65,9 @@ def test_validation(lake):
     assert got["measurements", "n_rows"] == 6 and got["facts", "n_rows"] == 4
     assert got["keys", "keys_both"] == 2 and got["keys", "keys_right_only"] == 2
     assert got["measurements", "nulls_rainfall"] == 2
+    assert {r.key: r.status for r in lake.key_report().collect()} == {
+        "ACEH": "both", "KEPULAUAN RIAU": "both", "X": "right_only", "TOTAL": "right_only"
+    }
 
 
 def test_gold_from_facts_and_weather(lake):
@@ -79,7 +82,10 @@ def test_gold_model_and_reports(lake, spark):
     assert (check.written, check.read_back, check.ok) == (30, 30, True)
     gold = lake.table("gold/features")
     assert gold.columns == ["Provinsi", "Tahun", "Produksi", "Luas_Panen", "Curah_hujan", "Kelembapan", "Suhu_rata_rata"]
+    assert lake.export_gold(lake.path("exported")) and spark.read.parquet(lake.path("exported")).count() == 30
     lake.build_synthetic(1500)
+    sizes = {r.split: r.n for r in lake.split_report().collect()}
+    assert sum(sizes.values()) == 1530 and 1150 < sizes["train"] < 1300
     assert lake.combined().count() == 1530
     means = {(r.source, r.column): r.mean for r in lake.compare_sources().collect()}
     assert means["synthetic", "Produksi"] > 3 * means["synthetic", "Luas_Panen"]  # columns met by name
@@ -94,6 +100,7 @@ def test_gold_model_and_reports(lake, spark):
     summary = {(r.section, r.metric): r.value for r in reports["summary"].collect()}
     assert summary["data", "rows_real"] == "30" and summary["data", "augmentation_factor"] == "50"
     assert summary["performance", "model"] == done.best
+    assert [r.n for r in reports["prediction_statistics"].collect()] == [sizes["test"]] * 4
     back = spark.read.option("header", True).csv(lake.path("reports/error_bands"))
     assert back.agg(F.sum(F.col("n").cast("int"))).first()[0] == int(summary["performance", "test_predictions"])
     charts = lake.chart_data()

@@ -40,6 +40,12 @@ def test_tagged_files_meet_by_name(spark, files, rows):
     assert delimited.scan_tagged_files(spark, root, codes=["nowhere"]) is None
 
 
+def test_tagged_files_with_one_header(spark, files, rows):
+    root = files(w__aceh="A;B\n1;2\n", w__riau="A;B\n5;6\n", w__other="A;B\n9;9\n")
+    df = delimited.scan_tagged_files(spark, root, codes=["aceh", "riau"], same_header=True)
+    assert rows(df.select("code", "A", "B")) == [("aceh", "1", "2"), ("riau", "5", "6")]
+
+
 def test_landing_copies_bytes_and_counts_failures(spark, files, tmp_path_factory):
     root = files(w__a="x,y\n1,2\n", f__b="﻿z\n", w__empty="")
     found = landing.manifest(spark, root)
