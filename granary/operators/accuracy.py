@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,18 +118,9 @@ def band_columns(error_pct: str = ERROR_PCT, edges: Sequence[float] = BAND_EDGES
     return [F.count_if(at == i).alias(f"band_{i}") for i in range(len(edges) + 1)]
 
 
-def band_rows(counted: DataFrame, total: str, labels: Sequence[str] = BAND_LABELS) -> DataFrame:
-    """(band, label, n, pct) from one row of band counts and a total."""
-    rows = [
-        F.struct(
-            F.lit(i).alias("band"),
-            F.lit(label).alias("label"),
-            F.col(f"band_{i}").alias("n"),
-            F.try_divide(F.col(f"band_{i}") * F.lit(100.0), F.col(total).cast("double")).alias("pct"),
-        )
-        for i, label in enumerate(labels)
-    ]
-    return counted.select(F.inline(F.array(*rows)))
+def band_share(band: int, total: str) -> Column:
+    """Percentage of a band counted by ``band_columns``."""
+    return F.try_divide(F.col(f"band_{band}") * F.lit(100.0), F.col(total).cast("double"))
 
 
 def error_bands(
@@ -143,7 +134,16 @@ def error_bands(
     The share is of all rows, also those whose error percentage is null.
     """
     counted = df.agg(F.count(F.lit(1)).alias("total"), *band_columns(error_pct, edges))
-    return band_rows(counted, "total", labels)
+    rows = [
+        F.struct(
+            F.lit(i).alias("band"),
+            F.lit(label).alias("label"),
+            F.col(f"band_{i}").alias("n"),
+            band_share(i, "total").alias("pct"),
+        )
+        for i, label in enumerate(labels)
+    ]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def range_index(value: Column, low: Column, high: Column, parts: int) -> Column:
@@ -190,18 +190,18 @@ def error_by_range(
 def error_distribution(
     df: DataFrame, error_pct: str = ERROR_PCT, digits: int | None = None
 ) -> DataFrame:
-    """Mean, exact median, sample deviation and the mean +/- 1 and 2 deviation limits."""
-    median = exact_quantile(df, error_pct, 0.5)
-    m, s = F.avg(error_pct), F.stddev_samp(error_pct)
-    wanted: Mapping[str, Column] = {
-        "mean": m,
-        "median": F.lit(median).cast("double"),
-        "std": s,
-        "minus_1_std": m - s,
-        "plus_1_std": m + s,
-        "two_std": s * 2.0,
-    }
-    return df.agg(F.count(error_pct).alias("n"), *[_told(c, digits).alias(n) for n, c in wanted.items()])
+    """Mean, exact median, sample deviation and the mean +/- 1 and 2 deviation limits, as one row."""
+    x = F.col(error_pct).cast("double")
+    found = df.agg(F.count(x), F.min(x), F.max(x), F.avg(x), F.stddev_samp(x)).first()
+    n, low, high, mean, std = found
+    median = exact_quantile(df, error_pct, known=(n, low, high))
+    row = df.sparkSession.createDataFrame(
+        [(n, mean, median, std)], "n bigint, mean double, median double, std double"
+    )
+    m, s = F.col("mean"), F.col("std")
+    limits = {"minus_1_std": m - s, "plus_1_std": m + s, "two_std": s * 2.0}
+    out = row.withColumns(limits)
+    return out.select("n", *[_told(F.col(c), digits).alias(c) for c in out.columns if c != "n"])
 
 
 def extreme_predictions(

@@ -139,19 +139,26 @@ def correlation_columns(columns: Sequence[str]) -> list[Column]:
     return [pearson(a, b).alias(f"r_{i}_{j}") for (i, a), (j, b) in pairs]
 
 
-def correlation_rows(computed: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
-    """(row, col, r) for all ordered pairs from one row of r_i_j."""
-    rows = []
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
-            r = F.col(f"r_{min(i, j)}_{max(i, j)}")
-            r = r if digits is None else F.round(r, digits)
-            rows.append(F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), r.alias("r")))
-    return computed.select(F.inline(F.array(*rows)))
+def correlation_pairs(columns: Sequence[str]) -> list[tuple[str, str, Column]]:
+    """(row, col, r) for all ordered pairs over the aggregates of ``correlation_columns``."""
+    return [
+        (a, b, F.col(f"r_{min(i, j)}_{max(i, j)}"))
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+    ]
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
-    return correlation_rows(df.agg(*correlation_columns(columns)), columns, digits)
+    """(row, col, r) for all ordered pairs."""
+    rows = [
+        F.struct(
+            F.lit(a).alias("row"),
+            F.lit(b).alias("col"),
+            (r if digits is None else F.round(r, digits)).alias("r"),
+        )
+        for a, b, r in correlation_pairs(columns)
+    ]
+    return df.agg(*correlation_columns(columns)).select(F.inline(F.array(*rows)))
 
 
 def feature_target_correlation(

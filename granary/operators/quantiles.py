@@ -10,7 +10,7 @@ bucket; later passes divide what is then a narrow interval evenly.
 
 from __future__ import annotations
 
-from math import floor
+from math import floor, isfinite
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,17 +62,24 @@ def _neighbours(
 
 
 def exact_quantile(
-    df: DataFrame, column: str, share: float = 0.5, few_rows: int = FEW_ROWS
+    df: DataFrame,
+    column: str,
+    share: float = 0.5,
+    few_rows: int = FEW_ROWS,
+    known: tuple[int, float, float] | None = None,
 ) -> float | None:
     """Quantile with linear interpolation between neighbours; nulls and NaN are left out.
 
-    Infinite values count as the largest finite ones.
+    Infinite values count as the largest finite ones. ``known`` takes count,
+    minimum and maximum where an earlier pass found them.
     """
     x = F.col(column).cast("double")
     values = df.where(x.isNotNull() & ~F.isnan(x)).select(
         F.least(F.greatest(x, F.lit(-LARGEST)), F.lit(LARGEST)).alias("x")
     )
-    rows, low, high = values.agg(F.count("*"), F.min("x"), F.max("x")).first()
+    if known is None or not all(isfinite(k) for k in known if k is not None):
+        known = values.agg(F.count("*"), F.min("x"), F.max("x")).first()
+    rows, low, high = known
     if rows == 0:
         return None
     position = (rows - 1) * share

@@ -41,21 +41,23 @@ def derive_ranges(df: DataFrame, rules: Sequence[RangeRule]) -> DataFrame:
     return df.agg(*out)
 
 
-def number_values(df: DataFrame, column: str, index: str = "index") -> DataFrame:
-    """Distinct values numbered 1..k in the order of (md5 prefix, value).
+def number_values(df: DataFrame, column: str, index: str = "index") -> tuple[DataFrame, int]:
+    """Distinct values numbered 1..k in the order of (md5 prefix, value), and k.
 
-    Numbering runs per hash bucket plus the bucket's offset. The only window
-    without partitions is over the 4096 bucket counts, never over the values.
+    Numbers run within hash buckets, each offset by the buckets before it.
+    Only the counts of the 4096 buckets pass through the driver, never the values.
     """
-    value = F.col(column)
-    bucket = F.substring(F.md5(value.cast("string")), 1, INDEX_BUCKETS_HEX)
-    values = df.where(value.isNotNull()).select(column).distinct().withColumn("__bucket", bucket)
-    sizes = values.groupBy("__bucket").agg(F.count("*").alias("__n"))
-    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    bucket = F.substring(F.md5(F.col(column).cast("string")), 1, INDEX_BUCKETS_HEX)
+    distinct = df.where(F.col(column).isNotNull()).select(column).distinct()
+    values = settle(distinct.withColumn("__bucket", bucket), "values")
+    offsets, total = [], 0
+    for row in values.groupBy("__bucket").agg(F.count("*").alias("n")).orderBy("__bucket").collect():
+        offsets.append((row["__bucket"], total))
+        total += row.n
+    before = df.sparkSession.createDataFrame(offsets, "__bucket string, __offset bigint")
     within = F.row_number().over(Window.partitionBy("__bucket").orderBy(column))
-    numbered = values.withColumn("__at", within).join(offsets, "__bucket")
-    return numbered.select((F.col("__offset") + F.col("__at")).cast("bigint").alias(index), column)
+    numbered = values.withColumn("__at", within).join(before, "__bucket")
+    return numbered.select((F.col("__offset") + F.col("__at")).cast("bigint").alias(index), column), total
 
 
 def draw_rows(
@@ -79,14 +81,12 @@ def draw_rows(
     """
     if n < 0:
         raise ValueError("n must not be negative")
-    # settled: the category table is tiny next to the draws and its size is then known
-    named = settle(number_values(categories, category, "__pick"), "categories")
-    k = named.agg(F.count("*")).scalar()
+    named, k = number_values(categories, category, "__pick")
     ident = F.col(id_column)
     slices = max(spark.sparkContext.defaultParallelism, n // ROWS_PER_TASK + 1)
     drawn = spark.range(0, n, 1, slices).withColumnRenamed("id", id_column).select(
         ident,
-        (F.lit(1) + F.floor(uniform(ident, f"{salt}:row", 0) * k)).cast("bigint").alias("__pick"),
+        (F.lit(1) + F.floor(uniform(ident, f"{salt}:row", 0) * float(k))).cast("bigint").alias("__pick"),
         integer_between(uniform(ident, f"{salt}:row", 1), *years).alias(year),
         *[
             _drawn(r, uniform(ident, f"{salt}:values{i // 2}", i % 2), ranges)

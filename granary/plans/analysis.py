@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.aggregates import Measure
-from granary.functions.scoring import rating
+from granary.functions.scoring import BAND_LABELS, rating
 from granary.operators import accuracy as acc
 from granary.operators.features import grouped_measures
 from granary.operators.profile import (
     correlation_columns,
     correlation_matrix,
-    correlation_rows,
+    correlation_pairs,
     feature_target_correlation,
     growth_rate,
     histogram,
@@ -116,50 +116,44 @@ def report_table(
     by_category = acc.error_by(predictions, category, category, error_pct, actual)
 
     ratio = F.try_divide(F.col("n_synthetic").cast("double"), F.col("n_real").cast("double"))
-    fixed = {
-        "performance": {
-            "model": F.lit(model),
-            "r2": _fixed("r2", 4),
-            "rating": rating("r2"),
-            "rmse": _fixed("rmse", 2),
-            "mae": _fixed("mae", 2),
-            "mean_error_pct": _fixed("mean_error_pct", 2),
-            "test_predictions": F.col("n"),
-        },
-        "data": {
-            "rows_real": F.col("n_real"),
-            "rows_synthetic": F.col("n_synthetic"),
-            "rows_combined": F.col("n_real") + F.col("n_synthetic"),
-            "augmentation_factor": _fixed(ratio, 0),
-            "first_year": F.col("first_year"),
-            "last_year": F.col("last_year"),
-            "categories": F.col("n_categories"),
-        },
-        "trend": {
-            "first_total": _fixed("first_total", 0),
-            "last_total": _fixed("last_total", 0),
-            "growth_pct": _fixed("growth_pct", 2),
-        },
+    performance = {
+        "model": F.lit(model),
+        "r2": _fixed("r2", 4),
+        "rating": rating("r2"),
+        "rmse": _fixed("rmse", 2),
+        "mae": _fixed("mae", 2),
+        "mean_error_pct": _fixed("mean_error_pct", 2),
+        "test_predictions": F.col("n"),
+    }
+    bands = {}
+    for i, label in enumerate(BAND_LABELS):
+        bands[f"n {label}"] = F.col(f"band_{i}")
+        bands[f"pct {label}"] = _fixed(acc.band_share(i, "n"), 1)
+    data = {
+        "rows_real": F.col("n_real"),
+        "rows_synthetic": F.col("n_synthetic"),
+        "rows_combined": F.col("n_real") + F.col("n_synthetic"),
+        "augmentation_factor": _fixed(ratio, 0),
+        "first_year": F.col("first_year"),
+        "last_year": F.col("last_year"),
+        "categories": F.col("n_categories"),
+    }
+    correlation = {f"r {a} {b}": _fixed(r, 3) for a, b, r in correlation_pairs(names)}
+    trend = {
+        "first_total": _fixed("first_total", 0),
+        "last_total": _fixed("last_total", 0),
+        "growth_pct": _fixed("growth_pct", 2),
+    }
+    per_category = {
+        "mean_error_pct": _fixed("mean_error_pct", 2),
+        "n": F.col("n"),
+        "mean_actual": _fixed("mean_actual", 2),
     }
     parts = [
-        _long(judged, "performance", fixed["performance"]),
-        _long(overview, "data", fixed["data"]),
-        _long(
-            acc.band_rows(judged, "n"),
-            "error_bands",
-            {"n": F.col("n"), "pct": _fixed("pct", 1)},
-            F.col("label"),
-        ),
-        _long(
-            by_category,
-            "by_category",
-            {"mean_error_pct": _fixed("mean_error_pct", 2), "n": F.col("n"), "mean_actual": _fixed("mean_actual", 2)},
-            F.col(category),
-        ),
-        _long(
-            correlation_rows(overview, names), "correlation", {"r": _fixed("r", 3)}, F.concat_ws(" ", "row", "col")
-        ),
-        _long(growth, "trend", fixed["trend"]),
+        _long(judged, {"performance": performance, "error_bands": bands}),
+        _long(overview, {"data": data, "correlation": correlation}),
+        _long(by_category, {"by_category": per_category}, F.col(category)),
+        _long(growth, {"trend": trend}),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -168,14 +162,18 @@ def _fixed(value: str | Column, digits: int) -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast(f"decimal(28,{digits})")
 
 
-def _long(df: DataFrame, section: str, metrics: dict[str, Column], of: Column | None = None) -> DataFrame:
-    """Each metric of each row as (section, metric, value); ``of`` is added to the metric's name."""
+def _long(df: DataFrame, sections: dict[str, dict[str, Column]], of: Column | None = None) -> DataFrame:
+    """All metrics of a row as (section, metric, value); ``of`` is added to the metric's name.
+
+    Sections that share a source row are unfolded together, so it is computed once.
+    """
     rows = [
         F.struct(
             F.lit(section).alias("section"),
             (F.lit(name) if of is None else F.concat_ws(" ", F.lit(name), of)).alias("metric"),
             value.cast("string").alias("value"),
         )
+        for section, metrics in sections.items()
         for name, value in metrics.items()
     ]
     return df.select(F.inline(F.array(*rows)))

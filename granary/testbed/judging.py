@@ -73,17 +73,18 @@ SQL_METRICS = (
 
 @query(f"select {SQL_METRICS} from {PREDICTIONS}")
 def regression_metrics(spark, folder):
-    found = acc.regression_metrics(predictions(spark, folder), digits=4)
-    exact = acc.regression_metrics(predictions(spark, folder))
-    return found.drop("r2").withColumn("r2", F.round(exact.select("r2").scalar(), 6))
+    return _rounded(acc.regression_metrics(predictions(spark, folder)))
 
 
-def _compared(spark, folder):
-    metrics = acc.model_comparison(all_models(spark, folder))
+def _rounded(metrics):
     four = {c: F.round(c, 4) for c in ("rmse", "mae", "mean_error_pct")}
     return metrics.withColumns({**four, "r2": F.round("r2", 6)})
 
 
+def _compared(spark, folder):
+    return _rounded(acc.model_comparison(all_models(spark, folder)))
+
+
 @query(f"select model, {SQL_METRICS} from {ALL_MODELS} group by 1")
 def model_comparison(spark, folder):
     return _compared(spark, folder)

@@ -45,7 +45,9 @@ def test_normal_and_halves_are_well_behaved(spark):
 
 def test_values_are_numbered_densely(spark):
     values = spark.range(5000).select((F.col("id") % 700).cast("string").alias("v"))
-    got = synth.number_values(values, "v", "i").collect()
+    numbered, k = synth.number_values(values, "v", "i")
+    got = numbered.collect()
+    assert k == 700
     assert sorted(r.i for r in got) == list(range(1, 701))
     assert len({r.v for r in got}) == 700
 
