@@ -1,6 +1,4 @@
-"""Run stages of the harvest lakehouse.
-
-    spark-submit --py-files granary.zip -m granary BASE STAGE [STAGE ...]
+"""Run stages of the harvest lakehouse: python -m granary BASE STAGE [STAGE ...]
 
 Stages: weather facts validate gold synthetic train analyse, or all.
 """
@@ -17,7 +15,7 @@ from granary.presets.harvest import SYNTHETIC_ROWS
 STAGES = ("weather", "facts", "validate", "gold", "synthetic", "train", "analyse")
 
 
-def main() -> None:
+def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="granary")
     parser.add_argument("base", help="folder that holds bronze and receives the other layers")
     parser.add_argument("stages", nargs="+", choices=[*STAGES, "all"])
@@ -26,7 +24,7 @@ def main() -> None:
     parser.add_argument("--history", default="bronze/history")
     parser.add_argument("--rows", type=int, default=SYNTHETIC_ROWS, help="synthetic rows")
     parser.add_argument("--without-history", action="store_true", help="build gold from facts and weather")
-    args = parser.parse_args()
+    args = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("granary").getOrCreate()
     lake = HarvestLake(spark, args.base, args.weather, args.facts, args.history)
     run = {

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from granary.__main__ import main
 from granary.operators import learning
 from granary.plans.harvest import HarvestLake
 from granary.presets import harvest as h
@@ -77,6 +78,13 @@ def test_gold_from_facts_and_weather(lake):
     assert got["KEPULAUAN RIAU"].Curah_hujan is None and got["TOTAL"].Kelembapan is None
 
 
+def test_stages_run_from_the_command_line(lake, spark, capsys):
+    main([lake.base, "facts", "validate", "--facts", lake.facts_path])
+    assert "keys_both" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main([lake.base, "no-such-stage"])
+
+
 def test_gold_model_and_reports(lake, spark):
     check = lake.build_gold().first()
     assert (check.written, check.read_back, check.ok) == (30, 30, True)
