@@ -82,17 +82,18 @@ class Trained:
 def fit_models(
     train: DataFrame, label: str, stages: Sequence[Estimator], models: Mapping[str, Estimator]
 ) -> Trained:
-    """Fit the preparation on the training rows once, then every regressor on the prepared table.
+    """Fit the preparation on the training rows once, then every regressor on the prepared rows.
 
     Hand in only the columns needed. The training rows are written once,
     rebalanced to even files of the advisory size: that one shuffle pays off
     over dozens of passes, which would otherwise wait for the largest input
-    file, and a lost executor does not send them back to the source. So is
-    the prepared table, from which tree building starts again and again.
+    file, and a lost executor does not send them back to the source. The
+    preparation itself is a narrow step and is not stored; the estimators
+    keep their own compact form of the rows between passes.
     """
     rows = settle(train.hint("rebalance"), "training")
     preparation = Pipeline(stages=list(stages)).fit(rows)
-    prepared = settle(preparation.transform(rows).select(SCALED, label), "prepared")
+    prepared = preparation.transform(rows).select(SCALED, label)
     return Trained(preparation, {name: model.fit(prepared) for name, model in models.items()})
 
 
