@@ -80,8 +80,9 @@ def require_folders(files: DataFrame, names: Sequence[str]) -> None:
 
 
 def _spread(files: DataFrame, tasks: int | None = None) -> DataFrame:
-    """File names over a fixed number of tasks: by their few bytes they would all end in one."""
-    return files.repartition(tasks or 4 * files.sparkSession.sparkContext.defaultParallelism, "path")
+    """File names over a stated number of tasks: by their few bytes they would all end in one."""
+    most = 4 * files.sparkSession.sparkContext.defaultParallelism
+    return files.repartition(tasks or max(1, min(files.count(), most)), "path")
 
 
 def _copy_files(target_root: str):

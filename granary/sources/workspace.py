@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +18,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="granary-")
+    return _local_folder(spark.conf.get("spark.app.id", "session"))
+
+
+@lru_cache
+def _local_folder(owner: str) -> str:
+    return tempfile.mkdtemp(prefix=f"granary-{owner}-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -17,9 +17,7 @@ from compare import DATA, local_session, oracle  # noqa: E402
 def spark(tmp_path_factory):
     session = local_session()
     if not session.conf.get("spark.checkpoint.dir", None):
-        folder = str(tmp_path_factory.mktemp("checkpoints"))
-        session.conf.set("spark.checkpoint.dir", folder)
-        session.sparkContext.setCheckpointDir(folder)
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     return session
 
 

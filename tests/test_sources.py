@@ -85,8 +85,23 @@ def test_sinks(spark, tmp_path):
     assert tables.is_empty(None) and tables.is_empty(df.where("id < 0")) and not tables.is_empty(df)
 
 
+class _Session:
+    """Only the settings a session would give."""
+
+    def __init__(self, **settings):
+        self.conf = {k.replace("_", "."): v for k, v in settings.items()}
+
+
+def test_work_folder_is_the_one_the_cluster_names():
+    named = _Session(spark_checkpoint_dir="hdfs://x/y/", spark_master="yarn")
+    assert workspace.shared_folder(named) == "hdfs://x/y"
+    local = _Session(spark_master="local[2]", spark_app_id="a1")
+    assert workspace.shared_folder(local) == workspace.shared_folder(local)
+    with pytest.raises(RuntimeError):
+        workspace.shared_folder(_Session(spark_master="yarn"))
+
+
 def test_settled_table_equals_its_source(spark):
     df = spark.range(10).withColumn("x", F.col("id") / 3)
     assert workspace.settle(df, "test").exceptAll(df).isEmpty()
-    assert workspace.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert workspace.has_at_most(df, 10) and not workspace.has_at_most(df, 9)
