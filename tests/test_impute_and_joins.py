@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from granary.functions.aggregates import Measure
+from granary.functions.aggregates import Measure, exact_mean, exact_sum
 from granary.operators import features, impute, joins
 from granary.plans import silver
 
@@ -75,6 +75,16 @@ def test_key_reconciliation(spark, rows):
     assert got == [("a", "left_only"), ("b", "both"), ("c", "right_only"), (None, "both")]
 
 
+def test_fixed_point_sums_are_exact_whatever_the_order(spark):
+    values = [0.1, 0.2, -0.35, 90071992547.99, -90071992547.98, 1e12, -1e12, 0.07] * 500
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    for parts in (1, 7):
+        got = df.repartition(parts).agg(exact_sum("v").alias("s"), exact_mean("v").alias("m")).first()
+        assert (got.s, got.m) == (15.0, 15.0 / 4000)
+    assert df.where("v is null").agg(exact_mean("v")).first()[0] is None
+    assert df.where("v is null").agg(exact_sum("v")).first()[0] is None
+
+
 def test_year_default(spark):
     df = spark.createDataFrame([("a", 1.004), ("a", 1.006)], "c string, x double")
     out = features.yearly_features(df, "c", "day", [Measure("m", "x")], default_year=2023).first()
