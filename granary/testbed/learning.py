@@ -171,12 +171,15 @@ def feature_importance(spark, folder):
     return learning.feature_importance(model, [*NUMERIC, learning.indexed_name(CATEGORY)], rows)
 
 
-@query()
+@query("select * from (values ('rmse', true), ('mae', true), ('r2', true)) as t(metric, agrees)")
 def metric_cross_check(spark, folder):
-    """The one-pass metrics beside those of MLlib's evaluator."""
+    """Whether the one-pass metrics agree with MLlib's evaluator on a trained model's predictions."""
     judged = _judged(spark, folder, "LinearRegression")
     checks = [
         (m, learning.evaluate(judged.predictions, acc.ACTUAL, acc.PREDICTED, m)) for m in ("rmse", "mae", "r2")
     ]
     ours = judged.metrics.select(F.expr("stack(3, 'rmse', rmse, 'mae', mae, 'r2', r2) as (metric, one_pass)"))
-    return ours.join(spark.createDataFrame(checks, "metric string, evaluator double"), "metric")
+    both = ours.join(spark.createDataFrame(checks, "metric string, evaluator double"), "metric")
+    return both.select(
+        "metric", (F.abs(F.col("one_pass") - F.col("evaluator")) <= F.abs("evaluator") * 1e-9).alias("agrees")
+    )
