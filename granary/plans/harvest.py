@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from granary.functions.cleaning import lookup
 from granary.operators import learning, sampling, synth
@@ -57,16 +58,23 @@ class HarvestLake:
 
     def build_weather(self) -> bool:
         """Silver weather from all province files in one read; False if there are none."""
-        raw = delimited.scan_tagged_files(
-            self.spark, self.path(self.weather_folder), ";", h.WEATHER.code, codes=list(h.PROVINCES)
-        )
+        try:
+            raw = delimited.scan_tagged_files(
+                self.spark, self.path(self.weather_folder), ";", h.WEATHER.code, codes=list(h.PROVINCES)
+            )
+        except AnalysisException:  # no such folder
+            return False
         if tables.is_empty(raw):
             return False
         tables.write_table(silver.clean_measurements(raw, h.WEATHER, self.as_of), self.path("silver/weather"))
         return True
 
     def build_facts(self) -> bool:
-        raw = delimited.scan_sniffed(self.spark, self.path(self.facts_path))
+        """Silver facts; False if their file is absent or empty."""
+        try:
+            raw = delimited.scan_sniffed(self.spark, self.path(self.facts_path))
+        except AnalysisException:  # no such file
+            return False
         if tables.is_empty(raw):
             return False
         tables.write_table(silver.clean_facts(raw, h.FACTS, self.as_of), self.path("silver/facts"))

@@ -24,8 +24,9 @@ def header_names(line: str, sep: str) -> list[str]:
     return [n.strip() for n in next(csv.reader([line.lstrip(BOM)], delimiter=sep), [])]
 
 
-def string_schema(names: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+def string_schema(names: Sequence[str], corrupt: str | None = None) -> T.StructType:
+    """All-string schema; ``corrupt`` adds a column for the text of lines that do not fit it."""
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in [*names, *([corrupt] if corrupt else [])]])
 
 
 def _below(glob: str | None) -> dict[str, object]:
@@ -38,17 +39,27 @@ def _header_line(spark: SparkSession, path: str, glob: str | None = None) -> str
     return None if row is None else row.value.lstrip(BOM)
 
 
-def _reader(spark: SparkSession, sep: str):
-    return spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8")
+def _reader(spark: SparkSession, sep: str, corrupt: str | None = None):
+    reader = spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8")
+    return reader.option("columnNameOfCorruptRecord", corrupt) if corrupt else reader
 
 
 def scan_delimited(
-    spark: SparkSession, path: str, sep: str = ",", schema: str | T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    sep: str = ",",
+    schema: str | T.StructType | None = None,
+    corrupt: str | None = None,
 ) -> DataFrame:
-    """Files that share one header. Without a schema every column is a string."""
+    """Files that share one header. Without a schema every column is a string.
+
+    A line with too few or too many fields keeps what fits; ``corrupt`` names
+    a column to hold such a line's text. Spark parses only the columns a query
+    uses, so write the table before asking for that column alone.
+    """
     if schema is None:
-        schema = string_schema(header_names(_header_line(spark, path) or "", sep))
-    return _reader(spark, sep).schema(schema).csv(path)
+        schema = string_schema(header_names(_header_line(spark, path) or "", sep), corrupt)
+    return _reader(spark, sep, corrupt).schema(schema).csv(path)
 
 
 def scan_delimited_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -81,6 +92,7 @@ def scan_tagged_files(
     glob: str = "*.csv",
     codes: Sequence[str] | None = None,
     same_header: bool = False,
+    corrupt: str | None = None,
 ) -> DataFrame | None:
     """All files below ``root`` in one read per distinct header, each row tagged from its path.
 
@@ -92,7 +104,8 @@ def scan_tagged_files(
         line = _header_line(spark, root, glob)
         if not line:
             return None
-        files = _reader(spark, sep).options(**_below(glob)).schema(string_schema(header_names(line, sep)))
+        schema = string_schema(header_names(line, sep), corrupt)
+        files = _reader(spark, sep, corrupt).options(**_below(glob)).schema(schema)
         rows = files.csv(root).withColumn(tag, file_tag(pattern))
         return rows if codes is None else rows.where(F.col(tag).isin(*codes))
     heads = first_lines(manifest(spark, root, glob)).where(F.col("header") != "")
@@ -102,8 +115,8 @@ def scan_tagged_files(
     for row in heads.collect():  # one short row per file, like the listing a read needs anyway
         grouped.setdefault(row.header, []).append(row.path)
     parts = [
-        _reader(spark, sep)
-        .schema(string_schema(header_names(header, sep)))
+        _reader(spark, sep, corrupt)
+        .schema(string_schema(header_names(header, sep), corrupt))
         .csv(sorted(paths))
         .withColumn(tag, file_tag(pattern))
         for header, paths in sorted(grouped.items())

@@ -43,6 +43,11 @@ def lake(spark, tmp_path_factory):
     return made
 
 
+def test_absent_sources_are_told_not_raised(lake, spark):
+    elsewhere = HarvestLake(spark, lake.base, "bronze/nothing", "bronze/nothing.csv")
+    assert not elsewhere.build_weather() and not elsewhere.build_facts()
+
+
 def test_silver_weather(lake):
     got = {(r.province, str(r.tanggal)): r for r in lake.table("silver/weather").collect()}
     assert set(p for p, _ in got) == {"ACEH", "KEPULAUAN RIAU"}

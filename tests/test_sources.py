@@ -40,6 +40,14 @@ def test_tagged_files_meet_by_name(spark, files, rows):
     assert delimited.scan_tagged_files(spark, root, codes=["nowhere"]) is None
 
 
+def test_lines_that_do_not_fit_can_be_kept(spark, files, rows):
+    root = files(f="a,b\n1,2\n3\n4,5,6\n")
+    got = rows(delimited.scan_delimited(spark, f"{root}/f.csv", corrupt="raw"))
+    assert got == [("1", "2", None), ("3", None, "3"), ("4", "5", "4,5,6")]
+    tagged = workspace.settle(delimited.scan_tagged_files(spark, root, ",", corrupt="raw"), "tagged")
+    assert tagged.where("raw is not null").count() == 2
+
+
 def test_tagged_files_with_one_header(spark, files, rows):
     root = files(w__aceh="A;B\n1;2\n", w__riau="A;B\n5;6\n", w__other="A;B\n9;9\n")
     df = delimited.scan_tagged_files(spark, root, codes=["aceh", "riau"], same_header=True)
