@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import uuid
 from collections.abc import Iterator, Sequence
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -28,7 +29,7 @@ def open_store(uri: str):
         return fs.LocalFileSystem(), "/" + uri[len("file:") :].lstrip("/")
     if uri.startswith("/"):
         return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    return fs.FileSystem.from_uri(quote(uri.replace("s3a://", "s3://", 1), safe="/:@"))
 
 
 def manifest(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
@@ -64,9 +65,12 @@ def _plain(uri: str) -> str:
 
 
 def relative_to(path: Column, root: str) -> Column:
-    """Part of a file path below ``root``, whatever scheme prefix the reader put in front."""
-    tail = root.split("://", 1)[-1].removeprefix("file:").strip("/") + "/"
-    return F.substring_index(path, tail, -1) if tail != "/" else path
+    """Part of a file path below ``root``, whatever scheme and authority the reader put in front."""
+    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root)
+    absolute = bare != root or root.startswith("/")
+    front = r"^([A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?)?/" if absolute else "^.*?/"
+    below = bare.strip("/") + "/" if bare.strip("/") else ""
+    return F.regexp_replace(path, rf"{front}\Q{below}\E", "")
 
 
 def require_folders(files: DataFrame, names: Sequence[str]) -> None:

@@ -70,6 +70,25 @@ def test_landing_copies_bytes_and_counts_failures(spark, files, tmp_path_factory
     assert tuple(landing.landing_summary(landing.land_files(gone, str(target))).first()) == (3, 0, 3)
 
 
+@pytest.mark.parametrize(
+    "root, path, below",
+    [
+        ("/a/b", "file:/a/b/x/a/b/f.csv", "x/a/b/f.csv"),
+        ("/a/b/", "hdfs://nn:9000/a/b/f.csv", "f.csv"),
+        ("hdfs://nn:9000/a", "hdfs://nn:9000/a/a/f.csv", "a/f.csv"),
+        ("hdfs:///a", "hdfs://nn/a/f.csv", "f.csv"),
+        ("file:///a b", "file:/a b/c.csv", "c.csv"),
+        ("s3a://bucket", "s3a://bucket/k/f.csv", "k/f.csv"),
+        ("rel/dir", "file:/home/u/rel/dir/rel/dir/f.csv", "rel/dir/f.csv"),
+        ("/", "file:/x/f.csv", "x/f.csv"),
+        ("/a.b", "file:/a.b/f.csv", "f.csv"),
+    ],
+)
+def test_path_below_the_root(spark, root, path, below):
+    df = spark.createDataFrame([(path,)], "p string")
+    assert df.select(landing.relative_to(F.col("p"), root)).first()[0] == below
+
+
 def test_optional_tables(spark, tmp_path):
     spark.range(3).write.parquet(f"{tmp_path}/b")
     spark.range(2).write.parquet(f"{tmp_path}/c")
