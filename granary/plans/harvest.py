@@ -10,10 +10,10 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from granary.functions.cleaning import lookup
 from granary.operators import learning, sampling, synth

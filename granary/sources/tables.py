@@ -9,7 +9,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 
 def scan_table(spark: SparkSession, path: str) -> DataFrame:
@@ -25,7 +24,7 @@ def scan_available(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, D
     for name, path in paths.items():
         try:
             found[name] = spark.read.parquet(path)
-        except AnalysisException:
+        except Exception:  # absent, empty or unreadable: optional means the others go on
             continue
     if not found:
         raise FileNotFoundError(f"none of the tables can be read: {', '.join(paths)}")

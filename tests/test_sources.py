@@ -92,7 +92,10 @@ def test_path_below_the_root(spark, root, path, below):
 def test_optional_tables(spark, tmp_path):
     spark.range(3).write.parquet(f"{tmp_path}/b")
     spark.range(2).write.parquet(f"{tmp_path}/c")
-    found = tables.scan_available(spark, {n: f"{tmp_path}/{n}" for n in "abc"})
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "broken.parquet").write_bytes(b"not a table")
+    (tmp_path / "e").mkdir()
+    found = tables.scan_available(spark, {n: f"{tmp_path}/{n}" for n in "abcde"})
     assert list(found) == ["b", "c"]
     assert [tuple(r) for r in tables.availability(found).collect()] == [("b", 3, True), ("c", 2, False)]
     assert tables.labelled_union(found, "model").groupBy("model").count().count() == 2
