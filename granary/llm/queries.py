@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from granary.llm.outliers import judge
 from granary.llm.simhash import near_duplicates
 
 
@@ -16,12 +17,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_mcd_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(table(spark, folder, "documents"))
+
+
 def op6_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_simhash_bktree,)}
+    return {f.__name__: f for f in (op3_mcd_outliers, op6_simhash_bktree)}
 
 
 def oracle_sql() -> dict[str, str]:
