@@ -7,9 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm.outliers import judge
+from granary.llm.packing import pack
+from granary.llm.repair import round_trip
 from granary.llm.simhash import near_duplicates
 
 
@@ -17,6 +20,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_repair_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op3_mcd_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return judge(table(spark, folder, "documents"))
 
@@ -25,8 +32,12 @@ def op6_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_bin_completion(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mcd_outliers, op6_simhash_bktree)}
+    return {f.__name__: f for f in (op2_repair_shards, op3_mcd_outliers, op6_simhash_bktree, op7_bin_completion)}
 
 
 def oracle_sql() -> dict[str, str]:
