@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm.outliers import judge
 from granary.llm.packing import pack
+from granary.llm.pieces import encode_table
 from granary.llm.repair import round_trip
+from granary.llm.sharding import shard_documents
 from granary.llm.simhash import near_duplicates
 
 
@@ -36,8 +38,16 @@ def op7_bin_completion(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_piece_agenda(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_table(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op10_kd_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return shard_documents(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_repair_shards, op3_mcd_outliers, op6_simhash_bktree, op7_bin_completion)}
+    return {f.__name__: f for f in (op2_repair_shards, op3_mcd_outliers, op6_simhash_bktree, op7_bin_completion, op8_piece_agenda, op10_kd_tree_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
