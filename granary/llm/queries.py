@@ -10,6 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from granary.llm.bitslices import SEARCH_SQL, search
 from granary.llm.outliers import judge
 from granary.llm.packing import pack
 from granary.llm.pieces import encode_table
@@ -30,6 +31,10 @@ def op3_mcd_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return judge(table(spark, folder, "documents"))
 
 
+def op5_bit_sliced_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search(table(spark, folder, "embeddings"))
+
+
 def op6_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -47,8 +52,8 @@ def op10_kd_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_repair_shards, op3_mcd_outliers, op6_simhash_bktree, op7_bin_completion, op8_piece_agenda, op10_kd_tree_shards)}
+    return {f.__name__: f for f in (op2_repair_shards, op3_mcd_outliers, op5_bit_sliced_search, op6_simhash_bktree, op7_bin_completion, op8_piece_agenda, op10_kd_tree_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_bit_sliced_search": SEARCH_SQL}
