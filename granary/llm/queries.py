@@ -14,6 +14,7 @@ from granary.llm.bitslices import SEARCH_SQL, search
 from granary.llm.outliers import judge
 from granary.llm.packing import pack
 from granary.llm.pieces import encode_table
+from granary.llm.private import find
 from granary.llm.repair import round_trip
 from granary.llm.sharding import shard_documents
 from granary.llm.simhash import near_duplicates
@@ -47,12 +48,16 @@ def op8_piece_agenda(spark: SparkSession, folder: str) -> DataFrame:
     return encode_table(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_bootstrapped_contexts(spark: SparkSession, folder: str) -> DataFrame:
+    return find(table(spark, folder, "documents")).drop("mark")
+
+
 def op10_kd_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_repair_shards, op3_mcd_outliers, op5_bit_sliced_search, op6_simhash_bktree, op7_bin_completion, op8_piece_agenda, op10_kd_tree_shards)}
+    return {f.__name__: f for f in (op2_repair_shards, op3_mcd_outliers, op5_bit_sliced_search, op6_simhash_bktree, op7_bin_completion, op8_piece_agenda, op9_bootstrapped_contexts, op10_kd_tree_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
