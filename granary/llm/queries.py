@@ -16,6 +16,7 @@ from granary.llm.packing import pack
 from granary.llm.pieces import encode_table
 from granary.llm.private import find
 from granary.llm.repair import round_trip
+from granary.llm.repeats import REPEATS_SQL, remove_repeats
 from granary.llm.sharding import shard_documents
 from granary.llm.simhash import near_duplicates
 
@@ -32,6 +33,10 @@ def op3_mcd_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return judge(table(spark, folder, "documents"))
 
 
+def op4_suffix_tree_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents"))
+
+
 def op5_bit_sliced_search(spark: SparkSession, folder: str) -> DataFrame:
     return search(table(spark, folder, "embeddings"))
 
@@ -57,8 +62,8 @@ def op10_kd_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_repair_shards, op3_mcd_outliers, op5_bit_sliced_search, op6_simhash_bktree, op7_bin_completion, op8_piece_agenda, op9_bootstrapped_contexts, op10_kd_tree_shards)}
+    return {f.__name__: f for f in (op2_repair_shards, op3_mcd_outliers, op4_suffix_tree_repeats, op5_bit_sliced_search, op6_simhash_bktree, op7_bin_completion, op8_piece_agenda, op9_bootstrapped_contexts, op10_kd_tree_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_bit_sliced_search": SEARCH_SQL}
+    return {"op4_suffix_tree_repeats": REPEATS_SQL, "op5_bit_sliced_search": SEARCH_SQL}
