@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm.bitslices import SEARCH_SQL, search
+from granary.llm.brown import score_documents
 from granary.llm.outliers import judge
 from granary.llm.packing import pack
 from granary.llm.pieces import encode_table
@@ -25,6 +26,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_brown_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(table(spark, folder, "documents"))
+
+
 def op2_repair_shards(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -62,7 +67,7 @@ def op10_kd_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_repair_shards, op3_mcd_outliers, op4_suffix_tree_repeats, op5_bit_sliced_search, op6_simhash_bktree, op7_bin_completion, op8_piece_agenda, op9_bootstrapped_contexts, op10_kd_tree_shards)}
+    return {f.__name__: f for f in (op1_brown_classes, op2_repair_shards, op3_mcd_outliers, op4_suffix_tree_repeats, op5_bit_sliced_search, op6_simhash_bktree, op7_bin_completion, op8_piece_agenda, op9_bootstrapped_contexts, op10_kd_tree_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
