@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.text import plain, slices, words_of
+from granary.llm.text import plain, slices, text_mark, words_of
 from granary.sources.workspace import settle
 
 WINDOW = 8
@@ -48,6 +48,7 @@ UNIT = 1 << 16  # transformed counts are summed as whole multiples of 1 / UNIT
 P = len(FLOOR)
 PRODUCTS = [(i, j) for i in range(P) for j in range(i, P)]
 
+KEYS = ("doc_id", "mark", "lang", "source")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -107,16 +108,16 @@ def repeated_windows(codes: np.ndarray, owner: np.ndarray, width: int = WINDOW)
 
 
 def text_counts(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, source, counts, base_failed) for every row."""
+    """(doc_id, mark, lang, source, counts, base_failed) for every row; ``mark`` is a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             made = counts_of(part.column("text"))
-            keys = [part.column(c) for c in ("doc_id", "lang", "source")]
-            yield pa.record_batch(keys + [pa.array(made[c].astype(np.int64)) for c in COUNTS], names=["doc_id", "lang", "source", *COUNTS])
+            keys = [part.column(c) for c in KEYS]
+            yield pa.record_batch(keys + [pa.array(made[c].astype(np.int64)) for c in COUNTS], names=[*KEYS, *COUNTS])
 
-    wanted = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("text").cast("string"))
-    counted = wanted.mapInArrow(run, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS))
+    wanted = docs.select(F.col("doc_id").cast("long"), text_mark("text").alias("mark"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("text").cast("string"))
+    counted = wanted.mapInArrow(run, "doc_id long, mark long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS))
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
     return counted.withColumn("base_failed", failed)
 
@@ -264,7 +265,7 @@ def _rows(counted: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, reject: float = REJECT) -> DataFrame:
-    """(doc_id, counts, base_failed, kept, distance) for every row of documents.
+    """(doc_id, counts, base_failed, kept, distance, mark) for every row of documents.
 
     ``distance`` is null where a base rule failed or where no row of the cell could be fitted; such rows are judged by the base rules alone.
     """
@@ -272,4 +273,4 @@ def judge(docs: DataFrame, reject: float = REJECT) -> DataFrame:
     rows = _rows(counted)
     judged = rows.join(fit(counted).drop("logdet"), "cell", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= chi2_point(1 - reject, P), F.lit(True))
-    return judged.select("doc_id", *COUNTS, "base_failed", kept.alias("kept"), "distance")
+    return judged.select("doc_id", *COUNTS, "base_failed", kept.alias("kept"), "distance", "mark")

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.text import plain, slices
+from granary.llm.text import plain, slices, text_mark
 from granary.sources.workspace import settle
 
 KINDS = ("email", "ip", "card", "phone")
@@ -145,7 +145,7 @@ def scan(docs: DataFrame) -> DataFrame:
     schema = "row long, doc_id long, mark long, " + ", ".join(f"n_{k} long" for k in KINDS)
     schema += ", base_sha256 string, slots array<struct<kind: int, start: int, end: int, instance: string, seed: boolean, patterns: array<string>>>"
     text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("mark")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), text_mark("text").alias("mark")).mapInArrow(run, schema)
 
 
 def bootstrap(places: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, sure: float = SURE) -> DataFrame:
@@ -192,8 +192,9 @@ def find(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in brackets; overlapping spans are replaced as one."""
     found = find(docs).filter("spans <> ''").select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"), F.col("spans").alias("__spans")).distinct()
-    same = docs["doc_id"].cast("long").eqNullSafe(found["__doc"]) & (F.xxhash64(docs["text"].cast("string")) == found["__mark"])
-    joined = docs.join(found, same, "left")
+    keyed = docs.withColumns({"__own_doc": F.col("doc_id").cast("long"), "__own_mark": text_mark("text")})
+    same = F.col("__own_doc").eqNullSafe(F.col("__doc")) & (F.col("__own_mark") == F.col("__mark"))
+    joined = keyed.join(found, same, "left")
     hidden = F.expr(
         """
         aggregate(
@@ -206,4 +207,4 @@ def redact(docs: DataFrame) -> DataFrame:
         """
     )
     text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(hidden)
-    return joined.select(*(text.alias("text") if c == "text" else docs[c] for c in docs.columns))
+    return joined.select(*(text.alias("text") if c == "text" else c for c in docs.columns))

@@ -10,6 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from granary.llm.bitslices import SEARCH_SQL, search
 from granary.llm.brown import score_documents
 from granary.llm.outliers import judge
@@ -67,8 +68,10 @@ def op10_kd_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_brown_classes, op2_repair_shards, op3_mcd_outliers, op4_suffix_tree_repeats, op5_bit_sliced_search, op6_simhash_bktree, op7_bin_completion, op8_piece_agenda, op9_bootstrapped_contexts, op10_kd_tree_shards)}
+    numbered = (op1_brown_classes, op2_repair_shards, op3_mcd_outliers, op4_suffix_tree_repeats, op5_bit_sliced_search, op6_simhash_bktree, op7_bin_completion, op8_piece_agenda, op9_bootstrapped_contexts, op10_kd_tree_shards)
+    return {f.__name__: f for f in numbered} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_suffix_tree_repeats": REPEATS_SQL, "op5_bit_sliced_search": SEARCH_SQL}
+    known = {"op4_suffix_tree_repeats": REPEATS_SQL, "op5_bit_sliced_search": SEARCH_SQL}
+    return known | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -307,7 +307,7 @@ def _cut(packed: DataFrame, spans: DataFrame, keep_text: bool) -> DataFrame:
             texts = pc.binary_join(pa.ListArray.from_arrays(offsets, words.names.take(pa.array(words.codes[~gone]))), " ").to_pylist()
             for (doc, _, rows, old), n, cut, text in zip(part, np.diff(words.starts).tolist(), removed.tolist(), texts):
                 row = (None if doc == FIRST else doc, n, cut, hashlib.sha256(text.encode()).hexdigest())
-                out += [(*row, xxhash.xxh64_intdigest(old, 42), text) if keep_text else row] * len(rows)
+                out += [(*row, xxhash.xxh64_intdigest(old, 42), text if cut else old) if keep_text else row] * len(rows)
         columns = list(zip(*out)) if out else [()] * len(names)
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.uint64(), pa.string())
         made = [pa.array(c, t) for c, t in zip(columns, kinds)]
@@ -322,7 +322,7 @@ def _cut(packed: DataFrame, spans: DataFrame, keep_text: bool) -> DataFrame:
 def remove_repeats(docs: DataFrame, keep_text: bool = False, crowded: int = CROWDED) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256[, mark, text]) for every row.
 
-    ``mark`` is xxhash64 of the old text (an empty one for null), ``text`` the words kept, joined by one space.
+    ``mark`` is a hash of the old text; ``text`` is the old text where no word went, else the words kept, joined by one space.
     """
     wanted = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     n_blocks = 1 + (wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.graphs import components
-from granary.llm.text import slices, word_lists
+from granary.llm.text import slices, text_mark, word_lists
 from granary.sources.workspace import settle
 
 SHINGLE = 3
@@ -66,14 +66,15 @@ def fingerprints(texts: pa.Array, width: int = SHINGLE) -> np.ndarray:
 
 
 def fingerprint_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+    """(doc_id, mark, fp): a hash of the text, and the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, limit=1 << 20):
             made = fingerprints(part.column("text")).view(np.int64)
-            yield pa.record_batch([part.column("doc_id"), pa.array(made)], names=["doc_id", "fp"])
+            yield pa.record_batch([part.column("doc_id"), part.column("mark"), pa.array(made)], names=["doc_id", "mark", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    wanted = docs.select(F.col("doc_id").cast("long"), text_mark("text").alias("mark"), F.col("text").cast("string"))
+    return wanted.mapInArrow(run, "doc_id long, mark long, fp long")
 
 
 class BKTree:
@@ -178,7 +179,7 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of (doc_id, text)."""
+    """(doc_id, fingerprint, component_id, mark) for every row of documents; ``mark`` is a hash of the text."""
     prints = settle(fingerprint_table(docs), "fingerprints")
     classes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     joined = components(links(classes, radius))
@@ -187,5 +188,5 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     moved = roots.join(smallest, "root").select("fp", "least")
     owner = classes.join(moved, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
     return prints.join(owner, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "mark"
     )

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20
 
@@ -68,5 +70,10 @@ def words_of(texts: pa.Array, lower: bool = False) -> Words:
     return Words(coded.indices.to_numpy(zero_copy_only=False), coded.dictionary, starts)
 
 
+def text_mark(column: str) -> Column:
+    """A hash of the whole text, to tell texts under one doc_id apart; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit("")))
+
+
 def ids_crc(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").tobytes())
