@@ -48,11 +48,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id, of its texts the one with the least hash.
 
-    Without any doc_id in a group, one document of each fingerprint stays.
+    Without any doc_id in a group, the text with the least hash stays.
     """
     found = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    group = Window.partitionBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint"))).orderBy("mark")
-    first = found.select("doc_id", "mark", "component_id", "fingerprint").distinct().withColumn("rank", F.row_number().over(group))
+    group = Window.partitionBy("root").orderBy("mark")
+    first = found.select("doc_id", "mark", "root").distinct().withColumn("rank", F.row_number().over(group))
     kept = _keyed(docs).join(_keys(first.filter("rank = 1")), _same(), "left_semi")
     return kept.dropDuplicates(["__doc", "__mark"]).select(docs.columns)
 

@@ -179,14 +179,20 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fingerprint, component_id, mark) for every row of documents; ``mark`` is a hash of the text."""
+    """(doc_id, fingerprint, component_id, mark, root) for every row of documents.
+
+    ``mark`` is a hash of the text, ``root`` one fingerprint of the component, which tells components apart where ids repeat.
+    """
     prints = settle(fingerprint_table(docs), "fingerprints")
     classes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     joined = components(links(classes, radius))
     roots = classes.join(joined.withColumnRenamed("node", "fp"), "fp")
     smallest = roots.groupBy("root").agg(F.min("first").alias("least"))
-    moved = roots.join(smallest, "root").select("fp", "least")
-    owner = classes.join(moved, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    moved = roots.join(smallest, "root").select("fp", "least", "root")
+    alone = F.col("root").isNull()
+    owner = classes.join(moved, "fp", "left").select(
+        "fp", F.when(alone, F.col("first")).otherwise(F.col("least")).alias("component_id"), F.coalesce("root", "fp").alias("root")
+    )
     return prints.join(owner, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "mark"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "mark", "root"
     )
