@@ -1,43 +1,38 @@
 """Token ids of whole texts by the tokenizers library, with a memory of what it said about short pieces.
 
 Both vocabularies cut a text into short pieces and encode each piece alone, so
-the ids of a text are those of its pieces joined. The library is asked once for
-a piece and worker, not once for each time it is found. Texts with characters
-for which the cut is not certain to be the library's own (beyond ASCII and
-plain Latin letters) go to the library whole.
+the ids of a text are those of its pieces joined. Texts are taken apart at spaces, those parts
+into pieces, and the library's model is asked once for a piece and worker, not once for each
+time it is found. Texts with characters for which the cut is not certain to be the
+library's own (beyond ASCII and plain Latin letters) go to the library whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from granary.llm.text import plain
 
-MEMORY = 600_000  # pieces a worker remembers
-ASKED = 2_000  # pieces in one call
+MEMORY = 600_000  # parts, and pieces, that a worker remembers
 
-LATIN = "A-Za-zÀ-ÖØ-öø-ſ"
-UNCERTAIN = rf"[^\t-\r\x20-\x7e{LATIN[6:]}]"
+LATIN = "A-Za-zÀ-ÖØ-öø-įı-ſ"
+CERTAIN = "\\t-\\r\\x20-\\x7eÀ-ÖØ-öø-įı-ſ"
 BYTE_LEVEL = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{LATIN}]+| ?[0-9]+| ?[^\s{LATIN}0-9]+|\s+(?!\S)|\s+")
+WORD_LEVEL = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{LATIN}]+|[0-9]|[^\s{LATIN}0-9]+")
 
 
-def byte_level_pieces(text: str) -> list[str]:
-    """The pieces of the byte-level vocabulary: words with the space before them, numbers, marks, white space."""
-    return BYTE_LEVEL.findall(text)
-
-
-def spaced_pieces(text: str) -> list[str]:
-    """For a vocabulary that drops white space, everything between it."""
-    return text.split()
-
-
-PIECES = {"byte_bpe_50k.json": byte_level_pieces, "word_bpe_49k.json": spaced_pieces}
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself where it can be printed, else one from 256 on."""
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printed]
+    return {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class Encoder:
@@ -48,42 +43,72 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cut = PIECES.get(os.path.basename(path))
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.uncertain = re.compile("|".join([UNCERTAIN, *map(re.escape, self.special)]))
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.spaced = os.path.basename(path) == "word_bpe_49k.json"  # lower case, white space dropped
+        self.apart = self.spaced or os.path.basename(path) == "byte_bpe_50k.json"
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.uncertain = "|".join([f"[^{CERTAIN}]", *map(re.escape, special)])
+        self.letters = byte_letters()
+        self.parts: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         """Ids by the library alone."""
-        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), ASKED):
-            asked = pieces[at : at + ASKED]
-            said = self.tokenizer.encode(asked, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(said.ids, dtype="<u4")
-            owner = np.array(said.word_ids, dtype=np.int64)
-            ends = np.searchsorted(owner, np.arange(len(asked) + 1))
-            data = ids.tobytes()
-            for piece, a, b in zip(asked, ends[:-1].tolist(), ends[1:].tolist()):
-                self.known[piece] = data[4 * a : 4 * b]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)] if texts else []
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            written = piece.encode().decode("latin-1").translate(self.letters)
+            ids = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+        return ids
+
+    def _ids(self, part: str) -> bytes:
+        cut = WORD_LEVEL.findall(part.lower()) if self.spaced else BYTE_LEVEL.findall(part)
+        return b"".join(map(self._piece, cut))
+
+    def _parted(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of texts by their parts: what is between spaces, with the space before it where that counts."""
+        lists = pc.split_pattern(texts if self.spaced else pc.replace_substring(texts, " ", "\0 "), " " if self.spaced else "\0")
+        coded = lists.flatten().dictionary_encode()
+        names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        known = self.parts
+        if len(known) + len(names) > MEMORY:
+            known.clear()
+        if len(self.pieces) > MEMORY:
+            self.pieces.clear()
+        for part in set(names).difference(known):
+            known[part] = self._ids(part)
+        found = list(map(known.__getitem__, names))
+        table = np.frombuffer(b"".join(found), dtype="<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begins = np.cumsum(sizes) - sizes
+        n = sizes[codes]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = table[np.arange(total) + np.repeat(begins[codes] - (ends - n), n)]
+        ends = np.concatenate([[0], ends])
+        cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+        at = ends[cuts].tolist()
+        return [ids[a:b] for a, b in zip(at[:-1], at[1:])]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text as unsigned 32-bit numbers."""
-        if self.cut is None:
-            return self.whole(texts)
+        texts = plain(texts)
+        if not self.apart:
+            return self.whole(texts.to_pylist())
+        flag = lambda a: a.to_numpy(zero_copy_only=False).astype(bool)
+        unsure = flag(pc.match_substring_regex(texts, self.uncertain))
+        # Where spaces follow each other, how they are shared out depends on what comes after them.
+        spread = np.zeros(len(texts), dtype=bool) if self.spaced else flag(pc.match_substring(texts, "  ")) & ~unsure
         out: list[np.ndarray | None] = [None] * len(texts)
-        certain = [i for i, t in enumerate(texts) if not self.uncertain.search(t)]
-        cuts = [self.cut(texts[i]) for i in certain]
-        new = set(chain.from_iterable(cuts))
-        if len(self.known) + len(new) > MEMORY:
-            self.known.clear()
-        self._learn([p for p in new if p not in self.known])
-        get = self.known.__getitem__
-        for i, cut in zip(certain, cuts):
-            out[i] = np.frombuffer(b"".join(map(get, cut)), dtype="<u4")
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(rest, self.whole([texts[i] for i in rest])):
+        usual = np.flatnonzero(~unsure & ~spread)
+        for i, ids in zip(usual.tolist(), self._parted(texts.take(pa.array(usual)))):
+            out[i] = ids
+        for i in np.flatnonzero(spread).tolist():
+            out[i] = np.frombuffer(self._ids(texts[i].as_py()), dtype="<u4")
+        rest = np.flatnonzero(unsure)
+        for i, ids in zip(rest.tolist(), self.whole(texts.take(pa.array(rest)).to_pylist())):
             out[i] = ids
         return out
 
@@ -95,6 +120,4 @@ def encoder(path: str) -> Encoder:
 
 
 def encode_column(column: pa.Array, path: str) -> list[np.ndarray]:
-    return encoder(path).encode(plain(column).to_pylist())
-
-
+    return encoder(path).encode(column)
