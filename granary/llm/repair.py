@@ -32,77 +32,69 @@ from granary.llm.text import ids_crc, slices
 from granary.sources.workspace import scratch_path
 
 SHARD_IDS = 1 << 20
-RULES_A_ROUND = 512
+ENCODED_BYTES = 8 << 20  # text encoded at a time
+RULES_A_ROUND = 2048
 LEAST_PAIRS = 16  # a pair found fewer times in a shard is no rule
-LEAST_SAVED = 0.02  # a round that saves a smaller share of the symbols is the last
-SYMBOL_BITS = 24
+LEAST_SAVED = 0.05  # a round that saves a smaller share of the symbols is the last
 TABLE_BITS = 18
-MIX = np.uint64(0x9E3779B97F4A7C15)
 
 SHARD_SCHEMA = "part int, shard int, base long, n_ids long, rules binary, lengths binary, symbols binary, doc_ids binary, starts binary, nulls binary"
 
 
-def _slot(codes: np.ndarray) -> np.ndarray:
-    return ((codes.view(np.uint64) * MIX) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-
-
-def _frequent(codes: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that may be among the most frequent, most frequent first."""
-    counts = np.bincount(slots, minlength=1 << TABLE_BITS)
-    most = min(4 * RULES_A_ROUND, len(counts) - 1)
-    least = max(LEAST_PAIRS, int(np.partition(counts, -most)[-most]))
-    pairs, times = np.unique(codes[(counts >= least)[slots]], return_counts=True)
-    keep = times >= LEAST_PAIRS
-    pairs, times = pairs[keep], times[keep]
-    order = np.lexsort((pairs, -times))
-    return pairs[order], times[order]
-
-
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, rules): rule k, a pair of symbols, is symbol base + k."""
-    x = ids.astype(np.int64)
+    """(symbols, rules): rule k, a pair of symbols, is symbol base + k.
+
+    Pairs are counted in a table with one pair for each place; a pair that loses its place to another waits for a later round.
+    """
+    bits = 16 if base < 56_000 else 32  # of a symbol
+    symbol, pair = (np.uint16, np.uint32) if bits == 16 else (np.uint32, np.uint64)
+    most = (1 << bits) - 1
+    mix, shift = (pair(0x9E3779B1), pair(32 - TABLE_BITS)) if bits == 16 else (pair(0x9E3779B97F4A7C15), pair(64 - TABLE_BITS))
+    x = ids.astype(symbol)
     rules: list[tuple[int, int]] = []
-    mask = (1 << SYMBOL_BITS) - 1
+    held = np.zeros(1 << TABLE_BITS, dtype=pair)
     while len(x) > 1:
-        codes = (x[:-1] << SYMBOL_BITS) | x[1:]
-        slots = _slot(codes)
-        pairs, _ = _frequent(codes, slots)
+        codes = (x[:-1].astype(pair) << pair(bits)) | x[1:]
+        slots = ((codes * mix) >> shift).astype(np.int32)
+        held[slots] = codes
+        own = held[slots] == codes
+        times = np.bincount(slots[own], minlength=1 << TABLE_BITS)
+        likely = np.argpartition(times, -4 * RULES_A_ROUND)[-4 * RULES_A_ROUND :]
+        likely = likely[times[likely] >= LEAST_PAIRS]
+        likely = likely[np.lexsort((held[likely], -times[likely]))]
+        chosen: list[int] = []
         left: set[int] = set()
         right: set[int] = set()
-        taken: dict[int, int] = {}
-        if len(pairs) and pairs[0] >> SYMBOL_BITS == pairs[0] & mask:
-            taken[int(_slot(pairs[:1])[0])] = int(pairs[0])  # a run of one symbol: alone in its round
-        else:
-            for pair, slot in zip(pairs.tolist(), _slot(pairs).tolist()):
-                a, b = pair >> SYMBOL_BITS, pair & mask
-                if a != b and a not in right and b not in left and slot not in taken:
-                    taken[slot] = pair
-                    left.add(a)
-                    right.add(b)
-                    if len(taken) == RULES_A_ROUND:
-                        break
-        room = mask - base - len(rules)
-        if not taken or len(taken) > room:
+        room = min(RULES_A_ROUND, most - base - len(rules))
+        for slot, code in zip(likely.tolist(), held[likely].tolist()):
+            a, b = code >> bits, code & most
+            if a == b and not chosen:
+                chosen.append(slot)  # a run of one symbol: alone in its round
+                break
+            if len(chosen) < room and a != b and a not in right and b not in left:
+                chosen.append(slot)
+                left.add(a)
+                right.add(b)
+        if not chosen or room < 1:
             break
-        rule_at = np.full(1 << TABLE_BITS, -1, dtype=np.int64)
-        rule_at[list(taken)] = np.arange(len(taken))
-        chosen = np.array(list(taken.values()), dtype=np.int64)
-        at = np.flatnonzero(rule_at[slots] >= 0)
-        which = rule_at[slots[at]]
-        hit = codes[at] == chosen[which]
-        at, which = at[hit], which[hit]
-        if len(taken) == 1:  # every other place of a run
+        rule_at = np.full(1 << TABLE_BITS, -1, dtype=np.int32)
+        rule_at[chosen] = np.arange(len(chosen))
+        which = rule_at[slots]
+        at = np.flatnonzero((which >= 0) & own)
+        which = which[at]
+        pairs = [(code >> bits, code & most) for code in held[chosen].tolist()]
+        if pairs[0][0] == pairs[0][1]:  # every other place of a run
             new_run = np.concatenate([[True], np.diff(at) > 1])
             first = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
             odd = (np.arange(len(at)) - first) % 2 == 0
             at, which = at[odd], which[odd]
         before = len(x)
-        x[at] = base + len(rules) + which
+        x[at] = (base + len(rules) + which).astype(symbol)
         stay = np.ones(before, dtype=bool)
         stay[at + 1] = False
         x = x[stay]
-        rules += [(p >> SYMBOL_BITS, p & mask) for p in chosen.tolist()]
-        if before - len(x) < LEAST_SAVED * before and len(taken) > 1:
+        rules += pairs
+        if before - len(x) < LEAST_SAVED * before and pairs[0][0] != pairs[0][1]:
             break
     return x.astype("<u4"), np.array(rules, dtype="<u4").reshape(-1, 2)
 
@@ -160,7 +152,7 @@ class Shard:
         return out[skip : skip + stop - start]
 
 
-def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, base: int = 1 << 17, shard_ids: int = SHARD_IDS) -> None:
+def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, base: int = 50_257, shard_ids: int = SHARD_IDS) -> None:
     """Encode whole texts in ascending doc_id order and write the shards to ``path``.
 
     ``base`` is the first symbol that is a rule; ids must be smaller.
@@ -184,7 +176,7 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, ba
         doc_ids: list = []
         arrays: list[np.ndarray] = []
         end = np.array([end_id], dtype="<u4")
-        for piece in slices(batches):
+        for piece in slices(batches, limit=ENCODED_BYTES):
             for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encode_column(piece.column("text"), tokenizer)):
                 doc_ids.append(doc_id)
                 arrays.append(np.concatenate([ids, end]))
