@@ -60,10 +60,11 @@ def test_transitions_are_a_distribution():
 
 def test_exchange_raises_the_likelihood():
     draw = np.random.default_rng(1)
-    size = 64
+    size = 400
+    kind = draw.integers(0, 4, size)  # a word is mostly followed by words of the next kind
     words = np.zeros((size + 1, size + 1), dtype=np.int64)
-    for a in range(size):  # even words follow odd ones
-        words[a, draw.choice(np.arange((a + 1) % 2, size, 2), 20)] += draw.integers(1, 9, 20)
+    for a in range(size):
+        words[a, draw.choice(np.flatnonzero(kind == (kind[a] + 1) % 4), 60)] += draw.integers(1, 9, 60)
     own, before = np.diag(words)[:size], np.arange(size) % brown.CLASSES
 
     def tables(classes):
@@ -76,9 +77,34 @@ def test_exchange_raises_the_likelihood():
         np.add.at(table, every, right)
         return left, right, table
 
-    left, right, table = tables(before)
-    after = brown.sweep(before, left[:size], right[:size], own, table)
-    assert brown.likelihood(tables(after)[2]) > brown.likelihood(table)
+    classes, values = before, [brown.likelihood(tables(before)[2])]
+    for turn in range(brown.SWEEPS):
+        left, right, table = tables(classes)
+        classes = brown.sweep(classes, left[:size], right[:size], own, table, turn)
+        values.append(brown.likelihood(tables(classes)[2]))
+    assert max(values[1:]) > values[0] + 0.02 * abs(values[0]) and max(values) > values[1]
+
+
+def test_exchange_of_one_word_is_exact():
+    draw = np.random.default_rng(2)
+    size = 6
+    words = draw.integers(0, 9, (size + 1, size + 1))
+
+    def table_of(classes):
+        every = np.concatenate([classes, [brown.END]])
+        table = np.zeros((brown.CLASSES + 1, brown.CLASSES + 1))
+        np.add.at(table, (every[:, None], every[None, :]), words)
+        return table
+
+    classes = np.array([0, 0, 1, 1, 2, 2])
+    every = np.concatenate([classes, [brown.END]])
+    left, right = np.zeros((size, brown.CLASSES + 1)), np.zeros((size, brown.CLASSES + 1))
+    for w in range(size):
+        np.add.at(left[w], every, words[:, w])
+        np.add.at(right[w], every, words[w])
+    moved = brown.sweep(classes[:1].copy(), left[:1], right[:1], np.diag(words)[:1], table_of(classes))
+    options = [brown.likelihood(table_of(np.concatenate([[c], classes[1:]]))) for c in range(brown.CLASSES)]
+    assert options[moved[0]] == max(options)
 
 
 def test_empty_tables(empty):
