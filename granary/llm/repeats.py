@@ -15,8 +15,8 @@ share ``WINDOW`` words are in one group:
    words); suffixes of equal rank hang below the same node of the subtree at that depth,
    and all but its earliest suffix are repeats.
 3. Groups of more than ``CROWDED`` anchors take the longest prefix instead, the whole
-   window: such windows are folded by a digest of 128 bits with partial aggregation, so a passage
-   that a third of the documents share is no task of its own.
+   window. Their windows are folded within each block first, so a passage that a third of
+   the documents share sends one row for each block and window, to groups of their own.
 
 Documents are handled in blocks of about ``BLOCK_BYTES`` by a hash of doc_id; texts move compressed.
 
@@ -152,54 +152,66 @@ def _slices(documents: list[tuple[int, int, list[int], str]]):
         at = to
 
 
-def _found_again(part: list, words: Words, keys: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(key, doc, number, place in the document, place in ``words``, windows) of the anchors among ``keys``, which are sorted."""
-    found, start, count, text = anchors(words)
-    found = found.view(np.int64)
-    hit = keys[np.minimum(np.searchsorted(keys, found), len(keys) - 1)] == found
-    found, start, count, text = found[hit], start[hit], count[hit], text[hit]
-    doc = np.array([d[0] for d in part], dtype=np.int64)[text]
-    number = np.array([d[1] for d in part], dtype=np.int32)[text]
-    return found, doc, number, (start - words.starts[text]).astype(np.int32), start, count
+SEGMENTS = "key long, doc long, number int, start int, words string, end int"
 
 
 def _segments(packed: DataFrame, kept: DataFrame) -> DataFrame:
-    """The words of the windows of every anchor (block, key) in ``kept``."""
-    names = ["key", "doc", "number", "start", "words"]
+    """What goes to the groups, for the anchors (block, key, crowded) in ``kept``.
+
+    Usual anchors send the words of their windows. Windows of crowded ones are folded within the block first: those that
+    are found earlier in the block are repeats at once (rows with ``end`` and no words), the others go alone, by their own hash.
+    """
+    kinds = {"key": pa.int64(), "doc": pa.int64(), "number": pa.int32(), "start": pa.int32(), "words": pa.string(), "end": pa.int32()}
 
     def run(key, docs: pa.Table, wanted: pa.Table) -> pa.Table:
-        keys = np.sort(wanted.column("key").to_numpy())
-        out = []
+        keys = wanted.column("key").to_numpy()
+        order = np.argsort(keys)
+        keys, crowded = keys[order], wanted.column("crowded").to_numpy(zero_copy_only=False)[order]
+        out, seen = [], set()
         for part, words in _slices(_unpacked(docs)) if len(keys) else ():
-            found, doc, number, inside, start, count = _found_again(part, words, keys)
-            length = count + WINDOW - 1
+            found, start, count, text = anchors(words)
+            found = found.view(np.int64)
+            place = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+            hit = keys[place] == found
+            found, start, count, text, many = found[hit], start[hit], count[hit], text[hit], crowded[place[hit]]
+            doc = np.array([d[0] for d in part], dtype=np.int64)[text]
+            number = np.array([d[1] for d in part], dtype=np.int32)[text]
+            inside = (start - words.starts[text]).astype(np.int32)
+            few = np.flatnonzero(~many)
+            length = count[few] + WINDOW - 1
             ends = np.cumsum(length)
-            at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - length), length)
+            at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start[few] - (ends - length), length)
             lists = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), words.names.take(pa.array(words.codes[at])))
-            out.append(pa.table([pa.array(found), pa.array(doc), pa.array(number), pa.array(inside), pc.binary_join(lists, " ")], names=names))
-        empty = [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string())]
-        return pa.concat_tables(out) if out else pa.table(empty, names=names)
-
-    return packed.groupBy("block").cogroup(kept.groupBy("block")).applyInArrow(run, "key long, doc long, number int, start int, words string")
-
-
-def _digests(packed: DataFrame, kept: DataFrame) -> DataFrame:
-    """A digest of every window of the anchors in ``kept``."""
-
-    def run(key, docs: pa.Table, wanted: pa.Table) -> pa.Table:
-        keys = np.sort(wanted.column("key").to_numpy())
-        out: list[tuple] = []
-        for part, words in _slices(_unpacked(docs)) if len(keys) else ():
-            names = words.names.to_pylist()
-            for _, doc, number, inside, start, count in zip(*(c.tolist() for c in _found_again(part, words, keys))):
-                for j in range(count):
-                    digest = xxhash.xxh3_128_digest(" ".join([names[c] for c in words.codes[start + j : start + j + WINDOW]]))
-                    out.append((*np.frombuffer(digest, "<i8").tolist(), doc, number, inside + j))
-        columns = list(zip(*out)) if out else [()] * 5
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
-        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=["d1", "d2", "doc", "number", "start"])
-
-    return packed.groupBy("block").cogroup(kept.groupBy("block")).applyInArrow(run, "d1 long, d2 long, doc long, number int, start int")
+            columns = [pa.array(c[few]) for c in (found, doc, number, inside)] + [pc.binary_join(lists, " "), pa.nulls(len(few), pa.int32())]
+            out.append(pa.table(columns, names=list(kinds)))
+            crowd = np.flatnonzero(many)
+            if len(crowd):
+                rows = _folded(words, seen, *(c[crowd].tolist() for c in (doc, number, inside, start, count)))
+                out.append(pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds.values())], names=list(kinds)))
+        return pa.concat_tables(out) if out else pa.table([pa.array([], t) for t in kinds.values()], names=list(kinds))
+
+    return packed.groupBy("block").cogroup(kept.groupBy("block")).applyInArrow(run, SEGMENTS)
+
+
+def _folded(words: Words, seen: set[str], *runs: list) -> list[tuple]:
+    """Rows of crowded anchors' windows, in the order of documents; ``seen`` holds the block's windows so far."""
+    names = words.names.to_pylist()
+    rows: list[tuple] = []
+    for doc, number, inside, start, count in zip(*runs):
+        named = [names[c] for c in words.codes[start : start + count + WINDOW - 1].tolist()]
+        since = None
+        for j in range(count + 1):
+            window = " ".join(named[j : j + WINDOW]) if j < count else None
+            if window is not None and window in seen:
+                since = j if since is None else since
+                continue
+            if since is not None:
+                rows.append((doc, doc, number, inside + since, None, inside + j - 1 + WINDOW))
+                since = None
+            if window is not None:
+                seen.add(window)
+                rows.append((xxhash.xxh64_intdigest(window) - (1 << 63), doc, number, inside + j, window, None))
+    return rows
 
 
 def depth_ranks(codes: np.ndarray, depth: int) -> np.ndarray:
@@ -250,6 +262,11 @@ def _tree_repeats(segments: DataFrame) -> DataFrame:
         size = 0
         for batch in batches:
             table = pa.Table.from_batches([batch])
+            known = pc.is_valid(table.column("end"))
+            if pc.any(known).as_py():
+                direct = table.filter(known).select(["doc", "number", "start", "end"])
+                yield from direct.combine_chunks().to_batches()
+                table = table.filter(pc.invert(known))
             if not table.num_rows:
                 continue
             held.append(table)
@@ -270,21 +287,10 @@ def _tree_repeats(segments: DataFrame) -> DataFrame:
         if held:
             yield judge(pa.concat_tables(held))
 
-    grouped = segments.select("key", "doc", "number", "start", "words").repartition("key").sortWithinPartitions("key")
+    grouped = segments.repartition("key").sortWithinPartitions("key")
     return grouped.mapInArrow(run, "doc long, number int, start int, end int")
 
 
-def _window_repeats(windows: DataFrame) -> DataFrame:
-    """The same for single windows, by their digests: the earliest place of each, then all later ones."""
-    inside = windows.groupBy("d1", "d2", "doc", "number").agg(F.min("start").alias("start"))
-    lowest = inside.groupBy("d1", "d2").agg(F.min("doc").alias("least"))
-    number = inside.join(lowest, ["d1", "d2"]).filter("doc = least").groupBy("d1", "d2", "least").agg(
-        F.min("number").alias("least_number"), F.min_by("start", "number").alias("least_start")
-    )
-    later = (F.col("doc") != F.col("least")) | (F.col("number") != F.col("least_number")) | (F.col("start") != F.col("least_start"))
-    return windows.join(number, ["d1", "d2"]).filter(later).select("doc", "number", "start", (F.col("start") + WINDOW).cast("int").alias("end"))
-
-
 def _cut(packed: DataFrame, spans: DataFrame, keep_text: bool) -> DataFrame:
     """Every row without the words under its document's spans."""
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", "mark", "text"][: 6 if keep_text else 4]
@@ -328,12 +334,9 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False, crowded: int = CROW
     n_blocks = 1 + (wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES
     blocks = wanted.withColumn("block", _block(n_blocks))
     rows, packed = _anchor_rows(blocks), _packed(blocks)
-    again = settle(rows.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1"), "anchors")
-    usual = rows.select("key", "block").join(again.filter(F.col("n") <= crowded).select("key"), "key").select("key", "block").distinct()
-    spans = _tree_repeats(_segments(packed, usual))
-    hot = again.filter(F.col("n") > crowded).select("key")
-    if hot.limit(1).count():
-        spans = spans.union(_window_repeats(_digests(packed, rows.select("key", "block").join(hot, "key").distinct())))
+    again = rows.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key", (F.col("n") > crowded).alias("crowded"))
+    kept = rows.select("key", "block").join(settle(again, "anchors"), "key").distinct()
+    spans = _tree_repeats(_segments(packed, kept))
     spans = spans.withColumn("doc_id", F.when(F.col("doc") != FIRST, F.col("doc"))).withColumn("block", _block(n_blocks))
     return _cut(packed, spans.select("block", "doc", "number", "start", "end"), keep_text)
 

@@ -138,8 +138,8 @@ def test_groups_larger_than_a_batch(spark, monkeypatch):
 def _prepared(docs):
     blocks = docs.select("doc_id", "text").withColumn("block", repeats._block(2))
     anchors = repeats._anchor_rows(blocks)
-    again = anchors.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
-    return repeats._packed(blocks), anchors.select("block", "key").join(again, "key").select("key", "block").distinct()
+    again = anchors.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key", F.lit(False).alias("crowded"))
+    return repeats._packed(blocks), anchors.select("block", "key").join(again, "key").distinct()
 
 
 # near duplicates
