@@ -19,9 +19,12 @@ def fixed_parts(value: str | Column, scale: int) -> tuple[Column, Column]:
     Adding whole numbers makes a sum independent of the order of rows. As two
     64-bit sums it costs hardly more than adding doubles, a third of adding
     decimals, and holds some 10^12 rows in a group; ANSI mode reports an
-    overflow beyond that.
+    overflow beyond that. A value with more than ``scale`` decimal places fails: it would be rounded unseen.
     """
-    units = F.rint(as_column(value).cast("double") * F.lit(float(10**scale))).cast("bigint")
+    x, unit = as_column(value).cast("double"), F.lit(float(10**scale))
+    units = F.rint(x * unit)
+    more = F.raise_error(F.format_string(f"%s has more than {scale} decimal places", x.cast("string"))).cast("double")
+    units = F.when(x.isNull() | (units / unit == x), units).otherwise(more).cast("bigint")
     return F.shiftright(units, LOW_BITS), units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))
 
 
@@ -31,13 +34,13 @@ def from_parts(high: Column, low: Column, scale: int) -> Column:
     return total.cast("double") / F.lit(float(10**scale))
 
 
-def exact_sum(value: str | Column, scale: int = 2) -> Column:
+def exact_sum(value: str | Column, scale: int) -> Column:
     """Sum of fixed-point values that no row order can change."""
     high, low = fixed_parts(value, scale)
     return from_parts(F.sum(high), F.sum(low), scale)
 
 
-def exact_mean(value: str | Column, scale: int = 2) -> Column:
+def exact_mean(value: str | Column, scale: int) -> Column:
     return F.try_divide(exact_sum(value, scale), F.count(as_column(value)).cast("double"))
 
 

@@ -37,23 +37,17 @@ def parse_day(text: str | Column, pattern: str = "dd/MM/yyyy") -> Column:
     return F.try_to_date(as_column(text), pattern)
 
 
-# Up to this many entries a lookup is compiled as a CASE; more go into a literal map.
-CASE_ENTRIES = 50
-
-
 def lookup(key: str | Column, mapping: Mapping[str, object], default: object) -> Column:
-    """Value of ``key`` in a small literal mapping, else ``default`` (a literal or a Column)."""
+    """Value of ``key`` in a small literal mapping, else ``default`` (a literal or a Column).
+
+    A key that is mapped to null gives null, however many entries there are; a null key is in no mapping.
+    """
     found, fallback = as_column(key), default if isinstance(default, Column) else F.lit(default)
-    if not mapping:
+    entries = [F.lit(part) for name, value in mapping.items() if name is not None for part in (name, value)]
+    if not entries:
         return fallback
-    if len(mapping) > CASE_ENTRIES:
-        pairs = F.create_map(*[F.lit(part) for pair in mapping.items() for part in pair])
-        return F.coalesce(F.try_element_at(pairs, found), fallback)
-    (first, value), *others = mapping.items()
-    case = F.when(found == first, F.lit(value))
-    for name, value in others:
-        case = case.when(found == name, F.lit(value))
-    return case.otherwise(fallback)
+    pairs = F.create_map(*entries)
+    return F.when(F.map_contains_key(pairs, found), F.try_element_at(pairs, found)).otherwise(fallback)
 
 
 def code_to_name(code: str | Column, names: Mapping[str, str]) -> Column:

@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.aggregates import Measure
 from granary.functions.cleaning import as_column, lookup
-from granary.sources.workspace import has_at_most, settle
-
-# A dimension of (key, category) rows is broadcast up to this many rows, some ten megabytes.
-BROADCAST_ROWS = 200_000
+from granary.sources.workspace import is_broadcast, settle
 
 
 def integrate_left(
@@ -37,25 +34,31 @@ def rolled_up(
     category: str,
     measures: Sequence[Measure],
     dim_key: str | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    dim_is_small: bool | None = None,
 ) -> DataFrame:
     """Aggregate facts by a category that a dimension holds, and by ``groups`` of their own.
 
-    A dimension whose size was checked is broadcast, so only group totals
-    are shuffled. A larger one is met by totals per key: a key with a third
+    The dimension is settled, and its written size decides (or ``dim_is_small``, where it is known). One that the session
+    broadcasts leaves the facts where they are, and only group totals are shuffled. A larger one is met by totals per key: a key with a third
     of all facts shrinks to one row per group before anything is joined.
-    Facts whose key the dimension lacks belong to no category and are left out.
+    Facts whose key the dimension lacks belong to no category and are left out; ``unmatched`` counts them.
     """
     dim_key = dim_key or key
-    names = dim.select(F.col(dim_key).alias("__key"), F.col(category))
+    names = settle(dim.select(F.col(dim_key).alias("__key"), F.col(category)), "dimension")
     own = [as_column(c).alias(n) for n, c in groups.items()]
-    if has_at_most(names, broadcast_rows):
-        joined = facts.join(F.broadcast(names), F.col(key) == F.col("__key"))
+    if is_broadcast(names) if dim_is_small is None else dim_is_small:
+        joined = facts.join(names, F.col(key) == F.col("__key"))
         return joined.groupBy(category, *own).agg(*[m.direct() for m in measures])
     parts = facts.groupBy(F.col(key).alias("__key"), *own).agg(*[p for m in measures for p in m.partials()])
     return parts.join(names, "__key").groupBy(category, *groups).agg(*[m.merged() for m in measures])
 
 
+def unmatched(facts: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
+    """(n_rows) of the facts whose key the dimension lacks, a null key included."""
+    known = dim.select(F.col(dim_key or key).alias("__key"))
+    return facts.join(known, F.col(key) == F.col("__key"), "left_anti").agg(F.count("*").alias("n_rows"))
+
+
 def with_lookup(
     df: DataFrame, name: str, key: str, mapping: Mapping[str, object], default: object
 ) -> DataFrame:

@@ -10,14 +10,13 @@ bucket; later passes divide what is then a narrow interval evenly.
 
 from __future__ import annotations
 
-from math import floor, isfinite
+from math import floor, inf, isfinite
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FEW_ROWS = 50_000
 BUCKETS = 1024
-LARGEST = 1.7976931348623157e308
 
 
 def _log_scale(x: Column) -> Column:
@@ -70,21 +69,29 @@ def exact_quantile(
 ) -> float | None:
     """Quantile with linear interpolation between neighbours; nulls and NaN are left out.
 
-    Infinite values count as the largest finite ones. ``known`` takes count,
+    Infinite values take their place at the ends. ``known`` takes count,
     minimum and maximum where an earlier pass found them.
     """
     x = F.col(column).cast("double")
-    values = df.where(x.isNotNull() & ~F.isnan(x)).select(
-        F.least(F.greatest(x, F.lit(-LARGEST)), F.lit(LARGEST)).alias("x")
-    )
+    values = df.where(x.isNotNull() & ~F.isnan(x)).select(x.alias("x"))
+    below = above = 0
     if known is None or not all(isfinite(k) for k in known if k is not None):
-        known = values.agg(F.count("*"), F.min("x"), F.max("x")).first()
+        finite = F.when(F.abs("x") < inf, F.col("x"))
+        *known, below, above = values.agg(
+            F.count(finite), F.min(finite), F.max(finite), F.count_if(F.col("x") == -inf), F.count_if(F.col("x") == inf)
+        ).first()
+        values = values.where(F.abs("x") < inf)
     rows, low, high = known
-    if rows == 0:
+    if below + rows + above == 0:
         return None
-    position = (rows - 1) * share
+    position = (below + rows + above - 1) * share
     rank = floor(position)
-    value, following = _neighbours(values, rank, rows, low, high, few_rows)
-    if position == rank:
+    value = following = inf
+    if rank < below:
+        value, following = -inf, (-inf if rank + 1 < below else low if rows else inf)
+    elif rank < below + rows:
+        value, following = _neighbours(values, rank - below, rows, low, high, few_rows)
+        following = inf if following is None else following
+    if position == rank or value == following:
         return value
     return value + (following - value) * (position - rank)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granary.functions.cleaning import parse_number, standard_name
 
@@ -73,16 +75,29 @@ def unite(tables: Sequence[DataFrame]) -> DataFrame:
     return first
 
 
+FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
 def dedupe(df: DataFrame, keys: Sequence[str], keep_first_by: Sequence[str | Column] | None = None) -> DataFrame:
     """One row per key.
 
-    With ``keep_first_by`` the smallest row in that order stays, remaining
-    columns breaking ties. It is an aggregate, not a window: each map task
-    sends one row per key on, however many copies it holds.
+    With ``keep_first_by`` the smallest row in that order stays (nulls first), remaining
+    columns breaking ties. For a single order column of fixed width, the least value of each key
+    is hashed out map-side without any sort, and only the rows that have it are compared further. Other orders
+    are one aggregate of whole rows, which sorts but sends one row per key and task.
     """
     if keep_first_by is None:
         return df.dropDuplicates(list(keys))
     order = [F.col(c) if isinstance(c, str) else c for c in keep_first_by]
+    kind = df.select(order[0]).schema[0].dataType
+    if len(order) == 1 and isinstance(kind, FIXED_WIDTH) and not isinstance(kind, T.DecimalType):
+        ordered = df.withColumn("__order", order[0])
+        least = ordered.groupBy(*[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)]).agg(
+            F.when(F.bool_and(F.col("__order").isNotNull()), F.min("__order")).alias("__least")
+        )
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{i}")) for i, k in enumerate(keys)])
+        df = ordered.join(least, same & F.col("__order").eqNullSafe(F.col("__least"))).select(df.columns)
+        order = []
     rest = [c for c in df.columns if c not in keys]
     ranked = F.struct(
         *[o.alias(f"o{i}") for i, o in enumerate(order)], F.struct(*rest).alias("row")

@@ -76,12 +76,14 @@ def draw_rows(
 
     Rows come from ``spark.range`` and hashes of their id, so they need no
     driver memory and a retried task draws the same rows. The range ends are
-    scalar subqueries. Categories are numbered and joined by number; the
-    draws are uniform, so the join has no hot key.
+    scalar subqueries. The numbered categories are settled, so their true size
+    has them broadcast and the rows stay where they are made; both sides are
+    shuffled only where the categories are too many for that.
     """
     if n < 0:
         raise ValueError("n must not be negative")
     named, k = number_values(categories, category, "__pick")
+    named = settle(named, "numbered")
     ident = F.col(id_column)
     slices = max(spark.sparkContext.defaultParallelism, n // ROWS_PER_TASK + 1)
     drawn = spark.range(0, n, 1, slices).withColumnRenamed("id", id_column).select(

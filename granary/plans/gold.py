@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 
 from granary.functions.aggregates import Measure
 from granary.operators.joins import integrate_left
-from granary.operators.shaping import add_literals, project_required, rename
+from granary.operators.shaping import add_literals, present, project_required, rename, standardize_keys
 
 
 Choice = tuple[Sequence[str], str | Callable[[], Column]]
@@ -33,13 +34,20 @@ def integrate_sources(
     fact_names: Mapping[str, str],
     year: str,
     default_year: int,
+    key: str | None = None,
+    aliases: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """The history if it has its key column, otherwise the facts with a default year. Schema decides."""
+    """The history if it has its key column, otherwise the facts with a default year. Schema decides.
+
+    The ``key`` (its name after renaming) is written in its standard spelling, whichever source it comes from.
+    """
     if history is not None and history_key in history.columns:
-        return rename(history, history_names)
-    if facts is None:
+        out = rename(history, history_names)
+    elif facts is None:
         raise ValueError("neither a usable history nor facts are given")
-    return add_literals(rename(facts, fact_names), {year: default_year}, only_missing=True)
+    else:
+        out = add_literals(rename(facts, fact_names), {year: default_year}, only_missing=True)
+    return standardize_keys(out, [key], aliases) if key else out
 
 
 def gold_features(
@@ -53,15 +61,18 @@ def gold_features(
 ) -> DataFrame:
     """Feature table in the required column order, sorted by its keys.
 
-    If the integrated table already holds all feature columns there is no
-    join at all.
+    Features that the integrated table holds are its own; only those it lacks are
+    joined, and where it lacks none there is no join at all. Required columns that neither side has are left out with a warning.
     """
     out = integrated
-    if not all(c in out.columns for c in feature_columns):
+    lacking = [c for c in feature_columns if c not in out.columns]
+    if lacking:
         if features is None:
             raise ValueError("the integrated table lacks features and none are given")
-        out = integrate_left(out, features, on, facts_grouped)
-    out, _ = project_required(out, required)
+        out = integrate_left(out, features.select(*on, *present(features, lacking)), on, facts_grouped)
+    out, absent = project_required(out, required)
+    if absent:
+        warnings.warn(f"required columns that no source has: {', '.join(absent)}", stacklevel=2)
     out = rename(out, out_names or {})
     order = [(out_names or {}).get(c, c) for c in on]
     return out.orderBy(*[c for c in order if c in out.columns])

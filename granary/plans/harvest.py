@@ -10,12 +10,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.functions.cleaning import lookup
+from granary.functions.cleaning import lookup, standard_name
 from granary.operators import learning, sampling, synth
 from granary.operators.accuracy import best_model
 from granary.operators.features import yearly_features
@@ -58,12 +57,10 @@ class HarvestLake:
 
     def build_weather(self) -> bool:
         """Silver weather from all province files in one read; False if there are none."""
-        try:
-            raw = delimited.scan_tagged_files(
-                self.spark, self.path(self.weather_folder), ";", h.WEATHER.code, codes=list(h.PROVINCES)
-            )
-        except AnalysisException:  # no such folder
+        folder = self.path(self.weather_folder)
+        if not tables.holds_files(self.spark, folder):
             return False
+        raw = delimited.scan_tagged_files(self.spark, folder, ";", h.WEATHER.code, codes=list(h.PROVINCES))
         if tables.is_empty(raw):
             return False
         tables.write_table(silver.clean_measurements(raw, h.WEATHER, self.as_of), self.path("silver/weather"))
@@ -71,15 +68,18 @@ class HarvestLake:
 
     def build_facts(self) -> bool:
         """Silver facts; False if their file is absent or empty."""
-        try:
-            raw = delimited.scan_sniffed(self.spark, self.path(self.facts_path))
-        except AnalysisException:  # no such file
+        if not tables.holds_files(self.spark, self.path(self.facts_path)):
             return False
+        raw = delimited.scan_sniffed(self.spark, self.path(self.facts_path))
         if tables.is_empty(raw):
             return False
         tables.write_table(silver.clean_facts(raw, h.FACTS, self.as_of), self.path("silver/facts"))
         return True
 
+    def weather_report(self) -> DataFrame:
+        """Which weather files are read, and why others are left out."""
+        return delimited.scan_report(self.spark, self.path(self.weather_folder), ";")
+
     def validate(self) -> DataFrame:
         return silver.validate_silver(
             self.table("silver/weather"),
@@ -119,7 +119,7 @@ class HarvestLake:
         usable = history is not None and h.CATEGORY in history.columns
         facts = None if usable else self.table("silver/facts")
         integrated = gold.integrate_sources(
-            history, facts, h.CATEGORY, h.HISTORY_NAMES, h.FACT_NAMES, h.YEAR, h.DEFAULT_YEAR
+            history, facts, h.CATEGORY, h.HISTORY_NAMES, h.FACT_NAMES, h.YEAR, h.DEFAULT_YEAR, "province", h.ALIASES
         )
         complete = all(c in integrated.columns for c in h.WEATHER_FEATURES)
         table = gold.gold_features(
@@ -146,7 +146,7 @@ class HarvestLake:
             drawn,
             h.TARGET,
             synth.yield_base(h.AREA, h.RAIN, h.HUMIDITY, h.TEMPERATURE),
-            lookup(h.CATEGORY, h.FACTORS, 1.0),
+            lookup(standard_name(h.CATEGORY, h.ALIASES), h.FACTORS, 1.0),
             h.YEAR,
             synth.noise_for("id") if noise else None,
         )
@@ -212,3 +212,8 @@ class HarvestLake:
             predictions, self.table("gold/features"), self.table("gold/synthetic"), h.FEATURES, h.TARGET,
             h.CATEGORY, h.YEAR, names["actual"], names["predicted"],
         )
+
+    def write_charts(self) -> None:
+        """The chart tables, each as a CSV report."""
+        for name, df in self.chart_data().items():
+            tables.write_report(df, self.path(f"charts/{name}"))

@@ -73,11 +73,14 @@ class FactSpec:
     group: str | None = None
     signed: bool = False
     aliases: Mapping[str, str] = field(default_factory=dict)
+    leave_out: Sequence[str] = ()  # standard names of rows that are no category of their own, such as totals
 
 
 def clean_facts(df: DataFrame, spec: FactSpec, as_of: datetime | str | None = None) -> DataFrame:
     """Rename, standardise keys, parse, drop non-positive rows, score, stamp. Narrow throughout."""
     out = standardize_keys(rename(df, spec.names), [spec.key], spec.aliases)
+    if spec.leave_out:
+        out = out.where(F.col(spec.key).isNull() | ~F.col(spec.key).isin(*spec.leave_out))
     out = clean_numbers(out, spec.numeric, decimal=spec.decimal, group=spec.group, signed=spec.signed)
     if spec.positive in out.columns:
         out = positive_or_null(out, spec.positive)

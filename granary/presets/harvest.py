@@ -57,6 +57,7 @@ WEATHER = MeasurementSpec(
     keep_if_any=WEATHER_KEYS,
 )
 
+# Raw column names of the facts.
 FACTS = FactSpec(
     names={
         "Provinsi": "provinsi",
@@ -68,6 +69,7 @@ FACTS = FactSpec(
     numeric=("luas_panen_ha", "produktivitas_ku_ha", "produksi_ton"),
     positive="luas_panen_ha",
     aliases=ALIASES,
+    leave_out=("INDONESIA",),  # the total of all provinces
 )
 
 # Gold: output, and for each the first choice of source columns that a table has.
@@ -85,6 +87,7 @@ WEATHER_MEASURES = (
         ),
     ),
 )
+# Names of the history and the facts, and those of gold.
 HISTORY_NAMES = {
     "Provinsi": "province",
     "Luas Panen": AREA,
@@ -109,20 +112,22 @@ RULES = (
     RangeRule(HUMIDITY, 0.95, 1.05, floor=70.0, ceiling=95.0),
     RangeRule(TEMPERATURE, 0.95, 1.05, floor=24.0, ceiling=32.0),
 )
+# Looked up by the standard name.
 FACTORS = {
-    "Aceh": 1.0,
-    "Sumatera Utara": 1.2,
-    "Sumatera Barat": 0.9,
-    "Riau": 0.8,
-    "Jambi": 0.85,
-    "Sumatera Selatan": 1.1,
-    "Bengkulu": 0.7,
-    "Lampung": 1.3,
+    "ACEH": 1.0,
+    "SUMATERA UTARA": 1.2,
+    "SUMATERA BARAT": 0.9,
+    "RIAU": 0.8,
+    "JAMBI": 0.85,
+    "SUMATERA SELATAN": 1.1,
+    "BENGKULU": 0.7,
+    "LAMPUNG": 1.3,
 }
 SYNTHETIC_ROWS = 1_000_000
 
 # Modelling and reports.
 FEATURES = (AREA, RAIN, HUMIDITY, TEMPERATURE)
+# Names of the prediction table.
 PREDICTION_NAMES = {
     "actual": "Actual_Produksi",
     "predicted": "Predicted_Produksi",

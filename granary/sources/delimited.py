@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.sources.landing import first_lines, manifest
+from granary.sources.landing import below, manifest
+from granary.sources.workspace import settle
 
 BOM = "\ufeff"
 
@@ -29,37 +30,43 @@ def string_schema(names: Sequence[str], corrupt: str | None = None) -> T.StructT
     return T.StructType([T.StructField(n, T.StringType(), True) for n in [*names, *([corrupt] if corrupt else [])]])
 
 
-def _below(glob: str | None) -> dict[str, object]:
-    """Reader options for all files below a folder whose names match."""
-    return {"recursiveFileLookup": True, "pathGlobFilter": glob} if glob else {}
-
-
 def _header_line(spark: SparkSession, path: str, glob: str | None = None) -> str | None:
-    row = spark.read.options(**_below(glob)).text(path).first()
+    """The first line of the first file, through the reader itself."""
+    row = spark.read.options(**below(glob)).text(path).first()
     return None if row is None else row.value.lstrip(BOM)
 
 
 def _reader(spark: SparkSession, sep: str, corrupt: str | None = None):
-    reader = spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8")
+    """Every file's header is held against the schema; another order or name fails instead of mixing columns up."""
+    reader = spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8").option("enforceSchema", False)
     return reader.option("columnNameOfCorruptRecord", corrupt) if corrupt else reader
 
 
+def _raw_names(line: str, sep: str) -> list[str]:
+    """Header names as they are written, blanks around them included."""
+    return next(csv.reader([line.lstrip(BOM)], delimiter=sep), [])
+
+
 def scan_delimited(
     spark: SparkSession,
     path: str,
     sep: str = ",",
     schema: str | T.StructType | None = None,
     corrupt: str | None = None,
+    glob: str | None = None,
 ) -> DataFrame:
-    """Files that share one header. Without a schema every column is a string.
+    """Files that share one header; a file whose header differs fails. Without a schema every column is a string.
 
     A line with too few or too many fields keeps what fits; ``corrupt`` names
     a column to hold such a line's text. Spark parses only the columns a query
     uses, so write the table before asking for that column alone.
     """
-    if schema is None:
-        schema = string_schema(header_names(_header_line(spark, path) or "", sep), corrupt)
-    return _reader(spark, sep, corrupt).schema(schema).csv(path)
+    reader = _reader(spark, sep, corrupt).options(**below(glob))
+    if schema is not None:
+        return reader.schema(schema).csv(path)
+    raw = _raw_names(_header_line(spark, path, glob) or "", sep)
+    rows = reader.schema(string_schema(raw, corrupt)).csv(path)
+    return rows.withColumnsRenamed({n: n.strip() for n in raw if n != n.strip()})
 
 
 def scan_delimited_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -77,12 +84,43 @@ def scan_sniffed(spark: SparkSession, path: str, preferred: str = ",", other: st
     return scan_delimited(spark, path, sniff_separator(spark, path, preferred, other))
 
 
-def file_tag(pattern: str) -> Column:
+def file_tag(pattern: str, uri: str = "_metadata.file_path") -> Column:
     """Tag of a row taken from its file's path by the first group of ``pattern``."""
-    tag = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    tag = F.regexp_extract(F.col(uri), pattern, 1)
     return F.try_url_decode(F.replace(tag, F.lit("+"), F.lit("%2B")))
 
 
+def file_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+    """(uri, header) of every file below ``root`` that has a line.
+
+    Lines are read by Spark's own text reader, so any store a session can read will do; only a file's first line is kept.
+    """
+    lines = spark.read.options(**below(glob)).text(root).select(
+        F.col("_metadata.file_path").alias("uri"), "value", F.monotonically_increasing_id().alias("at")
+    ).where(F.col("_metadata.file_block_start") == 0)
+    heads = lines.groupBy("uri").agg(F.min_by("value", "at").alias("line"))
+    return settle(heads.select("uri", F.regexp_replace("line", f"^{BOM}|\\r$", "").alias("header")), "headers")
+
+
+def scan_report(spark: SparkSession, root: str, sep: str = ";", glob: str = "*.csv") -> DataFrame:
+    """(relative_path, status, header) of every file below ``root``: read, or why it is left out."""
+    heads = file_headers(spark, root, glob)
+    listed = manifest(spark, root, glob).select("path", "relative_path")
+    found = heads.select(_spelled("uri").alias("path"), "header")
+    names = F.transform(F.split("header", F.lit(f"\\Q{sep}\\E")), lambda n: F.lower(F.trim(F.replace(n, F.lit('"'), F.lit("")))))
+    status = (
+        F.when(F.coalesce(F.trim("header"), F.lit("")) == "", "empty")
+        .when(F.size(F.array_distinct(names)) < F.size(names), "repeated column")
+        .otherwise("read")
+    )
+    return listed.join(found, "path", "left").select("relative_path", status.alias("status"), "header")
+
+
+def _spelled(uri: str) -> Column:
+    """A percent-encoded URI in the spelling of a listed path."""
+    return F.regexp_replace(F.try_url_decode(F.replace(F.col(uri), F.lit("+"), F.lit("%2B"))), "^file:///", "file:/")
+
+
 def scan_tagged_files(
     spark: SparkSession,
     root: str,
@@ -94,33 +132,43 @@ def scan_tagged_files(
     same_header: bool = False,
     corrupt: str | None = None,
 ) -> DataFrame | None:
-    """All files below ``root`` in one read per distinct header, each row tagged from its path.
-
-    Files whose header differs are united by column name, absent columns as
-    null. Codes without a file are simply not there; None if nothing is left.
-    ``same_header`` promises one header for all and saves looking at each file.
+    """All files below ``root``, each row tagged from its path; columns meet by name.
+
+    Where all headers agree the files are one plain read. Otherwise lines are
+    read as text and parsed by their own file's header, one pass for each
+    distinct header, absent columns as null; lines equal to the header are dropped. File names are never put together to a
+    list of paths, so they may hold any character. Files that are empty or repeat a column name are left out;
+    ``scan_report`` tells which. Codes without a file are simply not there; None if nothing is left.
+    ``same_header`` promises one header for all and saves the pass over first lines; a file that breaks the promise fails.
     """
-    if same_header:
-        line = _header_line(spark, root, glob)
-        if not line:
+    wanted = None if codes is None else F.col(tag).isin(*codes)
+    if not same_header:
+        heads = file_headers(spark, root, glob).withColumn(tag, file_tag(pattern, "uri"))
+        heads = heads.where((F.trim("header") != "") & (F.lit(True) if wanted is None else wanted))
+        distinct = [r.header for r in heads.select("header").distinct().orderBy("header").collect()]  # headers, not files
+        sound = [h for h in distinct if len({n.lower() for n in header_names(h, sep)}) == len(header_names(h, sep))]
+        if not sound:
             return None
-        schema = string_schema(header_names(line, sep), corrupt)
-        files = _reader(spark, sep, corrupt).options(**_below(glob)).schema(schema)
-        rows = files.csv(root).withColumn(tag, file_tag(pattern))
-        return rows if codes is None else rows.where(F.col(tag).isin(*codes))
-    heads = first_lines(manifest(spark, root, glob)).where(F.col("header") != "")
-    if codes is not None:
-        heads = heads.where(F.regexp_extract("path", pattern, 1).isin(*codes))
-    grouped: dict[str, list[str]] = {}
-    for row in heads.collect():  # one short row per file, like the listing a read needs anyway
-        grouped.setdefault(row.header, []).append(row.path)
-    parts = [
-        _reader(spark, sep, corrupt)
-        .schema(string_schema(header_names(header, sep), corrupt))
-        .csv(sorted(paths))
-        .withColumn(tag, file_tag(pattern))
-        for header, paths in sorted(grouped.items())
-    ]
-    if not parts:
+        if codes is not None or len(distinct) > 1:
+            parts = [_parsed(spark, root, glob, heads, h, sep, tag, corrupt) for h in sound]
+            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    elif not _header_line(spark, root, glob):
         return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    rows = scan_delimited(spark, root, sep, corrupt=corrupt, glob=glob).withColumn(tag, file_tag(pattern))
+    return rows if wanted is None else rows.where(wanted)
+
+
+def _parsed(
+    spark: SparkSession, root: str, glob: str, heads: DataFrame, header: str, sep: str, tag: str, corrupt: str | None
+) -> DataFrame:
+    """Rows of the files with one header, parsed from their lines."""
+    names = header_names(header, sep)
+    lines = spark.read.options(**below(glob)).text(root).select(F.col("_metadata.file_path").alias("uri"), "value")
+    lines = lines.join(heads.where(F.col("header") == header).select("uri", tag), "uri")
+    line = F.regexp_replace("value", f"^{BOM}|\\r$", "")
+    lines = lines.select(tag, line.alias("value")).where((F.col("value") != header) & (F.trim("value") != ""))
+    options = {"sep": sep} | ({"columnNameOfCorruptRecord": corrupt} if corrupt else {})
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, *([corrupt] if corrupt else [])])
+    parsed = lines.select(tag, F.from_csv("value", F.lit(schema), options).alias("row"))
+    fields = [F.col("row").getField(n).alias(n) for n in [*names, *([corrupt] if corrupt else [])]]
+    return parsed.select(*fields, tag)

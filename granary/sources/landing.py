@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 COPY_SCHEMA = "relative_path string, target string, ok boolean, message string"
-HEADER_SCHEMA = "path string, header string"
+FILES_PER_TASK = 8
 CHUNK = 8 << 20
 
 # The task functions travel with the job, so executors need no copy of this package.
@@ -32,18 +32,18 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(quote(uri.replace("s3a://", "s3://", 1), safe="/:@"))
 
 
+def below(glob: str | None) -> dict[str, object]:
+    """Reader options for all files below a folder whose names match."""
+    return {"recursiveFileLookup": True, "pathGlobFilter": glob} if glob else {}
+
+
 def manifest(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     """One row per file below ``root``: path, relative_path, name, length, modified.
 
     The ``content`` column is never selected, so no file is opened. The scan
     passes over empty files; they are added from the reader's own listing.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(root)
-    )
+    files = spark.read.format("binaryFile").options(**below(glob)).load(root)
     listed = [(_plain(p),) for p in files.inputFiles()]
     seen = files.select("path", "length", F.col("modificationTime").alias("modified"))
     return (
@@ -84,9 +84,8 @@ def require_folders(files: DataFrame, names: Sequence[str]) -> None:
 
 
 def _spread(files: DataFrame, tasks: int | None = None) -> DataFrame:
-    """File names over a stated number of tasks: by their few bytes they would all end in one."""
-    most = 4 * files.sparkSession.sparkContext.defaultParallelism
-    return files.repartition(tasks or max(1, min(files.count(), most)), "path")
+    """A few file names for each task: by their few bytes they would all end in one."""
+    return files.repartition(tasks or 1 + files.count() // FILES_PER_TASK, "path")
 
 
 def _copy_files(target_root: str):
@@ -133,23 +132,3 @@ def landing_summary(results: DataFrame) -> DataFrame:
         F.count_if("ok").alias("succeeded"),
         F.count_if(~F.col("ok")).alias("failed"),
     )
-
-
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            store, name = open_store(path)
-            line = b""
-            with store.open_input_stream(name) as src:
-                while b"\n" not in line and (chunk := src.read(64 << 10)):
-                    line += chunk
-            text = line.split(b"\n", 1)[0].decode("utf-8-sig", errors="replace").rstrip("\r")
-            rows.append((path, text))
-        yield pd.DataFrame(rows, columns=["path", "header"])
-
-
-def first_lines(files: DataFrame) -> DataFrame:
-    """First line of every file of a manifest that is not empty; a task reads only the heads of its files."""
-    files = files.where(F.col("length") > 0)
-    return _spread(files.select("path")).mapInPandas(_first_lines, HEADER_SCHEMA)

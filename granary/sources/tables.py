@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,22 +18,38 @@ def scan_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` (a file, folder or glob) is there and holds at least one file that a reader would not pass over."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    todo = list(store.globStatus(place) or [])
+    while todo:
+        status = todo.pop()
+        if not status.getPath().getName().startswith((".", "_")):
+            if not status.isDirectory():
+                return True
+            todo += list(store.listStatus(status.getPath()))
+    return False
+
+
 def scan_available(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """The named tables that can be read, in the order given; the first one is the primary.
+    """The named tables that are there, in the order given; the first one is the primary.
 
-    Only listing and footers are touched. Fails if none can be read.
+    A path that is absent or holds no files is passed over (``left_out`` tells which); a table that is there and cannot be
+    read is an error. Only listing and footers are touched. Fails if none is there.
     """
-    found: dict[str, DataFrame] = {}
-    for name, path in paths.items():
-        try:
-            found[name] = spark.read.parquet(path)
-        except Exception:  # absent, empty or unreadable: optional means the others go on
-            continue
+    found = {name: spark.read.parquet(path) for name, path in paths.items() if holds_files(spark, path)}
     if not found:
-        raise FileNotFoundError(f"none of the tables can be read: {', '.join(paths)}")
+        raise FileNotFoundError(f"none of the tables is there: {', '.join(paths)}")
     return found
 
 
+def left_out(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """(dataset, path) of the tables that ``scan_available`` passes over."""
+    absent = [(name, path) for name, path in paths.items() if not holds_files(spark, path)]
+    return spark.createDataFrame(absent, "dataset string, path string")
+
+
 def labelled_union(tables: Mapping[str, DataFrame], label: str) -> DataFrame:
     """Union by name of the tables, each row carrying its table's name."""
     parts = [df.withColumn(label, F.lit(name)) for name, df in tables.items()]
@@ -90,11 +109,13 @@ def write_verified(df: DataFrame, path: str, num_files: int | None = None) -> Da
 
 
 def export_table(spark: SparkSession, source: str, target: str) -> bool:
-    """Copy a table to another place; a target that cannot be written only yields False."""
+    """Copy a table to another place; a target that cannot be written yields False and a warning with the cause."""
+    table = spark.read.parquet(source)
     try:
-        write_table(spark.read.parquet(source), target)
+        write_table(table, target)
         return True
-    except Exception:
+    except (Py4JJavaError, PySparkException) as problem:
+        warnings.warn(f"{source} was not exported to {target}: {problem}", stacklevel=2)
         return False
 
 

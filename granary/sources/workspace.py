@@ -16,7 +16,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
     return _local_folder(spark.conf.get("spark.app.id", "session"))
 
@@ -44,10 +44,9 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether the table holds no more than ``rows`` rows.
-
-    A plain count: every task returns one number, whereas a limit would send
-    up to ``rows`` rows of each partition to a single task.
-    """
-    return df.count() <= rows
+def is_broadcast(written: DataFrame) -> bool:
+    """Whether a settled table is small enough, in bytes, for the session to broadcast it."""
+    spark = written.sparkSession
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    text = str(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(most)) if not most.startswith("-") else "-1"
+    return int(str(written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= int(text)

@@ -83,6 +83,54 @@ def scan_tagged_files(spark, folder):
     return delimited.scan_tagged_files(spark, path, pattern=r"o_orderstatus=([^/]+)/")
 
 
+@query(
+    "select cast(c_custkey as varchar) as c_custkey, c_name, case when c_custkey % 2 = 0 then 'even' else 'odd' end as code "
+    "from customer"
+)
+def scan_mixed_headers(spark, folder):
+    """Two sets of files below one root, the columns of one in the other order."""
+    customer = table(spark, folder, "customer").select("c_custkey", "c_name")
+    root = scratch_path(spark, "mixed")
+    customer.where("c_custkey % 2 = 0").write.option("header", True).csv(f"{root}/even")
+    customer.where("c_custkey % 2 <> 0").select("c_name", "c_custkey").write.option("header", True).csv(f"{root}/odd")
+    return delimited.scan_tagged_files(spark, root, ",", pattern=r"/([^/]+)/[^/]+\.csv$").select("c_custkey", "c_name", "code")
+
+
+ODD_NAMES = ("a[1]", "b{2}", "c d+e%20")
+
+
+@query(
+    "select cast(n_nationkey as varchar) as n_nationkey, n_name, "
+    "case n_nationkey % 3 when 0 then 'a[1]' when 1 then 'b{2}' else 'c d+e%20' end as code from nation"
+)
+def scan_odd_names(spark, folder):
+    """Folders whose names would be patterns or escapes in a list of paths; one of them has another header."""
+    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    root = scratch_path(spark, "odd")
+    for i, name in enumerate(ODD_NAMES):
+        part = nation.where(F.col("n_nationkey") % 3 == i)
+        (part.select("n_name", "n_nationkey") if i == 1 else part).write.option("header", True).csv(f"{root}/{name}")
+    rows = delimited.scan_tagged_files(spark, root, ",", pattern=r"/([^/]+)/[^/]+\.csv$")
+    return rows.select("n_nationkey", "n_name", "code")
+
+
+@query(
+    "select 'read' as status, count(distinct n_regionkey) as n_files, count(*) as n_rows from nation "
+    "union all select 'repeated column', 1, 0"
+)
+def scan_report(spark, folder):
+    """Nations in a file for each region and one file that repeats a column: what is read, what is left out, and the rows."""
+    nation = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
+    root = scratch_path(spark, "reported")
+    nation.repartition(1).write.option("header", True).partitionBy("n_regionkey").csv(root)
+    spark.createDataFrame([("n_nationkey,N_nationkey",), ("1,2",)], "value string").coalesce(1).write.text(f"{root}/twice")
+    read = delimited.scan_tagged_files(spark, root, ",", pattern=r"/([^/]+)/[^/]+$", glob="part-*").groupBy("code").agg(F.count("*").alias("n"))
+    report = delimited.scan_report(spark, root, ",", "part-*").withColumn("code", F.regexp_extract("relative_path", "([^/]+)/[^/]+$", 1))
+    return report.join(read, "code", "left").groupBy("status").agg(
+        F.count("*").alias("n_files"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows")
+    )
+
+
 @query("select * from orders")
 def scan_parquet(spark, folder):
     return tables.scan_table(spark, f"{folder}/orders.parquet")

@@ -77,7 +77,7 @@ def yearly_features(spark, folder):
 @query(f"select * from {SQL_FEATURES}")
 def yearly_features_large_dim(spark, folder):
     """The same through the way taken when the dimension is too large to broadcast."""
-    return nation_features(spark, folder, broadcast_rows=0)
+    return nation_features(spark, folder, dim_is_small=False)
 
 
 @query(
@@ -91,11 +91,18 @@ def integrate_left_join(spark, folder):
 
 @query(
     "select c_custkey, case c_mktsegment when 'BUILDING' then 1.2::double when 'FURNITURE' then 0.9::double "
-    "when 'MACHINERY' then 1.1::double else 1.0::double end as factor from customer"
+    "when 'MACHINERY' then 1.1::double when 'AUTOMOBILE' then null else 1.0::double end as factor, "
+    "case when c_custkey % 90 < 70 then case when c_custkey % 7 = 0 then null else c_custkey % 90 * 2 end else -1 end as many "
+    "from customer"
 )
 def lookup_default(spark, folder):
+    """Few entries and many, a key mapped to null among them."""
     customer = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
-    return joins.with_lookup(customer, "factor", "c_mktsegment", SEGMENT_FACTORS, 1.0).drop("c_mktsegment")
+    few = joins.with_lookup(customer, "factor", "c_mktsegment", SEGMENT_FACTORS | {"AUTOMOBILE": None}, 1.0)
+    keyed = few.withColumn("key", F.when(F.col("c_custkey") % 7 == 0, F.lit("seven")).otherwise((F.col("c_custkey") % 90).cast("string")))
+    keyed = keyed.withColumn("key", F.when(F.col("c_custkey") % 90 >= 70, "none").otherwise(F.col("key")))
+    many = {str(i): 2 * i for i in range(70)} | {"seven": None}
+    return joins.with_lookup(keyed, "many", "key", many, -1).select("c_custkey", "factor", F.col("many").cast("bigint"))
 
 
 @query(

@@ -19,7 +19,7 @@ def _union(parts):
 @query(f"select {sql_mean('l_extendedprice')} as mean_price, {sql_mean('l_quantity')} as mean_quantity from lineitem")
 def global_mean(spark, folder):
     return table(spark, folder, "lineitem").agg(
-        exact_mean("l_extendedprice").alias("mean_price"), exact_mean("l_quantity").alias("mean_quantity")
+        exact_mean("l_extendedprice", 2).alias("mean_price"), exact_mean("l_quantity", 2).alias("mean_quantity")
     )
 
 

@@ -189,6 +189,31 @@ def gold_features(spark, folder):
     )
 
 
+@query(
+    "select category, year, production, area, rain, humidity, temperature "
+    f"from {SQL_FACTS} left join {SQL_FEATURES} using (category, year)"
+)
+def integrate_mixed_case(spark, folder):
+    """A history that spells its keys its own way meets features under the standard names."""
+    facts = nation_facts(spark, folder)
+    history = facts.withColumn("category", F.concat(F.lit("  "), F.initcap(F.lower("category"))))
+    history = history.withColumn("category", F.when(F.trim("category") == "China", "Prc").otherwise(F.col("category")))
+    integrated = gold.integrate_sources(history, None, "category", {}, {}, "year", 2023, "category", {"PRC": "CHINA"})
+    names = ["category", "year", "production", "area", "rain", "humidity", "temperature"]
+    return gold.gold_features(integrated, nation_features(spark, folder), ["category", "year"], names[4:], names)
+
+
+@query(
+    "select category, year, production, round(production / 1000) as rain, humidity, temperature "
+    f"from {SQL_FACTS} left join (select category, year, humidity, temperature from {SQL_FEATURES}) using (category, year)"
+)
+def gold_partial_features(spark, folder):
+    """Facts that hold one of the features themselves: theirs stays, the others are joined."""
+    facts = nation_facts(spark, folder).drop("area").withColumn("rain", F.round(F.col("production") / 1000))
+    names = ["category", "year", "production", "rain", "humidity", "temperature"]
+    return gold.gold_features(facts, nation_features(spark, folder), ["category", "year"], names[3:], names)
+
+
 def _sql_report():
     def row(section, metric, value, source):
         return f"select '{section}' as section, {metric} as metric, cast({value} as varchar) as value from {source}"

@@ -28,7 +28,7 @@ def lake(spark, tmp_path_factory):
     (source / "facts").mkdir()
     (source / "facts/facts.csv").write_text(
         "Provinsi,Luas Panen (ha),Produktivitas (ku/ha),Produksi (ton)\n"
-        "ACEH,254287.38,55.22,1404234.82\nKep. Riau ,115.27,28.11,324.01\nDKI,0,1,2\nX,,,\nTOTAL,10213705.17,52.85,53980993.19\n"
+        "ACEH,254287.38,55.22,1404234.82\nKep. Riau ,115.27,28.11,324.01\nDKI,0,1,2\nX,,,\nTOTAL,10213705.17,52.85,53980993.19\nIndonesia,10213705.17,52.85,53980993.19\n"
     )
     rng = random.Random(5)
     lines = ["﻿Provinsi,Tahun,Produksi,Luas Panen,Curah hujan,Kelembapan,Suhu rata-rata"]
@@ -83,6 +83,18 @@ def test_gold_from_facts_and_weather(lake):
     assert got["KEPULAUAN RIAU"].Curah_hujan is None and got["TOTAL"].Kelembapan is None
 
 
+def test_factors_and_history_meet_by_the_standard_name(lake):
+    lake.build_gold(use_history=False)
+    lake.build_synthetic(200, noise=False)
+    made = lake.table("gold/synthetic")
+    assert {r.Provinsi for r in made.select("Provinsi").distinct().collect()} == {"ACEH", "KEPULAUAN RIAU", "X", "TOTAL"}
+    from granary.functions.cleaning import lookup, standard_name
+
+    factor = lookup(standard_name("p", h.ALIASES), h.FACTORS, 1.0)
+    names = lake.spark.createDataFrame([("Lampung",), (" sumatera utara",), ("elsewhere",), (None,)], "p string")
+    assert [r[0] for r in names.select(factor).collect()] == [1.3, 1.2, 1.0, 1.0]
+
+
 def test_stages_run_from_the_command_line(lake, spark, capsys):
     main([lake.base, "facts", "validate", "--facts", lake.facts_path])
     assert "keys_both" in capsys.readouterr().out

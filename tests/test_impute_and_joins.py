@@ -46,8 +46,8 @@ def test_group_holding_most_rows_keeps_all_rows(spark):
     assert out.where("x is null").isEmpty()
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_roll_up_is_the_same_for_small_and_large_dimensions(spark, rows, limit):
+@pytest.mark.parametrize("small", [False, True, None])
+def test_roll_up_is_the_same_for_small_and_large_dimensions(spark, rows, small):
     facts = spark.range(9_000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"),
         (F.col("id") % 4).alias("year"),
@@ -55,7 +55,7 @@ def test_roll_up_is_the_same_for_small_and_large_dimensions(spark, rows, limit):
     )
     dim = spark.range(45).select(F.col("id").alias("d"), (F.col("id") % 5).cast("string").alias("cat"))
     measures = [Measure(h, "v", h, None, 2 if h in ("mean", "sum") else None) for h in ("mean", "sum", "min", "max")]
-    got = joins.rolled_up(facts, dim, "k", {"year": "year"}, "cat", measures, "d", broadcast_rows=limit)
+    got = joins.rolled_up(facts, dim, "k", {"year": "year"}, "cat", measures, "d", dim_is_small=small)
     plain = facts.join(dim, facts.k == dim.d).groupBy("cat", "year").agg(*[m.direct() for m in measures])
     assert rows(got, "cat", "year") == rows(plain, "cat", "year")
 
@@ -79,10 +79,10 @@ def test_fixed_point_sums_are_exact_whatever_the_order(spark):
     values = [0.1, 0.2, -0.35, 90071992547.99, -90071992547.98, 1e12, -1e12, 0.07] * 500
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
     for parts in (1, 7):
-        got = df.repartition(parts).agg(exact_sum("v").alias("s"), exact_mean("v").alias("m")).first()
+        got = df.repartition(parts).agg(exact_sum("v", 2).alias("s"), exact_mean("v", 2).alias("m")).first()
         assert (got.s, got.m) == (15.0, 15.0 / 4000)
-    assert df.where("v is null").agg(exact_mean("v")).first()[0] is None
-    assert df.where("v is null").agg(exact_sum("v")).first()[0] is None
+    assert df.where("v is null").agg(exact_mean("v", 2)).first()[0] is None
+    assert df.where("v is null").agg(exact_sum("v", 2)).first()[0] is None
 
 
 def test_year_default(spark):
@@ -93,3 +93,16 @@ def test_year_default(spark):
         features.yearly_features(df, "c", "day", [Measure("m", "x")])
     with pytest.raises(ValueError):
         features.grouped_measures(df, ["c"], [])
+
+
+def test_a_value_with_more_places_than_stated_is_no_silent_rounding(spark):
+    df = spark.range(1000).select(F.lit(0.004).alias("v"), F.lit(0.29).alias("w"))
+    assert df.agg(exact_sum("v", 3).alias("s")).first().s == 4.0
+    assert df.agg(exact_sum("w", 2).alias("s")).first().s == 290.0
+    with pytest.raises(Exception, match="more than 2 decimal places"):
+        df.agg(exact_sum("v", 2)).collect()
+
+
+def test_facts_without_a_dimension_row_are_counted(spark):
+    facts = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int")
+    assert joins.unmatched(facts, spark.createDataFrame([(1,)], "d int"), "k", "d").first().n_rows == 3

@@ -71,3 +71,19 @@ def test_renaming_and_numbers_stay_narrow(spark, folder):
     part = spark.read.parquet(f"{folder}/part.parquet")
     out = shaping.clean_numbers(shaping.rename(part, {"p_name": "name"}), ["name", "p_size"])
     assert "Exchange" not in plan_of(out)
+
+
+def test_duplicates_are_dropped_without_a_sort_before_the_exchange(spark, folder):
+    plan = plan_of(load_all()["dedupe_exact"].run(spark, folder)).splitlines()
+    exchanges = [i for i, line in enumerate(plan) if "Exchange" in line]
+    assert exchanges and not any("Sort" in line for line in plan[exchanges[-1] :])
+
+
+def test_drawn_rows_stay_where_they_are_made(spark):
+    from granary.operators import synth
+
+    names = spark.createDataFrame([(f"p{i}", float(i)) for i in range(8)], "name string, v double")
+    rules = [synth.RangeRule("v", 0.5, 1.5)]
+    plan = plan_of(synth.draw_rows(spark, 1_000_000, synth.derive_ranges(names, rules), rules, names, "name"))
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "Range (0, 1000000" in plan

@@ -56,6 +56,14 @@ def test_exact_quantile_by_narrowing(spark, share, few):
     assert exact_quantile(df, "x", share, few) == pytest.approx(float(np.quantile(values, share)), rel=1e-12)
 
 
+@pytest.mark.parametrize("share, want", [(0.0, -np.inf), (0.25, 1.5), (0.5, 3.0), (0.9, np.inf), (1.0, np.inf)])
+def test_infinities_keep_their_place(spark, share, want):
+    inf = float("inf")
+    df = spark.createDataFrame([(v,) for v in [-inf, 1.0, 2.0, 3.0, inf, inf, inf]], "x double")
+    assert exact_quantile(df, "x", share) == want
+    assert exact_quantile(df.where("x > 3"), "x", 0.5) == inf
+
+
 @pytest.mark.parametrize("values, median", [([4.0], 4.0), ([1.0, 2.0], 1.5), ([2.0] * 9 + [3.0] * 9, 2.5), ([], None)])
 def test_exact_median_of_few(spark, values, median):
     df = spark.createDataFrame([(v,) for v in values], "x double")

@@ -54,6 +54,28 @@ def test_tagged_files_with_one_header(spark, files, rows):
     assert rows(df.select("code", "A", "B")) == [("aceh", "1", "2"), ("riau", "5", "6")]
 
 
+def test_headers_in_another_order_never_mix_columns_up(spark, files, rows):
+    root = files(w__a="x;y\n1;2\n", w__b="y;x\n4;3\n\n")
+    assert rows(delimited.scan_tagged_files(spark, root).select("code", "x", "y")) == [("a", "1", "2"), ("b", "3", "4")]
+    for scan in (lambda: delimited.scan_delimited(spark, f"{root}/w", ";"), lambda: delimited.scan_sniffed(spark, f"{root}/w"),
+                 lambda: delimited.scan_tagged_files(spark, root, same_header=True)):
+        with pytest.raises(Exception, match="(?i)header"):
+            scan().collect()
+
+
+def test_a_file_with_a_repeated_column_is_reported_and_the_others_are_read(spark, files, rows):
+    root = files(w__a="x;y\n1;2\n", w__b="x;X\n4;3\n", w__c="", w__d="x;y\n5;6\n")
+    assert rows(delimited.scan_tagged_files(spark, root).select("code", "x", "y")) == [("a", "1", "2"), ("d", "5", "6")]
+    report = {r.relative_path: r.status for r in delimited.scan_report(spark, root).collect()}
+    assert report == {"w/a.csv": "read", "w/b.csv": "repeated column", "w/c.csv": "empty", "w/d.csv": "read"}
+
+
+@pytest.mark.parametrize("name", ["a[1]", "a{b,c}", "a b%20+c", "a*?"])
+def test_file_names_are_no_patterns(spark, files, rows, name):
+    root = files(**{f"w__{name}": "x;y\n1;2\n", "w__z": "y;x\n4;3\n"})
+    assert rows(delimited.scan_tagged_files(spark, root).select("code", "x", "y")) == sorted([(name, "1", "2"), ("z", "3", "4")], key=repr)
+
+
 def test_landing_copies_bytes_and_counts_failures(spark, files, tmp_path_factory):
     root = files(w__a="x,y\n1,2\n", f__b="﻿z\n", w__empty="")
     found = landing.manifest(spark, root)
@@ -95,8 +117,12 @@ def test_optional_tables(spark, tmp_path):
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "broken.parquet").write_bytes(b"not a table")
     (tmp_path / "e").mkdir()
-    found = tables.scan_available(spark, {n: f"{tmp_path}/{n}" for n in "abcde"})
+    paths = {n: f"{tmp_path}/{n}" for n in "abce"}
+    found = tables.scan_available(spark, paths)
     assert list(found) == ["b", "c"]
+    assert {r.dataset for r in tables.left_out(spark, paths).collect()} == {"a", "e"}
+    with pytest.raises(Exception, match="broken"):  # there, but no table
+        tables.scan_available(spark, {n: f"{tmp_path}/{n}" for n in "bd"})["d"].count()
     assert [tuple(r) for r in tables.availability(found).collect()] == [("b", 3, True), ("c", 2, False)]
     assert tables.labelled_union(found, "model").groupBy("model").count().count() == 2
     with pytest.raises(FileNotFoundError):
@@ -111,7 +137,11 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/p").where("k = 1").count() == 333
     assert len(list((tmp_path / "p").rglob("*.parquet"))) == 3
     assert tables.export_table(spark, f"{tmp_path}/t", f"{tmp_path}/copy")
-    assert not tables.export_table(spark, f"{tmp_path}/nothing", f"{tmp_path}/copy2")
+    (tmp_path / "file").write_text("x")
+    with pytest.warns(UserWarning, match="not exported"):
+        assert not tables.export_table(spark, f"{tmp_path}/t", f"{tmp_path}/file/copy2")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        tables.export_table(spark, f"{tmp_path}/nothing", f"{tmp_path}/copy3")
     assert tables.is_empty(None) and tables.is_empty(df.where("id < 0")) and not tables.is_empty(df)
 
 
@@ -127,11 +157,12 @@ def test_work_folder_is_the_one_the_cluster_names():
     assert workspace.shared_folder(named) == "hdfs://x/y"
     local = _Session(spark_master="local[2]", spark_app_id="a1")
     assert workspace.shared_folder(local) == workspace.shared_folder(local)
-    with pytest.raises(RuntimeError):
-        workspace.shared_folder(_Session(spark_master="yarn"))
+    for settings in ({"spark_master": "yarn"}, {}):  # a hidden master is no local run
+        with pytest.raises(RuntimeError):
+            workspace.shared_folder(_Session(**settings))
 
 
 def test_settled_table_equals_its_source(spark):
     df = spark.range(10).withColumn("x", F.col("id") / 3)
     assert workspace.settle(df, "test").exceptAll(df).isEmpty()
-    assert workspace.has_at_most(df, 10) and not workspace.has_at_most(df, 9)
+    assert workspace.is_broadcast(workspace.settle(df, "small"))
