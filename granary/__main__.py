@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from granary.plans.harvest import HarvestLake
 from granary.presets.harvest import SYNTHETIC_ROWS
+from granary.sources.workspace import clear_scratch
 
 STAGES = ("land", "weather", "facts", "validate", "gold", "synthetic", "train", "analyse", "charts")
 REPORTS = ("keys", "split", "sources", "export")
@@ -50,6 +51,7 @@ def main(arguments: list[str] | None = None) -> None:
     every = [s for s in STAGES if s != "land" or args.source]
     for stage in every if "all" in args.stages else args.stages:
         run[stage]()
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

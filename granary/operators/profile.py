@@ -13,7 +13,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions.aggregates import Measure, both, pearson
+from granary.functions.aggregates import Measure, both, exact_mean, pearson
 from granary.functions.cleaning import as_column
 
 
@@ -22,8 +22,10 @@ def unfold(df: DataFrame, rows: Sequence[Column], by: Sequence[str] = ()) -> Dat
     return df.groupBy(*by).agg(F.array(*rows).alias("rows")).select(*by, F.inline("rows"))
 
 
-def global_mean(df: DataFrame, means: Mapping[str, str | Column]) -> DataFrame:
-    return df.agg(*[F.avg(as_column(c)).alias(n) for n, c in means.items()])
+def global_mean(df: DataFrame, means: Mapping[str, str | Column], scale: int | None = None) -> DataFrame:
+    """One row of means; ``scale`` names the decimal places of fixed-point columns, which are then summed exactly."""
+    mean = F.avg if scale is None else lambda c: exact_mean(c, scale)
+    return df.agg(*[mean(as_column(c)).alias(n) for n, c in means.items()])
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -168,10 +168,9 @@ class HarvestLake:
         train, test = sampling.split_train_test(rows, SPLIT_KEYS)
         keep = [h.CATEGORY, h.YEAR, *h.FEATURES]
         done = modelling.train_and_compare(
-            train, test, h.TARGET, h.FEATURES, h.CATEGORY, keep, models, as_of=self.as_of, **h.PREDICTION_NAMES
-        )
-        model = h.PREDICTION_NAMES["model"]
-        tables.write_table(done.predictions, self.path("predictions"), partition_by=[model])
+            train, test, h.TARGET, h.FEATURES, h.CATEGORY, keep, models, self.path("predictions"),
+            as_of=self.as_of, **h.PREDICTION_NAMES,
+        )
         tables.write_table(done.metrics, self.path("metrics"))
         tables.save_model(done.trained.pipeline(done.best), self.path(f"models/{done.best}"))
         names = [*h.FEATURES, learning.indexed_name(h.CATEGORY)]

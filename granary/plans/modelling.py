@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from granary.functions.cleaning import iso_stamp
 from granary.operators.accuracy import best_model, model_comparison, with_errors
 from granary.operators.learning import Trained, feature_stages, fit_models, regressors, score_all
+from granary.sources.tables import write_table
 from granary.sources.workspace import settle
 
 
@@ -55,18 +56,24 @@ def train_and_compare(
     category: str | None,
     keep: Sequence[str],
     models: Mapping[str, Estimator] | None = None,
+    place: str | None = None,
     **columns,
 ) -> Fitted:
     """Fit all models on train, score test with each, judge all in one pass, name the best by R2.
 
-    The prediction table of all models is settled once; every later report reads it.
+    The prediction table of all models is written once, to ``place`` (by model) if one is given; every later report reads it.
     """
     needed = [*numeric, *([category] if category else []), label]
     stages = feature_stages(numeric, category)
     fitted = fit_models(train.select(*needed), label, stages, models or regressors(label))
     model = columns.get("model", "model")
     scored = score_all(fitted, test, label=model)
-    table = settle(prediction_table(scored, label, "prediction", keep, **columns), "predictions")
+    table = prediction_table(scored, label, "prediction", keep, **columns)
+    if place:
+        write_table(table, place, partition_by=[model])
+        table = train.sparkSession.read.schema(table.schema).parquet(place)
+    else:
+        table = settle(table, "predictions")
     names = {c: columns.get(c, c) for c in ("actual", "predicted", "error_pct")}
     metrics = settle(model_comparison(table, model, **names), "metrics")
     return Fitted(fitted, table, metrics, best_model(metrics, model).first()[model])

@@ -44,6 +44,13 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the tables this application has settled; call it when no result of theirs is read any more."""
+    owner = spark.conf.get("spark.app.id", "session")
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/granary/{owner}")
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def is_broadcast(written: DataFrame) -> bool:
     """Whether a settled table is small enough, in bytes, for the session to broadcast it."""
     spark = written.sparkSession

@@ -158,6 +158,28 @@ def sink_verify(spark, folder):
     return tables.write_verified(table(spark, folder, "orders"), scratch_path(spark, "verified"))
 
 
+@query("select * from supplier")
+def export_copy(spark, folder):
+    """A written table exported to another place and read from there."""
+    source, target = scratch_path(spark, "supplier"), scratch_path(spark, "exported")
+    tables.write_table(table(spark, folder, "supplier"), source)
+    if not tables.export_table(spark, source, target):
+        raise OSError("export failed")
+    return spark.read.parquet(target)
+
+
+@query(
+    "select r_regionkey, not exists (select 1 from nation where n_regionkey = r_regionkey and n_nationkey % 7 = 3) as is_empty "
+    "from region"
+)
+def empty_guard(spark, folder):
+    """Which regions have no nation of a kind, by the guard that stages ask before they go on."""
+    nation = table(spark, folder, "nation").where("n_nationkey % 7 = 3")
+    keys = [r.r_regionkey for r in table(spark, folder, "region").select("r_regionkey").collect()]
+    told = [(k, tables.is_empty(nation.where(F.col("n_regionkey") == k))) for k in keys]
+    return spark.createDataFrame(told, table(spark, folder, "region").select("r_regionkey").schema.add("is_empty", "boolean"))
+
+
 @query("select o_orderpriority, cast(count(*) as int) as n from orders group by 1")
 def sink_csv_roundtrip(spark, folder):
     report = table(spark, folder, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from granary.functions.aggregates import Measure
-from granary.operators import joins
+from granary.operators import features, joins
 from granary.testbed.registry import query, sql_mean, sql_round, sql_sum, table
 
 SEGMENT_FACTORS = {"BUILDING": 1.2, "FURNITURE": 0.9, "MACHINERY": 1.1}
@@ -80,13 +80,23 @@ def yearly_features_large_dim(spark, folder):
     return nation_features(spark, folder, dim_is_small=False)
 
 
+@query(
+    f"select l_returnflag, cast(year(l_shipdate) as int) as year, {sql_round(sql_mean('l_quantity'), 2)} as rain, "
+    f"{sql_round(sql_mean('l_extendedprice'), 2)} as humidity, {sql_round(sql_mean('l_tax'), 2)} as temperature "
+    "from lineitem group by 1, 2"
+)
+def yearly_features_own_category(spark, folder):
+    """Features of a category the measurements hold themselves."""
+    return features.yearly_features(table(spark, folder, "lineitem"), "l_returnflag", "l_shipdate", MEASURES)
+
+
 @query(
     f"select category, year, production, area, rain, humidity, temperature from {SQL_FACTS} "
     f"left join (select * from {SQL_FEATURES} where year % 3 <> 0) using (category, year)"
 )
 def integrate_left_join(spark, folder):
-    features = nation_features(spark, folder).where(F.col("year") % 3 != 0)
-    return joins.integrate_left(nation_facts(spark, folder), features, ["category", "year"])
+    known = nation_features(spark, folder).where(F.col("year") % 3 != 0)
+    return joins.integrate_left(nation_facts(spark, folder), known, ["category", "year"])
 
 
 @query(

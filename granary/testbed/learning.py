@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
@@ -17,25 +16,20 @@ from granary.testbed.registry import query, sql_round, table
 LABEL, CATEGORY = "l_extendedprice", "l_returnflag"
 NUMERIC = ["l_quantity", "l_discount", "l_tax"]
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
-TREES, TREE_DEPTH, ROUNDS, ROUND_DEPTH = 20, 5, 5, 4  # small fits; the defaults are the large ones
 
 
 def _rows(spark, folder):
     return table(spark, folder, "lineitem").select(*KEYS, *NUMERIC, CATEGORY, LABEL)
 
 
-def _small_models(*names):
-    made = {
-        "RandomForest": learning.random_forest(LABEL, TREES, TREE_DEPTH),
-        "GBT": learning.boosted_trees(LABEL, ROUNDS, ROUND_DEPTH),
-        "LinearRegression": learning.elastic_net(LABEL),
-    }
-    return {n: made[n] for n in names}
+def _models(*names):
+    """The regressors as they are, in full size."""
+    return {n: m for n, m in learning.regressors(LABEL).items() if n in names}
 
 
 def _judged(spark, folder, *names):
     train, test = sampling.split_train_test(_rows(spark, folder), KEYS)
-    return train_and_compare(train, test, LABEL, NUMERIC, CATEGORY, KEYS, _small_models(*names))
+    return train_and_compare(train, test, LABEL, NUMERIC, CATEGORY, KEYS, _models(*names))
 
 
 def _line_stages():
@@ -61,8 +55,9 @@ SQL_SCALED = ", ".join(
 )
 def string_index(spark, folder):
     customer = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
-    model = StringIndexer(inputCol="c_mktsegment", outputCol="segment_index").fit(customer)
-    return model.transform(customer).drop("c_mktsegment")
+    index = learning.feature_stages([], "c_mktsegment")[0]
+    indexed = index.fit(customer).transform(customer)
+    return indexed.select("c_custkey", F.col(learning.indexed_name("c_mktsegment")).alias("segment_index"))
 
 
 @query("select l_orderkey, l_linenumber, l_quantity as q, l_tax as t, l_extendedprice as p from lineitem")
@@ -127,18 +122,80 @@ def score_rows(spark, folder):
     return scored.select(*KEYS, F.round("prediction", 4).alias("predicted"))
 
 
-@query("select count(*) as n_rows, cast(0 as bigint) as n_changed from lineitem")
+@query(
+    f"select l_orderkey, l_linenumber, l_partkey, {sql_round('i + s * l_quantity', 4)} as predicted, true as unchanged "
+    f"from lineitem, {SQL_LINE}"
+)
 def model_save_load(spark, folder):
     """A saved pipeline scores every row as the one in memory does."""
     rows = _rows(spark, folder)
     model = Pipeline(stages=_line_stages()).fit(rows)
     path = scratch_path(spark, "model")
     save_model(model, path)
-    before = learning.score(model, rows, "before")
-    both = learning.score(load_model(path), before, "after")
-    return both.agg(
-        F.count("*").alias("n_rows"), F.count_if(F.col("before") != F.col("after")).alias("n_changed")
-    )
+    both = learning.score(load_model(path), learning.score(model, rows, "before"), "after")
+    same = (F.col("before") == F.col("after")).alias("unchanged")
+    return both.select(*KEYS, F.round("after", 4).alias("predicted"), same)
+
+
+PENALTY, MIX = 50.0, 0.4
+SQL_SHRUNK = (
+    "(select (sign(c) * greatest(abs(c) - l * a, 0)) / (1 + l * (1 - a)) as w, mx, sx, my, sy from (select "
+    "covar_samp(l_quantity, l_extendedprice) / stddev_samp(l_quantity) / stddev_samp(l_extendedprice) as c, "
+    f"{PENALTY} / stddev_samp(l_extendedprice) as l, {MIX} as a, avg(l_quantity) as mx, stddev_samp(l_quantity) as sx, "
+    "avg(l_extendedprice) as my, stddev_samp(l_extendedprice) as sy from lineitem))"
+)
+
+
+@query(f"select {sql_round('w * sy / sx', 2)} as slope, {sql_round('my', 1)} as at_the_mean from {SQL_SHRUNK}")
+def elastic_net_single(spark, folder):
+    """One feature: the elastic net is soft thresholding of the correlation, then shrinking."""
+    rows = _rows(spark, folder)
+    net = learning.elastic_net(LABEL, penalty=PENALTY, mix=MIX, tol=1e-12)
+    fitted = learning.fit_models(rows.select("l_quantity", LABEL), LABEL, learning.feature_stages(["l_quantity"]), {"net": net})
+    means = rows.agg(F.avg("l_quantity").alias("l_quantity")).withColumn("more", F.lit(0.0))
+    ends = means.union(means.select(F.col("l_quantity") + 1, F.lit(1.0)))
+    at = learning.score(fitted.pipeline("net"), ends)
+    first = F.max(F.when(F.col("more") == 0, F.col("prediction")))
+    return at.agg(F.round(F.max(F.when(F.col("more") == 1, F.col("prediction"))) - first, 2).alias("slope"), F.round(first, 1).alias("at_the_mean"))
+
+
+# The best cut of a column of few values: the one that leaves the least squared error on its two sides.
+SQL_STUMP = (
+    "(with v as (select l_discount as x, count(*) as n, sum(l_extendedprice) as s from lineitem group by 1), "
+    "c as (select x, sum(n) over (order by x) as ln, sum(s) over (order by x) as ls, sum(n) over () as n, sum(s) over () as s from v) "
+    "select x as cut, ls / ln as low, (s - ls) / (n - ln) as high from c where n > ln "
+    "order by ls * ls / ln + (s - ls) * (s - ls) / (n - ln) desc, x limit 1)"
+)
+SQL_STUMP_ROWS = (
+    f"select l_orderkey, l_linenumber, l_partkey, {sql_round('case when l_discount <= cut then low else high end', 2)} "
+    f"as predicted from lineitem, {SQL_STUMP}"
+)
+
+
+def _stump(spark, folder, model):
+    rows = _rows(spark, folder)
+    fitted = learning.fit_models(rows.select("l_discount", LABEL), LABEL, learning.feature_stages(["l_discount"]), {"stump": model})
+    return fitted.pipeline("stump"), rows.select(*KEYS, "l_discount")
+
+
+@query(SQL_STUMP_ROWS)
+def forest_stump(spark, folder):
+    """One tree of depth one over all rows: the cut with the least squared error."""
+    model, rows = _stump(spark, folder, learning.random_forest(LABEL, 1, 1, bootstrap=False, featureSubsetStrategy="all"))
+    return learning.score(model, rows).select(*KEYS, F.round("prediction", 2).alias("predicted"))
+
+
+@query(SQL_STUMP_ROWS)
+def boosted_stump(spark, folder):
+    """One round of depth one is the same cut."""
+    model, rows = _stump(spark, folder, learning.boosted_trees(LABEL, 1, 1))
+    return learning.score(model, rows).select(*KEYS, F.round("prediction", 2).alias("predicted"))
+
+
+@query("select cast(1 as int) as rank, 'l_discount' as feature, 1.0::double as importance from lineitem limit 1")
+def stump_importance(spark, folder):
+    model, rows = _stump(spark, folder, learning.random_forest(LABEL, 1, 1, bootstrap=False, featureSubsetStrategy="all"))
+    return learning.feature_importance(model, ["l_discount"], rows)
 
 
 @query()
@@ -167,7 +224,7 @@ def trained_models(spark, folder):
 def feature_importance(spark, folder):
     rows = _rows(spark, folder).drop(*KEYS)
     stages = learning.feature_stages(NUMERIC, CATEGORY)
-    model = learning.fit_models(rows, LABEL, stages, _small_models("RandomForest")).pipeline("RandomForest")
+    model = learning.fit_models(rows, LABEL, stages, _models("RandomForest")).pipeline("RandomForest")
     return learning.feature_importance(model, [*NUMERIC, learning.indexed_name(CATEGORY)], rows)
 
 

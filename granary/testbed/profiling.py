@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from granary.functions.aggregates import Measure, exact_mean
+from granary.functions.aggregates import Measure
 from granary.operators import profile
 from granary.testbed.registry import query, sql_mean, sql_round, sql_sum, table
 from granary.testbed.shaping import NULLED_EVENTS, nulled_events
@@ -18,8 +18,8 @@ def _union(parts):
 
 @query(f"select {sql_mean('l_extendedprice')} as mean_price, {sql_mean('l_quantity')} as mean_quantity from lineitem")
 def global_mean(spark, folder):
-    return table(spark, folder, "lineitem").agg(
-        exact_mean("l_extendedprice", 2).alias("mean_price"), exact_mean("l_quantity", 2).alias("mean_quantity")
+    return profile.global_mean(
+        table(spark, folder, "lineitem"), {"mean_price": "l_extendedprice", "mean_quantity": "l_quantity"}, scale=2
     )
 
 
