@@ -39,7 +39,11 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def volume_summary(real: DataFrame, synthetic: DataFrame) -> DataFrame:
     """(dataset, n_rows, ratio_to_real) for real, synthetic and combined rows."""
-    n = row_counts({"real": real, "synthetic": synthetic})
+    return volumes(row_counts({"real": real, "synthetic": synthetic}))
+
+
+def volumes(n: DataFrame) -> DataFrame:
+    """The same from (dataset, n_rows) of the real and the synthetic rows."""
     total = n.agg(
         F.sum(F.when(F.col("dataset") == "real", F.col("n_rows"))).alias("r"),
         F.sum(F.when(F.col("dataset") == "synthetic", F.col("n_rows"))).alias("s"),
@@ -175,12 +179,17 @@ def feature_target_correlation(
     )
 
 
+def trend_columns(feature: str, target: str) -> tuple[Column, Column]:
+    """Aggregates slope and intercept of the target on the feature."""
+    x, y = both(feature, target)
+    return F.regr_slope(y, x), F.regr_intercept(y, x)
+
+
 def linear_trend(
     df: DataFrame, feature: str, target: str, by: Sequence[str] = (), digits: int | None = None
 ) -> DataFrame:
     """Slope and intercept of the target on the feature; null where the feature is constant."""
-    x, y = both(feature, target)
-    slope, intercept = F.regr_slope(y, x), F.regr_intercept(y, x)
+    slope, intercept = trend_columns(feature, target)
     if digits is not None:
         slope, intercept = F.round(slope, digits), F.round(intercept, digits)
     return df.groupBy(*by).agg(slope.alias("slope"), intercept.alias("intercept"))
@@ -200,17 +209,42 @@ def histogram(df: DataFrame, column: str, bins: int, density: bool = False) -> D
     column gets a range of width one around its value.
     """
     x = F.col(column).cast("double")
-    ends = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n")).select(
-        F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-        "n",
+    ends = histogram_ends(df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n")), "lo", "hi", "n")
+    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    placed = df.where(x.isNotNull()).select(_bin(x, lo, hi, bins).alias("bin"))
+    return histogram_table(ends, placed.groupBy("bin").agg(F.count("*").alias("n")), bins, density)
+
+
+def histogram_ends(row: DataFrame, low: str, high: str, n: str) -> DataFrame:
+    """One row (lo, hi, n) of a histogram from a row of aggregates."""
+    lo, hi = F.col(low).cast("double"), F.col(high).cast("double")
+    return row.select(
+        F.when(lo == hi, lo - 0.5).otherwise(lo).alias("lo"), F.when(lo == hi, hi + 0.5).otherwise(hi).alias("hi"), F.col(n).alias("n")
     )
+
+
+def _bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
+    return F.least(F.floor((x - lo) / ((hi - lo) / F.lit(float(bins)))).cast("int") + 1, F.lit(bins))
+
+
+def bin_counts(df: DataFrame, wanted: Mapping[str, tuple[str, int, DataFrame]]) -> DataFrame:
+    """(name, bin, n) of many histograms from one pass: for each name its column, its bins and its ends."""
+    rows = [
+        F.struct(
+            F.lit(name).alias("name"),
+            _bin(F.col(c).cast("double"), ends.select("lo").scalar(), ends.select("hi").scalar(), bins).alias("bin"),
+        )
+        for name, (c, bins, ends) in wanted.items()
+    ]
+    placed = df.select(F.inline(F.array(*rows))).where(F.col("bin").isNotNull())
+    return placed.groupBy("name", "bin").agg(F.count("*").alias("n"))
+
+
+def histogram_table(ends: DataFrame, counted: DataFrame, bins: int, density: bool = False) -> DataFrame:
+    """All bins of a histogram from its ends and the counts (bin, n) of the bins that have rows."""
     lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
-    placed = df.where(x.isNotNull()).select(x.alias("x"), lo.alias("lo"), hi.alias("hi"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    at = F.least(F.floor((F.col("x") - F.col("lo")) / width).cast("int") + 1, F.lit(bins))
-    counted = placed.groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
-    frame = df.sparkSession.range(1, bins + 1, numPartitions=1).select(F.col("id").cast("int").alias("bin"))
+    frame = ends.sparkSession.range(1, bins + 1, numPartitions=1).select(F.col("id").cast("int").alias("bin"))
     frame = frame.withColumns({"lo": lo, "hi": hi})
     edge = lambda i: F.col("lo") + i * width
     out = frame.join(counted, "bin", "left").select(

@@ -9,21 +9,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.aggregates import Measure
+from granary.functions.cleaning import as_column
 from granary.functions.scoring import BAND_LABELS, rating
 from granary.operators import accuracy as acc
-from granary.operators.features import grouped_measures
 from granary.operators.profile import (
+    bin_counts,
     correlation_columns,
-    correlation_matrix,
     correlation_pairs,
-    feature_target_correlation,
     growth_rate,
     histogram,
+    histogram_ends,
+    histogram_table,
     joint_extent,
-    linear_trend,
-    value_counts,
-    volume_summary,
+    trend_columns,
+    volumes,
 )
+from granary.sources.workspace import settle
 
 
 def accuracy_pack(
@@ -34,17 +35,28 @@ def accuracy_pack(
     actual: str = acc.ACTUAL,
     error_pct: str = acc.ERROR_PCT,
 ) -> dict[str, DataFrame]:
-    """The accuracy tables of one prediction set; hand in a settled table, each entry scans it."""
+    """The accuracy tables of one prediction set; hand in a settled table.
+
+    Years, categories and their extremes come from one grouping by both, which is settled.
+    """
+    sums = {"e": F.sum(error_pct), "n": F.count(error_pct), "a": F.sum(actual), "an": F.count(actual)}
+    groups = settle(
+        predictions.groupBy(F.col(category).alias("category"), as_column(year).alias("year")).agg(*[c.alias(n) for n, c in sums.items()]),
+        "error-groups",
+    )
+    mean_error = F.try_divide(F.sum("e").cast("double"), F.sum("n").cast("double")).alias("mean_error_pct")
+    mean_actual = F.round(F.try_divide(F.sum("a").cast("double"), F.sum("an").cast("double")), 2).alias("mean_actual")
+    by_category = groups.groupBy(F.col("category").alias(category)).agg(mean_error, F.sum("n").alias("n"), mean_actual)
     return {
         "accuracy_by_range": acc.error_by_range(predictions, actual, error_pct),
-        "accuracy_by_year": acc.error_by(predictions, year, "year", error_pct),
-        "accuracy_by_category": acc.error_by(predictions, category, category, error_pct, actual, digits=2),
+        "accuracy_by_year": groups.groupBy("year").agg(mean_error, F.sum("n").alias("n")).orderBy("year"),
+        "accuracy_by_category": by_category.withColumn("mean_error_pct", F.round("mean_error_pct", 2)).orderBy("mean_error_pct", category),
         "error_distribution": acc.error_distribution(predictions, error_pct),
         "error_histogram": histogram(predictions, error_pct, 50),
         "error_bands": acc.error_bands(predictions, error_pct),
         "worst_predictions": acc.extreme_predictions(predictions, shown, error_pct, worst=True),
         "best_predictions": acc.extreme_predictions(predictions, shown, error_pct, worst=False),
-        "best_and_worst_category": acc.best_and_worst(predictions, category, error_pct),
+        "best_and_worst_category": acc.best_and_worst(by_category, category, "mean_error_pct"),
     }
 
 
@@ -59,26 +71,44 @@ def plot_data(
     actual: str = acc.ACTUAL,
     predicted: str = acc.PREDICTED,
 ) -> dict[str, DataFrame]:
-    """Tables behind the overview, distribution, trend and residual charts."""
+    """Tables behind the overview, distribution, trend and residual charts.
+
+    Passes: over the gold rows one for all aggregates of the whole, one for all histograms and one by year and
+    category; over the synthetic rows the first two; the results are settled and every chart table is cut from them.
+    """
+    names = [*features, target]
     sums = [Measure(c, c, "sum", None) for c in (target, features[0])]
     means = [Measure(c, c, "mean", None) for c in features[1:]]
+    series = settle(
+        gold.groupBy(year, category).agg(*[m.direct() for m in [*sums, *means]], F.count(F.lit(1)).alias("__rows")), "series"
+    )
     out = {
-        "volume": volume_summary(gold, synthetic),
-        "year_coverage": value_counts(gold, year, year),
-        "category_counts": value_counts(gold, category, category),
-        "yearly_series": grouped_measures(gold, [year, category], [*sums, *means]),
-        "feature_target": feature_target_correlation(gold, features, target),
-        "correlation_real": correlation_matrix(gold, [*features, target]),
-        "correlation_synthetic": correlation_matrix(synthetic, [*features, target]),
+        "year_coverage": series.groupBy(year).agg(F.sum("__rows").alias("n")),
+        "category_counts": series.groupBy(category).agg(F.sum("__rows").alias("n")),
+        "yearly_series": series.drop("__rows"),
         "extent": joint_extent(predictions, actual, predicted),
         "residuals": acc.residual_points(predictions, actual, predicted),
     }
+    rows: dict[str, DataFrame] = {}
     for source, df in (("real", gold), ("synthetic", synthetic)):
-        out[f"histogram_{source}_{target}"] = histogram(df, target, 30)
-        for c in [*features, target]:
-            out[f"density_{source}_{c}"] = histogram(df, c, 20, density=True)
-    for c in features:
-        out[f"trend_{c}"] = linear_trend(gold, c, target)
+        trends = [c.alias(f"{n}_{i}") for i, f in enumerate(features) for n, c in zip(("slope", "intercept"), trend_columns(f, target))]
+        ends = [f(c).alias(f"{n}_{i}") for i, c in enumerate(names) for n, f in (("low", F.min), ("high", F.max), ("count", F.count))]
+        whole = rows[source] = settle(df.agg(F.count(F.lit(1)).alias("n_rows"), *correlation_columns(names), *trends, *ends), "whole")
+        pairs = [F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), r.alias("r")) for a, b, r in correlation_pairs(names)]
+        out[f"correlation_{source}"] = whole.select(F.inline(F.array(*pairs)))
+        wanted = {f"density_{source}_{c}": (c, 20, histogram_ends(whole, f"low_{i}", f"high_{i}", f"count_{i}")) for i, c in enumerate(names)}
+        last = len(names) - 1
+        wanted[f"histogram_{source}_{target}"] = (target, 30, histogram_ends(whole, f"low_{last}", f"high_{last}", f"count_{last}"))
+        counted = settle(bin_counts(df, wanted), "bins")
+        for name, (_, bins, own) in wanted.items():
+            mine = counted.where(F.col("name") == name).select("bin", "n")
+            out[name] = histogram_table(own, mine, bins, density=name.startswith("density"))
+    told = [F.struct(F.lit(f).alias("feature"), F.col(f"r_{i}_{len(features)}").alias("r")) for i, f in enumerate(features)]
+    out["feature_target"] = rows["real"].select(F.inline(F.array(*told)))
+    for i, f in enumerate(features):
+        out[f"trend_{f}"] = rows["real"].select(F.col(f"slope_{i}").alias("slope"), F.col(f"intercept_{i}").alias("intercept"))
+    counts = [rows[s].select(F.lit(s).alias("dataset"), "n_rows") for s in ("real", "synthetic")]
+    out["volume"] = volumes(counts[0].union(counts[1]))
     return out
 
 
