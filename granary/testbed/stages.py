@@ -214,6 +214,53 @@ def gold_partial_features(spark, folder):
     return gold.gold_features(facts, nation_features(spark, folder), ["category", "year"], names[3:], names)
 
 
+@query(
+    f"select 'category' as part, l_returnflag as key, {sql_round('avg(error_pct)', 2)} as value, count(error_pct) as n from {PREDICTIONS} group by 2 "
+    f"union all select 'year', cast(year as varchar), {sql_round('avg(error_pct)', 4)}, count(error_pct) from {PREDICTIONS} group by 2 "
+    f"union all select 'histogram', 'all', null, count(error_pct) from {PREDICTIONS} "
+    "union all select 'worst', cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar), round(error_pct, 4), 1 from "
+    f"(select * from {PREDICTIONS} order by error_pct desc, l_orderkey, l_linenumber limit 10)"
+)
+def accuracy_pack(spark, folder):
+    """Four tables of the pack, one below the other."""
+    judged = settle(predictions(spark, folder), "judged")
+    pack = analysis.accuracy_pack(judged, "l_returnflag", "year", ["l_orderkey", "l_linenumber"])
+    spot = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    parts = [
+        pack["accuracy_by_category"].select(F.lit("category").alias("part"), F.col("l_returnflag").alias("key"), F.col("mean_error_pct").alias("value"), "n"),
+        pack["accuracy_by_year"].select(F.lit("year"), F.col("year").cast("string"), F.round("mean_error_pct", 4), "n"),
+        pack["error_histogram"].agg(F.sum("n").alias("n")).select(F.lit("histogram"), F.lit("all"), F.lit(None).cast("double"), "n"),
+        pack["worst_predictions"].select(F.lit("worst"), spot, F.round("error_pct", 4), F.lit(1).cast("bigint")),
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+@query(
+    "select 'volume' as part, 'real' as key, cast(count(*) as double) as value from orders where o_orderkey % 2 = 0 "
+    "union all select 'volume', 'synthetic', count(*) from orders where o_orderkey % 2 <> 0 "
+    "union all select 'volume', 'combined', count(*) from orders "
+    f"union all select 'trend', 'slope', {sql_round('regr_slope(o_totalprice, o_custkey)', 6)} from orders where o_orderkey % 2 = 0 "
+    "union all select 'year', cast(year(o_orderdate) as varchar), count(*) from orders where o_orderkey % 2 = 0 group by 2 "
+    "union all select 'density', 'rows', 1"
+)
+def chart_pack(spark, folder):
+    """Chart tables of orders, even keys taken for real rows and odd ones for synthetic ones."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("year"), F.col("o_custkey").cast("double").alias("customer"), "o_totalprice"
+    )
+    real, synthetic = orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 2 <> 0")
+    judged = predictions(spark, folder)
+    pack = analysis.plot_data(judged, real, synthetic, ["customer"], "o_totalprice", "o_orderstatus", "year")
+    density = pack["density_synthetic_o_totalprice"].agg(F.round(F.sum(F.col("density") * (F.col("upper") - F.col("lower"))), 9))
+    parts = [
+        pack["volume"].select(F.lit("volume").alias("part"), F.col("dataset").alias("key"), F.col("n_rows").cast("double").alias("value")),
+        pack["trend_customer"].select(F.lit("trend"), F.lit("slope"), F.round("slope", 6)),
+        pack["year_coverage"].select(F.lit("year"), F.col("year").cast("string"), F.col("n").cast("double")),
+        density.select(F.lit("density"), F.lit("rows"), density.columns[0]),
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
 def _sql_report():
     def row(section, metric, value, source):
         return f"select '{section}' as section, {metric} as metric, cast({value} as varchar) as value from {source}"
