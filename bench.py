@@ -53,6 +53,9 @@ HEADLINE = (
 )
 
 
+LONG = 20.0
+
+
 def run_whole(df: DataFrame) -> None:
     """Compute every row and column without keeping them."""
     df.write.format("noop").mode("overwrite").save()
@@ -78,7 +81,7 @@ def main() -> None:
     seconds = {}
     for name in HEADLINE:
         times = []
-        for _ in range(repeats):
+        while len(times) < repeats and sum(times) < LONG:  # a long query counts as it runs the first time
             start = time.perf_counter()
             run_whole(known[name].run(spark, folder))
             times.append(time.perf_counter() - start)
