@@ -8,10 +8,7 @@ from granary.sources import delimited, landing, tables
 from granary.sources.workspace import scratch_path
 from granary.testbed.registry import query, table
 
-PARQUET_NAMES = (
-    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels",
-    "lineitem", "nation", "orders", "pages", "part", "region", "supplier",
-)
+LISTED = ("customer", "nation", "orders", "supplier")
 
 
 def _as_csv(df, spark, label, sep, partition_by=None):
@@ -21,13 +18,15 @@ def _as_csv(df, spark, label, sep, partition_by=None):
     return path
 
 
-@query(
-    "select name || '.parquet' as name from (values "
-    + ", ".join(f"('{n}')" for n in PARQUET_NAMES)
-    + ") as t(name)"
-)
+@query(" union all ".join(f"select '{n}.parquet' as name, count(*) as n_rows, true as has_bytes from {n}" for n in LISTED))
 def landing_manifest(spark, folder):
-    return landing.manifest(spark, folder, "*.parquet").select("name")
+    """Listed files with the rows that are read from them."""
+    listed = landing.manifest(spark, folder, "*.parquet").select("name", (F.col("length") > 0).alias("has_bytes"))
+    read = table(spark, folder, LISTED[0]).select(F.col("_metadata.file_name").alias("name"))
+    for n in LISTED[1:]:
+        read = read.union(table(spark, folder, n).select(F.col("_metadata.file_name")))
+    rows = read.groupBy("name").agg(F.count("*").alias("n_rows"))
+    return listed.join(rows, "name").select("name", "n_rows", "has_bytes")
 
 
 @query("select 'customer' as copied, count(*) as n_rows, cast(sum(c_custkey) as bigint) as keys from customer")
