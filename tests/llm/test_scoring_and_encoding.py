@@ -54,6 +54,15 @@ def test_model_beats_the_base_on_held_out_texts(spark):
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got) + 0.2 * sum(r["n_tokens"] for r in got)
 
 
+def test_most_frequent_words(spark):
+    draw = random.Random(7)
+    rows = [(f"w{i}", int(2 ** draw.uniform(1, 9))) for i in range(500)]
+    counts = spark.createDataFrame(rows, "word string, c long")
+    for n in (1, 37, 499, 600):
+        want = sorted(rows, key=lambda r: (-r[1], r[0]))[:n]
+        assert [tuple(r) for r in brown.most_frequent(counts, n).collect()] == want
+
+
 def test_transitions_are_a_distribution():
     table = np.random.default_rng(0).integers(0, 50, (brown.ALL, brown.ALL))
     assert np.allclose((10 ** brown.log_transitions(table)).sum(axis=1), 1)
