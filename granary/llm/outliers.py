@@ -224,7 +224,8 @@ def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 def _starts(rows: DataFrame) -> DataFrame:
     """Two first estimates of each cell: plain moments, and medians with absolute deviations."""
     plain_sums = rows.groupBy("cell").agg(*_sums()).withColumn("start", F.lit(0))
-    middle = rows.groupBy("cell").agg(*(F.percentile_approx(f"x{i}", 0.5).alias(f"c{i}") for i in range(P)))
+    # Settled, so that its size shows: rows then stay where they are and a hot cell is summed up map-side.
+    middle = settle(rows.groupBy("cell").agg(*(F.percentile_approx(f"x{i}", 0.5).alias(f"c{i}") for i in range(P))), "medians")
     spread = (
         rows.join(middle, "cell").groupBy("cell")
         .agg(F.count(F.lit(1)).alias("n"), *(F.first(f"c{i}").alias(f"c{i}") for i in range(P)),
