@@ -13,11 +13,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from granary.llm import simhash
 from granary.llm.outliers import judge
 from granary.llm.packing import pack
 from granary.llm.private import redact
 from granary.llm.repeats import remove_repeats
-from granary.llm.simhash import near_duplicates
 from granary.llm.text import text_mark
 from granary.sources.workspace import settle
 
@@ -46,11 +46,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id, of its texts the one with the least hash.
+    """One document of each group of near copies (texts of similarity 0.8 in words, see ``simhash.near_copies``): the one with the smallest doc_id, of its texts the one with the least hash.
 
     Without any doc_id in a group, the text with the least hash stays.
     """
-    found = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = simhash.near_copies(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     group = Window.partitionBy("root").orderBy("mark")
     first = found.select("doc_id", "mark", "root").distinct().withColumn("rank", F.row_number().over(group))
     kept = _keyed(docs).join(_keys(first.filter("rank = 1")), _same(), "left_semi")

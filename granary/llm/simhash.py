@@ -14,6 +14,11 @@ the data. Shards above ``SHARD_ROWS`` are cut again by the thirds of their other
 32 bits, one of which linked members share. A shard reports one link per member
 and component, never all its pairs.
 
+``near_copies`` is for pipelines: texts are linked when the Jaccard similarity of their sets of ``COPY_SHINGLE`` lower-case words in
+a row is ``COPY_SIMILARITY`` or more. Such texts are some ten bits apart, too many for quarters, so shards are the texts with
+equal MinHash bands. BK-trees with the wide radius propose links within a shard, and the shingles of the texts
+decide each of them. Equal sets are folded first, and equal groups of several shards are examined once.
+
 Nulls: a null text is an empty one, with fingerprint zero. A null doc_id stands for no number;
 a component without any other id has a null component_id. Repeated rows give repeated rows.
 """
@@ -37,15 +42,19 @@ SHINGLE = 3
 SEED = 42
 RADIUS = 2
 SHARD_ROWS = 20_000
+COPY_SHINGLE = 5
+COPY_SIMILARITY = 0.8
+COPY_RADIUS = 20  # fingerprints of sets with similarity 0.8 are 9.7 bits apart on average
+BANDS = 12
+BAND_HASHES = 3  # least hashes in a band; a pair of similarity 0.8 has a band in common with a chance of 1 - (1 - 0.8^3)^12 = 0.9998
 QUARTERS = ((0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3))
 
 
-def fingerprints(texts: pa.Array, width: int = SHINGLE) -> np.ndarray:
-    """The 64-bit SimHash of every text, over shingles of ``width`` words with repeats."""
+def shingle_hashes(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every text's shingles of ``width`` words with repeats, in order, and how many each text has."""
     flat, starts = word_lists(texts, lower=True)
-    out = np.zeros(len(starts) - 1, dtype=np.uint64)
     if not len(flat):
-        return out
+        return np.empty(0, dtype=np.uint64), np.zeros(len(starts) - 1, dtype=np.int64)
     data = " ".join(flat.to_pylist()).encode()
     ends = np.cumsum(pc.binary_length(flat).to_numpy(zero_copy_only=False).astype(np.int64) + 1) - 1
     begins = np.concatenate([[0], ends[:-1] + 1])
@@ -57,6 +66,19 @@ def fingerprints(texts: pa.Array, width: int = SHINGLE) -> np.ndarray:
     last = np.minimum(first + width, starts[owner + 1]) - 1
     of = xxhash.xxh64_intdigest
     hashes = np.fromiter((of(data[a:b], SEED) for a, b in zip(begins[first].tolist(), ends[last].tolist())), np.uint64, len(first))
+    return hashes, shingles
+
+
+def fingerprints(texts: pa.Array, width: int = SHINGLE) -> np.ndarray:
+    """The 64-bit SimHash of every text, over shingles of ``width`` words with repeats."""
+    return _majority(*shingle_hashes(texts, width))
+
+
+def _majority(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(shingles), dtype=np.uint64)
+    if not len(hashes):
+        return out
+    offset = np.concatenate([[0], np.cumsum(shingles)])
     full = np.flatnonzero(shingles)
     bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     ones = np.add.reduceat(bits, offset[full], axis=0, dtype=np.int32)
@@ -94,17 +116,20 @@ class BKTree:
 
     def within(self, value: int, radius: int) -> list[int]:
         """Places of the values at most ``radius`` away."""
-        found, todo = [], [0] if self.values else []
+        return list(self.nearby(value, radius))
+
+    def nearby(self, value: int, radius: int) -> Iterator[int]:
+        """Places of the values at most ``radius`` away, as the search meets them."""
+        todo = [0] if self.values else []
         while todo:
             at = todo.pop()
             distance = (self.values[at] ^ value).bit_count()
             if distance <= radius:
-                found.append(at)
+                yield at
             kids = self.children[at]
             for edge in range(max(0, distance - radius), distance + radius + 1):
                 if edge in kids:
                     todo.append(kids[edge])
-        return found
 
 
 def shard_links(members: list[int], radius: int) -> list[tuple[int, int]]:
@@ -116,10 +141,16 @@ def shard_links(members: list[int], radius: int) -> list[tuple[int, int]]:
             parent[i] = i = parent[parent[i]]
         return i
 
+    parts = 0
     for i, value in enumerate(members):
-        for j in tree.within(value, radius):
+        parts += 1
+        for j in tree.nearby(value, radius):
             a, b = top(i), top(j)
-            parent[max(a, b)] = min(a, b)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                parts -= 1
+            if parts == 1:
+                break  # all seen so far are connected
         tree.add(value)
     return [(members[i], members[top(i)]) for i in range(len(members)) if top(i) != i]
 
@@ -196,3 +227,168 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return prints.join(owner, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "mark", "root"
     )
+
+
+def shingle_sets(texts: pa.Array, width: int = COPY_SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of every text's shingles in ascending order, and how many each text has."""
+    hashes, counts = shingle_hashes(texts, width)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    new = np.ones(len(hashes), dtype=bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    return hashes[new], np.bincount(owner[new], minlength=len(counts))
+
+
+def _mixed(hashes: np.ndarray, seed: int) -> np.ndarray:
+    mixed = hashes ^ np.uint64(seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return mixed ^ (mixed >> np.uint64(29))
+
+
+def copy_prints(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every text: a hash of its set of shingles, the set's SimHash, and its MinHash bands as rows."""
+    hashes, counts = shingle_sets(texts)
+    same, bands = np.zeros(len(counts), dtype=np.uint64), np.zeros((len(counts), BANDS), dtype=np.uint64)
+    full = np.flatnonzero(counts)
+    if len(full):
+        at = np.concatenate([[0], np.cumsum(counts)])[full]
+        same[full] = np.add.reduceat(_mixed(hashes, 0), at)
+        for b in range(BANDS):
+            key = np.full(len(full), b, dtype=np.uint64)
+            for i in range(BAND_HASHES):
+                key = _mixed(key, 1) + np.minimum.reduceat(_mixed(hashes, 2 + b * BAND_HASHES + i), at)
+            bands[full, b] = key
+    return same, _majority(hashes, counts), bands
+
+
+def _copy_table(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, same, fp, bands) of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, limit=1 << 20):
+            same, fp, bands = copy_prints(part.column("text"))
+            lists = pa.ListArray.from_arrays(np.arange(len(same) + 1, dtype=np.int32) * BANDS, pa.array(bands.view(np.int64).ravel()))
+            made = [pa.array(same.view(np.int64)), pa.array(fp.view(np.int64)), lists]
+            yield pa.record_batch([part.column("doc_id"), part.column("mark"), *made], names=["doc_id", "mark", "same", "fp", "bands"])
+
+    wanted = docs.select(F.col("doc_id").cast("long"), text_mark("text").alias("mark"), F.col("text").cast("string"))
+    return wanted.mapInArrow(run, "doc_id long, mark long, same long, fp long, bands array<long>")
+
+
+def _proposed(classes: DataFrame) -> DataFrame:
+    """(grp, same): the groups of two or more that BK-trees connect within a shard; equal groups of several shards are one."""
+    keyed = classes.select("same", "fp", F.explode("bands").alias("shard"))
+    keyed = keyed.join(keyed.groupBy("shard").count().filter("count > 1").select("shard"), "shard")
+
+    def groups(members: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+        prints = sorted({fp for fp, _ in members})
+        first = dict(shard_links(prints, COPY_RADIUS))
+        found: dict[int, list[int]] = {}
+        for fp, same in members:
+            found.setdefault(first.get(fp, fp), []).append(same)
+        for part in found.values():
+            if len(part) > 1:
+                name = xxhash.xxh64_intdigest(np.sort(np.array(part, dtype=np.int64)).tobytes(), SEED)
+                yield from ((name, same) for same in part)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, members = None, []
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for shard, fp, same in zip(*(batch.column(c).to_pylist() for c in ("shard", "fp", "same"))):
+                if shard != key:
+                    found += groups(members)
+                    key, members = shard, []
+                members.append((fp & 0xFFFFFFFFFFFFFFFF, same))
+            yield _grouped(found)
+        yield _grouped(list(groups(members)))
+
+    dealt = keyed.repartition("shard").sortWithinPartitions("shard", "fp").select("shard", "fp", "same")
+    return dealt.mapInArrow(run, "grp long, same long").distinct()
+
+
+def _grouped(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    names = np.array([g for g, _ in found], dtype=np.uint64).view(np.int64)
+    return pa.record_batch([pa.array(names), pa.array([s for _, s in found], pa.int64())], names=["grp", "same"])
+
+
+def similar_links(members: list[tuple[int, int, np.ndarray]], least: float = COPY_SIMILARITY) -> list[tuple[int, int]]:
+    """Links between (name, fingerprint, shingles) of similarity ``least`` or more, enough to connect what they connect.
+
+    Every proposal of the tree is decided by the shingles, except between members that are connected already.
+    """
+    tree, at_print, parent = BKTree(), {}, list(range(len(members)))
+
+    def top(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    out, parts = [], 0
+    for i, (name, fp, mine) in enumerate(members):
+        parts += 1
+        alone = parts == 1
+        for place in () if alone else tree.nearby(fp, COPY_RADIUS):
+            for j in at_print[tree.values[place]]:
+                a, b = top(i), top(j)
+                if a != b:
+                    theirs = members[j][2]
+                    both = min(len(mine), len(theirs))
+                    if both >= least * max(len(mine), len(theirs)):
+                        common = len(np.intersect1d(mine, theirs, assume_unique=True))
+                        if common >= least * (len(mine) + len(theirs) - common):
+                            parent[max(a, b)] = min(a, b)
+                            out.append((name, members[j][0]))
+                            parts -= 1
+            if parts == 1:
+                break  # all seen so far are connected
+        if fp not in at_print:
+            at_print[fp] = []
+            tree.add(fp)
+        at_print[fp].append(i)
+    return out
+
+
+def _decided(docs: DataFrame, proposed: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): the links of every proposed group that the texts' shingles bear out."""
+    wanted = proposed.select("same").distinct().join(classes.select("same", "fp", "mark"), "same")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select(text_mark("text").alias("mark"), text.alias("text")).join(wanted.select("mark"), "mark", "left_semi")
+    texts = texts.groupBy("mark").agg(F.first("text").alias("text"))
+    rows = proposed.join(wanted.join(texts, "mark").select("same", "fp", "text"), "same")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, members = None, []
+        for part in slices(batches):
+            found: list[tuple[int, int]] = []
+            hashes, counts = shingle_sets(part.column("text"))
+            sets = np.split(hashes, np.cumsum(counts)[:-1])
+            for grp, fp, same, mine in zip(*(part.column(c).to_pylist() for c in ("grp", "fp", "same")), sets):
+                if grp != key:
+                    found += similar_links(members)
+                    key, members = grp, []
+                members.append((same, fp & 0xFFFFFFFFFFFFFFFF, mine.copy()))
+            yield _linked(found)
+        yield _linked(similar_links(members))
+
+    dealt = rows.repartition("grp").sortWithinPartitions("grp", "fp", "same").select("grp", "fp", "same", "text")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _linked(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    made = np.array(found, dtype=np.int64).reshape(-1, 2)
+    return pa.record_batch([pa.array(made[:, 0]), pa.array(made[:, 1])], names=["a", "b"])
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, component_id, root) for every row: components of texts of similarity ``COPY_SIMILARITY``, the ids as in ``near_duplicates``."""
+    prints = settle(_copy_table(docs), "copy-prints")
+    same = prints.groupBy("same").agg(F.min("doc_id").alias("first"), F.min(F.struct("mark", "fp", "bands")).alias("one"))
+    classes = settle(same.select("same", "first", "one.*"), "copy-classes")
+    shingled = classes.filter("same <> 0")
+    proposed = settle(_proposed(shingled), "copy-groups")
+    joined = components(_decided(docs, proposed, shingled))
+    roots = classes.select("same", "first").join(joined.withColumnRenamed("node", "same"), "same", "left").withColumn("root", F.coalesce("root", "same"))
+    owner = roots.join(roots.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("same", "root", "component_id")
+    return prints.select("doc_id", "mark", "same").join(owner, "same").select("doc_id", "mark", "component_id", "root")

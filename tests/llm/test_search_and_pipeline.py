@@ -113,6 +113,37 @@ def test_repeated_rows_are_one_near_copy(spark):
     assert sorted(got, key=str) == sorted([(7, prose(1, 50)), (7, prose(2, 50)), (None, prose(3, 50))], key=str)
 
 
+def test_near_copies_are_texts_that_share_four_fifths_of_their_shingles(spark):
+    draw = random.Random(12)
+    rows = []
+    for i in range(40):
+        words = prose(i, draw.randint(100, 600)).split()
+        rows.append((10 * i, " ".join(words)))
+        for k in range(1, draw.randint(1, 5)):
+            for _ in range(max(1, len(words) // draw.choice([25, 50, 100, 200]))):
+                words[draw.randrange(len(words))] = "new" + str(draw.randrange(10**6))
+            rows.append((10 * i + k, " ".join(words)))
+    rows += [(1000 + i, prose(900, 150) + " " + prose(901 + i, 100)) for i in range(10)]  # a passage in common is no copy
+    shingles = {d: {tuple(w[i : i + 5]) for w in [t.lower().split()] for i in range(len(w) - 4)} for d, t in rows}
+    least = {d: d for d in shingles}
+
+    def top(d):
+        while least[d] != d:
+            d = least[d]
+        return d
+
+    far = 0
+    for a in shingles:
+        for b in shingles:
+            common = len(shingles[a] & shingles[b])
+            if a < b and common >= 0.8 * (len(shingles[a]) + len(shingles[b]) - common):
+                x, y = top(a), top(b)
+                least[max(x, y)] = min(x, y)
+                far += (plain_fingerprint(dict(rows)[a]) ^ plain_fingerprint(dict(rows)[b])).bit_count() > 2
+    got = corpus_pipeline.near_copies(spark, documents(spark, rows).repartition(4), "")
+    assert far > 20 and sorted(r["doc_id"] for r in got.collect()) == sorted({top(d) for d in shingles})
+
+
 @pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_queries(name, spark, folder, duck):
     made = queries.queries()[name](spark, folder)
