@@ -3,9 +3,8 @@
 Documents are dealt by ranges of doc_id, encoded in that order, and cut into
 shards of about ``SHARD_IDS`` ids. In each shard the most frequent pairs of
 neighbouring symbols are replaced by new symbols (rules), round after round,
-until a round saves little. A round replaces many pairs at once: pairs are taken in
-order of frequency as long as no symbol is the right side of one and the left
-side of another, so their places cannot overlap.
+until none is found ``LEAST_PAIRS`` times. A round replaces many pairs at once: where
+the places of two overlap, the more frequent one has them.
 
 A shard is one row of a parquet table (written and read by Spark, so a lost
 executor only repeats its rows): the rules as two symbols each, the expansion
@@ -35,8 +34,6 @@ SHARD_IDS = 1 << 20
 ENCODED_BYTES = 8 << 20  # text encoded at a time
 RULES_A_ROUND = 2048
 LEAST_PAIRS = 16  # a pair found fewer times in a shard is no rule
-LEAST_SAVED = 0.05  # a round that saves a smaller share of the symbols is the last
-TABLE_BITS = 18
 
 SHARD_SCHEMA = "part int, shard int, base long, n_ids long, rules binary, lengths binary, symbols binary, doc_ids binary, starts binary, nulls binary"
 
@@ -44,58 +41,54 @@ SHARD_SCHEMA = "part int, shard int, base long, n_ids long, rules binary, length
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules): rule k, a pair of symbols, is symbol base + k.
 
-    Pairs are counted in a table with one pair for each place; a pair that loses its place to another waits for a later round.
+    All pairs are counted in every round. Symbols have 16 bits as long as these suffice, then 32.
     """
-    bits = 16 if base < 56_000 else 32  # of a symbol
-    symbol, pair = (np.uint16, np.uint32) if bits == 16 else (np.uint32, np.uint64)
-    most = (1 << bits) - 1
-    mix, shift = (pair(0x9E3779B1), pair(32 - TABLE_BITS)) if bits == 16 else (pair(0x9E3779B97F4A7C15), pair(64 - TABLE_BITS))
-    x = ids.astype(symbol)
+    bits = 16 if base < 1 << 16 else 32  # of a symbol
+    x = ids.astype(np.uint16 if bits == 16 else np.uint32)
     rules: list[tuple[int, int]] = []
-    held = np.zeros(1 << TABLE_BITS, dtype=pair)
     while len(x) > 1:
+        if bits == 16 and base + len(rules) + RULES_A_ROUND > 1 << 16:
+            bits, x = 32, x.astype(np.uint32)
+        pair = np.uint32 if bits == 16 else np.uint64
+        most = (1 << bits) - 1
         codes = (x[:-1].astype(pair) << pair(bits)) | x[1:]
-        slots = ((codes * mix) >> shift).astype(np.int32)
-        held[slots] = codes
-        own = held[slots] == codes
-        times = np.bincount(slots[own], minlength=1 << TABLE_BITS)
-        likely = np.argpartition(times, -4 * RULES_A_ROUND)[-4 * RULES_A_ROUND :]
-        likely = likely[times[likely] >= LEAST_PAIRS]
-        likely = likely[np.lexsort((held[likely], -times[likely]))]
-        chosen: list[int] = []
-        left: set[int] = set()
-        right: set[int] = set()
-        room = min(RULES_A_ROUND, most - base - len(rules))
-        for slot, code in zip(likely.tolist(), held[likely].tolist()):
-            a, b = code >> bits, code & most
-            if a == b and not chosen:
-                chosen.append(slot)  # a run of one symbol: alone in its round
-                break
-            if len(chosen) < room and a != b and a not in right and b not in left:
-                chosen.append(slot)
-                left.add(a)
-                right.add(b)
-        if not chosen or room < 1:
+        live = np.ones(len(codes), dtype=bool)
+        twin = np.flatnonzero(x[:-1] == x[1:])
+        if len(twin):  # of a run of one symbol, every other place
+            new_run = np.concatenate([[True], np.diff(twin) > 1])
+            first = np.maximum.accumulate(np.where(new_run, np.arange(len(twin)), 0))
+            live[twin[(np.arange(len(twin)) - first) % 2 == 1]] = False
+        ordered = np.sort(codes[live])
+        # A pair found often enough equals the one LEAST_PAIRS - 1 places on; only those are counted out.
+        early = ordered[: max(0, len(ordered) - LEAST_PAIRS + 1)]
+        often = np.unique(early[early == ordered[LEAST_PAIRS - 1 :]])
+        if not len(often):
             break
-        rule_at = np.full(1 << TABLE_BITS, -1, dtype=np.int32)
-        rule_at[chosen] = np.arange(len(chosen))
-        which = rule_at[slots]
-        at = np.flatnonzero((which >= 0) & own)
-        which = which[at]
-        pairs = [(code >> bits, code & most) for code in held[chosen].tolist()]
-        if pairs[0][0] == pairs[0][1]:  # every other place of a run
-            new_run = np.concatenate([[True], np.diff(at) > 1])
-            first = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
-            odd = (np.arange(len(at)) - first) % 2 == 0
-            at, which = at[odd], which[odd]
-        before = len(x)
-        x[at] = (base + len(rules) + which).astype(symbol)
-        stay = np.ones(before, dtype=bool)
+        times = np.searchsorted(ordered, often, side="right") - np.searchsorted(ordered, often)
+        chosen = often[np.lexsort((often, -times))[:RULES_A_ROUND]]
+        left, right = (chosen >> pair(bits)).astype(np.int64), (chosen & pair(most)).astype(np.int64)
+        starts, ends = np.zeros((2, base + len(rules)), dtype=bool)
+        starts[left] = ends[right] = True
+        at = np.flatnonzero(starts[x[:-1]] & ends[x[1:]] & live)
+        order = np.argsort(chosen)
+        known, wanted = chosen[order], codes[at]
+        place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+        hit = known[place] == wanted
+        at, rank = at[hit], order[place[hit]]
+        # Where places overlap, the more frequent pair has them; a rule that is left with too few waits for a later round.
+        close = np.diff(at) == 1
+        best = np.ones(len(at), dtype=bool)
+        best[:-1] &= ~close | (rank[:-1] < rank[1:])
+        best[1:] &= ~close | (rank[1:] < rank[:-1])
+        at, rank = at[best], rank[best]
+        kept = np.bincount(rank, minlength=len(chosen)) >= LEAST_PAIRS
+        number = np.cumsum(kept) - 1
+        at, rank = at[kept[rank]], rank[kept[rank]]
+        x[at] = (base + len(rules) + number[rank]).astype(x.dtype)
+        stay = np.ones(len(x), dtype=bool)
         stay[at + 1] = False
         x = x[stay]
-        rules += pairs
-        if before - len(x) < LEAST_SAVED * before and pairs[0][0] != pairs[0][1]:
-            break
+        rules += list(zip(left[kept].tolist(), right[kept].tolist()))
     return x.astype("<u4"), np.array(rules, dtype="<u4").reshape(-1, 2)
 
 

@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -149,6 +150,18 @@ def test_grammar_compresses():
     assert len(symbols) + 2 * len(rules) < len(ids) / 10
 
 
+@pytest.mark.parametrize("base", [50_257, 65_000, 100_000])
+def test_grammar_leaves_no_pair_found_often(base):
+    draw = np.random.default_rng(3)
+    phrases = [draw.integers(0, 50_000, 6) for _ in range(4000)]
+    ids = np.concatenate([phrases[i] for i in np.minimum(draw.zipf(1.3, 40_000), 4000) - 1]).astype("<u4")
+    symbols, rules = repair.compress(ids, base)
+    pairs, times = np.unique(np.stack([symbols[:-1], symbols[1:]], 1)[symbols[:-1] != symbols[1:]], axis=0, return_counts=True)
+    assert times.max() < repair.LEAST_PAIRS and (base < 65_000 or base + len(rules) > 1 << 16)
+    shard = repair.Shard(base, rules.tobytes(), repair.expansion_lengths(rules, base).tobytes(), symbols.tobytes())
+    assert (shard.decode(0, len(ids)) == ids).all()
+
+
 def test_shards_give_back_every_document(odd, spark):
     got = [tuple(r) for r in repair.round_trip(odd, BYTE).orderBy("start").collect()]
     rows = [(r["doc_id"], r["text"] or "") for r in odd.select("doc_id", "text").collect()]
