@@ -10,7 +10,8 @@ the smallest determinant. It is found by concentration steps: rank the rows by
 distance under the present estimate, keep the core, estimate anew. A step here
 is one aggregation: every row falls in a class of distances an eighth of an
 octave wide, sums of rows and products are kept for each class, and the core is
-the nearest classes that hold ``CORE`` of the rows. So no group, however hot, meets in
+the nearest classes that hold ``CORE`` of the rows, the last of them with the weight that fills it up. Equal texts of a group
+count once. So no group, however hot, meets in
 a task, and sums of whole numbers do not depend on their order. Two starts
 (median with absolute deviations, plain mean with covariance) are carried along
 and the smaller determinant wins. The scatter of a group is drawn towards the
@@ -38,7 +39,7 @@ WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent of words in repeated windows
 SYMBOLS = "[#*$%&|<>]"
-CORE = 0.75  # share of a group's rows that the robust estimate rests on
+CORE = 0.5  # share of a group's rows that the robust estimate rests on: of n rows (n + P + 1) / 2
 STEPS = 5
 PRIOR_ROWS = 50
 REJECT = 1e-9  # chance of a row of the core's normal distribution to be rejected
@@ -218,7 +219,10 @@ def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     binned = near.groupBy("cell", "start", "class").agg(*_sums())
     nearer = "sum(n) over (partition by cell, start order by class rows between unbounded preceding and 1 preceding)"
     ranked = binned.withColumn("nearer", F.coalesce(F.expr(nearer), F.lit(0))).withColumn("group_n", F.expr("sum(n) over (partition by cell, start)"))
-    return ranked.filter(F.col("nearer") < F.col("group_n") * CORE).groupBy("cell", "start").agg(*(F.sum(c).alias(c) for c in SUMS))
+    wanted = F.least(F.col("group_n"), F.floor((F.col("group_n") + P + 1) * CORE)) - F.col("nearer")
+    share = F.least(F.lit(1.0), F.col("wanted") / F.col("n"))
+    weighted = [F.sum(F.round(F.col(c) * F.col("share")).cast("long")).alias(c) for c in SUMS]
+    return ranked.withColumn("wanted", wanted).filter("wanted > 0").withColumn("share", share).groupBy("cell", "start").agg(*weighted)
 
 
 def _starts(rows: DataFrame) -> DataFrame:
@@ -246,7 +250,8 @@ def _starts(rows: DataFrame) -> DataFrame:
 
 def fit(counted: DataFrame, steps: int = STEPS) -> DataFrame:
     """(cell, centre, inverse scatter): the MCD estimate of each language and source."""
-    rows = settle(_rows(counted.filter(~F.col("base_failed"))).select("cell", *(f"x{i}" for i in range(P))), "vectors")
+    fitted = _rows(counted.filter(~F.col("base_failed"))).dropDuplicates(["cell", "mark"])
+    rows = settle(fitted.select("cell", *(f"x{i}" for i in range(P))), "vectors")
     estimates = settle(_estimates(_with_prior(_starts(rows)), 1.0), "estimates")
     for _ in range(steps):
         moments = settle(_concentrate(rows, estimates), "core")

@@ -74,6 +74,24 @@ def test_a_few_far_rows_do_not_move_the_estimate(spark):
     assert all(abs(best[f"m{i}"]) < 0.2 for i in range(outliers.P))
 
 
+def test_a_third_of_copies_is_rejected_and_hides_nothing(spark):
+    draw = random.Random(7)
+    junk = re.sub(r"(\w) ", r"\1%%% ", prose(500, 100))
+    rows = [(i, prose(i, draw.randint(100, 400))) for i in range(200)]
+    rows += [(1000 + i, junk) for i in range(50)]
+    rows += [(1100 + i, f"{junk} {i}") for i in range(50)]
+    rows += [(2000, re.sub(r"(\w) ", r"\1## ", prose(900, 200)))]
+    got = {r["doc_id"]: r["kept"] for r in outliers.judge(documents(spark, rows)).collect()}
+    assert all(got[i] for i in range(200)) and not any(got[i] for i in got if i >= 1000)
+
+
+def test_core_is_half_of_the_rows(spark):
+    columns = ", ".join(f"x{i} long" for i in range(outliers.P))
+    rows = spark.createDataFrame([("c", *([v * outliers.UNIT] * outliers.P)) for v in [0] * 60 + [30] * 40], "cell string, " + columns)
+    estimates = outliers._estimates(outliers._with_prior(outliers._starts(rows)), 1.0)
+    assert {r["n"] for r in outliers._concentrate(rows, estimates).collect()} == {53}
+
+
 def test_chi_square():
     assert outliers.chi2_share(outliers.chi2_point(0.95, 5), 5) == pytest.approx(0.95)
     assert outliers.chi2_point(0.95, 5) == pytest.approx(11.0705, abs=1e-3)
