@@ -41,7 +41,7 @@ LONGEST = 5
 THRESHOLD = 100
 TOP = 2000
 PARTS = 64  # of a language, ranked apart
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 COUNTERS = 1 << 18  # capacity of a partition's summary, about
 HELD = 1 << 21  # entries merged into a summary at a time
 SPARE_BITS = 12  # of a hash, beyond those that number every phrase of the table
@@ -84,22 +84,21 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def phrase_hashes(found: Tokens, lang: np.ndarray, langs: list[str], bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def phrase_hashes(found: Tokens, lang: np.ndarray, langs: list[str], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For 1 to ``LONGEST`` words: (places, hashes of ``bits`` bits) of the phrases that start there and stay in their piece."""
     of = xxhash.xxh64_intdigest
     words = np.fromiter((of(w) for w in found.names.to_pylist()), np.uint64, len(found.names))[found.codes]
     seeds = np.fromiter((of(name, 1) for name in langs), np.uint64, len(langs))
     whole = _mixed(words ^ seeds[lang])
     at = np.arange(len(words))
-    out = [(at, whole >> np.uint64(64 - bits))]
+    yield at, whole >> np.uint64(64 - bits)
     for n in range(2, LONGEST + 1):
         inside = at + n - 1 < len(words)
         at, whole = at[inside], whole[inside]
         inside = found.piece[at] == found.piece[at + n - 1]
         at, whole = at[inside], whole[inside]
         whole = _mixed(whole + words[at + n - 1] * np.uint64(0xC2B2AE3D27D4EB4F))
-        out.append((at, whole >> np.uint64(64 - bits)))
-    return out
+        yield at, whole >> np.uint64(64 - bits)
 
 
 def _squeezed(values: np.ndarray, n: np.ndarray) -> bytes:
