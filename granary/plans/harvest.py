@@ -55,12 +55,15 @@ class HarvestLake:
 
     # bronze to silver
 
-    def build_weather(self) -> bool:
-        """Silver weather from all province files in one read; False if there are none."""
+    def build_weather(self, skip_unreadable: bool = False) -> bool:
+        """Silver weather from all province files in one read; False if there are none.
+
+        A file that cannot be read fails, or is passed over if so asked; ``weather_report`` names it.
+        """
         folder = self.path(self.weather_folder)
         if not tables.holds_files(self.spark, folder):
             return False
-        raw = delimited.scan_tagged_files(self.spark, folder, ";", h.WEATHER.code, codes=list(h.PROVINCES))
+        raw = delimited.scan_tagged_files(self.spark, folder, ";", h.WEATHER.code, codes=list(h.PROVINCES), skip_unreadable=skip_unreadable)
         if tables.is_empty(raw):
             return False
         tables.write_table(silver.clean_measurements(raw, h.WEATHER, self.as_of), self.path("silver/weather"))

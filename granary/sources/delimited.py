@@ -8,18 +8,23 @@ that print in scientific notation. It also saves the extra pass of inference.
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
-from functools import reduce
+import sys
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.sources.landing import below, manifest
-from granary.sources.workspace import settle
+from granary.sources.workspace import scratch_path, settle
 
 BOM = "\ufeff"
 
+# The task function travels with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def header_names(line: str, sep: str) -> list[str]:
     return [n.strip() for n in next(csv.reader([line.lstrip(BOM)], delimiter=sep), [])]
@@ -54,17 +59,20 @@ def scan_delimited(
     schema: str | T.StructType | None = None,
     corrupt: str | None = None,
     glob: str | None = None,
+    first: str | None = None,
+    skip_unreadable: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Files that share one header; a file whose header differs fails. Without a schema every column is a string.
 
-    A line with too few or too many fields keeps what fits; ``corrupt`` names
+    ``first`` gives the header line where it is known, ``options`` go to the parser. A line with too few or too many fields keeps what fits; ``corrupt`` names
     a column to hold such a line's text. Spark parses only the columns a query
     uses, so write the table before asking for that column alone.
     """
-    reader = _reader(spark, sep, corrupt).options(**below(glob))
+    reader = _reader(spark, sep, corrupt).options(**below(glob), ignoreCorruptFiles=skip_unreadable, **(options or {}))
     if schema is not None:
         return reader.schema(schema).csv(path)
-    raw = _raw_names(_header_line(spark, path, glob) or "", sep)
+    raw = _raw_names(first or _header_line(spark, path, glob) or "", sep)
     rows = reader.schema(string_schema(raw, corrupt)).csv(path)
     return rows.withColumnsRenamed({n: n.strip() for n in raw if n != n.strip()})
 
@@ -90,26 +98,39 @@ def file_tag(pattern: str, uri: str = "_metadata.file_path") -> Column:
     return F.try_url_decode(F.replace(tag, F.lit("+"), F.lit("%2B")))
 
 
-def file_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """(uri, header) of every file below ``root`` that has a line.
+def file_headers(spark: SparkSession, root: str, glob: str = "*.csv", skip_unreadable: bool = False) -> DataFrame:
+    """(uri, header) of every file below ``root`` that has a line; a written table.
 
-    Lines are read by Spark's own text reader, so any store a session can read will do; only a file's first line is kept.
+    Lines come from Spark's own text reader, so any store a session can read will do. Every split is
+    a task of its own that ends after its first line, so no text is read for its header's sake.
     """
-    lines = spark.read.options(**below(glob)).text(root).select(
-        F.col("_metadata.file_path").alias("uri"), "value", F.monotonically_increasing_id().alias("at")
-    ).where(F.col("_metadata.file_block_start") == 0)
-    heads = lines.groupBy("uri").agg(F.min_by("value", "at").alias("line"))
-    return settle(heads.select("uri", F.regexp_replace("line", f"^{BOM}|\\r$", "").alias("header")), "headers")
+    own = spark.newSession()  # with settings of its own: one split a task, small batches
+    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    meta = [F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_block_start").alias("block")]
+    lines = own.read.options(**below(glob), ignoreCorruptFiles=skip_unreadable).text(root).select(*meta, "value")
+    path = scratch_path(spark, "headers")
+    first = lines.mapInArrow(_first_row, lines.schema).where("block = 0")
+    first.select("uri", F.regexp_replace("value", f"^{BOM}|\\r$", "").alias("header")).write.parquet(path)
+    return spark.read.schema("uri string, header string").parquet(path)
+
+
+def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
 
 
 def scan_report(spark: SparkSession, root: str, sep: str = ";", glob: str = "*.csv") -> DataFrame:
     """(relative_path, status, header) of every file below ``root``: read, or why it is left out."""
-    heads = file_headers(spark, root, glob)
-    listed = manifest(spark, root, glob).select("path", "relative_path")
+    heads = file_headers(spark, root, glob, skip_unreadable=True)
+    listed = manifest(spark, root, glob).select("path", "relative_path", "length")
     found = heads.select(_spelled("uri").alias("path"), "header")
     names = F.transform(F.split("header", F.lit(f"\\Q{sep}\\E")), lambda n: F.lower(F.trim(F.replace(n, F.lit('"'), F.lit("")))))
     status = (
-        F.when(F.coalesce(F.trim("header"), F.lit("")) == "", "empty")
+        F.when(F.col("header").isNull() & (F.col("length") > 0), "unreadable")
+        .when(F.coalesce(F.trim("header"), F.lit("")) == "", "empty")
         .when(F.size(F.array_distinct(names)) < F.size(names), "repeated column")
         .otherwise("read")
     )
@@ -131,44 +152,75 @@ def scan_tagged_files(
     codes: Sequence[str] | None = None,
     same_header: bool = False,
     corrupt: str | None = None,
+    skip_unreadable: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame | None:
     """All files below ``root``, each row tagged from its path; columns meet by name.
 
-    Where all headers agree the files are one plain read. Otherwise lines are
-    read as text and parsed by their own file's header, one pass for each
-    distinct header, absent columns as null; lines equal to the header are dropped. File names are never put together to a
-    list of paths, so they may hold any character. Files that are empty or repeat a column name are left out;
-    ``scan_report`` tells which. Codes without a file are simply not there; None if nothing is left.
-    ``same_header`` promises one header for all and saves the pass over first lines; a file that breaks the promise fails.
+    One scan of the text, whatever the number of headers. Where all headers agree it is a plain read. Otherwise
+    lines are read as text, meet their file's header by a join on the path, and are parsed at the width of that
+    header; every column is then taken from where the file has it, absent ones are null, and lines equal to the header are dropped.
+    File names are never put together to a list of paths, so they may hold any character. Files that are empty or repeat a
+    column name are left out; ``scan_report`` tells which. Codes without a file are simply not there; None if nothing is left.
+    ``same_header`` promises one header for all and saves looking at first lines; a file that breaks the promise fails.
+    ``options`` go to the parser (quote, escape, ...). ``skip_unreadable`` passes over files that cannot be read, and over the rest of a file that breaks off; ``scan_report`` names the former.
     """
     wanted = None if codes is None else F.col(tag).isin(*codes)
+    chosen = F.lit(True) if wanted is None else wanted
     if not same_header:
-        heads = file_headers(spark, root, glob).withColumn(tag, file_tag(pattern, "uri"))
-        heads = heads.where((F.trim("header") != "") & (F.lit(True) if wanted is None else wanted))
+        heads = file_headers(spark, root, glob, skip_unreadable).withColumn(tag, file_tag(pattern, "uri")).where(chosen)
         distinct = [r.header for r in heads.select("header").distinct().orderBy("header").collect()]  # headers, not files
-        sound = [h for h in distinct if len({n.lower() for n in header_names(h, sep)}) == len(header_names(h, sep))]
+        sound = {h: header_names(h, sep) for h in distinct if h.strip()}
+        sound = {h: names for h, names in sound.items() if len({n.lower() for n in names}) == len(names)}
         if not sound:
             return None
-        if codes is not None or len(distinct) > 1:
-            parts = [_parsed(spark, root, glob, heads, h, sep, tag, corrupt) for h in sound]
-            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        if len(distinct) > 1:
+            return _parsed(spark, root, glob, heads, sound, sep, tag, corrupt, skip_unreadable, dict(options or {}))
     elif not _header_line(spark, root, glob):
         return None
-    rows = scan_delimited(spark, root, sep, corrupt=corrupt, glob=glob).withColumn(tag, file_tag(pattern))
-    return rows if wanted is None else rows.where(wanted)
+    else:
+        distinct = None
+    rows = scan_delimited(spark, root, sep, corrupt=corrupt, glob=glob, first=distinct and distinct[0], skip_unreadable=skip_unreadable, options=options)
+    return rows.withColumn(tag, file_tag(pattern)).where(chosen)
+
+
+def _struct(width: int, corrupt: str | None) -> str:
+    """Schema of a line with ``width`` fields."""
+    names = [*(f"c{i}" for i in range(width)), *([f"`{corrupt.replace('`', '``')}`"] if corrupt else [])]
+    return ", ".join(f"{n} string" for n in names)
 
 
 def _parsed(
-    spark: SparkSession, root: str, glob: str, heads: DataFrame, header: str, sep: str, tag: str, corrupt: str | None
-) -> DataFrame:
-    """Rows of the files with one header, parsed from their lines."""
-    names = header_names(header, sep)
-    lines = spark.read.options(**below(glob)).text(root).select(F.col("_metadata.file_path").alias("uri"), "value")
-    lines = lines.join(heads.where(F.col("header") == header).select("uri", tag), "uri")
-    line = F.regexp_replace("value", f"^{BOM}|\\r$", "")
-    lines = lines.select(tag, line.alias("value")).where((F.col("value") != header) & (F.trim("value") != ""))
-    options = {"sep": sep} | ({"columnNameOfCorruptRecord": corrupt} if corrupt else {})
-    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, *([corrupt] if corrupt else [])])
-    parsed = lines.select(tag, F.from_csv("value", F.lit(schema), options).alias("row"))
-    fields = [F.col("row").getField(n).alias(n) for n in [*names, *([corrupt] if corrupt else [])]]
-    return parsed.select(*fields, tag)
+    spark: SparkSession, root: str, glob: str, heads: DataFrame, sound: Mapping[str, Sequence[str]], sep: str, tag: str,
+    corrupt: str | None, skip_unreadable: bool, options: dict[str, str],
+) -> DataFrame:
+    """Rows of the files whose header is among ``sound``, parsed from their lines in one scan."""
+    spelled = {n.lower(): n for names in reversed(sound.values()) for n in names}  # columns meet whatever their case, as tables do
+    columns = [spelled[k] for k in dict.fromkeys(n.lower() for names in sound.values() for n in names)]
+    kinds = spark.createDataFrame(
+        [(h, len(names), [{n.lower(): i for i, n in enumerate(names)}.get(c.lower()) for c in columns]) for h, names in sound.items()],
+        "header string, width int, at array<int>",
+    )
+    files = settle(heads.join(kinds, "header").select("uri", tag, "header", "width", "at"), "files")
+    lines = spark.read.options(**below(glob), ignoreCorruptFiles=skip_unreadable).text(root)
+    lines = lines.select(F.col("_metadata.file_path").alias("uri"), F.regexp_replace("value", f"^{BOM}|\\r$", "").alias("value"))
+    lines = lines.join(files, "uri").where((F.col("value") != F.col("header")) & (F.trim("value") != ""))
+    options |= {"sep": sep} | ({"columnNameOfCorruptRecord": corrupt} if corrupt else {})
+    fields = None
+    for width in sorted({len(names) for names in sound.values()}):
+        row = F.array(F.from_csv("value", F.lit(_struct(width, corrupt)), options))
+        parsed = F.get(F.transform(row, _told(width, corrupt)), 0)
+        fields = F.when(F.col("width") == width, parsed) if fields is None else fields.when(F.col("width") == width, parsed)
+    parsed = lines.select(tag, "at", fields.alias("row"))
+    out = [F.get(F.col("row.values"), F.get("at", i)).alias(n) for i, n in enumerate(columns)]
+    return parsed.select(*out, *([F.col("row.raw").alias(corrupt)] if corrupt else []), tag)
+
+
+def _told(width: int, corrupt: str | None) -> Callable[[Column], Column]:
+    """A parsed line as its values, and the line itself if it does not fit."""
+
+    def told(row: Column) -> Column:
+        values = F.array(*[row[f"c{i}"] for i in range(width)])
+        return F.struct(values.alias("values"), (row[corrupt] if corrupt else F.lit(None).cast("string")).alias("raw"))
+
+    return told

@@ -71,6 +71,12 @@ def is_empty(df: DataFrame | None) -> bool:
     return df is None or df.isEmpty()
 
 
+def which_are_empty(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(dataset, is_empty) of the named tables in one job that looks for one row of each."""
+    one = [df.select(F.lit(1)).limit(1).agg(F.lit(name).alias("dataset"), (F.count(F.lit(1)) == 0).alias("is_empty")) for name, df in tables.items()]
+    return reduce(DataFrame.unionAll, one)
+
+
 def write_table(
     df: DataFrame,
     path: str,

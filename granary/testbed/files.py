@@ -99,30 +99,65 @@ ODD_NAMES = ("a[1]", "b{2}", "c d+e%20")
 
 
 @query(
-    "select cast(n_nationkey as varchar) as n_nationkey, n_name, "
-    "case n_nationkey % 3 when 0 then 'a[1]' when 1 then 'b{2}' else 'c d+e%20' end as code from nation"
+    "select cast(c_custkey as varchar) as c_custkey, c_name, "
+    "case c_custkey % 3 when 0 then 'a[1]' when 1 then 'b{2}' else 'c d+e%20' end as code from customer"
 )
 def scan_odd_names(spark, folder):
     """Folders whose names would be patterns or escapes in a list of paths; one of them has another header."""
-    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    customer = table(spark, folder, "customer").select("c_custkey", "c_name")
     root = scratch_path(spark, "odd")
     for i, name in enumerate(ODD_NAMES):
-        part = nation.where(F.col("n_nationkey") % 3 == i)
-        (part.select("n_name", "n_nationkey") if i == 1 else part).write.option("header", True).csv(f"{root}/{name}")
+        part = customer.where(F.col("c_custkey") % 3 == i)
+        (part.select("c_name", "c_custkey") if i == 1 else part).write.option("header", True).csv(f"{root}/{name}")
     rows = delimited.scan_tagged_files(spark, root, ",", pattern=r"/([^/]+)/[^/]+\.csv$")
-    return rows.select("n_nationkey", "n_name", "code")
+    return rows.select("c_custkey", "c_name", "code")
+
+
+KINDS = {
+    "line0": ("l_orderkey", "l_linenumber", "note"),
+    "line1": ("note", "l_linenumber", "l_orderkey", "l_quantity"),
+    "line2": ("l_linenumber", "l_orderkey"),
+    "line3": ("l_shipdate", "note", "l_quantity", "l_orderkey", "l_linenumber"),
+    "line4": ("l_orderkey", "note", "l_linenumber", "l_shipdate"),
+}
+
+
+def _sql_kinds() -> str:
+    held = lambda name: ", ".join(f"'{k}'" for k, names in KINDS.items() if name in names)
+    optional = {"note": "l_returnflag || ';' || l_linestatus || ' \"of\" ' || l_suppkey", "l_quantity": "cast(cast(l_quantity as int) as varchar)",
+                "l_shipdate": "strftime(l_shipdate, '%Y-%m-%d')"}
+    columns = [f"case when code in ({held(n)}) then {e} end as {n}" for n, e in optional.items()]
+    return (
+        f"select code, cast(l_orderkey as varchar) as l_orderkey, cast(l_linenumber as varchar) as l_linenumber, {', '.join(columns)} "
+        "from (select *, 'line' || (l_linenumber % 5) as code from lineitem)"
+    )
+
+
+@query(_sql_kinds())
+def scan_many_headers(spark, folder):
+    """Line items in files by line number, each with other columns in another order, quotes and separators in one of them: one scan."""
+    note = F.concat("l_returnflag", F.lit(";"), "l_linestatus", F.lit(' "of" '), "l_suppkey")
+    items = table(spark, folder, "lineitem").withColumns(
+        {"note": note, "l_quantity": F.col("l_quantity").cast("int"), "l_shipdate": F.date_format("l_shipdate", "yyyy-MM-dd")}
+    )
+    root = scratch_path(spark, "kinds")
+    for i, (code, names) in enumerate(KINDS.items()):
+        part = items.where(F.col("l_linenumber") % len(KINDS) == i).select(*names)
+        part.write.options(header=True, sep=";", escape='"').csv(f"{root}/{code}")
+    rows = delimited.scan_tagged_files(spark, root, ";", pattern=r"/([^/]+)/[^/]+\.csv$", options={"escape": '"'})
+    return rows.select("code", "l_orderkey", "l_linenumber", "note", "l_quantity", "l_shipdate")
 
 
 @query(
-    "select 'read' as status, count(distinct n_regionkey) as n_files, count(*) as n_rows from nation "
+    "select 'read' as status, count(distinct c_nationkey) as n_files, count(*) as n_rows from customer "
     "union all select 'repeated column', 1, 0"
 )
 def scan_report(spark, folder):
-    """Nations in a file for each region and one file that repeats a column: what is read, what is left out, and the rows."""
-    nation = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
+    """Customers in a file for each nation and one file that repeats a column: what is read, what is left out, and the rows."""
+    customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     root = scratch_path(spark, "reported")
-    nation.repartition(1).write.option("header", True).partitionBy("n_regionkey").csv(root)
-    spark.createDataFrame([("n_nationkey,N_nationkey",), ("1,2",)], "value string").coalesce(1).write.text(f"{root}/twice")
+    customer.repartition(1).write.option("header", True).partitionBy("c_nationkey").csv(root)
+    spark.createDataFrame([("c_custkey,C_custkey",), ("1,2",)], "value string").coalesce(1).write.text(f"{root}/twice")
     read = delimited.scan_tagged_files(spark, root, ",", pattern=r"/([^/]+)/[^/]+$", glob="part-*").groupBy("code").agg(F.count("*").alias("n"))
     report = delimited.scan_report(spark, root, ",", "part-*").withColumn("code", F.regexp_extract("relative_path", "([^/]+)/[^/]+$", 1))
     return report.join(read, "code", "left").groupBy("status").agg(
@@ -167,16 +202,18 @@ def export_copy(spark, folder):
     return spark.read.parquet(target)
 
 
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "6-NONE")
+
+
 @query(
-    "select r_regionkey, not exists (select 1 from nation where n_regionkey = r_regionkey and n_nationkey % 7 = 3) as is_empty "
-    "from region"
+    " union all ".join(
+        f"select '{p}' as dataset, not exists (select 1 from orders where o_orderpriority = '{p}' and o_orderkey % 3 = 1) as is_empty" for p in PRIORITIES
+    )
 )
 def empty_guard(spark, folder):
-    """Which regions have no nation of a kind, by the guard that stages ask before they go on."""
-    nation = table(spark, folder, "nation").where("n_nationkey % 7 = 3")
-    keys = [r.r_regionkey for r in table(spark, folder, "region").select("r_regionkey").collect()]
-    told = [(k, tables.is_empty(nation.where(F.col("n_regionkey") == k))) for k in keys]
-    return spark.createDataFrame(told, table(spark, folder, "region").select("r_regionkey").schema.add("is_empty", "boolean"))
+    """Which priorities have no order of a kind, by the guard that stages ask before they go on: one job for all."""
+    orders = table(spark, folder, "orders").where("o_orderkey % 3 = 1")
+    return tables.which_are_empty({p: orders.where(F.col("o_orderpriority") == p) for p in PRIORITIES})
 
 
 @query("select o_orderpriority, cast(count(*) as int) as n from orders group by 1")

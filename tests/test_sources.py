@@ -70,6 +70,64 @@ def test_a_file_with_a_repeated_column_is_reported_and_the_others_are_read(spark
     assert report == {"w/a.csv": "read", "w/b.csv": "repeated column", "w/c.csv": "empty", "w/d.csv": "read"}
 
 
+def _text_scans(df) -> int:
+    return sum("FileScan" in line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "parquet" not in line.lower())
+
+
+@pytest.mark.parametrize("headers", [1, 2, 50])
+def test_any_number_of_headers_is_one_scan(spark, files, headers):
+    """Files with their own columns in their own order, with quoted separators in the values."""
+    texts, made = {}, []
+    for i in range(headers):
+        names = [f"n{j}" for j in range(2 + i % 7)]
+        names = names[i % len(names) :] + names[: i % len(names)]
+        lines = [";".join(names)]
+        for row in range(3):
+            values = {n: f"{i};{row}{n}" if n == "n1" else f"{i}-{row}{n}" for n in names}
+            lines.append(";".join(f'"{values[n]}"' for n in names))
+            made.append(values | {"code": f"f{i}"})
+        texts[f"w__f{i}"] = "\r\n".join(lines) + "\n"
+    df = delimited.scan_tagged_files(spark, files(**texts))
+    assert _text_scans(df) == 1 and len(df.columns) == len({c for values in made for c in values})
+    want = [tuple(values.get(c) for c in df.columns) for values in made]
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_columns_meet_whatever_their_case_and_odd_names_are_kept(spark, files, rows):
+    root = files(w__a="Amount;a`b;x.y\n1;2;3\n", w__b="x.y;AMOUNT\n4;5\n6\n7;8;9\n")
+    df = delimited.scan_tagged_files(spark, root, corrupt="bad line")
+    assert df.columns == ["Amount", "a`b", "x.y", "bad line", "code"]
+    assert rows(df) == sorted([("1", "2", "3", None, "a"), ("5", None, "4", None, "b"), (None, None, "6", "6", "b"), ("8", None, "7", "7;8;9", "b")], key=repr)
+
+
+def test_other_files_do_not_matter_where_codes_are_given(spark, files, rows):
+    root = files(w__a="x;y\n1;2\n", w__b="x;y\n3;4\n", w__other="y;x\n5;6\n", w__twice="x;X\n7;8\n")
+    df = delimited.scan_tagged_files(spark, root, codes=["a", "b"])
+    assert rows(df.select("code", "x", "y")) == [("a", "1", "2"), ("b", "3", "4")] and _text_scans(df) == 1
+
+
+def test_only_first_lines_are_read_for_headers(spark, files):
+    root = files(w__a="x;y\n" + "1;2\n" * 200_000, w__b="y;x\n" + "1;2\n" * 200_000)
+    heads = {r.uri.rsplit("/", 1)[1]: r.header for r in delimited.file_headers(spark, root).collect()}
+    assert heads == {"a.csv": "x;y", "b.csv": "y;x"}
+    assert delimited.scan_tagged_files(spark, root).where("x = '1'").count() == 200_000
+
+
+def test_an_unreadable_file_is_told_and_can_be_passed_over(spark, tmp_path, rows):
+    import gzip
+
+    (tmp_path / "a.csv.gz").write_bytes(gzip.compress(b"x;y\n1;2\n"))
+    (tmp_path / "b.csv.gz").write_bytes(gzip.compress(b"y;x\n4;3\n"))
+    (tmp_path / "c.csv.gz").write_bytes(b"no archive at all")
+    how = {"glob": "*.csv.gz", "pattern": r"([^/]+)\.csv\.gz$"}
+    with pytest.raises(Exception):
+        delimited.scan_tagged_files(spark, str(tmp_path), **how).collect()
+    df = delimited.scan_tagged_files(spark, str(tmp_path), skip_unreadable=True, **how)
+    assert rows(df.select("code", "x", "y")) == [("a", "1", "2"), ("b", "3", "4")]
+    report = {r.relative_path: r.status for r in delimited.scan_report(spark, str(tmp_path), glob="*.csv.gz").collect()}
+    assert report == {"a.csv.gz": "read", "b.csv.gz": "read", "c.csv.gz": "unreadable"}
+
+
 @pytest.mark.parametrize("name", ["a[1]", "a{b,c}", "a b%20+c", "a*?"])
 def test_file_names_are_no_patterns(spark, files, rows, name):
     root = files(**{f"w__{name}": "x;y\n1;2\n", "w__z": "y;x\n4;3\n"})
@@ -142,6 +200,8 @@ def test_sinks(spark, tmp_path):
         assert not tables.export_table(spark, f"{tmp_path}/t", f"{tmp_path}/file/copy2")
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         tables.export_table(spark, f"{tmp_path}/nothing", f"{tmp_path}/copy3")
+    told = tables.which_are_empty({"none": df.where("id < 0"), "all": df, "some": df.where("k = 1")})
+    assert {r.dataset: r.is_empty for r in told.collect()} == {"none": True, "all": False, "some": False}
     assert tables.is_empty(None) and tables.is_empty(df.where("id < 0")) and not tables.is_empty(df)
 
 
