@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions.cleaning import as_column
@@ -123,3 +124,24 @@ class Measure:
         """The measure over partials; counts are merged by adding."""
         merge = {k: F.sum if f == "count" else getattr(F, f) for k, (f, _) in self._parts().items()}
         return self._finish({k: f(f"__{self.name}_{k}") for k, f in merge.items()})
+
+
+def moments(value: str | Column, name: str) -> list[Column]:
+    """Aggregates ``name``_n, _mean and _m2 (sum of squared distances from the mean), which ``merged_moments`` can put together."""
+    x = as_column(value).cast("double")
+    n = F.count(x)
+    return [n.alias(f"{name}_n"), F.avg(x).alias(f"{name}_mean"), (F.var_pop(x) * n).alias(f"{name}_m2")]
+
+
+def merged_moments(parts: DataFrame, name: str, by: Sequence[str] = ()) -> tuple[DataFrame, Column, Column, Column]:
+    """Parts made ready to be grouped by ``by``, and the aggregates n, mean and sample deviation of the whole.
+
+    Distances are taken from the whole's own mean, so nothing cancels out.
+    """
+    of = Window.partitionBy(*(by or [F.lit(0)]))
+    n, mean = F.col(f"{name}_n"), F.col(f"{name}_mean")
+    center = F.try_divide(F.sum(n * mean).over(of), F.sum(n).over(of).cast("double"))
+    ready = parts.withColumn(f"{name}_center", center)
+    gap = mean - F.col(f"{name}_center")
+    square = F.sum(F.col(f"{name}_m2") + n * gap * gap)
+    return ready, F.sum(n), F.first(f"{name}_center"), F.sqrt(F.try_divide(square, F.nullif(F.sum(n) - 1, F.lit(0)).cast("double")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from granary.functions.aggregates import mae, r_squared, rmse
@@ -17,7 +17,9 @@ from granary.functions.scoring import (
     error_of,
     error_percentage,
 )
+from granary.operators.grouped_quantiles import QUARTILES, grouped_quantiles
 from granary.operators.quantiles import exact_quantile
+from granary.sources.workspace import settle
 
 ACTUAL, PREDICTED, ERROR, ERROR_PCT, MODEL = "actual", "predicted", "error", "error_pct", "model"
 
@@ -133,7 +135,11 @@ def error_bands(
 
     The share is of all rows, also those whose error percentage is null.
     """
-    counted = df.agg(F.count(F.lit(1)).alias("total"), *band_columns(error_pct, edges))
+    return band_table(df.agg(F.count(F.lit(1)).alias("total"), *band_columns(error_pct, edges)), labels)
+
+
+def band_table(counted: DataFrame, labels: Sequence[str] = BAND_LABELS) -> DataFrame:
+    """Bands from one row of their counts."""
     rows = [
         F.struct(
             F.lit(i).alias("band"),
@@ -183,7 +189,12 @@ def error_by_range(
         _told(F.min("x"), digits).alias("actual_min"),
         _told(F.max("x"), digits).alias("actual_max"),
     )
-    names = df.sparkSession.createDataFrame(list(enumerate(labels, start=1)), "range int, label string")
+    return labelled_ranges(stats, labels)
+
+
+def labelled_ranges(stats: DataFrame, labels: Sequence[str] = RANGE_LABELS) -> DataFrame:
+    """All ranges with their labels; those without rows have n = 0."""
+    names = stats.sparkSession.createDataFrame(list(enumerate(labels, start=1)), "range int, label string")
     return names.join(stats, "range", "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
 
 
@@ -195,15 +206,36 @@ def error_distribution(
     found = df.agg(F.count(x), F.min(x), F.max(x), F.avg(x), F.stddev_samp(x)).first()
     n, low, high, mean, std = found
     median = exact_quantile(df, error_pct, known=(n, low, high))
-    row = df.sparkSession.createDataFrame(
-        [(n, mean, median, std)], "n bigint, mean double, median double, std double"
-    )
+    return distribution_row(df.sparkSession, n, mean, median, std, digits)
+
+
+def distribution_row(spark: SparkSession, n: int, mean: float | None, median: float | None, std: float | None, digits: int | None = None) -> DataFrame:
+    """The distribution and its limits as one row."""
+    row = spark.createDataFrame([(n, mean, median, std)], "n bigint, mean double, median double, std double")
     m, s = F.col("mean"), F.col("std")
     limits = {"minus_1_std": m - s, "plus_1_std": m + s, "two_std": s * 2.0}
     out = row.withColumns(limits)
     return out.select("n", *[_told(F.col(c), digits).alias(c) for c in out.columns if c != "n"])
 
 
+def error_distribution_by(
+    df: DataFrame, by: Sequence[str], error_pct: str = ERROR_PCT, digits: int | None = None
+) -> DataFrame:
+    """(by..., n, mean, std, min, q1, median, q3, max) of the error percentage of every group; hand in a settled table.
+
+    Quartiles are exact, in passes whose number does not depend on the number of groups. A group without values is there with n = 0.
+    """
+    x = F.col(error_pct).cast("double")
+    usable = F.when(~F.isnan(x), x)
+    stats = df.groupBy(*by).agg(
+        F.count(usable).alias("n"), F.avg(usable).alias("mean"), F.stddev_samp(usable).alias("std"), F.min(usable).alias("min"), F.max(usable).alias("max")
+    )
+    quartiles = grouped_quantiles(df, by, error_pct, QUARTILES).drop("n").withColumnsRenamed({c: f"__{i}" for i, c in enumerate(by)})
+    on = [F.col(c).eqNullSafe(F.col(f"__{i}")) for i, c in enumerate(by)]
+    joined = stats.join(quartiles, on, "left") if by else stats.join(quartiles, F.lit(True), "left")
+    return joined.select(*by, "n", *[_told(F.col(c), digits).alias(c) for c in ("mean", "std", "min", "q1", "median", "q3", "max")])
+
+
 def extreme_predictions(
     df: DataFrame, columns: Sequence[str], error_pct: str = ERROR_PCT, n: int = 10, worst: bool = True
 ) -> DataFrame:
@@ -213,6 +245,30 @@ def extreme_predictions(
     return ranked.orderBy(first, *[c for c in columns if c != error_pct]).limit(n)
 
 
+def both_extremes(
+    df: DataFrame, columns: Sequence[str], error_pct: str, n: int, parts: DataFrame, least: str, most: str
+) -> DataFrame:
+    """The written rows (which, shown columns, error) of the n best and the n worst predictions, from one pass.
+
+    ``parts`` has the smallest and largest error of each of many groups that the rows fall into. The n-th
+    smallest of the minima is no smaller than the n-th smallest error, so rows beyond it are passed over, likewise at the other end.
+    """
+    e = F.col(error_pct)
+    ends = {}
+    for name, column, first in (("low", least, F.col(least).asc()), ("high", most, F.col(most).desc())):
+        edge = parts.where(F.col(column).isNotNull()).orderBy(first).limit(n).select(F.col(column).alias("e"))
+        last = F.max("e") if name == "low" else F.min("e")
+        ends[name] = edge.agg(F.when(F.count(F.lit(1)) == n, last).alias("end")).select("end").scalar()
+    near = df.select(*columns, error_pct, ends["low"].alias("__low"), ends["high"].alias("__high")).where(e.isNotNull())
+    is_best = F.col("__low").isNull() | (e <= F.col("__low"))
+    is_worst = F.col("__high").isNull() | (e >= F.col("__high"))
+    sides = F.filter(F.array(F.when(is_best, "best"), F.when(is_worst, "worst")), lambda w: w.isNotNull())
+    told = near.select(F.explode(sides).alias("which"), *columns, error_pct)
+    order = F.when(F.col("which") == "best", e).otherwise(-e)
+    place = F.row_number().over(Window.partitionBy("which").orderBy(order, *[c for c in columns if c != error_pct]))
+    return settle(told.withColumn("place", place).where(F.col("place") <= n), "extremes")
+
+
 def residual_points(
     df: DataFrame, actual: str = ACTUAL, predicted: str = PREDICTED, residual: str = "residual"
 ) -> DataFrame:

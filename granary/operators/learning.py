@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial, reduce
 
+from pyspark import InheritableThread
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.functions.aggregates import mae, r_squared, rmse
+from granary.functions.draws import uniform
+
+from granary.operators.indexing import CategoryIndexer
 from granary.sources.workspace import settle
 
-FEATURES, SCALED = "features", "scaled_features"
+FEATURES, SCALED, HELD_OUT = "features", "scaled_features", "held_out"
+HELD_OUT_SALT, FOLD_SALT = "held-out", "fold"
 
 
 def indexed_name(category: str) -> str:
@@ -23,16 +30,19 @@ def indexed_name(category: str) -> str:
 
 
 def feature_stages(
-    numeric: Sequence[str], category: str | None = None, on_null: str = "error"
+    numeric: Sequence[str], category: str | None = None, on_null: str = "error", many_labels: bool = False
 ) -> list[Estimator]:
     """Index the category, assemble, standardise.
 
     Categories unseen in training get an index of their own. ``on_null`` is
-    the assembler's rule for null features; impute them beforehand.
+    the assembler's rule for null features; impute them beforehand. ``many_labels`` keeps the
+    index as a table that rows are joined with, for categories that are keys rather than a few names.
     """
     inputs = [*numeric, *([indexed_name(category)] if category else [])]
     stages: list[Estimator] = []
-    if category:
+    if category and many_labels:
+        stages.append(CategoryIndexer(inputCol=category, outputCol=indexed_name(category)))
+    elif category:
         stages.append(
             StringIndexer(inputCol=category, outputCol=indexed_name(category), handleInvalid="keep")
         )
@@ -90,11 +100,66 @@ def fit_models(
     file, and a lost executor does not send them back to the source. The
     preparation itself is a narrow step and is not stored; the estimators
     keep their own compact form of the rows between passes.
+
+    The regressors are fitted side by side, each from a thread and in a scheduler pool of its own: one
+    model's small jobs fill what another leaves free. Under ``spark.scheduler.mode=FAIR`` the pools share evenly.
+    A model that names a validation column (``boosted_until_steady``) is given the rows with their ``HELD_OUT`` flag.
     """
     rows = settle(train.hint("rebalance"), "training")
     preparation = Pipeline(stages=list(stages)).fit(rows)
-    prepared = preparation.transform(rows).select(SCALED, label)
-    return Trained(preparation, {name: model.fit(prepared) for name, model in models.items()})
+    kept = [HELD_OUT] if HELD_OUT in train.columns else []
+    prepared = preparation.transform(rows).select(SCALED, label, *kept)
+    return Trained(preparation, side_by_side({name: partial(model.fit, prepared) for name, model in models.items()}, train.sparkSession))
+
+
+def side_by_side(jobs: Mapping[str, Callable[[], object]], spark: SparkSession) -> dict[str, object]:
+    """Results of jobs that are run at the same time, each in a scheduler pool named like it; the first fault is raised."""
+    done: dict[str, object] = {}
+    faults: list[BaseException] = []
+
+    def run(name: str, job: Callable[[], object]) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{name}")
+        try:
+            done[name] = job()
+        except BaseException as fault:  # raised by the caller
+            faults.append(fault)
+
+    threads = [InheritableThread(target=run, args=item) for item in jobs.items()]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if faults:
+        raise faults[0]
+    return {name: done[name] for name in jobs}
+
+
+def with_held_out(df: DataFrame, keys: Sequence[str], share: float = 0.1) -> DataFrame:
+    """Rows with a ``HELD_OUT`` flag drawn from a hash of their keys: the same ones in every run and layout."""
+    return df.withColumn(HELD_OUT, uniform(list(keys), HELD_OUT_SALT) < share)
+
+
+def boosted_until_steady(label: str, iterations: int = 50, depth: int = 8, tolerance: float = 0.01, **more) -> GBTRegressor:
+    """Boosted trees that stop when the error on the held-out rows no longer falls by ``tolerance``."""
+    return boosted_trees(label, iterations, depth, validationIndicatorCol=HELD_OUT, validationTol=tolerance, **more)
+
+
+def fold_metrics(
+    df: DataFrame, label: str, stages: Sequence[Estimator], model: Estimator, keys: Sequence[str], folds: int = 3
+) -> DataFrame:
+    """(fold, n, rmse, mae, r2) of a model fitted on the other folds; folds come from a hash of the keys and are fitted side by side."""
+    fold = F.floor(uniform(list(keys), FOLD_SALT) * folds).cast("int")
+    rows = settle(df.withColumn("fold", fold), "folds")
+
+    def one(i: int) -> DataFrame:
+        fitted = Pipeline(stages=[*stages, model]).fit(rows.where(F.col("fold") != i))
+        return settle(score(fitted, rows.where(F.col("fold") == i)).select("fold", label, "prediction"), "fold")
+
+    scored = side_by_side({f"fold-{i}": partial(one, i) for i in range(folds)}, df.sparkSession)
+    together = reduce(DataFrame.unionByName, scored.values())
+    return together.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), rmse(label, "prediction").alias("rmse"), mae(label, "prediction").alias("mae"), r_squared(label, "prediction").alias("r2")
+    )
 
 
 def score(model: PipelineModel, df: DataFrame, prediction: str = "prediction") -> DataFrame:

@@ -211,7 +211,7 @@ def histogram(df: DataFrame, column: str, bins: int, density: bool = False) -> D
     x = F.col(column).cast("double")
     ends = histogram_ends(df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n")), "lo", "hi", "n")
     lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
-    placed = df.where(x.isNotNull()).select(_bin(x, lo, hi, bins).alias("bin"))
+    placed = df.where(x.isNotNull()).select(bin_index(x, lo, hi, bins).alias("bin"))
     return histogram_table(ends, placed.groupBy("bin").agg(F.count("*").alias("n")), bins, density)
 
 
@@ -223,7 +223,7 @@ def histogram_ends(row: DataFrame, low: str, high: str, n: str) -> DataFrame:
     )
 
 
-def _bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
+def bin_index(x: Column, lo: Column, hi: Column, bins: int) -> Column:
     return F.least(F.floor((x - lo) / ((hi - lo) / F.lit(float(bins)))).cast("int") + 1, F.lit(bins))
 
 
@@ -232,7 +232,7 @@ def bin_counts(df: DataFrame, wanted: Mapping[str, tuple[str, int, DataFrame]])
     rows = [
         F.struct(
             F.lit(name).alias("name"),
-            _bin(F.col(c).cast("double"), ends.select("lo").scalar(), ends.select("hi").scalar(), bins).alias("bin"),
+            bin_index(F.col(c).cast("double"), ends.select("lo").scalar(), ends.select("hi").scalar(), bins).alias("bin"),
         )
         for name, (c, bins, ends) in wanted.items()
     ]

@@ -8,24 +8,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions.aggregates import Measure
+from granary.functions.aggregates import Measure, merged_moments, moments
 from granary.functions.cleaning import as_column
-from granary.functions.scoring import BAND_LABELS, rating
+from granary.functions.scoring import BAND_LABELS, RANGE_LABELS, rating
 from granary.operators import accuracy as acc
 from granary.operators.profile import (
     bin_counts,
+    bin_index,
     correlation_columns,
     correlation_pairs,
     growth_rate,
-    histogram,
     histogram_ends,
     histogram_table,
     joint_extent,
     trend_columns,
     volumes,
 )
+from granary.operators.quantiles import exact_quantile
 from granary.sources.workspace import settle
 
+BINS, TOP, SPREAD = 50, 10, 64  # bins of the error histogram, extremes shown, parts of a category and year
+
 
 def accuracy_pack(
     predictions: DataFrame,
@@ -37,25 +40,53 @@ def accuracy_pack(
 ) -> dict[str, DataFrame]:
     """The accuracy tables of one prediction set; hand in a settled table.
 
-    Years, categories and their extremes come from one grouping by both, which is settled.
+    Three passes over the predictions, those for the exact median aside. The first groups by category, year and a hash of the
+    shown columns, which gives all sums, ends and bands; the second, knowing the ends, groups by range of the actual value and
+    bin of the error; the third picks the extremes, most rows being out of the question by the ends of the groups.
     """
-    sums = {"e": F.sum(error_pct), "n": F.count(error_pct), "a": F.sum(actual), "an": F.count(actual)}
+    spark, e, x = predictions.sparkSession, F.col(error_pct).cast("double"), F.col(actual).cast("double")
+    sums = {"e": F.sum(error_pct), "n": F.count(error_pct), "a": F.sum(actual), "an": F.count(actual), "total": F.count(F.lit(1)),
+            "low": F.min(e), "high": F.max(e), "actual_low": F.min(x), "actual_high": F.max(x)}
     groups = settle(
-        predictions.groupBy(F.col(category).alias("category"), as_column(year).alias("year")).agg(*[c.alias(n) for n, c in sums.items()]),
+        predictions.groupBy(F.col(category).alias("category"), as_column(year).alias("year"), F.pmod(F.xxhash64(*shown), F.lit(SPREAD)).alias("part"))
+        .agg(*[c.alias(n) for n, c in sums.items()], *moments(e, "error"), *acc.band_columns(error_pct)),
         "error-groups",
     )
     mean_error = F.try_divide(F.sum("e").cast("double"), F.sum("n").cast("double")).alias("mean_error_pct")
     mean_actual = F.round(F.try_divide(F.sum("a").cast("double"), F.sum("an").cast("double")), 2).alias("mean_actual")
     by_category = groups.groupBy(F.col("category").alias(category)).agg(mean_error, F.sum("n").alias("n"), mean_actual)
+    bands = [f"band_{i}" for i in range(len(BAND_LABELS))]
+    ready, _, mean, std = merged_moments(groups, "error")
+    ends = [F.min("low").alias("low"), F.max("high").alias("high"), F.min("actual_low").alias("actual_low"), F.max("actual_high").alias("actual_high")]
+    counts = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "total", *bands)]
+    whole = settle(ready.agg(*counts, *ends, mean.alias("mean"), std.alias("std")), "whole")
+    found = whole.first()
+    median = exact_quantile(predictions, error_pct, known=(found.n, found.low, found.high))
+    bin_ends = histogram_ends(whole, "low", "high", "n")
+    placed = predictions.select(
+        x.alias("x"), e.alias("e"),
+        acc.range_index(x, whole.select("actual_low").scalar(), whole.select("actual_high").scalar(), len(RANGE_LABELS)).alias("range"),
+        bin_index(e, bin_ends.select("lo").scalar(), bin_ends.select("hi").scalar(), BINS).alias("bin"),
+    )
+    cells = settle(placed.groupBy("range", "bin").agg(*moments("e", "error"), *moments("x", "actual"), F.min("x").alias("low"), F.max("x").alias("high")), "error-cells")
+    ready, n, mean, std = merged_moments(cells.where("range is not null"), "error", ["range"])
+    ready, _, actual_mean, _ = merged_moments(ready, "actual", ["range"])
+    ranges = ready.groupBy("range").agg(
+        F.round(mean, 2).alias("error_mean"), F.round(std, 2).alias("error_std"), n.alias("n"), F.round(actual_mean, 2).alias("actual_mean"),
+        F.round(F.min("low"), 2).alias("actual_min"), F.round(F.max("high"), 2).alias("actual_max"),
+    )
+    bins = cells.where("bin is not null").groupBy("bin").agg(F.sum("error_n").alias("n"))
+    extremes = acc.both_extremes(predictions, shown, error_pct, TOP, groups, "low", "high")
+    pick = lambda which: extremes.where(F.col("which") == which).orderBy("place").select(*shown, error_pct)
     return {
-        "accuracy_by_range": acc.error_by_range(predictions, actual, error_pct),
+        "accuracy_by_range": acc.labelled_ranges(ranges),
         "accuracy_by_year": groups.groupBy("year").agg(mean_error, F.sum("n").alias("n")).orderBy("year"),
         "accuracy_by_category": by_category.withColumn("mean_error_pct", F.round("mean_error_pct", 2)).orderBy("mean_error_pct", category),
-        "error_distribution": acc.error_distribution(predictions, error_pct),
-        "error_histogram": histogram(predictions, error_pct, 50),
-        "error_bands": acc.error_bands(predictions, error_pct),
-        "worst_predictions": acc.extreme_predictions(predictions, shown, error_pct, worst=True),
-        "best_predictions": acc.extreme_predictions(predictions, shown, error_pct, worst=False),
+        "error_distribution": acc.distribution_row(spark, found.n, found["mean"], median, found["std"]),
+        "error_histogram": histogram_table(bin_ends, bins, BINS),
+        "error_bands": acc.band_table(whole),
+        "worst_predictions": pick("worst"),
+        "best_predictions": pick("best"),
         "best_and_worst_category": acc.best_and_worst(by_category, category, "mean_error_pct"),
     }
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from granary.operators import accuracy as acc
+from granary.operators.grouped_quantiles import grouped_quantiles
 from granary.plans.modelling import prediction_table as build_table
+from granary.sources.workspace import settle
 from granary.testbed.registry import query, sql_round, table
 
 # name, prediction from the quantity as (factor, constant)
@@ -146,6 +148,35 @@ def error_distribution(spark, folder):
     return acc.error_distribution(predictions(spark, folder), digits=4)
 
 
+SQL_SPREAD = ", ".join(
+    f"{sql_round(e, 4)} as {n}"
+    for n, e in (
+        ("mean", "avg(error_pct)"), ("std", "stddev_samp(error_pct)"), ("min", "min(error_pct)"), ("q1", "quantile_cont(error_pct, 0.25)"),
+        ("median", "quantile_cont(error_pct, 0.5)"), ("q3", "quantile_cont(error_pct, 0.75)"), ("max", "max(error_pct)"),
+    )
+)
+
+
+@query(f"select l_returnflag, year, count(error_pct) as n, {SQL_SPREAD} from {PREDICTIONS} group by 1, 2")
+def error_distribution_by_category(spark, folder):
+    """Spread of the errors by category and year."""
+    return acc.error_distribution_by(settle(predictions(spark, folder), "judged"), ["l_returnflag", "year"], digits=4)
+
+
+@query(
+    "select l_suppkey, count(*) as n, "
+    + ", ".join(f"{sql_round(f'quantile_cont(l_extendedprice, {share})', 4)} as {name}" for name, share in (("p10", 0.1), ("p50", 0.5), ("p99", 0.99)))
+    + " from (select l_suppkey % 3 as l_suppkey, l_extendedprice from lineitem "
+    + "union all select 100 + l_suppkey, l_extendedprice from lineitem) group by 1"
+)
+def grouped_price_quantiles(spark, folder):
+    """Price quantiles of three groups with a third of all rows each, and of many small ones."""
+    items = table(spark, folder, "lineitem").select("l_suppkey", "l_extendedprice")
+    both = items.withColumn("l_suppkey", F.col("l_suppkey") % 3).union(items.withColumn("l_suppkey", F.col("l_suppkey") + 100))
+    found = grouped_quantiles(settle(both, "prices"), ["l_suppkey"], "l_extendedprice", {"p10": 0.1, "p50": 0.5, "p99": 0.99}, few_rows=1000)
+    return found.withColumns({c: F.round(c, 4) for c in ("p10", "p50", "p99")})
+
+
 @query(
     f"with p as (select error_pct as e from {PREDICTIONS}), b as (select * from (values (0, '< 5%', -1.0, 5.0), "
     "(1, '5-10%', 5.0, 10.0), (2, '10-20%', 10.0, 20.0), (3, '> 20%', 20.0, 1e30)) as t(band, label, lo, hi)) "

@@ -32,6 +32,12 @@ def _judged(spark, folder, *names):
     return train_and_compare(train, test, LABEL, NUMERIC, CATEGORY, KEYS, _models(*names))
 
 
+def sql_uniform_of(*keys, salt):
+    """The SQL of a draw on several keys."""
+    text = " || ':' || ".join([*(f"cast({k} as varchar)" for k in keys), f"'{salt}'"])
+    return f"(cast(cast('0x' || substr(md5({text}), 1, 13) as bigint) as double) / 4503599627370496.0::double)"
+
+
 def _line_stages():
     return [
         *learning.feature_stages(["l_quantity"]),
@@ -60,6 +66,50 @@ def string_index(spark, folder):
     return indexed.select("c_custkey", F.col(learning.indexed_name("c_mktsegment")).alias("segment_index"))
 
 
+@query(
+    "select l_partkey, cast(count(*) as bigint) as n_rows, cast(max(i) as double) as part_index from lineitem join "
+    + SQL_INDEX.format(c="cast(l_partkey as varchar)", t="lineitem")
+    + " on name = cast(l_partkey as varchar) group by 1"
+)
+def category_index(spark, folder):
+    """Parts indexed by frequency through a table of labels: a category with as many labels as there are keys."""
+    items = table(spark, folder, "lineitem").select("l_partkey")
+    index = learning.feature_stages([], "l_partkey", many_labels=True)[0]
+    indexed = index.fit(items).transform(items)
+    return indexed.groupBy("l_partkey").agg(F.count("*").alias("n_rows"), F.max(learning.indexed_name("l_partkey")).alias("part_index"))
+
+
+@query(
+    "with known as (select * from lineitem where l_shipdate < timestamp '1997-01-01'), labels as "
+    + SQL_INDEX.format(c="cast(l_suppkey as varchar)", t="known")
+    + " select l_orderkey, l_linenumber, l_partkey, cast(coalesce(i, (select count(*) from labels)) as double) as l_suppkey_indexed "
+    "from lineitem left join labels on name = cast(l_suppkey as varchar)"
+)
+def category_index_unseen(spark, folder):
+    """Suppliers indexed on the early line items, applied to all; an index saved and read back."""
+    items = table(spark, folder, "lineitem")
+    early = items.where(F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp_ntz"))
+    path = scratch_path(spark, "index-model")
+    save_model(Pipeline(stages=learning.feature_stages([], "l_suppkey", many_labels=True)[:1]).fit(early), path)
+    return load_model(path).transform(items).select("l_orderkey", "l_linenumber", "l_partkey", learning.indexed_name("l_suppkey"))
+
+
+@query(
+    "with rows as (select l_quantity as x, l_extendedprice as y, "
+    f"cast(floor({sql_uniform_of('l_orderkey', 'l_linenumber', 'l_partkey', salt=learning.FOLD_SALT)} * 3) as int) as fold from lineitem), "
+    "lines as (select f.fold, regr_slope(y, x) as s, regr_intercept(y, x) as i from rows, (select distinct fold from rows) f "
+    "where rows.fold <> f.fold group by 1) "
+    f"select fold, count(*) as n, {sql_round('sqrt(avg((s * x + i - y) * (s * x + i - y)))', 4)} as rmse, "
+    f"{sql_round('avg(abs(s * x + i - y))', 4)} as mae, {sql_round('1 - avg((s * x + i - y) * (s * x + i - y)) / var_pop(y)', 6)} as r2 "
+    "from rows join lines using (fold) group by 1"
+)
+def fold_metrics(spark, folder):
+    """A line fitted on two thirds and judged on the other, three times, side by side."""
+    *stages, line = _line_stages()
+    found = learning.fold_metrics(_rows(spark, folder), LABEL, stages, line, KEYS)
+    return found.withColumns({**{c: F.round(c, 4) for c in ("rmse", "mae")}, "r2": F.round("r2", 6)})
+
+
 @query("select l_orderkey, l_linenumber, l_quantity as q, l_tax as t, l_extendedprice as p from lineitem")
 def assemble_features(spark, folder):
     lineitem = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax", LABEL)

@@ -40,9 +40,49 @@ def test_chart_tables(tables):
 
 def test_accuracy_tables(tables):
     judged = tables[2]
-    got = analysis.accuracy_pack(judged, "category", "year", ["category", "k"])
+    shown = ["category", "k", "actual"]
+    got = analysis.accuracy_pack(judged, "category", "year", shown)
     assert near(got["accuracy_by_year"].collect()) == near(acc.error_by(judged, "year", "year").collect())
     ranked = got["accuracy_by_category"].collect()
     assert near(ranked) == near(acc.error_by(judged, "category", "category", actual="actual", digits=2).collect())
     assert [r.mean_error_pct for r in ranked] == sorted(r.mean_error_pct for r in ranked)
     assert near(got["best_and_worst_category"].collect()) == near(acc.best_and_worst(judged, "category").collect())
+    assert near(got["accuracy_by_range"].collect()) == near(acc.error_by_range(judged).collect())
+    assert near(got["error_distribution"].collect()) == near(acc.error_distribution(judged).collect())
+    assert near(got["error_histogram"].collect()) == near(profile.histogram(judged, "error_pct", 50).collect())
+    assert near(got["error_bands"].collect()) == near(acc.error_bands(judged).collect())
+    for name, worst in (("worst_predictions", True), ("best_predictions", False)):
+        assert near(got[name].collect()) == near(acc.extreme_predictions(judged, shown, worst=worst).collect())
+        values = [r.error_pct for r in got[name].collect()]
+        assert values == sorted(values, reverse=worst)
+
+
+def test_accuracy_pack_of_few_and_of_null_rows(spark):
+    rows = [("a", 1, None, None), ("a", 1, 0.0, None), (None, None, 5.0, 20.0), ("b", 2, 5.0, 0.0)]
+    judged = spark.createDataFrame(rows, "category string, year int, actual double, error_pct double")
+    got = analysis.accuracy_pack(judged, "category", "year", ["category"])
+    for name, want in (
+        ("accuracy_by_range", acc.error_by_range(judged)), ("error_distribution", acc.error_distribution(judged)),
+        ("error_bands", acc.error_bands(judged)), ("worst_predictions", acc.extreme_predictions(judged, ["category"])),
+        ("error_histogram", profile.histogram(judged, "error_pct", 50)),
+    ):
+        assert near(got[name].collect()) == near(want.collect()), name
+    empty = analysis.accuracy_pack(judged.where("false"), "category", "year", ["category"])
+    assert empty["error_distribution"].first().n in (0, None) and empty["worst_predictions"].count() == 0
+
+
+def test_accuracy_pack_reads_the_predictions_three_times(spark, tables, monkeypatch):
+    """A counter in every row tells how often it is read; the median, whose passes are its own, is left out."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(value):
+        seen.add(1)
+        return value
+
+    monkeypatch.setattr(analysis, "exact_quantile", lambda *_, **__: 0.0)
+    judged = tables[2].repartition(4).cache()
+    rows = judged.count()
+    counted = judged.withColumn("error_pct", F.udf(look, "double").asNondeterministic()("error_pct"))
+    for df in analysis.accuracy_pack(counted, "category", "year", ["category", "k"]).values():
+        df.collect()
+    assert seen.value <= 3 * rows
