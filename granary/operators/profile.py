@@ -10,6 +10,10 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations_with_replacement
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,10 +66,17 @@ def volumes(n: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, n_distinct), nulls not counted."""
-    counted = df.agg(*[F.count_distinct(c).alias(c) for c in columns])
-    rows = [F.struct(F.lit(c).alias("column"), F.col(c).alias("n_distinct")) for c in columns]
-    return counted.select(F.inline(F.array(*rows)))
+    """(column, n_distinct), nulls not counted; hand in a table.
+
+    Every column is grouped on its own, so a columnar table is read once in all, no row is expanded, and what is shuffled are the
+    distinct values that each task has found.
+    """
+    one = [
+        df.select(F.col(c).alias("value")).where(F.col("value").isNotNull()).distinct()
+        .agg(F.lit(c).alias("column"), F.count(F.lit(1)).alias("n_distinct"))
+        for c in columns
+    ]
+    return reduce(DataFrame.unionAll, one)
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -139,6 +150,9 @@ def value_counts(df: DataFrame, value: str | Column, name: str = "value") -> Dat
     return df.groupBy(as_column(value).alias(name)).agg(F.count("*").alias("n"))
 
 
+FLAT = 1e-14  # a spread below this share of its squares is that of a constant column
+
+
 def correlation_columns(columns: Sequence[str]) -> list[Column]:
     """Aggregates r_i_j (i <= j); each unordered pair is computed once."""
     pairs = combinations_with_replacement(enumerate(columns), 2)
@@ -167,6 +181,32 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None
     return df.agg(*correlation_columns(columns)).select(F.inline(F.array(*rows)))
 
 
+def wide_correlations(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
+    """(row, col, r) for all ordered pairs of many columns, over the rows where both are there; null for a constant one.
+
+    Two passes, whatever the number of columns: one for their means, one for the product of the matrix [x, x * x, there] with itself,
+    which MLlib adds up in a tree. The result has nine numbers a pair, so the driver holds what the answer itself takes.
+    """
+    names, k = list(columns), len(columns)
+    numbers = [F.col(c).cast("double") for c in names]
+    means = df.agg(*[F.avg(F.when(~F.isnan(x), x)).alias(f"m{i}") for i, x in enumerate(numbers)]).first()
+    usable = [x.isNotNull() & ~F.isnan(x) for x in numbers]
+    centered = [F.when(ok, x - F.lit(float(m or 0.0))).otherwise(0.0) for x, ok, m in zip(numbers, usable, means)]
+    parts = [*centered, *[c * c for c in centered], *[ok.cast("double") for ok in usable]]
+    rows = MLUtils.convertVectorColumnsFromML(df.select(array_to_vector(F.array(*parts)).alias("v")), "v")
+    gram = RowMatrix(rows).computeGramianMatrix().toArray()
+    x, square, there = slice(0, k), slice(k, 2 * k), slice(2 * k, 3 * k)
+    n, product = gram[there, there], gram[x, x]
+    total, squares = gram[x, there], gram[square, there]  # of column i over the rows where column j is there
+    with np.errstate(divide="ignore", invalid="ignore"):
+        spread = squares - total * total / n
+        spread = np.where(spread > squares * FLAT, spread, 0.0)
+        r = (product - total * total.T / n) / np.sqrt(spread * spread.T)
+    told = [(a, b, float(r[i, j]) if np.isfinite(r[i, j]) else None) for i, a in enumerate(names) for j, b in enumerate(names)]
+    out = df.sparkSession.createDataFrame(told, "row string, col string, r double")
+    return out if digits is None else out.withColumn("r", F.round("r", digits))
+
+
 def feature_target_correlation(
     df: DataFrame, features: Sequence[str], target: str, digits: int | None = None
 ) -> DataFrame:

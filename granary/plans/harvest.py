@@ -42,7 +42,7 @@ class HarvestLake:
         return f"{self.base.rstrip('/')}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return tables.published(self.spark, self.path(name))
 
     # landing
 
@@ -66,7 +66,7 @@ class HarvestLake:
         raw = delimited.scan_tagged_files(self.spark, folder, ";", h.WEATHER.code, codes=list(h.PROVINCES), skip_unreadable=skip_unreadable)
         if tables.is_empty(raw):
             return False
-        tables.write_table(silver.clean_measurements(raw, h.WEATHER, self.as_of), self.path("silver/weather"))
+        tables.publish(silver.clean_measurements(raw, h.WEATHER, self.as_of), self.path("silver/weather"))
         return True
 
     def build_facts(self) -> bool:
@@ -76,7 +76,7 @@ class HarvestLake:
         raw = delimited.scan_sniffed(self.spark, self.path(self.facts_path))
         if tables.is_empty(raw):
             return False
-        tables.write_table(silver.clean_facts(raw, h.FACTS, self.as_of), self.path("silver/facts"))
+        tables.publish(silver.clean_facts(raw, h.FACTS, self.as_of), self.path("silver/facts"))
         return True
 
     def weather_report(self) -> DataFrame:
@@ -133,7 +133,7 @@ class HarvestLake:
             h.REQUIRED,
             {"province": h.CATEGORY},
         )
-        return tables.write_verified(table, self.path("gold/features"))
+        return tables.write_verified(table, self.path("gold/features"), versioned=True)
 
     def export_gold(self, target: str) -> bool:
         return tables.export_table(self.spark, self.path("gold/features"), target)
@@ -153,7 +153,7 @@ class HarvestLake:
             h.YEAR,
             synth.noise_for("id") if noise else None,
         )
-        tables.write_table(made, self.path("gold/synthetic"))
+        tables.publish(made, self.path("gold/synthetic"))
 
     def combined(self) -> DataFrame:
         return synth.combine_with_real(self.table("gold/features"), self.table("gold/synthetic"), "source")
@@ -174,11 +174,11 @@ class HarvestLake:
             train, test, h.TARGET, h.FEATURES, h.CATEGORY, keep, models, self.path("predictions"),
             as_of=self.as_of, **h.PREDICTION_NAMES,
         )
-        tables.write_table(done.metrics, self.path("metrics"))
+        tables.publish(done.metrics, self.path("metrics"))
         tables.save_model(done.trained.pipeline(done.best), self.path(f"models/{done.best}"))
         names = [*h.FEATURES, learning.indexed_name(h.CATEGORY)]
         ranked = learning.feature_importance(done.trained.pipeline(done.best), names, rows)
-        tables.write_table(ranked, self.path("importance"))
+        tables.publish(ranked, self.path("importance"))
         return done
 
     # analysis

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from granary.functions.cleaning import iso_stamp
 from granary.operators.accuracy import best_model, model_comparison, with_errors
 from granary.operators.learning import Trained, feature_stages, fit_models, regressors, score_all
-from granary.sources.tables import write_table
+from granary.sources.tables import publish
 from granary.sources.workspace import settle
 
 
@@ -70,8 +70,7 @@ def train_and_compare(
     scored = score_all(fitted, test, label=model)
     table = prediction_table(scored, label, "prediction", keep, **columns)
     if place:
-        write_table(table, place, partition_by=[model])
-        table = train.sparkSession.read.schema(table.schema).parquet(place)
+        table = train.sparkSession.read.schema(table.schema).parquet(publish(table, place, partition_by=[model]))
     else:
         table = settle(table, "predictions")
     names = {c: columns.get(c, c) for c in ("actual", "predicted", "error_pct")}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -15,7 +17,8 @@ from pyspark.sql import types as T
 
 
 def scan_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A plain or a published table."""
+    return published(spark, path)
 
 
 def holds_files(spark: SparkSession, path: str) -> bool:
@@ -100,13 +103,74 @@ def write_table(
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def write_verified(df: DataFrame, path: str, num_files: int | None = None) -> DataFrame:
-    """Write, then compare the rows counted while writing with the footers of what lies there."""
+POINTER, VERSION = "_current", "v-"
+
+
+def publish(df: DataFrame, path: str, keep: int = 2, **how) -> str:
+    """Replace a table in one step; returns the folder of the new version.
+
+    Rows go to a version folder of their own, which nobody reads until it is whole; then a file that names it takes the place of the
+    old one by an atomic rename. A job that fails before leaves the old rows as they are, and a reader that began before the swap
+    reads on in its version. The last ``keep`` versions stay, older and broken ones are cleared. One writer a table at a time.
+    """
+    spark = df.sparkSession
+    before = current(spark, path).rsplit("/", 1)[1]
+    name = f"{VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    write_table(df, f"{path}/{name}", **how)
+    place, store = _store(spark, path)
+    fresh = spark._jvm.org.apache.hadoop.fs.Path(place, f"{POINTER}.{uuid.uuid4().hex}")
+    out = store.create(fresh, True)
+    out.write(bytearray(name.encode()))
+    out.close()
+    files = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration())
+    rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    files.rename(store.makeQualified(fresh), store.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(place, POINTER)), over)
+    found = versions(spark, path)
+    whole = [v for v in found if store.exists(spark._jvm.org.apache.hadoop.fs.Path(place, f"{v}/_SUCCESS"))]
+    for old in {*found} - {*whole[-keep:], before, name}:
+        store.delete(spark._jvm.org.apache.hadoop.fs.Path(place, old), True)
+    return f"{path}/{name}"
+
+
+def _store(spark: SparkSession, path: str):
+    """The path, as the session's file systems know it, and its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of a published table's version folders, oldest first; unfinished ones among them."""
+    place, store = _store(spark, path)
+    names = [s.getPath().getName() for s in store.listStatus(place)] if store.exists(place) else []
+    return sorted(n for n in names if n.startswith(VERSION))
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """The folder with a table's rows: that of the published version, or the path itself for a plain table."""
+    place, store = _store(spark, path)
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(place, POINTER)
+    if not store.exists(pointer):
+        return path
+    source = store.open(pointer)
+    name = bytes(source.readAllBytes()).decode()
+    source.close()
+    return f"{path}/{name}"
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """A table as it was last published, or a plain one."""
+    return spark.read.parquet(current(spark, path))
+
+
+def write_verified(df: DataFrame, path: str, num_files: int | None = None, versioned: bool = False) -> DataFrame:
+    """Write (or publish), then compare the rows counted while writing with the footers of what lies there."""
     seen = Observation()
-    out = df.repartition(num_files) if num_files else df
-    write_table(out.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    out = (df.repartition(num_files) if num_files else df).observe(seen, F.count(F.lit(1)).alias("rows"))
+    publish(out, path) if versioned else write_table(out, path)
     written = int(seen.get["rows"])
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(current(df.sparkSession, path))
     return back.agg(F.count("*").alias("read_back")).select(
         F.lit(written).cast("bigint").alias("written"),
         "read_back",
@@ -116,7 +180,7 @@ def write_verified(df: DataFrame, path: str, num_files: int | None = None) -> Da
 
 def export_table(spark: SparkSession, source: str, target: str) -> bool:
     """Copy a table to another place; a target that cannot be written yields False and a warning with the cause."""
-    table = spark.read.parquet(source)
+    table = published(spark, source)
     try:
         write_table(table, target)
         return True

@@ -192,6 +192,21 @@ def sink_verify(spark, folder):
     return tables.write_verified(table(spark, folder, "orders"), scratch_path(spark, "verified"))
 
 
+@query("select * from part where p_partkey % 2 = 1")
+def publish_versions(spark, folder):
+    """A table published twice, then once more by a job that fails on its way: readers still find the second version whole."""
+    part, path = table(spark, folder, "part"), scratch_path(spark, "published")
+    tables.publish(part, path)
+    tables.publish(part.where("p_partkey % 2 = 1"), path)
+    broken = part.withColumn("p_size", F.when(F.col("p_partkey") > 100, F.raise_error("no such part").cast("int")).otherwise(F.col("p_size")))
+    try:
+        tables.publish(broken.repartition(4, "p_partkey"), path)
+    except Exception as expected:
+        if "no such part" not in str(expected):
+            raise
+    return tables.published(spark, path)
+
+
 @query("select * from supplier")
 def export_copy(spark, folder):
     """A written table exported to another place and read from there."""

@@ -38,6 +38,15 @@ def distinct_counts(spark, folder):
     return profile.distinct_counts(table(spark, folder, "customer"), ["c_nationkey", "c_mktsegment", "c_acctbal"])
 
 
+ITEM_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+@query(_union(f"select '{c}' as \"column\", count(distinct {c}) as n_distinct from lineitem" for c in ITEM_COLUMNS))
+def distinct_counts_all(spark, folder):
+    """Distinct values of all columns of a table."""
+    return profile.distinct_counts(table(spark, folder, "lineitem"), ITEM_COLUMNS)
+
+
 @query(
     _union(
         f"select '{c}' as \"column\", count(*) filter (where {c} is null) as n_nulls from {NULLED_EVENTS}"
@@ -99,6 +108,22 @@ def correlation_matrix(spark, folder):
     return profile.correlation_matrix(table(spark, folder, "lineitem"), NUMBERS, digits=6)
 
 
+WIDE = {f"c{i}": f"case when l_orderkey % {i + 3} <> 0 then l_quantity * {i % 4} + l_suppkey % {i + 2} + 1000 * {i} end" for i in range(12)}
+SQL_WIDE = f"(select {', '.join(f'{e} as {c}' for c, e in WIDE.items())} from lineitem)"
+
+
+@query(
+    "with wide as " + SQL_WIDE + ", r as (select "
+    + ", ".join(f"corr({a}, {b}) as {a}_{b}" for a in WIDE for b in WIDE)
+    + " from wide) "
+    + _union(f"select '{a}' as \"row\", '{b}' as col, {sql_round(f'{a}_{b}', 6)} as r from r" for a in WIDE for b in WIDE)
+)
+def wide_correlations(spark, folder):
+    """All pairs of many columns with gaps, from one matrix product."""
+    wide = table(spark, folder, "lineitem").select(*[F.expr(e).alias(c) for c, e in WIDE.items()])
+    return profile.wide_correlations(wide, list(WIDE), digits=6)
+
+
 @query(
     _union(
         f"select '{c}' as feature, {sql_round(f'corr(l_extendedprice, {c})', 6)} as r from lineitem"

@@ -92,3 +92,18 @@ def test_volumes(spark):
     got = [tuple(r) for r in profile.volume_summary(spark.range(4), spark.range(10)).collect()]
     assert got == [("real", 4, 1.0), ("synthetic", 10, 2.5), ("combined", 14, 3.5)]
     assert profile.distinct_counts(spark.range(4).withColumn("n", F.lit(None).cast("int")), ["id", "n"]).collect()[1][1] == 0
+
+
+def test_correlations_of_two_hundred_columns(spark):
+    """Large means, gaps of their own, a constant and an empty column; a sample of pairs against the pairwise operator."""
+    names = [f"c{i}" for i in range(200)]
+    value = lambda i: F.lit(1e6 * i) + F.pmod(F.xxhash64("id", F.lit(i % 150)), F.lit(1000)) / 7.0
+    columns = [F.when(F.col("id") % (i + 5) != 0, value(i)).alias(n) for i, n in enumerate(names[:-2])]
+    df = spark.range(3000).repartition(4).select(*columns, F.lit(3.0).alias("c198"), F.lit(None).cast("double").alias("c199")).cache()
+    found = {(r.row, r.col): r.r for r in profile.wide_correlations(df, names).collect()}
+    assert len(found) == 40_000
+    some = ["c0", "c3", "c20", "c150", "c153", "c199"]
+    for r in profile.correlation_matrix(df, some).collect():
+        got = found[r.row, r.col]
+        assert (got is None) == (r.r is None) and (got is None or abs(got - r.r) < 1e-9), r
+    assert abs(found["c0", "c150"] - 1) < 1e-9 and found["c198", "c0"] is None and found["c198", "c198"] is None

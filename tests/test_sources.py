@@ -226,3 +226,24 @@ def test_settled_table_equals_its_source(spark):
     df = spark.range(10).withColumn("x", F.col("id") / 3)
     assert workspace.settle(df, "test").exceptAll(df).isEmpty()
     assert workspace.is_broadcast(workspace.settle(df, "small"))
+
+
+def test_published_versions(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    first = tables.publish(spark.range(10), path)
+    old = tables.published(spark, path)
+    assert old.count() == 10 and tables.versions(spark, path) == [first.rsplit("/", 1)[1]]
+    broken = spark.range(100).withColumn("id", F.when(F.col("id") == 99, F.raise_error("stop").cast("bigint")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="stop"):
+        tables.publish(broken, path)
+    assert tables.published(spark, path).count() == 10
+    tables.publish(spark.range(20), path)
+    assert old.count() == 10  # a reader that began before
+    tables.publish(tables.published(spark, path).where("id < 5"), path)  # a table may be made from itself
+    assert tables.published(spark, path).count() == 5
+    assert len(tables.versions(spark, path)) == 2 and not list(tmp_path.glob("t/_current.*"))
+    assert tables.scan_table(spark, path).count() == 5
+    spark.range(3).write.parquet(f"{tmp_path}/plain")
+    assert tables.published(spark, f"{tmp_path}/plain").count() == 3
+    assert tuple(tables.write_verified(spark.range(7), path, versioned=True).first()) == (7, 7, True)
+    assert tables.export_table(spark, path, f"{tmp_path}/out") and spark.read.parquet(f"{tmp_path}/out").count() == 7
