@@ -9,7 +9,8 @@ blocks of a few megabytes, and then:
    below the threshold, so every phrase that is frequent enough is still there at the end.
    Equal hashes of different phrases only add up; they can let a rare phrase through, never lose a frequent one.
 2. Each block learns which of its own hashes survived, and counts those phrases exactly, by their
-   words. The blocks' counts add up to f, and phrases below the threshold go.
+   words. The counts go packed to the phrase's hash partition, where the blocks' counts add up to f, and phrases below the
+   threshold go.
 
 Then phrases are cut, scored, and folded into longer ones by joins on (lang, phrase). No count of
 survivors is broadcast or held whole: a summary holds ``COUNTERS`` entries, a block what is found in it, and the
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -208,21 +210,24 @@ def _known(values: np.ndarray, kept: np.ndarray) -> np.ndarray:
     return hit[kept[at] == values[hit]] if len(kept) else hit[:0]
 
 
-EXACT = {"lang": pa.string(), "words": pa.int32(), "phrase": pa.string(), "f": pa.int64()}
+EXACT = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
 
 
-def _exact(packed: bytes, kept: np.ndarray, bits: int) -> Iterator[list]:
-    """Columns of (lang, words, phrase, f) of the block's surviving phrases, told apart by their words; 0 words: all words of the language."""
+def _exact(packed: bytes, kept: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, pa.Table]]:
+    """Hashes and (lang, words, phrase, f) of the block's surviving phrases, told apart by their words; 0 words: all words of the language."""
     found, lang, langs = _unpack(packed)
     total = np.bincount(lang, minlength=len(langs))
-    yield [langs, [0] * len(langs), [""] * len(langs), total.tolist()]
+    whole = [pa.array(langs, pa.string()), pa.array([0] * len(langs), pa.int32()), pa.array([""] * len(langs)), pa.array(total)]
+    yield np.zeros(len(langs), np.uint64), pa.Table.from_arrays(whole, schema=EXACT)
     known = np.full(len(found.codes) + 1, -1, dtype=np.int64)  # the number of the shorter phrase that starts at a place
     for n, (at, hashes) in enumerate(phrase_hashes(found, lang, langs, bits), 1):
-        at = at[_known(hashes, kept)]
+        hit = _known(hashes, kept)
+        at, hashes = at[hit], hashes[hit]
         if n == 1:
             pair = lang[at] * len(found.names) + found.codes[at]
         else:  # both shorter phrases inside a frequent one are frequent, so they have survived
-            at = at[(known[at] >= 0) & (known[at + 1] >= 0)]
+            whole = (known[at] >= 0) & (known[at + 1] >= 0)
+            at, hashes = at[whole], hashes[whole]
             pair = known[at] * len(found.names) + found.codes[at + n - 1]
         _, first, number, f = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
         known = np.full(len(known), -1, dtype=np.int64)
@@ -231,21 +236,46 @@ def _exact(packed: bytes, kept: np.ndarray, bits: int) -> Iterator[list]:
             return
         codes = found.codes[at[first][:, None] + np.arange(n)].ravel()
         lists = pa.ListArray.from_arrays(np.arange(0, len(codes) + 1, n, dtype=np.int32), found.names.take(pa.array(codes)))
-        yield [[langs[i] for i in lang[at[first]].tolist()], np.full(len(first), n, np.int32), pa.compute.binary_join(lists, " "), f]
+        names = pa.array(langs, pa.string()).take(pa.array(lang[at[first]]))
+        columns = [names, pa.array(np.full(len(first), n, np.int32)), pc.binary_join(lists, " "), pa.array(f.astype(np.int64))]
+        yield hashes[first], pa.Table.from_arrays(columns, schema=EXACT)
 
 
-def _block_phrases(blocks: DataFrame, survivors: DataFrame, bits: int) -> DataFrame:
-    """(lang, words, phrase, f) of every block."""
+def _block_phrases(blocks: DataFrame, survivors: DataFrame, bits: int, parts: int) -> DataFrame:
+    """(part, packed): the phrase counts of every block, dealt to partitions by hash."""
 
     def run(key, held: pa.Table, lists: pa.Table) -> pa.Table:
         kept = np.sort(np.frombuffer(b"".join(lists.column("hashes").to_pylist()), dtype="<u8"))
-        out = [pa.table({name: [] for name in EXACT}, schema=pa.schema(EXACT))]
+        to, sent = [], []
         for packed in held.column("packed"):
-            for columns in _exact(packed.as_py(), kept, bits):
-                out.append(pa.table([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, EXACT.values())], names=list(EXACT)))
-        return pa.concat_tables(out)
+            found = list(_exact(packed.as_py(), kept, bits))
+            part = np.searchsorted(edges(bits, parts), np.concatenate([h for h, _ in found]), side="right") - 1
+            order = np.argsort(part, kind="stable")
+            table = pa.concat_tables([t for _, t in found]).take(pa.array(order)).combine_chunks()
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            for p in np.flatnonzero(np.diff(cuts)).tolist():
+                to.append(p)
+                sent.append(_pack(table.slice(cuts[p], cuts[p + 1] - cuts[p]).combine_chunks().to_batches()[0]))
+        return pa.table([pa.array(to, pa.int32()), pa.array(sent, pa.binary())], names=["part", "packed"])
 
-    return blocks.groupBy("block").cogroup(survivors.groupBy("block")).applyInArrow(run, "lang string, words int, phrase string, f long")
+    return blocks.groupBy("block").cogroup(survivors.groupBy("block")).applyInArrow(run, "part int, packed binary")
+
+
+def _added(counts: DataFrame, threshold: int) -> DataFrame:
+    """(lang, words, phrase, f) of the frequent phrases, and the words of each language."""
+
+    def run(group: pa.Table) -> pa.Table:
+        held: list[pa.Table] = []
+        rows = group.column("packed")
+        for i in range(len(rows)):
+            held.append(pa.ipc.open_stream(rows[i].as_py()).read_all())
+            if i == len(rows) - 1 or sum(t.num_rows for t in held) > HELD:
+                whole = pa.concat_tables(held).group_by(["lang", "words", "phrase"]).aggregate([("f", "sum")])
+                held = [whole.rename_columns({"f_sum": "f"}).select(EXACT.names)]
+        f, words = held[0].column("f"), held[0].column("words")
+        return held[0].filter(pc.or_(pc.greater_equal(f, threshold), pc.equal(words, 0)))
+
+    return counts.groupBy("part").applyInArrow(run, "lang string, words int, phrase string, f long")
 
 
 def frequent_phrases(
@@ -261,8 +291,7 @@ def frequent_phrases(
     parts = 1 + most // (threshold * counters)
     bits = min(64, most.bit_length() + SPARE_BITS)
     survivors = settle(_survivors(_block_counts(blocks, bits, parts), threshold), "survivors")
-    counted = _block_phrases(blocks, survivors, bits).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
-    return settle(counted.where((F.col("f") >= threshold) | (F.col("words") == 0)), "phrases")
+    return settle(_added(_block_phrases(blocks, survivors, bits, parts), threshold), "phrases")
 
 
 def _score(a: Column, n: Column, left: Column, right: Column) -> Column:
