@@ -248,6 +248,31 @@ def stump_importance(spark, folder):
     return learning.feature_importance(model, ["l_discount"], rows)
 
 
+SQL_TRAINED = (
+    "with rows as (select l_quantity as x, l_extendedprice as y, "
+    f"{sql_uniform_of('l_orderkey', 'l_linenumber', 'l_partkey', salt='split-42')} < 0.8::double as train from lineitem), "
+    "fit as (select regr_slope(y, x) as s, regr_intercept(y, x) as i, avg(y) as m from rows where train), "
+    "told as (select 'line' as model, y, s * x + i as p from rows, fit where not train union all select 'mean', y, m from rows, fit where not train)"
+)
+
+
+@query(
+    f"{SQL_TRAINED} select model, count(*) as n, {sql_round('sqrt(avg((p - y) * (p - y)))', 4)} as rmse, {sql_round('avg(abs(p - y))', 4)} as mae, "
+    f"{sql_round('1 - avg((p - y) * (p - y)) / var_pop(y)', 6)} as r2, {sql_round('avg(abs(p - y) / nullif(y, 0) * 100)', 4)} as mean_error_pct, "
+    "row_number() over (order by avg((p - y) * (p - y)) / var_pop(y), model) = 1 as is_best from told group by 1"
+)
+def trained_lines(spark, folder):
+    """The whole training stage with two models that SQL can fit as well: a line, and one penalised down to the mean."""
+    train, test = sampling.split_train_test(_rows(spark, folder), KEYS)
+    models = {
+        "line": LinearRegression(featuresCol=learning.SCALED, labelCol=LABEL, regParam=0.0, solver="normal"),
+        "mean": learning.elastic_net(LABEL, penalty=1e9, mix=1.0),
+    }
+    judged = train_and_compare(train, test, LABEL, ["l_quantity"], None, KEYS, models)
+    told = judged.metrics.withColumn("is_best", F.col("model") == judged.best)
+    return told.withColumns({**{c: F.round(c, 4) for c in ("rmse", "mae", "mean_error_pct")}, "r2": F.round("r2", 6)})
+
+
 @query()
 def rf_metrics(spark, folder):
     return _judged(spark, folder, "RandomForest").metrics
