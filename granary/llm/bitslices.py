@@ -10,12 +10,14 @@ slice downward; what the dropped bits could change is bounded, so
 all rows whose sum could still reach the k-th are resolved by their exact scores. Nothing is approximate.
 
 The queries go against all rows in cells of one block and one chunk of queries,
-so neither side has to fit in memory or in a broadcast.
+so neither side has to fit in memory or in a broadcast. What travels is one copy of a block for every
+``CHUNKS_TOGETHER`` chunks, and each chunk once for every block.
 
 Vectors that are null, hold null or non-finite components, or components whose
 quantised value needs more than 31 bits take no part; neither does a null id. Only vectors of equal
-length are compared. ``vec_id`` is a key: of rows that share one, a single row
-(the smallest vector) counts. An empty table gives an empty one.
+length are compared. Rows that share a vec_id are all candidates for other queries, and as queries they share one
+list, the best of what any of them finds; they take no part in each other's. Ties go to the smaller vec_id.
+An empty table gives an empty one. Only the two columns are read, so extra columns may have any name.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.sources.workspace import settle
@@ -32,8 +34,10 @@ from granary.sources.workspace import settle
 SCALE = 256
 TOP = 5
 EVERY = 50
-BLOCK_ROWS = 32_768
+BLOCK_BYTES = 4 << 20  # of a block's rows, 4 bytes a component
+LEAST_ROWS = 64  # of a block, however long its vectors
 CHUNK_QUERIES = 128
+CHUNKS_TOGETHER = 64  # that one copy of a block is searched for
 SLICES = 6
 WEIGHT_BITS = 5
 
@@ -169,10 +173,10 @@ def quantised(vectors: DataFrame, scale: int) -> DataFrame:
     return taken.select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dims"), x.cast("array<long>").alias("codes"))
 
 
-def _gather(rows: DataFrame, per: int, name: str) -> DataFrame:
+def _gather(rows: DataFrame, per: Column, name: str) -> DataFrame:
     """One row (dims, name, number of such, ids, codes) for about ``per`` vectors of equal length."""
-    counts = rows.groupBy("dims").agg((1 + F.floor((F.count(F.lit(1)) - 1) / per)).cast("int").alias(f"{name}s"))
-    dealt = rows.join(counts, "dims").withColumn(name, F.pmod(F.xxhash64("vec_id"), F.col(f"{name}s")).cast("int"))
+    counts = rows.groupBy("dims").agg((1 + F.floor((F.count(F.lit(1)) - 1) / F.first(per))).cast("int").alias(f"{name}s"))
+    dealt = rows.join(counts, "dims").withColumn(name, F.pmod(F.xxhash64("vec_id", "codes"), F.col(f"{name}s")).cast("int"))
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         dims = int(group["dims"].iloc[0])
@@ -180,8 +184,7 @@ def _gather(rows: DataFrame, per: int, name: str) -> DataFrame:
         codes = np.array(group["codes"].tolist(), dtype=np.int64).reshape(len(ids), dims)
         order = np.lexsort((*codes.T[::-1], ids))
         ids, codes = ids[order], codes[order]
-        first = np.concatenate([[True], ids[1:] != ids[:-1]])
-        row = {"dims": dims, name: group[name].iloc[0], f"{name}s": group[f"{name}s"].iloc[0], f"{name}_ids": ids[first].tobytes(), f"{name}_rows": codes[first].astype("<i4").tobytes()}
+        row = {"dims": dims, name: group[name].iloc[0], f"{name}s": group[f"{name}s"].iloc[0], f"{name}_ids": ids.tobytes(), f"{name}_rows": codes.astype("<i4").tobytes()}
         return pd.DataFrame([row])
 
     schema = f"dims int, {name} int, {name}s int, {name}_ids binary, {name}_rows binary"
@@ -205,13 +208,15 @@ def sliced(blocks: DataFrame) -> DataFrame:
 def search(vectors: DataFrame, every: int = EVERY, k: int = TOP, scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for each row whose id is divisible by ``every``."""
     rows = quantised(vectors, scale)
-    blocks = sliced(_gather(rows, BLOCK_ROWS, "block"))
-    chunks = _gather(rows.filter(F.col("vec_id") % every == 0), CHUNK_QUERIES, "chunk")
-    chunk_counts = chunks.select("dims", "chunks").distinct()
+    blocks = sliced(_gather(rows, F.greatest(F.lit(LEAST_ROWS), F.floor(F.lit(BLOCK_BYTES) / (4 * F.col("dims") + 1))), "block"))
+    chunks = _gather(rows.filter(F.col("vec_id") % every == 0), F.lit(CHUNK_QUERIES), "chunk")
+    # A block goes once to a task that looks for many chunks in it; the queries are what is copied.
+    chunks = chunks.withColumn("part", F.floor(F.col("chunk") / CHUNKS_TOGETHER).cast("int"))
+    part_counts = chunks.select("dims", F.ceil(F.col("chunks") / CHUNKS_TOGETHER).cast("int").alias("parts")).distinct()
     block_counts = blocks.select("dims", "blocks").distinct()
-    left = blocks.join(chunk_counts, "dims").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    left = blocks.join(part_counts, "dims").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     right = chunks.drop("chunks").join(block_counts, "dims").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    cells = left.join(right, ["dims", "block", "chunk"])
+    cells = left.join(right, ["dims", "block", "part"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, at = None, None

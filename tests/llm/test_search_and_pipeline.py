@@ -18,17 +18,16 @@ from granary.llm import bitslices, queries
 
 
 def plain_search(rows, every=50, k=5):
-    fine = {}
+    fine = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
             codes = tuple(math.floor(256 * x) for x in v)
             if all(abs(256 * x) < 1 << 31 for x in v):
-                fine[i] = min(fine.get(i, codes), codes)
+                fine.append((i, codes))
     out = []
-    for q in fine:
-        if q % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(fine[q], v)), i) for i, v in fine.items() if i != q and len(v) == len(fine[q]))
-            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
+    for q in {i for i, _ in fine if i % every == 0}:
+        pairs = [(-sum(a * b for a, b in zip(own, v)), i) for j, own in fine if j == q for i, v in fine if i != q and len(v) == len(own)]
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(pairs)[:k])]
     return sorted(out)
 
 
@@ -43,8 +42,10 @@ def test_search_is_exact(spark):
 
 
 def test_search_over_many_blocks(spark, monkeypatch):
-    monkeypatch.setattr(bitslices, "BLOCK_ROWS", 30)
+    monkeypatch.setattr(bitslices, "BLOCK_BYTES", 30 * 21)
+    monkeypatch.setattr(bitslices, "LEAST_ROWS", 1)
     monkeypatch.setattr(bitslices, "CHUNK_QUERIES", 3)
+    monkeypatch.setattr(bitslices, "CHUNKS_TOGETHER", 2)
     draw = random.Random(2)
     rows = [(i, [draw.uniform(-2, 2) for _ in range(5)]) for i in range(250)]
     got = bitslices.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), every=10)
