@@ -2,38 +2,43 @@
 
 Base spans of four kinds come from fixed patterns with checks. They are the seeds of a
 bootstrap over all documents: the words around a seed make lexical patterns
-(two words before; one before and one after), tokens shaped like a kind but not
-matched by its base pattern are candidates, and patterns and instances form a
-graph. Spark scores it in rounds: a pattern is worth the mean confidence of the
+(two words before; one before and one after), and what is shaped like a kind but not
+matched by its base pattern is a candidate: tokens, and runs of neighbouring digit groups
+with one space between two ("(555) 123-4567"), with every part of a run that has a number's digits. Patterns
+and instances form a graph. Spark scores it in rounds: a pattern is worth the mean confidence of the
 distinct instances found in it, an instance of a candidate is as sure as its
-patterns together make it. Candidates at ``SURE`` or above become further
-spans at every place where they occur; base spans always stay.
+patterns together make it. Rounds go on until no confidence rises; it is kept in whole
+millionths, so that ends. Candidates at ``SURE`` or above become further
+spans at every place where they occur, but for places inside a longer one's; base spans always stay.
 
 A pattern needs ``SUPPORT`` distinct sure instances, so chance neighbours teach nothing.
 
 Nulls: a null text is empty. Spans count code points, ends exclusive. Repeated rows give
-repeated rows; an empty table gives an empty one.
+repeated rows; an empty table gives an empty one. Of a place that is sure as two kinds both spans are given.
+Only doc_id and text are read by ``find``; ``redact`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.llm.text import plain, slices, text_mark
 from granary.sources.workspace import settle
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 SUPPORT = 5
 SMOOTH = 1.0
 SURE = 0.9
+UNITS = 1_000_000  # of confidence
 AROUND = 64  # characters looked at on either side for context words
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -43,6 +48,9 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TOKEN = re.compile(r"\S+")
+GROUP = re.compile(r"\(?[0-9]++(?:[().-]++[0-9]++)*+\)?")
+RUN = re.compile(rf"(?<![^\s\"'(\[{{<])\+?{GROUP.pattern}(?: {GROUP.pattern})+(?![^\s\"'()\[\]{{}}<>,;:.!?])")
+MOST_DIGITS = 19  # of any kind
 MARKS = re.compile(r"[0-9@]")
 
 Span = tuple[int, int, int]  # start, place in KINDS, end
@@ -86,7 +94,7 @@ def shapes(token: str) -> list[int]:
         return [0]
     if re.fullmatch(r"[0-9]{1,3}([.:-][0-9]{1,3}){3}", token):
         return [1]
-    if re.fullmatch(r"[0-9().-]+", token):
+    if re.fullmatch(r"\+?[0-9(][0-9(). -]*", token):
         n = sum(c.isdigit() for c in token)
         return [2] * (14 <= n <= 19) + [3] * (7 <= n <= 15)
     return []
@@ -99,19 +107,47 @@ def contexts(text: str, start: int, end: int) -> list[str]:
     return (["< " + " ".join(before)] if len(before) == 2 else []) + ([f"{before[-1]} _ {after[0]}"] if before and after else [])
 
 
+def tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Places of words that could be identifiers, without the punctuation around them."""
+    for m in TOKEN.finditer(text):
+        if MARKS.search(m[0]):
+            token = m[0].strip("\"'()[]{}<>,;:.!?")
+            if token:
+                start = m.start() + m[0].find(token)
+                yield start, start + len(token)
+
+
+def runs(text: str) -> Iterator[tuple[int, int]]:
+    """Places of two or more neighbouring digit groups, at most ``MOST_DIGITS`` digits together."""
+    for m in RUN.finditer(text):
+        groups = [(m.start() + g.start(), m.start() + g.end()) for g in GROUP.finditer(m[0])]
+        digits = [sum(c.isdigit() for c in text[a:b]) for a, b in groups]
+        for i, (start, _) in enumerate(groups):
+            n = digits[i]
+            for j in range(i + 1, len(groups)):  # a group has a digit, so few follow
+                n += digits[j]
+                if n > MOST_DIGITS:
+                    break
+                yield start - (i == 0 and start > m.start()), groups[j][1] - unopened(text[start : groups[j][1]])
+
+
+def unopened(run: str) -> bool:
+    """Whether the closing bracket at the end belongs to what is around."""
+    return run.endswith(")") and run.count("(") < run.count(")")
+
+
 def slots(text: str, spans: list[Span]) -> list[dict]:
     """Seeds (``seed`` true) and candidates of a text with the patterns around them."""
     out = [
         {"kind": k, "start": s, "end": e, "instance": text[s:e], "seed": True, "patterns": contexts(text, s, e)} for s, k, e in spans
     ]
-    for m in TOKEN.finditer(text):
-        if MARKS.search(m[0]):
-            token = m[0].strip("\"'()[]{}<>,;:.!?")
-            start = m.start() + m[0].find(token)
-            end = start + len(token)
-            if token and not any(s < end and start < e for s, _, e in spans):
-                for k in shapes(token):
-                    out.append({"kind": k, "start": start, "end": end, "instance": token, "seed": False, "patterns": contexts(text, start, end)})
+    # Before each place in order of starts: how far the base spans that start there or earlier reach.
+    starts, reach = [s for s, _, _ in spans], list(accumulate((e for _, _, e in spans), max))
+    for start, end in chain(tokens(text), runs(text)):
+        known = bisect_left(starts, end)
+        if not known or reach[known - 1] <= start:
+            for k in shapes(text[start:end]):
+                out.append({"kind": k, "start": start, "end": end, "instance": text[start:end], "seed": False, "patterns": contexts(text, start, end)})
     return out
 
 
@@ -148,30 +184,32 @@ def scan(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), text.alias("text"), text_mark("text").alias("mark")).mapInArrow(run, schema)
 
 
-def bootstrap(places: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, sure: float = SURE) -> DataFrame:
+def bootstrap(places: DataFrame, support: int = SUPPORT, sure: float = SURE) -> DataFrame:
     """(kind, instance) of the candidates that the rounds are sure of; ``places`` has kind, instance, seed, patterns."""
     edges = settle(
         places.select("kind", "instance", "seed", F.explode("patterns").alias("pattern")).distinct(), "pattern-edges"
     )
-    known = edges.select("kind", "instance", F.when(F.col("seed"), 1.0).otherwise(0.0).alias("trust"))
-    known = settle(known.groupBy("kind", "instance").agg(F.max("trust").alias("trust")), "instances")
-    for _ in range(rounds):
-        judged = edges.select("kind", "instance", "pattern").distinct().join(known, ["kind", "instance"])
-        # What a pattern is worth for a kind: instances of the other kinds found in it count against it.
-        found = edges.select("pattern", "instance").distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-        worth = judged.groupBy("kind", "pattern").agg(
-            F.sum("trust").alias("trust"), F.sum((F.col("trust") >= sure).cast("int")).alias("sure")
-        )
+    # What a pattern is worth for a kind: instances of the other kinds found in it count against it.
+    found = settle(edges.select("pattern", "instance").distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("n")), "patterns")
+    links = edges.groupBy("kind", "instance", "pattern").agg(F.max("seed").alias("seed"))
+    known = edges.groupBy("kind", "instance").agg(F.max(F.when(F.col("seed"), UNITS).otherwise(0)).cast("long").alias("trust"))
+    known = settle(known.withColumn("rose", F.lit(True)), "instances")
+    enough = round(sure * UNITS)
+    while not known.filter("rose").isEmpty():
+        judged = links.join(known, ["kind", "instance"])
+        worth = judged.groupBy("kind", "pattern").agg(F.sum("trust").alias("trust"), F.sum((F.col("trust") >= enough).cast("int")).alias("sure"))
         worth = worth.join(found, "pattern").filter(F.col("sure") >= support)
-        worth = worth.select("kind", "pattern", (F.col("trust") / (F.col("n") + SMOOTH)).alias("worth"))
-        missed = judged.join(worth, ["kind", "pattern"]).filter("trust < 1").groupBy("kind", "instance")
-        gained = missed.agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("worth"), F.lit(1e-9)))))).alias("now"))
+        worth = worth.select("kind", "pattern", (F.col("trust") / UNITS / (F.col("n") + SMOOTH)).alias("worth"))
+        missed = judged.filter(F.col("trust") < UNITS).join(worth, ["kind", "pattern"]).groupBy("kind", "instance")
+        now = 1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("worth"), F.lit(1e-9)))))
+        gained = missed.agg(F.round(now * UNITS).cast("long").alias("now"))
+        best = F.greatest("trust", F.coalesce("now", F.lit(0)))
         known = settle(
-            known.join(gained, ["kind", "instance"], "left").select("kind", "instance", F.greatest("trust", F.coalesce("now", F.lit(0.0))).alias("trust")),
+            known.join(gained, ["kind", "instance"], "left").select("kind", "instance", best.alias("trust"), (best > F.col("trust")).alias("rose")),
             "instances",
         )
     seeds = edges.filter("seed").select("kind", "instance").distinct()
-    return known.filter(F.col("trust") >= sure).join(seeds, ["kind", "instance"], "left_anti").select("kind", "instance")
+    return known.filter(F.col("trust") >= enough).join(seeds, ["kind", "instance"], "left_anti").select("kind", "instance")
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -180,7 +218,10 @@ def find(docs: DataFrame) -> DataFrame:
     places = scanned.select("row", F.explode("slots").alias("s")).select("row", "s.*")
     sure = bootstrap(places)
     base = places.filter("seed").select("row", "kind", "start", "end")
-    more = places.filter("not seed").join(sure, ["kind", "instance"]).select("row", "kind", "start", "end")
+    more = places.filter("not seed").join(sure, ["kind", "instance"]).groupBy("row", "start", "end").agg(F.collect_set("kind").alias("kinds"))
+    ahead = Window.partitionBy("row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)  # of one text
+    outer = more.withColumn("reach", F.max("end").over(ahead)).filter("reach is null or reach < end")
+    more = outer.select("row", F.explode("kinds").alias("kind"), "start", "end")
     spans = base.union(more).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("list"))
     names = F.array(*map(F.lit, KINDS))
     text = F.transform("list", lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")))

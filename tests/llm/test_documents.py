@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -274,6 +275,79 @@ def test_contexts_find_unseen_identifiers(spark):
     assert hidden[100] == text.replace("555-0134-99", "[PHONE]") and hidden[102] == dict(rows)[102]
 
 
+def plain_bootstrap(rows):
+    """Spans of every text, with patterns and instances scored in dicts."""
+    slots = {d: private.slots(t, private.base_spans(t)) for d, t in rows}
+    every = [s for found in slots.values() for s in found]
+    links = {(s["kind"], s["instance"], p) for s in every for p in s["patterns"]}
+    seeds = {(s["kind"], s["instance"]) for s in every if s["seed"] and s["patterns"]}
+    within = collections.defaultdict(set)
+    for _, i, p in links:
+        within[p].add(i)
+    trust = {(k, i): 1.0 * ((k, i) in seeds) for k, i, _ in links}
+    while True:
+        worth, next_trust = {}, dict(trust)
+        for kind, pattern in {(k, p) for k, _, p in links}:
+            found = [trust[kind, i] for k, i, p in links if (k, p) == (kind, pattern)]
+            if sum(t >= 0.9 for t in found) >= 5:
+                worth[kind, pattern] = sum(found) / (len(within[pattern]) + 1)
+        for kind, i in trust:
+            known = [worth[kind, p] for k, j, p in links if (k, j) == (kind, i) and (kind, p) in worth]
+            next_trust[kind, i] = max(trust[kind, i], round(1 - math.prod(1 - w for w in known), 6))
+        if next_trust == trust:
+            break
+        trust = next_trust
+    out = {}
+    for d, t in rows:
+        base = private.base_spans(t)
+        more = {(s["start"], s["kind"], s["end"]) for s in slots[d] if not s["seed"] and (s["kind"], s["instance"]) not in seeds and trust.get((s["kind"], s["instance"]), 0) >= 0.9}
+        more = [m for m in more if not any((o[0], o[2]) != (m[0], m[2]) and o[0] <= m[0] and m[2] <= o[2] for o in more)]
+        out[d] = private.written(sorted(base + more))
+    return out
+
+
+def test_contexts_find_spaced_identifiers(spark):
+    card = lambda i: next(n for n in range(4_000_000_000_000_000 + 97 * i, 10**17) if private.passes_luhn(str(n)))
+    spaced = lambda n: " ".join(str(n)[j : j + 4] for j in (0, 4, 8, 12))
+    rows = [(i, f"{prose(i, 30)} please call me +1 (555) 0{i:02d}-7{i:03d} today {prose(i + 99, 9)}") for i in range(40)]
+    rows += [(200 + i, f"{prose(i, 9)} bill my card {spaced(card(i))} soon {prose(i + 50, 9)}") for i in range(40)]
+    wrong = spaced(card(3) + 1)
+    cases = {100: ("(555) 123-4567", "phone"), 101: ("555 123 4567", "phone"), 102: ("555-0134-99", "phone")}
+    rows += [(d, f"{prose(d, 20)} please call me {x} today {prose(d + 1, 5)}") for d, (x, _) in cases.items()]
+    rows += [(104, f"{prose(80, 20)} bill my card {wrong} soon"), (105, f"{prose(81, 20)} the 555 123 4568 of 12 34 56 78 90 and ({wrong[:-1]}9) or 7 8")]
+    got = {r["doc_id"]: r["spans"] for r in private.find(documents(spark, rows)).collect()}
+    texts = dict(rows)
+    for d, (x, kind) in (cases | {104: (wrong, "card")}).items():
+        at = texts[d].index(x)
+        assert f"{kind}:{at}:{at + len(x)}" in got[d].split(","), (d, got[d])
+    assert got[105] == "" and got == plain_bootstrap(rows)
+    hidden = {r["doc_id"]: r["text"] for r in private.redact(documents(spark, rows)).collect()}
+    assert hidden[100] == texts[100].replace("(555) 123-4567", "[PHONE]") and hidden[105] == texts[105]
+
+
+def test_contexts_go_on_until_nothing_is_learned(spark):
+    """Four hops: every group of numbers is also found in the next group's contexts."""
+    number = lambda hop, i: f"{hop}55-01{i:02d}-9{hop}"
+    frames = ["please call me {} today", "ring that line {} soon", "our old desk {} now", "use his fax {} then", "her new home {} later"]
+    rows = [(i, frames[0].format(f"+1 (555) 0{i:02d}-7{i:03d}")) for i in range(25)]
+    for hop in range(1, 5):
+        for i in range(25):
+            rows += [(1000 * hop + i, frames[hop - 1].format(number(hop, i))), (1000 * hop + 500 + i, frames[hop].format(number(hop, i)))]
+    draw = random.Random(5)
+    rows += [(9000 + i, f"{prose(i, 12)} 12-34-56-{draw.randint(10, 99)} {prose(i + 7, 4)}") for i in range(20)]
+    got = {r["doc_id"]: r["spans"] for r in private.find(documents(spark, rows)).collect()}
+    assert got == plain_bootstrap(rows)
+    assert all(got[1000 * hop + 500 + i] for hop in range(1, 5) for i in range(25))
+
+
+def test_digit_runs():
+    at = lambda t: [t[a:b] for a, b in private.runs(t)]
+    assert at("x (555) 123-4567.") == ["(555) 123-4567"] and at("555 123 4567") == ["555 123", "555 123 4567", "123 4567"]
+    assert at("(see 555 1234)") == ["555 1234"] and at("a1 2 3b") == [] and at("+44 20 7946") == ["+44 20", "+44 20 7946", "20 7946"]
+    long = " ".join("1" * 5 for _ in range(5000))
+    assert len(at(long)) == 4999 + 4998
+
+
 def test_odd_documents_keep_base_spans(odd, spark):
     extra = documents(spark, [(30, "mail é🙂 a@b.co and 1.2.3.4"), (30, "mail é🙂 a@b.co and 1.2.3.4"), (31, None), (None, "x@y.z")])
     both = odd.union(extra)
