@@ -6,18 +6,23 @@ than ``capacity`` rows, however many pieces there are) into patterns with a
 number of times each, and the cluster deals the pieces, numbered within their length, to the patterns.
 
 Packing the table: best fit decreasing gives the first incumbent. If it needs
-more sequences than the lower bound, bin completion searches on: around the
-largest length left, fillings of one to three more lengths are listed, those that are
-dominated by another left out, least waste first; a chosen filling is used as often as the counts allow. A branch is cut
-when its waste leaves no way to beat the incumbent. ``STEPS`` bounds the search,
-so the result is optimal when it meets the lower bound and the best found otherwise.
-
-Nulls: a null text is empty and is packed as its end id. Repeated rows are packed as they are.
+more sequences than the lower bound, the sequences with most waste (all of them, where they are few) are taken apart and
+bin completion looks for a packing of their pieces with one sequence less: around the
+largest piece left, fillings of any number of pieces are listed one after the other, least waste first. A table of
+the sums that can be reached leads to each without a dead end. A filling is passed over if another dominates it: a
+piece left out could take the place of some of its pieces and waste no more. A branch is cut
+when its waste, or the lower bound of what is left, leaves no way to beat the incumbent, or when
+the same pieces were left before. ``STEPS`` fillings bound each search,
+so the result is optimal when it meets the lower bound or when the search ends before them on the whole table, and the best found otherwise.
+
+Nulls: a null text is empty and is packed as its end id; a null doc_id stays one. Repeated rows are packed as they are, ties
+of length in any order. An empty table gives an empty one. Only doc_id and text are read, so extra columns may have any name.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+import hashlib
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,8 +38,10 @@ from granary.sources.workspace import settle
 
 CAPACITY = 4096
 ENCODED_BYTES = 8 << 20  # text encoded at a time
-STEPS = 20_000
-BRANCHES = 4
+STEPS = 20_000  # fillings looked at in one search
+TAKEN_APART = 32  # sequences at first, twice as many after a search without result
+MOST_PIECES = 2048  # of the sequences taken apart, where that is not the whole table
+BOUNDED = 64  # different lengths left, up to which a branch gets a lower bound
 
 Pattern = tuple[int, ...]
 
@@ -86,100 +93,157 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def fillings(lengths: np.ndarray, counts: np.ndarray, room: int) -> list[Pattern]:
-    """Undominated fillings of ``room`` by one to three of the lengths (ascending), least waste first."""
-    fit = lengths[: np.searchsorted(lengths, room, side="right")]
-    if not len(fit):
-        return [()]
-    out: list[Pattern] = [(int(fit[-1]),)]
-    best_single = int(fit[-1])
-    if best_single == room:
-        return out
-    second = np.searchsorted(fit, np.minimum(fit, room - fit), side="right") - 1
-    ok = second >= 0
-    first, second = np.flatnonzero(ok), second[ok]
-    same = (first == second) & (counts[: len(fit)][first] < 2)
-    second = np.where(same, second - 1, second)
-    first, second = first[second >= 0], second[second >= 0]
-    sums = fit[first] + fit[second]
-    better = sums > best_single  # a pair that is no longer than one piece is dominated by it
-    first, second, sums = first[better], second[better], sums[better]
-    order = np.lexsort((-fit[first], -sums))[:BRANCHES]
-    out += [(int(fit[first[i]]), int(fit[second[i]])) for i in order]
-    best_pair = int(sums[order[0]]) if len(order) else best_single
-    if best_pair < room:
-        for i in np.lexsort((-fit[first], sums))[: 64 * BRANCHES : 16].tolist() if len(first) else []:
-            a, b = int(fit[first[i]]), int(fit[first[i] // 2])
-            c = room - a - b
-            if b <= a and 0 < c:
-                k = int(np.searchsorted(fit, min(b, c), side="right")) - 1
-                if k >= 0 and a + b + int(fit[k]) > best_pair:
-                    out.append((a, b, int(fit[k])))
-    return sorted(set(out), key=lambda p: (-sum(p), len(p), [-v for v in p]))
+def _spread(sums: int, by: int) -> int:
+    """The set of numbers at most ``by`` above one of ``sums``; sets of numbers are the bits of an integer."""
+    done = 0
+    while done < by:
+        step = min(done + 1, by - done)
+        sums |= sums << step
+        done += step
+    return sums
+
+
+def _dominated(filling: Pattern, waste: int, rest: int) -> bool:
+    """Whether one of the lengths ``rest``, a set, could stand in for some pieces of the filling: for several of up to its length, or for a shorter one."""
+    single = several = 0
+    for v in filling:
+        several |= (several | single) << v
+        single |= 1 << v
+    return bool(_spread(several, waste) & rest) or bool(waste and _spread(single, waste - 1) << 1 & rest)
+
+
+def fillings(counts: dict[int, int], room: int, most_waste: int) -> Iterator[Pattern]:
+    """Fillings of ``room`` that waste at most ``most_waste``, least waste first; None for each that is dominated."""
+    lengths = sorted(v for v, n in counts.items() if n and v <= room)
+    reach, full = [1], (1 << room + 1) - 1  # reach[i]: sums of the first i lengths
+    for v in lengths:
+        sums, n, k = reach[-1], min(counts[v], room // v), 1
+        while n:
+            k = min(k, n)
+            sums |= sums << k * v & full
+            n, k = n - k, 2 * k
+        reach.append(sums)
+
+    def exactly(i: int, total: int) -> Iterator[Pattern]:
+        if not total:
+            yield ()
+        for j in range(min(i, bisect_right(lengths, total)) - 1, -1, -1):
+            if not reach[j + 1] >> total & 1:
+                return
+            v = lengths[j]
+            for k in range(min(counts[v], total // v), 0, -1):
+                if reach[j] >> total - k * v & 1:
+                    for tail in exactly(j, total - k * v):
+                        yield (v,) * k + tail
+
+    every = sum(1 << v for v in lengths)
+    for waste in range(min(room, most_waste) + 1):
+        if reach[-1] >> room - waste & 1:
+            for filling in exactly(len(lengths), room - waste):
+                rest = every
+                for v, n in Counter(filling).items():
+                    if n == counts[v]:
+                        rest &= ~(1 << v)
+                yield None if _dominated(filling, waste, rest) else filling
+
+
+def search(counts: dict[int, int], capacity: int, target: int, steps: int = STEPS) -> list[Pattern] | None:
+    """A packing of at most ``target`` sequences by bin completion; None if there is none or ``steps`` are used up."""
+    left = dict(sorted(counts.items()))
+    allowed = target * capacity - sum(v * n for v, n in left.items())
+    chosen: list[Pattern] = []
+    options: list[Iterator[Pattern]] = []
+    seen: dict[bytes, int] = {}  # least waste with which the same pieces were left
+    waste = 0
+
+    def undo() -> None:
+        nonlocal waste
+        pattern = chosen.pop()
+        waste -= capacity - sum(pattern)
+        for v in pattern:
+            left[v] += 1
+
+    def hopeless() -> bool:
+        if waste > allowed:
+            return True
+        some = {v: n for v, n in left.items() if n}
+        if len(some) <= BOUNDED and len(chosen) + lower_bound(some, capacity) > target:
+            return True
+        state = hashlib.blake2b(np.fromiter(left.values(), np.int64, len(left)).tobytes(), digest_size=16).digest()
+        known = seen.get(state)
+        if known is not None and known <= waste:
+            return True
+        seen[state] = waste
+        return False
+
+    def enter() -> bool:
+        """Go on to the next sequence; true if there is none."""
+        largest = next((v for v in reversed(left) if left[v]), None)
+        if largest is not None:
+            rest = {**left, largest: left[largest] - 1}
+            options.append(((largest, *f) if f is not None else None for f in fillings(rest, capacity - largest, allowed - waste)))
+        return largest is None
+
+    if hopeless():
+        return None
+    if enter():
+        return chosen
+    for _ in range(steps):
+        pattern = next(options[-1], ())
+        if pattern == ():  # no filling is left here
+            options.pop()
+            if not options:
+                return None
+            undo()
+        elif pattern is not None:
+            chosen.append(pattern)
+            waste += capacity - sum(pattern)
+            for v in pattern:
+                left[v] -= 1
+            if hopeless():
+                undo()
+            elif enter():
+                return chosen
+    return None
+
+
+def _most_wasteful(packing: list[tuple[Pattern, int]], capacity: int, n: int) -> tuple[dict[Pattern, int], dict[Pattern, int]]:
+    """(some, others): ``n`` sequences with most waste, more if theirs is not a whole sequence, and the rest."""
+    some, others, taken, waste = {}, {}, 0, 0
+    for pattern, times in sorted(packing, key=lambda p: (sum(p[0]), p[0])):
+        free = capacity - sum(pattern)
+        wanted = max(n - taken, -(-(capacity - waste) // free) if free else 0, 0)
+        used = min(times, wanted)
+        if used:
+            some[pattern] = some.get(pattern, 0) + used
+        if used < times:
+            others[pattern] = others.get(pattern, 0) + times - used
+        taken, waste = taken + used, waste + used * free
+    return some, others
 
 
 def complete(counts: dict[int, int], capacity: int, steps: int = STEPS) -> list[tuple[Pattern, int]]:
-    """Patterns with times: best fit, then bin completion until the lower bound is met or ``steps`` are used."""
+    """Patterns with times: best fit, then bin completion until the lower bound is met or a search has no result."""
     incumbent = best_fit(counts, capacity)
     bound = lower_bound(counts, capacity)
-    best = sum(n for _, n in incumbent)
-    total = sum(v * n for v, n in counts.items())
-    lengths = np.array(sorted(counts), dtype=np.int64)
-    left = np.array([counts[v] for v in lengths.tolist()], dtype=np.int64)
-    place = {v: i for i, v in enumerate(lengths.tolist())}
-    chosen: list[tuple[Pattern, int]] = []
-    stack: list[list] = []  # the fillings still to try at each depth
-    waste, used = 0, 0
-
-    def options() -> list[tuple[Pattern, int]]:
-        here = np.flatnonzero(left)
-        largest = int(lengths[here[-1]])
-        left[place[largest]] -= 1
-        now = np.flatnonzero(left)
-        found = fillings(lengths[now], left[now], capacity - largest)
-        left[place[largest]] += 1
-        out = []
-        for filling in found[:BRANCHES]:
-            pattern = tuple(sorted((largest, *filling), reverse=True))
-            need = Counter(pattern)
-            if all(left[place[v]] >= k for v, k in need.items()):
-                out.append((pattern, int(min(left[place[v]] // k for v, k in need.items()))))
-        return out[::-1]
-
-    def apply(pattern: Pattern, times: int, sign: int) -> None:
-        for v in pattern:
-            left[place[v]] -= sign * times
-
-    while best > bound and used < steps:
-        used += 1
-        allowed = (best - 1) * capacity - total
-        if waste > allowed or (not left.any() and chosen):
-            if waste <= allowed:
-                incumbent, best = list(chosen), sum(n for _, n in chosen)
-            elif not chosen:
-                break
-        else:
-            stack.append(options())
-            if stack[-1]:
-                pattern, times = stack[-1].pop()
-                apply(pattern, times, 1)
-                chosen.append((pattern, times))
-                waste += times * (capacity - sum(pattern))
-                continue
-            stack.pop()
-        while chosen:  # back to the last choice with another filling
-            pattern, times = chosen.pop()
-            apply(pattern, times, -1)
-            waste -= times * (capacity - sum(pattern))
-            if stack[-1]:
-                pattern, times = stack[-1].pop()
-                apply(pattern, times, 1)
-                chosen.append((pattern, times))
-                waste += times * (capacity - sum(pattern))
-                break
-            stack.pop()
-        if not chosen:
+    part = TAKEN_APART
+    while sum(n for _, n in incumbent) > bound:
+        some, others = _most_wasteful(incumbent, capacity, part)
+        n = sum(some.values())
+        held = Counter()
+        for pattern, times in some.items():
+            for v in pattern:
+                held[v] += times
+        if others and held.total() > MOST_PIECES:
+            break
+        fewer = search(held, capacity, n - 1, steps)
+        if fewer is not None:
+            incumbent = [*others.items(), *Counter(fewer).items()]
+            part = TAKEN_APART
+        elif not others:
             break
+        else:
+            part = max(2 * part, n + 1)
     return incumbent
 
 

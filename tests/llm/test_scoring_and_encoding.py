@@ -211,9 +211,81 @@ def test_bin_completion_is_optimal_on_small_cases(sizes):
     assert sum(n for _, n in patterns) == fewest(sizes, 20) >= packing.lower_bound(counts, 20)
 
 
-def test_bin_completion_beats_best_fit():
-    counts = collections.Counter([6, 6, 5, 5, 5, 4, 4, 4, 4, 3, 2, 2, 2, 2, 3, 3])
-    assert sum(n for _, n in packing.complete(counts, 12)) <= sum(n for _, n in packing.best_fit(counts, 12))
+def fits(sizes, capacity, n):
+    """Whether ``n`` sequences are enough, by trying all places of every piece."""
+    sizes, rooms, failed = sorted(sizes, reverse=True), [capacity] * n, set()
+
+    def place(i):
+        if i == len(sizes):
+            return True
+        state = (i, tuple(sorted(rooms)))
+        if state not in failed:
+            for r in {room: r for r, room in enumerate(rooms) if room >= sizes[i]}.values():
+                rooms[r] -= sizes[i]
+                if place(i + 1):
+                    return True
+                rooms[r] += sizes[i]
+            failed.add(state)
+        return False
+
+    return place(0)
+
+
+@pytest.mark.parametrize("low, high, capacity", [(7, 30, 60), (1, 20, 20), (5, 25, 50), (10, 40, 100)])
+def test_bin_completion_is_optimal_on_more_pieces(low, high, capacity):
+    draw = random.Random(low)
+    for _ in range(60):
+        sizes = [draw.randint(low, high) for _ in range(draw.randint(12, 20))]
+        patterns = packing.complete(collections.Counter(sizes), capacity)
+        n = sum(times for _, times in patterns)
+        assert sorted(v for p, times in patterns for v in p * times) == sorted(sizes)
+        assert all(sum(p) <= capacity for p, _ in patterns) and not fits(sizes, capacity, n - 1)
+
+
+@pytest.mark.parametrize("n", [10, 50, 200])
+def test_bin_completion_finds_full_sequences(n):
+    draw = random.Random(n)
+    for _ in range(5):
+        counts = collections.Counter()
+        for _ in range(n):
+            cuts = sorted(draw.sample(range(1, 4096), draw.randint(5, 9)))
+            counts.update(b - a for a, b in zip([0, *cuts], [*cuts, 4096]))
+        assert sum(times for _, times in packing.complete(counts, 4096)) == n < sum(times for _, times in packing.best_fit(counts, 4096))
+
+
+def test_bin_completion_takes_apart_what_wastes_most():
+    """Of a large table only some sequences are searched; the rest stays as best fit has it."""
+    draw = random.Random(8)
+    counts = collections.Counter(draw.randint(350, 420) for _ in range(6000))
+    patterns = packing.complete(counts, 4096)
+    used = collections.Counter()
+    for p, times in patterns:
+        assert sum(p) <= 4096
+        for v in p:
+            used[v] += times
+    assert used == counts and packing.lower_bound(counts, 4096) <= sum(n for _, n in patterns) < sum(n for _, n in packing.best_fit(counts, 4096))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 12), st.integers(1, 3), min_size=1, max_size=5), st.integers(0, 20), st.integers(0, 4))
+def test_fillings_are_those_no_other_dominates(counts, room, most):
+    """Every filling that is passed over is dominated by one that is not: its pieces go into that one's, group by group."""
+    given_ = list(packing.fillings(counts, room, most))
+    shown = [f for f in given_ if f is not None]
+    assert [room - sum(f) for f in shown] == sorted(room - sum(f) for f in shown) and len(set(shown)) == len(shown)
+    pieces = sorted(counts.items())
+    every = [()]
+    for v, n in pieces:
+        every = [f + (v,) * k for f in every for k in range(n + 1) if sum(f) + v * k <= room]
+    every = [f for f in every if room - sum(f) <= most]
+    assert len(given_) == len(every)
+
+    def goes_into(small, large):
+        if not small:
+            return True
+        return any(goes_into(small[1:], (*large[:i], large[i] - small[0], *large[i + 1 :])) for i in range(len(large)) if large[i] >= small[0])
+
+    assert all(any(goes_into(tuple(sorted(f, reverse=True)), s) for s in shown) for f in every)
 
 
 def test_packing_keeps_every_piece_once(odd):
