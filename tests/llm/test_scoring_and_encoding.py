@@ -55,6 +55,84 @@ def test_model_beats_the_base_on_held_out_texts(spark):
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got) + 0.2 * sum(r["n_tokens"] for r in got)
 
 
+def plain_scores(rows, size):
+    """log10 probabilities by the same model, with counts in dicts; exchange by the tested sweep."""
+    words = [(d, x, [t.decode() for t in tokens(x)[:-1]], d is not None and zlib.crc32(str(d).encode()) % 5 == 1) for d, x in rows]
+    learnt = [w for *_, w, held in words if not held]
+    counts = collections.Counter(t for w in learnt for t in w)
+    core = [w for w, _ in sorted(((w, c) for w, c in counts.items() if c > 1), key=lambda p: (-p[1], p[0].encode()))[:size]]
+    place = {w: i for i, w in enumerate(core)}
+    n = len(core)
+    pairs = np.zeros((n + 1, n + 1), dtype=np.int64)
+    for w in learnt:
+        at = [n, *(place.get(t, -1) for t in w), n]
+        for a, b in zip(at, at[1:]):
+            if a >= 0 and b >= 0:
+                pairs[a, b] += 1
+    classes, best, best_value, base, turn, last = np.arange(n) % brown.CLASSES, None, -math.inf, -math.inf, 0, 0
+    while turn - last <= brown.PARTS:
+        every = np.concatenate([classes, [brown.END]])
+        left, right = np.zeros((n + 1, brown.CLASSES + 1)), np.zeros((n + 1, brown.CLASSES + 1))
+        np.add.at(left.T, every, pairs)
+        np.add.at(right.T, every, pairs.T)
+        table = np.zeros((brown.CLASSES + 1, brown.CLASSES + 1))
+        np.add.at(table, every, right)
+        value = brown.likelihood(table)
+        if value > best_value:
+            best, best_value = classes, value
+        if value > base + brown.SETTLED * abs(value):
+            base, last = value, turn
+        classes = brown.sweep(classes, left[:n], right[:n], np.diag(pairs)[:n], table, turn)
+        turn += 1
+    of = {w: int(best[i]) for w, i in place.items()}
+    votes = collections.defaultdict(collections.Counter)
+    for w in learnt:
+        for i, t in enumerate(w):
+            if t not in of:
+                before = brown.END if i == 0 else of.get(w[i - 1])
+                after = brown.END if i + 1 == len(w) else of.get(w[i + 1])
+                votes[t][before if before is not None else after if after is not None else brown.ALONE] += 1
+    for t, seen in votes.items():
+        of[t] = brown.RARE + min(seen, key=lambda c: (-seen[c], c)) if counts[t] > 1 else brown.ONCE
+    steps = collections.Counter()
+    for w in learnt:
+        path = [brown.END, *(of[t] for t in w), brown.END]
+        steps.update(zip(path, path[1:]))
+    into, out = collections.Counter(), collections.Counter()
+    for (a, b), c in steps.items():
+        out[a] += c
+        into[b] += c
+    once, twice = sum(c == 1 for c in counts.values()), sum(c == 2 for c in counts.values())
+    unseen = min(once / (once + 2 * twice), 0.99) if once else 1.0
+    total = sum(into.values())
+
+    def score(w):
+        path, value = [brown.END, *(of.get(t, brown.ONCE) for t in w), brown.END], 0.0
+        for a, b in zip(path, path[1:]):
+            share = (into[b] + 0.5) / (total + 0.5 * brown.ALL)
+            value += math.log10((steps[a, b] + brown.PULL * share) / (out[a] + brown.PULL))
+        for t in w:
+            if of.get(t, brown.ONCE) == brown.ONCE:
+                value += math.log10((1 - unseen) / once if t in counts else unseen)
+            else:
+                value += math.log10(counts[t] / into[of[t]])
+        return round(value, 6)
+
+    return sorted((str(d), len(w) + 1, score(w)) for d, _, w, _ in words)
+
+
+@pytest.mark.parametrize("block", [1 << 10, 8 << 20])
+def test_scores_are_those_of_a_plain_model_however_texts_are_dealt(spark, odd, monkeypatch, block):
+    draw = random.Random(4)
+    made = [(100 + i, " ".join(f"w{min(int(draw.paretovariate(0.7)), 400)}" for _ in range(draw.randint(1, 60)))) for i in range(150)]
+    rows = [(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()] + made
+    monkeypatch.setattr(brown, "BLOCK_BYTES", block)
+    monkeypatch.setattr(brown, "CORE", 100)
+    got = brown.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    for (d, n, value), (e, m, wanted) in zip(sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in got), plain_scores(rows, 100), strict=True):
+        assert (d, n) == (e, m) and value == pytest.approx(wanted, abs=1e-5, rel=1e-9)
+
+
 def test_most_frequent_words(spark):
     draw = random.Random(7)
     rows = [(f"w{i}", int(2 ** draw.uniform(1, 9))) for i in range(500)]
@@ -89,7 +167,7 @@ def test_exchange_raises_the_likelihood():
         return left, right, table
 
     classes, values = before, [brown.likelihood(tables(before)[2])]
-    for turn in range(brown.SWEEPS):
+    for turn in range(9):
         left, right, table = tables(classes)
         classes = brown.sweep(classes, left[:size], right[:size], own, table, turn)
         values.append(brown.likelihood(tables(classes)[2]))
