@@ -13,8 +13,11 @@ The queries go against all rows in cells of one block and one chunk of queries,
 so neither side has to fit in memory or in a broadcast. What travels is one copy of a block for every
 ``CHUNKS_TOGETHER`` chunks, and each chunk once for every block.
 
-Vectors that are null, hold null or non-finite components, or components whose
-quantised value needs more than 31 bits take no part; neither does a null id. Only vectors of equal
+Vectors with components so large that their products could leave 64 bits ("wide") lie in the same blocks beside the slices: extended
+floating point with a bound of its error tells which rows can be among the k best, and whole numbers of any size decide.
+A score beyond 64 bits is returned as the end of their range, its rank is the exact one's.
+
+Vectors that are null or hold null or non-finite components take no part; neither does a null id. Only vectors of equal
 length are compared. Rows that share a vec_id are all candidates for other queries, and as queries they share one
 list, the best of what any of them finds; they take no part in each other's. Ties go to the smaller vec_id.
 An empty table gives an empty one. Only the two columns are read, so extra columns may have any name.
@@ -40,6 +43,7 @@ CHUNK_QUERIES = 128
 CHUNKS_TOGETHER = 64  # that one copy of a block is searched for
 SLICES = 6
 WEIGHT_BITS = 5
+LEAST, MOST = -(1 << 63), (1 << 63) - 1  # of a 64-bit number
 
 
 def add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -165,29 +169,61 @@ class Block:
         return more | level
 
 
+def order_key(score: int) -> bytes:
+    """Orders scores beyond 64 bits among themselves; empty for others."""
+    if LEAST < score <= MOST:
+        return b""
+    size = (abs(score).bit_length() + 7) // 8
+    key = size.to_bytes(2) + abs(score).to_bytes(size)
+    return key if score > 0 else bytes(255 - b for b in key)
+
+
+def exact_top(ids: np.ndarray, rows: np.ndarray, query_id: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """(id, score) of the rows among which the k best are, for whole numbers of any size given as extended floats."""
+    others = np.flatnonzero(ids != query_id)
+    rows = rows[others]
+    about = rows @ query
+    loose = 2 * (rows.shape[1] + 1) * np.finfo(np.longdouble).eps * (np.abs(rows) @ np.abs(query))
+    if len(others) > k:
+        near = about + loose >= np.sort(about - loose)[-k]
+        others, rows = others[near], rows[near]
+    whole = [int(x) for x in query]
+    return [(int(ids[i]), sum(int(a) * b for a, b in zip(row, whole))) for i, row in zip(others.tolist(), rows)]
+
+
 def quantised(vectors: DataFrame, scale: int) -> DataFrame:
-    """(vec_id, dims, codes) of the vectors that take part."""
-    x = F.transform(F.col("embedding").cast("array<double>"), lambda v: F.floor(v * scale * 1.0))
-    fine = F.forall(F.col("embedding").cast("array<double>"), lambda v: v.isNotNull() & (F.abs(v * scale) < float(1 << 31)))
+    """(vec_id, dims, codes, wide) of the vectors that take part: whole numbers, or the components themselves for wide vectors."""
+    embedding, dims = F.col("embedding").cast("array<double>"), F.size("embedding")
+    x = F.transform(embedding, lambda v: F.floor(v * scale * 1.0))
+    fine = F.forall(embedding, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    small = F.least(F.lit(float(1 << 31)), F.sqrt(F.lit(float(1 << 60)) / F.greatest(dims, F.lit(1))))
+    narrow = F.forall(embedding, lambda v: F.abs(v * scale) < small)
     taken = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(fine)
-    return taken.select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dims"), x.cast("array<long>").alias("codes"))
+    return taken.select(
+        F.col("vec_id").cast("long").alias("vec_id"), dims.alias("dims"), F.when(narrow, x.cast("array<long>")).alias("codes"), F.when(~narrow, embedding).alias("wide")
+    )
 
 
 def _gather(rows: DataFrame, per: Column, name: str) -> DataFrame:
-    """One row (dims, name, number of such, ids, codes) for about ``per`` vectors of equal length."""
+    """One row (dims, name, number of such, ids, codes, ids and components of wide vectors) for about ``per`` vectors of equal length."""
     counts = rows.groupBy("dims").agg((1 + F.floor((F.count(F.lit(1)) - 1) / F.first(per))).cast("int").alias(f"{name}s"))
-    dealt = rows.join(counts, "dims").withColumn(name, F.pmod(F.xxhash64("vec_id", "codes"), F.col(f"{name}s")).cast("int"))
+    dealt = rows.join(counts, "dims").withColumn(name, F.pmod(F.xxhash64("vec_id", "codes", "wide"), F.col(f"{name}s")).cast("int"))
 
-    def build(group: pd.DataFrame) -> pd.DataFrame:
-        dims = int(group["dims"].iloc[0])
-        ids = group["vec_id"].to_numpy(dtype=np.int64)
-        codes = np.array(group["codes"].tolist(), dtype=np.int64).reshape(len(ids), dims)
+    def sides(group: pd.DataFrame, column: str, kind: type) -> tuple[np.ndarray, np.ndarray]:
+        held = group[group[column].notna()]
+        ids = held["vec_id"].to_numpy(dtype=np.int64)
+        codes = np.array(held[column].tolist(), dtype=kind).reshape(len(ids), int(group["dims"].iloc[0]))
         order = np.lexsort((*codes.T[::-1], ids))
-        ids, codes = ids[order], codes[order]
-        row = {"dims": dims, name: group[name].iloc[0], f"{name}s": group[f"{name}s"].iloc[0], f"{name}_ids": ids.tobytes(), f"{name}_rows": codes.astype("<i4").tobytes()}
+        return ids[order], codes[order]
+
+    def build(group: pd.DataFrame) -> pd.DataFrame:
+        ids, codes = sides(group, "codes", np.int64)
+        wide_ids, wide = sides(group, "wide", np.float64)
+        row = {"dims": int(group["dims"].iloc[0]), name: group[name].iloc[0], f"{name}s": group[f"{name}s"].iloc[0], f"{name}_ids": ids.tobytes(),
+               f"{name}_rows": codes.astype("<i4").tobytes(), f"{name}_wide_ids": wide_ids.tobytes(), f"{name}_wide": wide.tobytes()}
         return pd.DataFrame([row])
 
-    schema = f"dims int, {name} int, {name}s int, {name}_ids binary, {name}_rows binary"
+    schema = f"dims int, {name} int, {name}s int, {name}_ids binary, {name}_rows binary, {name}_wide_ids binary, {name}_wide binary"
     return settle(dealt.groupBy("dims", name).applyInPandas(build, schema), name)
 
 
@@ -198,7 +234,8 @@ def sliced(blocks: DataFrame) -> DataFrame:
         for batch in batches:
             made = []
             for ids, rows, dims in zip(batch["block_ids"], batch["block_rows"], batch["dims"]):
-                slices, shift = Block.slice_rows(np.frombuffer(rows, "<i4").reshape(len(ids) // 8, dims).astype(np.int64))
+                rows = np.frombuffer(rows, "<i4").reshape(len(ids) // 8, dims).astype(np.int64)
+                slices, shift = Block.slice_rows(rows) if len(rows) else (np.empty(0, np.uint64), 0)
                 made.append((slices.tobytes(), shift))
             yield batch.assign(slices=[m[0] for m in made], shift=[m[1] for m in made])
 
@@ -218,6 +255,10 @@ def search(vectors: DataFrame, every: int = EVERY, k: int = TOP, scale: int = SC
     right = chunks.drop("chunks").join(block_counts, "dims").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     cells = left.join(right, ["dims", "block", "part"])
 
+    def components(ids: bytes, wide: bytes, dims: int) -> tuple[np.ndarray, np.ndarray]:
+        values = np.frombuffer(wide, np.float64).reshape(len(ids) // 8, dims)
+        return np.frombuffer(ids, np.int64), np.floor(values.astype(np.longdouble) * scale)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, at = None, None
         for batch in batches:
@@ -225,18 +266,29 @@ def search(vectors: DataFrame, every: int = EVERY, k: int = TOP, scale: int = SC
                 if at != (cell.dims, cell.block):
                     ids = np.frombuffer(cell.block_ids, np.int64)
                     codes = np.frombuffer(cell.block_rows, "<i4").reshape(len(ids), cell.dims).astype(np.int64)
-                    slices = np.frombuffer(cell.slices, np.uint64).reshape(cell.dims, SLICES, -1) if cell.dims else None
-                    at, known = (cell.dims, cell.block), Block(ids, codes, slices, cell.shift)
+                    slices = np.frombuffer(cell.slices, np.uint64).reshape(cell.dims, SLICES, -1) if cell.dims and len(ids) else None
+                    at, known = (cell.dims, cell.block), Block(ids, codes, slices, cell.shift) if len(ids) else None
+                    wide_ids, wide = components(cell.block_wide_ids, cell.block_wide, cell.dims)
                 ids = np.frombuffer(cell.chunk_ids, np.int64)
+                queries = np.frombuffer(cell.chunk_rows, "<i4").reshape(len(ids), cell.dims).astype(np.int64)
                 found = []
-                for query_id, query in zip(ids.tolist(), np.frombuffer(cell.chunk_rows, "<i4").reshape(len(ids), cell.dims).astype(np.int64)):
-                    near, scores = known.top(query_id, query, k)
-                    best = np.lexsort((near, -scores))[:k]
+                for query_id, query in zip(ids.tolist(), queries):
+                    near, scores = known.top(query_id, query, k) if known else ((), ())
+                    best = np.lexsort((near, -scores))[:k] if known else np.empty(0, np.int64)
                     found += [(query_id, int(near[i]), int(scores[i])) for i in best.tolist()]
-                yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
-
-    found = cells.select("dims", "block", "chunk", "block_ids", "block_rows", "slices", "shift", "chunk_ids", "chunk_rows").mapInPandas(run, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+                    if len(wide_ids):
+                        found += [(query_id, *pair) for pair in exact_top(wide_ids, wide, query_id, query.astype(np.longdouble), k)]
+                for query_id, query in zip(*components(cell.chunk_wide_ids, cell.chunk_wide, cell.dims)):
+                    if known:
+                        found += [(int(query_id), *pair) for pair in exact_top(known.ids, known.rows.astype(np.longdouble), query_id, query, k)]
+                    found += [(int(query_id), *pair) for pair in exact_top(wide_ids, wide, query_id, query, k)]
+                made = [(q, i, min(max(s, LEAST), MOST), order_key(s)) for q, i, s in found]
+                made = pd.DataFrame(made, columns=["query_id", "vec_id", "score", "beyond"])
+                yield made.astype({"query_id": "int64", "vec_id": "int64", "score": "int64"})
+
+    wanted = ["dims", "block", "chunk", "block_ids", "block_rows", "block_wide_ids", "block_wide", "slices", "shift", "chunk_ids", "chunk_rows", "chunk_wide_ids", "chunk_wide"]
+    found = cells.select(*wanted).mapInPandas(run, "query_id long, vec_id long, score long, beyond binary")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 

@@ -21,13 +21,11 @@ def plain_search(rows, every=50, k=5):
     fine = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            codes = tuple(math.floor(256 * x) for x in v)
-            if all(abs(256 * x) < 1 << 31 for x in v):
-                fine.append((i, codes))
+            fine.append((i, tuple(math.floor(256 * x) for x in v)))
     out = []
     for q in {i for i, _ in fine if i % every == 0}:
         pairs = [(-sum(a * b for a, b in zip(own, v)), i) for j, own in fine if j == q for i, v in fine if i != q and len(v) == len(own)]
-        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(pairs)[:k])]
+        out += [(q, n + 1, i, min(max(-s, -(1 << 63)), (1 << 63) - 1)) for n, (s, i) in enumerate(sorted(pairs)[:k])]
     return sorted(out)
 
 
@@ -36,7 +34,8 @@ def test_search_is_exact(spark):
     rows = [(i, [draw.gauss(0, 0.3) for _ in range(12)]) for i in range(400)]
     rows += [(i, list(rows[i - 400][1])) for i in range(400, 460)]  # ties
     rows += [(500, None), (501, [1.0, None] + [0.0] * 10), (502, [math.nan] * 12), (550, [math.inf] * 12), (600, [1.0, 2.0]), (601, [3.0, -1.0]),
-             (650, []), (651, []), (None, [0.1] * 12), (700, [0.0] * 12), (750, [1e300] * 12), (800, [0.5] * 12), (800, [-0.5] * 12), (3, list(rows[3][1]))]
+             (650, []), (651, []), (None, [0.1] * 12), (700, [0.0] * 12), (750, [1e300] * 12), (751, [-1e300] + [2e300] * 11), (752, [1e300] * 11 + [1.5e300]), (850, [9e6] + [0.3] * 11), (851, [9e6, -9e6] + [1e-3] * 10),
+             (900, [3e9] * 12), (901, [3e9] * 11 + [3e9 + 1 / 256]), (902, [-3e9] * 12), (904, [3e9] * 12), (800, [0.5] * 12), (800, [-0.5] * 12), (3, list(rows[3][1]))]
     got = bitslices.search(spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, dims string, block int"))
     assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == plain_search(rows)
 
@@ -53,6 +52,13 @@ def test_search_over_many_blocks(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == want
 
 
+def test_search_among_wide_vectors_only(spark):
+    draw = random.Random(4)
+    rows = [(i, [draw.choice([-1, 1]) * 2.0 ** draw.randint(20, 70) for _ in range(3)]) for i in range(120)]
+    got = bitslices.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=20)
+    assert sorted(map(tuple, got.collect())) == plain_search(rows, every=20)
+
+
 def test_search_of_an_empty_table(spark):
     assert bitslices.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
