@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -20,7 +21,7 @@ import pyarrow.compute as pc
 
 from granary.llm.text import plain
 
-MEMORY = 600_000  # parts, and pieces, that a worker remembers
+MEMORY = 600_000  # parts and pieces that a worker remembers
 
 LATIN = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 CERTAIN = "\\t-\\r\\x20-\\x7eÀ-ÖØ-öø-įı-ſ"
@@ -35,6 +36,17 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Memory(dict):
+    """What was made of a key, made when it is first asked for."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        made = self[key] = self.make(key)
+        return made
+
+
 class Encoder:
     """Encodes lists of texts with one vocabulary file."""
 
@@ -49,37 +61,40 @@ class Encoder:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.uncertain = "|".join([f"[^{CERTAIN}]", *map(re.escape, special)])
         self.letters = byte_letters()
-        self.parts: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known = Memory(self._ids)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         """Ids by the library alone."""
         return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)] if texts else []
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
+        if piece.isascii() and piece.isprintable():
+            written = piece.replace(" ", self.letters[32])
+        else:
             written = piece.encode().decode("latin-1").translate(self.letters)
-            ids = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
-        return ids
+        return array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
 
     def _ids(self, part: str) -> bytes:
-        cut = WORD_LEVEL.findall(part.lower()) if self.spaced else BYTE_LEVEL.findall(part)
-        return b"".join(map(self._piece, cut))
+        if self.spaced:
+            part = part.lower()
+        if part.isascii() and (part.isalpha() or part[:1] == " " and part[1:].isalpha()):
+            return self._piece(part)  # letters are one piece for both, with a space before them only where that counts
+        known, out = self.known, []
+        for piece in WORD_LEVEL.findall(part) if self.spaced else BYTE_LEVEL.findall(part):
+            ids = known.get(piece)
+            if ids is None:
+                ids = known[piece] = self._piece(piece)
+            out.append(ids)
+        return b"".join(out)
 
     def _parted(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of texts by their parts: what is between spaces, with the space before it where that counts."""
         lists = pc.split_pattern(texts if self.spaced else pc.replace_substring(texts, " ", "\0 "), " " if self.spaced else "\0")
         coded = lists.flatten().dictionary_encode()
-        names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
-        known = self.parts
-        if len(known) + len(names) > MEMORY:
-            known.clear()
-        if len(self.pieces) > MEMORY:
-            self.pieces.clear()
-        for part in set(names).difference(known):
-            known[part] = self._ids(part)
-        found = list(map(known.__getitem__, names))
+        names, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(zero_copy_only=False)
+        if len(self.known) > MEMORY:  # a batch may add its own beyond that
+            self.known.clear()
+        found = list(map(self.known.__getitem__, names))
         table = np.frombuffer(b"".join(found), dtype="<u4")
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         begins = np.cumsum(sizes) - sizes

@@ -34,28 +34,53 @@ SHARD_IDS = 1 << 20
 ENCODED_BYTES = 8 << 20  # text encoded at a time
 RULES_A_ROUND = 2048
 LEAST_PAIRS = 16  # a pair found fewer times in a shard is no rule
+SLOT_BITS = 20  # of the table that finds a pair's rank
 
 SHARD_SCHEMA = "part int, shard int, base long, n_ids long, rules binary, lengths binary, symbols binary, doc_ids binary, starts binary, nulls binary"
 
 
+def _ranks(codes: np.ndarray, wanted: np.ndarray, bits: int) -> np.ndarray:
+    """For each code its place in ``wanted``; -1 if it is not there."""
+    odd, keep = (np.uint32(0x9E3779B1), np.uint32(32 - SLOT_BITS)) if bits == 16 else (np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - SLOT_BITS))
+    slots = np.full(1 << SLOT_BITS, -1, dtype=np.int32)
+    slots[(wanted * odd) >> keep] = np.arange(len(wanted), dtype=np.int32)
+    rank = slots[(codes * odd) >> keep]
+    # Another code in the same slot: few places, searched for.
+    other = np.flatnonzero(rank >= 0)
+    other = other[wanted[rank[other]] != codes[other]]
+    order = np.argsort(wanted)
+    known = wanted[order]
+    place = np.minimum(np.searchsorted(known, codes[other]), len(known) - 1)
+    rank[other] = np.where(known[place] == codes[other], order[place], -1)
+    return rank
+
+
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules): rule k, a pair of symbols, is symbol base + k.
 
-    All pairs are counted in every round. Symbols have 16 bits as long as these suffice, then 32.
+    The first round counts all pairs. A pair of older symbols only gets rarer, and one with a new symbol lies where that symbol was
+    put in, so every later round counts, exactly, the places of pairs that were often found and those beside new symbols.
+    Symbols keep their places; ``after`` and ``before`` lead over those that are gone. Symbols have 16 bits as long as these suffice, then 32.
     """
     bits = 16 if base < 1 << 16 else 32  # of a symbol
+    n = len(ids)
     x = ids.astype(np.uint16 if bits == 16 else np.uint32)
     rules: list[tuple[int, int]] = []
-    while len(x) > 1:
+    here = np.ones(n, dtype=bool)
+    after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    at = np.arange(n - 1, dtype=np.int32) if n else np.empty(0, dtype=np.int32)
+    while len(at):
         if bits == 16 and base + len(rules) + RULES_A_ROUND > 1 << 16:
             bits, x = 32, x.astype(np.uint32)
         pair = np.uint32 if bits == 16 else np.uint64
         most = (1 << bits) - 1
-        codes = (x[:-1].astype(pair) << pair(bits)) | x[1:]
+        then = after[at]
+        left, right = x[at], x[then]
+        codes = (left.astype(pair) << pair(bits)) | right
         live = np.ones(len(codes), dtype=bool)
-        twin = np.flatnonzero(x[:-1] == x[1:])
+        twin = np.flatnonzero(left == right)
         if len(twin):  # of a run of one symbol, every other place
-            new_run = np.concatenate([[True], np.diff(twin) > 1])
+            new_run = np.concatenate([[True], at[twin[1:]] != then[twin[:-1]]])
             first = np.maximum.accumulate(np.where(new_run, np.arange(len(twin)), 0))
             live[twin[(np.arange(len(twin)) - first) % 2 == 1]] = False
         ordered = np.sort(codes[live])
@@ -65,18 +90,14 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
         if not len(often):
             break
         times = np.searchsorted(ordered, often, side="right") - np.searchsorted(ordered, often)
-        chosen = often[np.lexsort((often, -times))[:RULES_A_ROUND]]
-        left, right = (chosen >> pair(bits)).astype(np.int64), (chosen & pair(most)).astype(np.int64)
-        starts, ends = np.zeros((2, base + len(rules)), dtype=bool)
-        starts[left] = ends[right] = True
-        at = np.flatnonzero(starts[x[:-1]] & ends[x[1:]] & live)
-        order = np.argsort(chosen)
-        known, wanted = chosen[order], codes[at]
-        place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-        hit = known[place] == wanted
-        at, rank = at[hit], order[place[hit]]
+        often = often[np.lexsort((often, -times))]
+        chosen = often[:RULES_A_ROUND]
+        rank = _ranks(codes, often, bits)
+        waiting = at[rank >= 0]
+        hit = np.flatnonzero(live & (rank >= 0) & (rank < len(chosen)))
+        at, rank = at[hit], rank[hit]
         # Where places overlap, the more frequent pair has them; a rule that is left with too few waits for a later round.
-        close = np.diff(at) == 1
+        close = at[1:] == then[hit[:-1]]
         best = np.ones(len(at), dtype=bool)
         best[:-1] &= ~close | (rank[:-1] < rank[1:])
         best[1:] &= ~close | (rank[1:] < rank[:-1])
@@ -85,11 +106,17 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
         number = np.cumsum(kept) - 1
         at, rank = at[kept[rank]], rank[kept[rank]]
         x[at] = (base + len(rules) + number[rank]).astype(x.dtype)
-        stay = np.ones(len(x), dtype=bool)
-        stay[at + 1] = False
-        x = x[stay]
-        rules += list(zip(left[kept].tolist(), right[kept].tolist()))
-    return x.astype("<u4"), np.array(rules, dtype="<u4").reshape(-1, 2)
+        gone = after[at]
+        beyond = after[gone]
+        after[at], before[beyond], here[gone] = beyond, at, False
+        chosen = chosen[kept]
+        rules += list(zip((chosen >> pair(bits)).tolist(), (chosen & pair(most)).tolist()))
+        marked = np.zeros(n + 1, dtype=bool)
+        marked[waiting] = marked[at] = marked[before[at]] = True  # before the first symbol: place n, through -1
+        marked[gone] = False
+        at = np.flatnonzero(marked[:n]).astype(np.int32)
+        at = at[after[at] < n]
+    return x[here].astype("<u4"), np.array(rules, dtype="<u4").reshape(-1, 2)
 
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
@@ -199,7 +226,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 row = {c: batch.column(c)[r].as_py() for c in batch.schema.names}
                 shard = Shard(row["base"], row["rules"], row["lengths"], row["symbols"])
                 starts = np.frombuffer(row["starts"], "<i8").astype(np.int64)
-                crcs = [ids_crc(shard.decode(a, b)) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
+                ids = shard.decode(0, row["n_ids"])
+                crcs = [ids_crc(ids[a:b]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
                 n = len(crcs)
                 doc_ids = pa.array(np.frombuffer(row["doc_ids"], "<i8").astype(np.int64), mask=np.frombuffer(row["nulls"], "u1").astype(bool))
                 place = [pa.array(np.full(n, row[c], dtype=np.int32)) for c in ("part", "shard")]
