@@ -11,18 +11,20 @@ share ``WINDOW`` words are in one group:
    anchors are the prefixes that groups are made of, about one for eight words.
    Anchors found once in all documents are leaves, and are dropped.
 2. For every other anchor, the words of its windows go to its group. There the
-   suffixes are sorted to the depth of a window by doubling prefixes (1, 2, 4, ...
-   words); suffixes of equal rank hang below the same node of the subtree at that depth,
-   and all but its earliest suffix are repeats.
+   suffixes are sorted to their ends by doubling prefixes (1, 2, 4, ... words), and the words that
+   neighbours in that order share are the depths of the subtree's inner nodes. From the deepest node up to the
+   depth of a window, a node hands its earliest suffix to its parent; every other suffix repeats the node's
+   words, the longest run it shares with an earlier one. Runs of a segment that overlap go on as one span.
 3. Groups of more than ``CROWDED`` anchors take the longest prefix instead, the whole
    window. Their windows are folded within each block first, so a passage that a third of
    the documents share sends one row for each block and window, to groups of their own.
 
-Documents are handled in blocks of about ``BLOCK_BYTES`` by a hash of doc_id; texts move compressed.
+Documents are handled in blocks of about ``BLOCK_BYTES``, ranges of a hash of doc_id and text, so
+rows under one doc_id (or none) are spread over all blocks; texts move compressed.
 
 Nulls: a null text has no words; a null doc_id comes before all others. Rows that repeat a
 document whole (doc_id and text) are judged as one and all get its result; different
-texts under one doc_id are ordered by a hash of the text. An empty table gives an empty one.
+texts under one doc_id are ordered by a hash of both. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -44,6 +46,7 @@ WINDOW = 20
 PREFIX = 6
 CROWDED = 50_000
 BLOCK_BYTES = 4 << 20
+REACH = 2 * WINDOW - PREFIX  # words of an anchor's segment, at most: windows that all hold the anchor
 GROUP_WORDS = 400_000  # words sorted at a time
 FIRST = -(1 << 63)  # stands for a null doc_id in the order of documents
 
@@ -92,8 +95,11 @@ def anchors(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return runs[at[first]], starts[first], count, text[first]
 
 
-def _block(blocks: int) -> F.Column:
-    return F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")
+def _in_blocks(docs: DataFrame, blocks: int) -> DataFrame:
+    """With ``mark``, 32 bits of a hash of doc_id and text, and ``block``, one of so many ranges of it: texts under one id have the same order for any number of blocks."""
+    hashed = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    marked = docs.withColumn("mark", F.shiftrightunsigned(hashed, 32))
+    return marked.withColumn("block", F.shiftright(F.col("mark") * F.lit(blocks).cast("long"), 32).cast("int"))
 
 
 def _anchor_rows(blocks: DataFrame) -> DataFrame:
@@ -113,28 +119,28 @@ def _anchor_rows(blocks: DataFrame) -> DataFrame:
 
 
 def _packed(blocks: DataFrame) -> DataFrame:
-    """(doc_id, block, packed): the texts compressed for the way to their block."""
+    """(doc_id, mark, block, packed): the texts compressed for the way to their block."""
 
     def run(batches):
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for part in slices(batches):
             packed = [None if t is None else squeeze(t.encode()) for t in part.column("text").to_pylist()]
-            yield pa.record_batch([part.column("doc_id"), part.column("block"), pa.array(packed, pa.binary())], names=["doc_id", "block", "packed"])
+            yield pa.record_batch([*(part.column(c) for c in ("doc_id", "mark", "block")), pa.array(packed, pa.binary())], names=["doc_id", "mark", "block", "packed"])
 
-    return blocks.mapInArrow(run, "doc_id long, block int, packed binary")
+    return blocks.select("doc_id", "mark", "block", "text").mapInArrow(run, "doc_id long, mark long, block int, packed binary")
 
 
 def _unpacked(table: pa.Table) -> list[tuple[int, int, list[int], str]]:
     """(doc_id, number among the texts of that id, rows, text) of the different documents of a block."""
     spread = zstandard.ZstdDecompressor()
     seen: dict[tuple, list[int]] = {}
-    for i, (doc_id, packed) in enumerate(zip(table.column("doc_id").to_pylist(), table.column("packed").to_pylist())):
+    for i, (doc_id, mark, packed) in enumerate(zip(*(table.column(c).to_pylist() for c in ("doc_id", "mark", "packed")))):
         text = "" if packed is None else spread.decompress(packed).decode()
-        seen.setdefault((FIRST if doc_id is None else doc_id, text), []).append(i)
+        seen.setdefault((FIRST if doc_id is None else doc_id, mark, text), []).append(i)
     numbers: dict[int, int] = {}
     out = []
-    for doc, text in sorted(seen, key=lambda k: (k[0], xxhash.xxh64_intdigest(k[1]), k[1])):
-        out.append((doc, numbers.setdefault(doc, 0), seen[doc, text], text))
+    for doc, mark, text in sorted(seen):
+        out.append((doc, numbers.setdefault(doc, 0), seen[doc, mark, text], text))
         numbers[doc] += 1
     return out
 
@@ -152,7 +158,8 @@ def _slices(documents: list[tuple[int, int, list[int], str]]):
         at = to
 
 
-SEGMENTS = "key long, doc long, number int, start int, words string, end int"
+SEGMENTS = "key long, doc long, block int, number int, start int, words string, end int"
+PLACES = ("doc", "block", "number", "start")  # in the order of documents
 
 
 def _segments(packed: DataFrame, kept: DataFrame) -> DataFrame:
@@ -161,7 +168,7 @@ def _segments(packed: DataFrame, kept: DataFrame) -> DataFrame:
     Usual anchors send the words of their windows. Windows of crowded ones are folded within the block first: those that
     are found earlier in the block are repeats at once (rows with ``end`` and no words), the others go alone, by their own hash.
     """
-    kinds = {"key": pa.int64(), "doc": pa.int64(), "number": pa.int32(), "start": pa.int32(), "words": pa.string(), "end": pa.int32()}
+    kinds = {"key": pa.int64(), "doc": pa.int64(), "block": pa.int32(), "number": pa.int32(), "start": pa.int32(), "words": pa.string(), "end": pa.int32()}
 
     def run(key, docs: pa.Table, wanted: pa.Table) -> pa.Table:
         keys = wanted.column("key").to_numpy()
@@ -176,17 +183,18 @@ def _segments(packed: DataFrame, kept: DataFrame) -> DataFrame:
             found, start, count, text, many = found[hit], start[hit], count[hit], text[hit], crowded[place[hit]]
             doc = np.array([d[0] for d in part], dtype=np.int64)[text]
             number = np.array([d[1] for d in part], dtype=np.int32)[text]
+            block = np.full(len(doc), key[0].as_py(), dtype=np.int32)
             inside = (start - words.starts[text]).astype(np.int32)
             few = np.flatnonzero(~many)
             length = count[few] + WINDOW - 1
             ends = np.cumsum(length)
             at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start[few] - (ends - length), length)
             lists = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), words.names.take(pa.array(words.codes[at])))
-            columns = [pa.array(c[few]) for c in (found, doc, number, inside)] + [pc.binary_join(lists, " "), pa.nulls(len(few), pa.int32())]
+            columns = [pa.array(c[few]) for c in (found, doc, block, number, inside)] + [pc.binary_join(lists, " "), pa.nulls(len(few), pa.int32())]
             out.append(pa.table(columns, names=list(kinds)))
             crowd = np.flatnonzero(many)
             if len(crowd):
-                rows = _folded(words, seen, *(c[crowd].tolist() for c in (doc, number, inside, start, count)))
+                rows = _folded(words, seen, *(c[crowd].tolist() for c in (doc, block, number, inside, start, count)))
                 out.append(pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds.values())], names=list(kinds)))
         return pa.concat_tables(out) if out else pa.table([pa.array([], t) for t in kinds.values()], names=list(kinds))
 
@@ -197,7 +205,7 @@ def _folded(words: Words, seen: set[str], *runs: list) -> list[tuple]:
     """Rows of crowded anchors' windows, in the order of documents; ``seen`` holds the block's windows so far."""
     names = words.names.to_pylist()
     rows: list[tuple] = []
-    for doc, number, inside, start, count in zip(*runs):
+    for doc, block, number, inside, start, count in zip(*runs):
         named = [names[c] for c in words.codes[start : start + count + WINDOW - 1].tolist()]
         since = None
         for j in range(count + 1):
@@ -206,16 +214,16 @@ def _folded(words: Words, seen: set[str], *runs: list) -> list[tuple]:
                 since = j if since is None else since
                 continue
             if since is not None:
-                rows.append((doc, doc, number, inside + since, None, inside + j - 1 + WINDOW))
+                rows.append((hash((doc, block, number, inside)), doc, block, number, inside + since, None, inside + j - 1 + WINDOW))
                 since = None
             if window is not None:
                 seen.add(window)
-                rows.append((xxhash.xxh64_intdigest(window) - (1 << 63), doc, number, inside + j, window, None))
+                rows.append((xxhash.xxh64_intdigest(window) - (1 << 63), doc, block, number, inside + j, window, None))
     return rows
 
 
-def depth_ranks(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Ranks of the suffixes at every place by their first ``depth`` words, by doubling; places too near the end get what is there."""
+def prefix_ranks(codes: np.ndarray, depths: tuple[int, ...]) -> dict[int, np.ndarray]:
+    """Ranks, in the order of codes, of the suffixes at every place by their first words, for every depth of ``depths``, by doubling; places too near the end get what is there."""
 
     def pair(left: np.ndarray, right: np.ndarray, shift: int) -> np.ndarray:
         moved = np.zeros_like(right)
@@ -224,38 +232,85 @@ def depth_ranks(codes: np.ndarray, depth: int) -> np.ndarray:
 
     powers = {1: np.unique(codes, return_inverse=True)[1].ravel().astype(np.int64)}
     width = 1
-    while width * 2 <= depth:
+    while width * 2 <= max(depths):
         powers[width * 2] = pair(powers[width], powers[width], width)
         width *= 2
-    ranks, have = powers[width], width
-    while have < depth:
-        more = max(w for w in powers if w <= depth - have)
-        ranks = pair(ranks, powers[more], have)
-        have += more
-    return ranks
+    out = {}
+    for depth in depths:
+        have = max(w for w in powers if w <= depth)
+        ranks = powers[have]
+        while have < depth:
+            more = max(w for w in powers if w <= depth - have)
+            ranks = pair(ranks, powers[more], have)
+            have += more
+        out[depth] = ranks
+    return out
+
+
+def shared_with_earlier(codes: np.ndarray, places: np.ndarray, age: np.ndarray) -> np.ndarray:
+    """For each suffix at ``places`` how many words (none if below ``WINDOW``) it shares with an earlier one, one of less ``age``; at most ``REACH``.
+
+    Each string in ``codes`` must end with a code of its own, found nowhere else; ages differ.
+    """
+    out = np.zeros(len(places), dtype=np.int64)
+    if not len(places):
+        return out
+    ranks = prefix_ranks(codes, (4, 16, WINDOW))
+    top = ranks[WINDOW][places]
+    met = np.flatnonzero(np.bincount(top)[top] > 1)  # the others are leaves above the depth of a window
+    beyond = len(codes) - 1
+    order = met[np.lexsort((ranks[4][np.minimum(places[met] + 32, beyond)], ranks[16][np.minimum(places[met] + 16, beyond)], top[met]))]
+    # Words shared with the next suffix in order: the depth of the lowest node above both.
+    left, right = places[order[:-1]], places[order[1:]]
+    same = np.flatnonzero(top[order[:-1]] == top[order[1:]])
+    depth = np.zeros(len(left), dtype=np.int64)
+    depth[same] = WINDOW
+    for j in range(WINDOW, REACH):
+        inside = same[np.maximum(left[same], right[same]) + j <= beyond]
+        same = inside[codes[left[inside] + j] == codes[right[inside] + j]]
+        if not len(same):
+            break
+        depth[same] += 1
+    # Nodes from the deepest up: below each, all but the earliest suffix are settled, and that one stands for the node.
+    for d in np.unique(depth[depth >= WINDOW])[::-1].tolist():
+        first = np.concatenate([[0], np.flatnonzero(depth < d) + 1])
+        sizes = np.diff(np.concatenate([first, [len(order)]]))
+        years = age[order]
+        stays = years == np.repeat(np.minimum.reduceat(years, first), sizes)
+        out[order[~stays]] = d
+        order, depth = order[stays], depth[first[1:] - 1]
+    return out
 
 
 def _tree_repeats(segments: DataFrame) -> DataFrame:
-    """(doc, number, start, end): words of windows that are not the earliest below their node."""
+    """(doc, block, number, start, end): the words of repeats that are not the earliest below their node."""
 
     def judge(rows: pa.Table) -> pa.RecordBatch:
         words = words_of(rows.column("words").combine_chunks())
-        doc, number, start = (rows.column(c).to_numpy() for c in ("doc", "number", "start"))
-        sizes = np.diff(words.starts) - WINDOW + 1
-        owner = np.repeat(np.arange(len(sizes)), sizes)
+        n = len(words.starts) - 1
+        ends = words.starts[1:] + np.arange(n)  # each segment gets an end of its own
+        codes = np.empty(len(words.codes) + n, dtype=np.int64)
+        is_end = np.zeros(len(codes), dtype=bool)
+        is_end[ends] = True
+        codes[~is_end], codes[ends] = words.codes, len(words.names) + np.arange(n)
+        starts = words.starts[:-1] + np.arange(n)
+        sizes = ends - starts - WINDOW + 1
+        owner = np.repeat(np.arange(n), sizes)
         step = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        node = depth_ranks(words.codes, WINDOW)[words.starts[owner] + step]
-        place = start[owner] + step
-        order = np.lexsort((place, number[owner], doc[owner], node))
-        later = np.zeros(len(owner), dtype=bool)
-        later[order[1:]] = node[order][1:] == node[order][:-1]
-        at = np.flatnonzero(later)
-        new = np.concatenate([[True], (owner[at][1:] != owner[at][:-1]) | (step[at][1:] != step[at][:-1] + 1)]) if len(at) else np.empty(0, bool)
+        doc, block, number, start = (rows.column(c).to_numpy() for c in PLACES)
+        age = np.empty(len(owner), dtype=np.int64)
+        age[np.lexsort((start[owner] + step, number[owner], block[owner], doc[owner]))] = np.arange(len(owner))
+        shared = shared_with_earlier(codes, starts[owner] + step, age)
+        at = np.flatnonzero(shared)
+        begin, owner = (starts[owner] + step)[at], owner[at]
+        end = np.maximum.accumulate(begin + shared[at])  # never past a segment's own end
+        new = np.concatenate([[True], begin[1:] > end[:-1]]) if len(at) else np.empty(0, bool)
         first = np.flatnonzero(new)
         last = np.concatenate([first[1:], [len(at)]]) - 1 if len(first) else first
-        a, b = at[first], at[last]
-        made = (doc[owner[a]], number[owner[a]], place[a].astype(np.int32), (place[b] + WINDOW).astype(np.int32))
-        return pa.record_batch([pa.array(m) for m in made], names=["doc", "number", "start", "end"])
+        mine = owner[first]
+        ahead = start[mine] - starts[mine]
+        made = (doc[mine], block[mine], number[mine], (begin[first] + ahead).astype(np.int32), (end[last] + ahead).astype(np.int32))
+        return pa.record_batch([pa.array(m) for m in made], names=[*PLACES, "end"])
 
     def run(batches):
         held: list[pa.Table] = []
@@ -264,7 +319,7 @@ def _tree_repeats(segments: DataFrame) -> DataFrame:
             table = pa.Table.from_batches([batch])
             known = pc.is_valid(table.column("end"))
             if pc.any(known).as_py():
-                direct = table.filter(known).select(["doc", "number", "start", "end"])
+                direct = table.filter(known).select([*PLACES, "end"])
                 yield from direct.combine_chunks().to_batches()
                 table = table.filter(pc.invert(known))
             if not table.num_rows:
@@ -288,7 +343,7 @@ def _tree_repeats(segments: DataFrame) -> DataFrame:
             yield judge(pa.concat_tables(held))
 
     grouped = segments.repartition("key").sortWithinPartitions("key")
-    return grouped.mapInArrow(run, "doc long, number int, start int, end int")
+    return grouped.mapInArrow(run, "doc long, block int, number int, start int, end int")
 
 
 def _cut(packed: DataFrame, spans: DataFrame, keep_text: bool) -> DataFrame:
@@ -332,13 +387,12 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False, crowded: int = CROW
     """
     wanted = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     n_blocks = 1 + (wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES
-    blocks = wanted.withColumn("block", _block(n_blocks))
+    blocks = _in_blocks(wanted, n_blocks)
     rows, packed = _anchor_rows(blocks), _packed(blocks)
     again = rows.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key", (F.col("n") > crowded).alias("crowded"))
     kept = rows.select("key", "block").join(settle(again, "anchors"), "key").distinct()
     spans = _tree_repeats(_segments(packed, kept))
-    spans = spans.withColumn("doc_id", F.when(F.col("doc") != FIRST, F.col("doc"))).withColumn("block", _block(n_blocks))
-    return _cut(packed, spans.select("block", "doc", "number", "start", "end"), keep_text)
+    return _cut(packed, spans, keep_text)
 
 
 def _sql_words(text: str) -> str:

@@ -101,9 +101,14 @@ def test_chi_square():
 # repeats
 
 
+def id_and_text_hash(doc, text):
+    seed = 42 if doc is None else xxhash.xxh64_intdigest(doc.to_bytes(8, "little", signed=True), 42)
+    return xxhash.xxh64_intdigest(text or "", seed) >> 32
+
+
 def cut_plainly(rows):
     """What is left of distinct (doc_id, text), by the definition."""
-    order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, xxhash.xxh64_intdigest(r[1] or ""), r[1] or ""))
+    order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, id_and_text_hash(*r), r[1] or ""))
     seen, out = set(), {}
     for d, t in order:
         words = SPACE.findall(t or "")
@@ -140,10 +145,55 @@ def test_repeats_of_shuffled_passages(spark, crowded):
 
 def test_prefix_doubling_ranks():
     codes = np.random.default_rng(1).integers(0, 3, 200).astype(np.int32)
-    ranks = repeats.depth_ranks(codes, 20)
-    for i in range(0, 180):
-        for j in range(0, 180, 7):
-            assert (ranks[i] == ranks[j]) == (codes[i : i + 20].tolist() == codes[j : j + 20].tolist())
+    found = repeats.prefix_ranks(codes, (4, 16, 20))
+    for depth, ranks in found.items():
+        for i in range(0, 180):
+            for j in range(0, 180, 7):
+                left, right = codes[i : i + depth].tolist(), codes[j : j + depth].tolist()
+                assert (ranks[i] == ranks[j], ranks[i] < ranks[j]) == (left == right, left < right)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_subtree_against_all_pairs(seed):
+    """The deepest node under which a suffix isn't the earliest is as deep as the longest run shared with any earlier one."""
+    draw = np.random.default_rng(seed)
+    passages = [draw.integers(0, 1 + seed % 4, 34) for _ in range(3)]
+    strings = []
+    for _ in range(40):
+        n, passage = int(draw.integers(20, 35)), passages[draw.integers(3)]
+        a = int(draw.integers(0, 35 - n))
+        string = passage[a : a + n].copy()
+        if draw.random() < 0.4:
+            string[draw.integers(n)] = 9
+        strings.append(string)
+    codes = np.concatenate([np.append(x, 100 + i) for i, x in enumerate(strings)])
+    begin = np.cumsum([0] + [len(x) + 1 for x in strings[:-1]])
+    places = np.concatenate([np.arange(b, b + len(x) - 19) for b, x in zip(begin, strings)])
+    age = draw.permutation(len(places))
+    got = repeats.shared_with_earlier(codes, places, age)
+
+    def shared(i, j):
+        k = 0
+        while max(i, j) + k < len(codes) and codes[i + k] == codes[j + k]:
+            k += 1
+        return k
+
+    for i, place in enumerate(places):
+        most = max((shared(place, other) for other in places[age < age[i]]), default=0)
+        assert got[i] == (most if most >= 20 else 0)
+
+
+def test_rows_under_one_id_are_spread_and_their_order_does_not_depend_on_blocks(spark, monkeypatch):
+    passage = prose(1, 45)
+    rows = [(None if d % 3 == 0 else d, prose(d + 10, 30) + " " + passage) for d in range(90)]
+    docs = documents(spark, rows)
+    sizes = [r["count"] for r in repeats._in_blocks(docs.select("doc_id", "text"), 6).groupBy("block").count().collect()]
+    assert len(sizes) == 6 and max(sizes) <= 3 * sorted(sizes)[3]
+    want = cut_plainly(rows)
+    for block_bytes in (4 << 20, 2_000):
+        monkeypatch.setattr(repeats, "BLOCK_BYTES", block_bytes)
+        got = repeats.remove_repeats(docs, crowded=repeats.CROWDED if block_bytes > 1 << 20 else 5)
+        assert by_key(map(tuple, got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect())) == want
 
 
 def test_groups_larger_than_a_batch(spark, monkeypatch):
@@ -155,7 +205,7 @@ def test_groups_larger_than_a_batch(spark, monkeypatch):
 
 
 def _prepared(docs):
-    blocks = docs.select("doc_id", "text").withColumn("block", repeats._block(2))
+    blocks = repeats._in_blocks(docs.select("doc_id", "text"), 2)
     anchors = repeats._anchor_rows(blocks)
     again = anchors.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key", F.lit(False).alias("crowded"))
     return repeats._packed(blocks), anchors.select("block", "key").join(again, "key").distinct()
