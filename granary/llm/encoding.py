@@ -1,10 +1,10 @@
 """Token ids of whole texts by the tokenizers library, with a memory of what it said about short pieces.
 
 Both vocabularies cut a text into short pieces and encode each piece alone, so
-the ids of a text are those of its pieces joined. Texts are taken apart at spaces, those parts
-into pieces, and the library's model is asked once for a piece and worker, not once for each
-time it is found. Texts with characters for which the cut is not certain to be the
-library's own (beyond ASCII and plain Latin letters) go to the library whole.
+the ids of a text are those of its pieces joined. The joined bytes of many texts are cut at once, with
+array operations on the kinds of bytes, and the library's model is asked once for a piece a worker
+remembers, not once for each time it is found. Texts with characters for which the cut is not
+certain to be the library's own (beyond ASCII and plain Latin letters) go to the library whole.
 """
 
 from __future__ import annotations
@@ -21,12 +21,46 @@ import pyarrow.compute as pc
 
 from granary.llm.text import plain
 
-MEMORY = 600_000  # parts and pieces that a worker remembers
+MEMORY = 600_000  # pieces that a worker remembers
 
 LATIN = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 CERTAIN = "\\t-\\r\\x20-\\x7eÀ-ÖØ-öø-įı-ſ"
-BYTE_LEVEL = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{LATIN}]+| ?[0-9]+| ?[^\s{LATIN}0-9]+|\s+(?!\S)|\s+")
-WORD_LEVEL = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{LATIN}]+|[0-9]|[^\s{LATIN}0-9]+")
+
+BLANK, LETTER, DIGIT, OTHER = 0, 1, 2, 3
+KINDS = np.full(256, OTHER, dtype=np.uint8)
+KINDS[[*range(9, 14), 32]] = BLANK
+KINDS[[*range(ord("0"), ord("9") + 1)]] = DIGIT
+KINDS[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = LETTER  # beyond ASCII only Latin letters get here
+
+
+def cuts(raw: np.ndarray, offsets: np.ndarray, spaced: bool) -> np.ndarray:
+    """Where pieces of texts start: text i is raw[offsets[i]:offsets[i + 1]].
+
+    A piece is a run of letters, of digits, of blanks or of others; an apostrophe alone takes the ending of a contraction with it. With
+    ``spaced`` every digit is a piece. Without, the last blank before something else is a piece of its own, or, if it is a space, the start of what follows.
+    """
+    n = len(raw)
+    kind = np.append(KINDS[raw], [BLANK] * 3)
+    byte = np.append(raw, [0] * 3)
+    text = np.zeros(n + 3, dtype=bool)
+    text[offsets] = True  # the end of all is the start of a text, too
+    start = text.copy()
+    start[1:] |= kind[1:] != kind[:-1]
+    runs = np.flatnonzero(byte[:n] == ord("'"))
+    runs = runs[start[runs] & (kind[runs + 1] == LETTER) & ~text[runs + 1]]
+    if spaced:
+        start[:n] |= kind[:n] == DIGIT
+    else:
+        runs = runs[text[runs] | (byte[runs - 1] != 32)]
+        last = np.flatnonzero((kind[:n] == BLANK) & start[1 : n + 1] & ~text[1 : n + 1])
+        start[last] = True
+        start[last[byte[last] == 32] + 1] = False
+    one, two = byte[runs + 1], byte[runs + 2]
+    short = np.isin(one, list(b"stmd"))
+    long = (((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))) & ~text[runs + 2]
+    start[runs[short | long] + 1] = False
+    start[runs[short] + 2] = start[runs[long] + 3] = True
+    return np.flatnonzero(start[:n])
 
 
 def byte_letters() -> dict[int, str]:
@@ -37,15 +71,23 @@ def byte_letters() -> dict[int, str]:
 
 
 class Memory(dict):
-    """What was made of a key, made when it is first asked for."""
+    """What was made of a key, made when it is first asked for; ``age`` forgets what was not asked for since the last time."""
 
     def __init__(self, make: Callable[[str], bytes]):
         self.make = make
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
-        made = self[key] = self.make(key)
+        made = self.older.get(key)
+        if made is None:
+            made = self.make(key)
+        self[key] = made
         return made
 
+    def age(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
 
 class Encoder:
     """Encodes lists of texts with one vocabulary file."""
@@ -61,39 +103,33 @@ class Encoder:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.uncertain = "|".join([f"[^{CERTAIN}]", *map(re.escape, special)])
         self.letters = byte_letters()
-        self.known = Memory(self._ids)
+        self.known = Memory(self._piece)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         """Ids by the library alone."""
         return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)] if texts else []
 
     def _piece(self, piece: str) -> bytes:
+        if self.spaced and piece.isspace():
+            return b""
         if piece.isascii() and piece.isprintable():
             written = piece.replace(" ", self.letters[32])
         else:
             written = piece.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
 
-    def _ids(self, part: str) -> bytes:
-        if self.spaced:
-            part = part.lower()
-        if part.isascii() and (part.isalpha() or part[:1] == " " and part[1:].isalpha()):
-            return self._piece(part)  # letters are one piece for both, with a space before them only where that counts
-        known, out = self.known, []
-        for piece in WORD_LEVEL.findall(part) if self.spaced else BYTE_LEVEL.findall(part):
-            ids = known.get(piece)
-            if ids is None:
-                ids = known[piece] = self._piece(piece)
-            out.append(ids)
-        return b"".join(out)
-
     def _parted(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of texts by their parts: what is between spaces, with the space before it where that counts."""
-        lists = pc.split_pattern(texts if self.spaced else pc.replace_substring(texts, " ", "\0 "), " " if self.spaced else "\0")
-        coded = lists.flatten().dictionary_encode()
+        """Ids of texts by their pieces."""
+        texts = pa.concat_arrays([pc.utf8_lower(texts) if self.spaced else texts]).cast(pa.string())
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        first = cuts(raw, offsets, self.spaced)
+        bounds = np.append(first, len(raw)).astype(np.int32)
+        coded = pa.StringArray.from_buffers(len(first), pa.py_buffer(bounds), pa.py_buffer(raw)).dictionary_encode()
         names, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(zero_copy_only=False)
-        if len(self.known) > MEMORY:  # a batch may add its own beyond that
-            self.known.clear()
+        if len(self.known) > MEMORY // 2:  # a batch may add its own beyond that
+            self.known.age()
         found = list(map(self.known.__getitem__, names))
         table = np.frombuffer(b"".join(found), dtype="<u4")
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
@@ -101,10 +137,9 @@ class Encoder:
         n = sizes[codes]
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
-        ids = table[np.arange(total) + np.repeat(begins[codes] - (ends - n), n)]
-        ends = np.concatenate([[0], ends])
-        cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
-        at = ends[cuts].tolist()
+        wide = np.int32 if max(total, len(table)) < 1 << 31 else np.int64
+        ids = table[np.arange(total, dtype=wide) + np.repeat((begins[codes] - (ends - n)).astype(wide), n)]
+        at = np.concatenate([[0], ends])[np.searchsorted(first, offsets)].tolist()
         return [ids[a:b] for a, b in zip(at[:-1], at[1:])]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
@@ -112,16 +147,11 @@ class Encoder:
         texts = plain(texts)
         if not self.apart:
             return self.whole(texts.to_pylist())
-        flag = lambda a: a.to_numpy(zero_copy_only=False).astype(bool)
-        unsure = flag(pc.match_substring_regex(texts, self.uncertain))
-        # Where spaces follow each other, how they are shared out depends on what comes after them.
-        spread = np.zeros(len(texts), dtype=bool) if self.spaced else flag(pc.match_substring(texts, "  ")) & ~unsure
+        unsure = pc.match_substring_regex(texts, self.uncertain).to_numpy(zero_copy_only=False).astype(bool)
         out: list[np.ndarray | None] = [None] * len(texts)
-        usual = np.flatnonzero(~unsure & ~spread)
-        for i, ids in zip(usual.tolist(), self._parted(texts.take(pa.array(usual)))):
+        usual = np.flatnonzero(~unsure)
+        for i, ids in zip(usual.tolist(), self._parted(texts.take(pa.array(usual))) if len(usual) else ()):
             out[i] = ids
-        for i in np.flatnonzero(spread).tolist():
-            out[i] = np.frombuffer(self._ids(texts[i].as_py()), dtype="<u4")
         rest = np.flatnonzero(unsure)
         for i, ids in zip(rest.tolist(), self.whole(texts.take(pa.array(rest)).to_pylist())):
             out[i] = ids

@@ -17,7 +17,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import empty, odd  # noqa: F401
 
-from granary.llm import brown, packing, repair
+from granary.llm import brown, encoding, packing, repair
 from granary.llm.encoding import Encoder
 from granary.llm.pieces import PieceModel, encode_table
 
@@ -211,6 +211,27 @@ def test_encoder_is_the_library(texts):
             assert [g.tolist() for g in got] == [w.tolist() for w in encoder.whole(texts)]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=list("'srevlmdtLxAé7-. \t\n"), max_size=14), max_size=6))
+def test_pieces_cut_by_kinds_of_bytes(texts):
+    """Apostrophes, blanks, digits and ends of texts in any order, against the library."""
+    for path in (BYTE, WORD):
+        encoder = encoding.encoder(path)
+        got = encoder.encode(pa.array(["", *texts], pa.string()))
+        assert [g.tolist() for g in got] == [w.tolist() for w in encoder.whole(["", *texts])]
+
+
+def test_memory_keeps_what_is_asked_for():
+    made = []
+    memory = encoding.Memory(lambda key: made.append(key) or key.encode())
+    for _ in range(3):
+        assert memory["a"] == b"a"
+        memory.age()
+    memory["b"]
+    memory.age()
+    assert memory["a"] == b"a" and made == ["a", "b", "a"]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(0, 6), max_size=300), st.integers(0, 300), st.integers(0, 300))
 def test_grammar_gives_back_any_range(ids, a, b):
