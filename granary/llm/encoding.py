@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 
 from granary.llm.text import plain
 
-MEMORY = 600_000  # pieces that a worker remembers
+MEMORY_BYTES = 40 << 20  # of pieces and their ids that a worker remembers
 
 LATIN = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 CERTAIN = "\\t-\\r\\x20-\\x7eÀ-ÖØ-öø-įı-ſ"
@@ -70,23 +70,44 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class Memory(dict):
-    """What was made of a key, made when it is first asked for; ``age`` forgets what was not asked for since the last time."""
+class Memory:
+    """The ids of pieces in plain arrays, made by ``make`` when a piece is first asked for.
 
-    def __init__(self, make: Callable[[str], bytes]):
-        self.make = make
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, key: str) -> bytes:
-        made = self.older.get(key)
-        if made is None:
-            made = self.make(key)
-        self[key] = made
-        return made
+    Beyond ``limit`` bytes the pieces that were asked for in one batch only are forgotten, and all of them if the others still fill half of it.
+    """
 
-    def age(self) -> None:
-        self.older = dict(self)
-        self.clear()
+    def __init__(self, make: Callable[[str], bytes], limit: int = MEMORY_BYTES):
+        self.make, self.limit = make, limit
+        self._keep(pa.array([], pa.string()), np.empty(0, "<u4"), np.empty(0, np.int64))
+
+    def _keep(self, names: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.names, self.ids, self.sizes = names, ids, sizes
+        self.again = np.zeros(len(names), dtype=bool)
+
+    def _forget(self) -> None:
+        stay = self.again
+        self._keep(self.names.filter(pa.array(stay)), self.ids[np.repeat(stay, self.sizes)], self.sizes[stay])
+        if self.nbytes() > self.limit // 2:
+            self._keep(self.names[:0], self.ids[:0], self.sizes[:0])
+
+    def nbytes(self) -> int:
+        return self.names.nbytes + self.ids.nbytes + self.sizes.nbytes
+
+    def ask(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, begins, sizes): the ids of name i are ids[begins[i]:begins[i] + sizes[i]]; names differ."""
+        if self.nbytes() > self.limit:  # a batch may add its own beyond that
+            self._forget()
+        place = pc.fill_null(pc.index_in(names, value_set=self.names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        self.again[place[place >= 0]] = True
+        unknown = names.take(pa.array(new))
+        made = list(map(self.make, unknown.to_pylist()))
+        place[new] = len(self.names) + np.arange(len(new))
+        self.names = pa.concat_arrays([self.names, unknown])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(made), "<u4")])
+        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, made), np.int64, len(made)) // 4])
+        self.again = np.concatenate([self.again, np.zeros(len(new), dtype=bool)])
+        return self.ids, (np.cumsum(self.sizes) - self.sizes)[place], self.sizes[place]
 
 
 class Encoder:
@@ -127,13 +148,8 @@ class Encoder:
         first = cuts(raw, offsets, self.spaced)
         bounds = np.append(first, len(raw)).astype(np.int32)
         coded = pa.StringArray.from_buffers(len(first), pa.py_buffer(bounds), pa.py_buffer(raw)).dictionary_encode()
-        names, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(zero_copy_only=False)
-        if len(self.known) > MEMORY // 2:  # a batch may add its own beyond that
-            self.known.age()
-        found = list(map(self.known.__getitem__, names))
-        table = np.frombuffer(b"".join(found), dtype="<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        begins = np.cumsum(sizes) - sizes
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        table, begins, sizes = self.known.ask(coded.dictionary)
         n = sizes[codes]
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0

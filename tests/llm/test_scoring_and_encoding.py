@@ -223,13 +223,22 @@ def test_pieces_cut_by_kinds_of_bytes(texts):
 
 def test_memory_keeps_what_is_asked_for():
     made = []
-    memory = encoding.Memory(lambda key: made.append(key) or key.encode())
-    for _ in range(3):
-        assert memory["a"] == b"a"
-        memory.age()
-    memory["b"]
-    memory.age()
-    assert memory["a"] == b"a" and made == ["a", "b", "a"]
+
+    def make(name):
+        made.append(name)
+        return np.array([ord(c) for c in name], "<u4").tobytes()
+
+    memory = encoding.Memory(make, limit=2_000)
+    for turn in range(40):
+        names = ["often", "", *(f"{turn} {i}" for i in range(turn % 7))]
+        ids, begins, sizes = memory.ask(pa.array(names, pa.string()))
+        assert ["".join(map(chr, ids[b : b + n])) for b, n in zip(begins, sizes)] == names
+        assert memory.nbytes() < 3_000
+    assert made.count("often") == 1 and len(made) == len(set(made))
+    memory = encoding.Memory(make, limit=50)  # too small even for what is found again
+    for _ in range(5):
+        ids, begins, sizes = memory.ask(pa.array(["x" * 40, "often"], pa.string()))
+        assert sizes.tolist() == [40, 5]
 
 
 @settings(max_examples=40, deadline=None)
