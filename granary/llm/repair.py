@@ -1,7 +1,7 @@
 """Token ids in binary shards, compressed with Re-Pair grammars and readable at any place.
 
-Documents are dealt by ranges of doc_id, encoded in that order, and cut into
-shards of about ``SHARD_IDS`` ids. In each shard the most frequent pairs of
+Documents are dealt by ranges of doc_id and a hash of the text, so rows that share an id
+(or have none) are many ranges, encoded in that order, and cut into shards of about ``SHARD_IDS`` ids. In each shard the most frequent pairs of
 neighbouring symbols are replaced by new symbols (rules), round after round,
 until none is found ``LEAST_PAIRS`` times. A round replaces many pairs at once: where
 the places of two overlap, the more frequent one has them.
@@ -13,7 +13,7 @@ With the lengths, ``decode`` finds the symbols under any range of ids and
 expands those alone.
 
 Nulls: a null text is empty and has the end id only; a null doc_id sorts first.
-Repeated rows are kept, side by side. An empty table gives an empty one.
+Different texts under one doc_id are ordered by their hash; repeated rows are kept, side by side. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm.encoding import encode_column
-from granary.llm.text import ids_crc, slices
+from granary.llm.text import ids_crc, slices, text_mark
 from granary.sources.workspace import scratch_path
 
 SHARD_IDS = 1 << 20
@@ -207,8 +207,8 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, ba
         if arrays:
             yield shard(part, number, doc_ids, arrays)
 
-    wanted = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    wanted.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(run, SHARD_SCHEMA).write.parquet(path)
+    wanted = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_mark("text").alias("mark"))
+    wanted.repartitionByRange("doc_id", "mark").sortWithinPartitions("doc_id", "mark").drop("mark").mapInArrow(run, SHARD_SCHEMA).write.parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_cases import empty, odd  # noqa: F401
+from llm_cases import documents, empty, odd, prose  # noqa: F401
 
 from granary.llm import brown, encoding, packing, repair
 from granary.llm.encoding import Encoder
@@ -280,6 +280,23 @@ def test_shards_give_back_every_document(odd, spark):
     assert [r[0] for r in got] == sorted((r[0] for r in got), key=lambda d: (d is not None, d or 0))
 
 
+def test_rows_without_an_id_are_many_ranges(spark, tmp_path):
+    rows = [(None if d % 3 else d, prose(d, 30)) for d in range(300)]
+    path = str(tmp_path / "s")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would put so few rows together again
+    try:
+        repair.write_shards(documents(spark, rows), BYTE, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    held = [len(r["nulls"]) for r in spark.read.parquet(path).collect()]
+    assert len(held) > 3 and max(held) <= 3 * sorted(held)[len(held) // 2]
+    got = repair.read_documents(spark, path).orderBy("start").collect()
+    assert [r["start"] for r in got] == [0, *np.cumsum([r["n_tokens"] for r in got]).tolist()[:-1]]
+    ids = [r["doc_id"] for r in got]
+    assert ids == sorted((d for d, _ in rows), key=lambda d: (d is not None, d or 0))
+
+
 def test_small_shards(odd, spark, tmp_path):
     repair.write_shards(odd, BYTE, str(tmp_path / "s"), shard_ids=50)
     got = repair.read_documents(spark, str(tmp_path / "s"))
