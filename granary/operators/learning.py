@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from granary.functions.aggregates import mae, r_squared, rmse
 from granary.functions.draws import uniform
 
+from granary.operators.cells import cells_of, fit_on_cells, scoring, takes_cells
 from granary.operators.indexing import CategoryIndexer
 from granary.sources.workspace import settle
 
@@ -104,12 +105,26 @@ def fit_models(
     The regressors are fitted side by side, each from a thread and in a scheduler pool of its own: one
     model's small jobs fill what another leaves free. Under ``spark.scheduler.mode=FAIR`` the pools share evenly.
     A model that names a validation column (``boosted_until_steady``) is given the rows with their ``HELD_OUT`` flag.
+
+    Tree models are fitted on cells of rows that share a bin of every feature (see ``cells``) where these are far fewer than the rows.
     """
     rows = settle(train.hint("rebalance"), "training")
     preparation = Pipeline(stages=list(stages)).fit(rows)
     kept = [HELD_OUT] if HELD_OUT in train.columns else []
-    prepared = preparation.transform(rows).select(SCALED, label, *kept)
-    return Trained(preparation, side_by_side({name: partial(model.fit, prepared) for name, model in models.items()}, train.sparkSession))
+    whole = preparation.transform(rows)
+    prepared = whole.select(SCALED, label, *kept)
+    # An assembler that lets nulls pass or drops their rows is left to MLlib.
+    inputs = next((s.getInputCols() for s in preparation.stages if isinstance(s, VectorAssembler) and s.getHandleInvalid() == "error"), [])
+    trees = {name: model.getMaxBins() for name, model in models.items() if inputs and takes_cells(model, SCALED)}
+    found = {bins: cells_of(whole, inputs, label, kept, bins) for bins in sorted(set(trees.values()))}
+    cells = {bins: of for bins, of in found.items() if of}
+
+    def fit(name: str, model: Estimator) -> Model:
+        of = cells.get(trees.get(name))
+        return (fit_on_cells(model, of) if of else None) or model.fit(prepared)
+
+    fitted = side_by_side({name: partial(fit, name, model) for name, model in models.items()}, train.sparkSession)
+    return Trained(scoring(preparation, list(cells.values())), fitted)
 
 
 def side_by_side(jobs: Mapping[str, Callable[[], object]], spark: SparkSession) -> dict[str, object]:
