@@ -2,13 +2,17 @@
 
 Training documents are those whose crc32(doc_id as text) mod 5 is not 1.
 
-* The ``CORE`` most frequent words are clustered into ``CLASSES`` by exchange: each sweep
+* The ``HEAD`` most frequent words are clustered into ``CLASSES`` by exchange: each sweep
   takes, for one word in ``PARTS``, its counts of neighbouring classes (counted by Spark over
   all bigrams), and moves it to the class that raises the likelihood of the
   class bigrams most. Sweeps go on until none of the last ``PARTS`` has raised it by more than ``SETTLED`` of itself; the
-  best state stays. What reaches the driver is bounded by CORE x CLASSES, whatever the corpus.
-* Every other word seen twice or more joins the class of words found mostly beside the same core class:
-  its contexts are summed over the whole corpus, ties go to the lower class.
+  best state stays. What reaches the driver is bounded by HEAD x CLASSES, whatever the corpus.
+* Every other word seen twice or more begins in the class of words found mostly beside the same head class (ties go to
+  the lower class) and is then exchanged by Spark among all classes, over its bigrams with head words, ends and each other: a sweep
+  moves each word, against the table of class bigrams as it was before the sweep, to the class that raises the likelihood most; a class takes in no more than about what it holds. A sweep that lowers it
+  is undone and from then on half as many words move at once (one in ``MOST_PARTS`` at least); sweeps go on until every word has had its turn without
+  raising it by more than ``SETTLED`` of itself. Classes of these words are a table; the driver sees class bigrams only.
+* With ``CORE`` set to a number only that many words are exchanged, the others stay where they begin.
 * Words seen once and unseen words share a class; its mass is split by Good and Turing's estimate.
 
 P(word | previous) = P(class | previous class) * P(word | class), transitions drawn
@@ -35,13 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.text import plain, slices, words_of
-from granary.sources.workspace import settle
+from granary.sources.workspace import discard, drop_shuffles, settle
 
-CORE = 4096
+CORE: int | None = None  # how many words are exchanged; None: every word seen twice or more
+HEAD = 4096  # the words exchanged one after another
 CLASSES = 32
 SETTLED = 1e-4
 PARTS = 3  # words that are each other's neighbours are mostly not moved in one sweep
+MOST_PARTS = 16
 PULL = 20.0  # how strongly transitions are drawn towards class frequencies
+CHUNK_WORDS = 1024
 BLOCK_BYTES = 8 << 20
 SLICE = 8 << 20
 
@@ -243,6 +250,191 @@ def other_words(texts: DataFrame, core: list[str], classes: np.ndarray) -> DataF
     return words.select("word", "c", rare.cast("int").alias("class"))
 
 
+def contexts(texts: DataFrame, core: list[str], classes: np.ndarray) -> DataFrame:
+    """(word, other, cell, n) of the words of training documents outside the core.
+
+    Without ``other``, ``cell`` is the class of a core word or end before the word, or ``ONCE`` + the class after it;
+    with it, ``other`` is a word outside the core that comes next.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, size = pa.array(core, pa.string()), 2 * ONCE
+        for part in slices(batches, limit=SLICE):
+            words = words_of(part.column("text"), lower=True)
+            codes = words.codes.astype(np.int64)
+            of = np.append(classes, -1)[_core_places(words.names, known)][codes]
+            before, after = _neighbours(of, words.starts, END)
+            outside = of < 0
+            first, second = outside & (before >= 0), outside & (after >= 0)
+            found = np.concatenate([codes[first] * size + before[first], codes[second] * size + ONCE + after[second]])
+            cells, n = np.unique(found, return_counts=True)
+            none = pa.nulls(len(cells), pa.string())
+            yield pa.record_batch([words.names.take(pa.array(cells // size)), none, pa.array((cells % size).astype(np.int32)), pa.array(n)], names=["word", "other", "cell", "n"])
+            at = np.flatnonzero(outside & (after < 0))
+            pairs, n = np.unique(codes[at] * len(words.names) + codes[at + 1] if len(at) else codes[:0], return_counts=True)
+            one, two = (words.names.take(pa.array(p)) for p in np.divmod(pairs, max(len(words.names), 1)))
+            yield pa.record_batch([one, two, pa.array(np.full(len(pairs), -1, dtype=np.int32)), pa.array(n)], names=["word", "other", "cell", "n"])
+
+    found = texts.filter(~F.col("held_out")).select("text").mapInArrow(run, "word string, other string, cell int, n long")
+    return found.groupBy("word", "other", "cell").agg(F.sum("n").alias("n"))
+
+
+def moved(table: np.ndarray, classes: np.ndarray, own: np.ndarray, word: np.ndarray, cell: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The class in use that raises the likelihood of ``table`` most for every word, were it the only one to move.
+
+    ``word``, ``cell`` and ``n`` count the classes before each word, and, from len(table) on, after it; ``own`` the word after itself.
+    """
+    k, size = len(table), len(classes)
+    every = np.arange(size)
+    sides = np.zeros((2, size, k))
+    np.add.at(sides, (cell // k, word, cell % k), n)
+    sides[:, every, classes] -= own
+    total = np.zeros((size, k))
+    for (these, those), t in zip((sides, sides[::-1]), (table, table.T)):
+        i, c = np.nonzero(these)
+        if not len(i):
+            continue
+        # Counts without the word itself: those of its class with others change.
+        at, count, a = np.arange(len(i)), these[i, c], classes[i]
+        rest, known = t[c], _xlogx(t)[c]
+        rest[at, a] -= count
+        same = np.flatnonzero(c == a)
+        rest[same] -= those[i[same]]
+        rest[same, a[same]] -= own[i[same]]
+        known[at, a] = _xlogx(rest[at, a])
+        known[same] = _xlogx(rest[same])
+        gain = _xlogx(rest + count[:, None]) - known
+        gain[at, c] = 0.0  # counted below, with both sides
+        firsts = np.flatnonzero(np.diff(i, prepend=-1))
+        total[i[firsts]] += np.add.reduceat(gain, firsts, axis=0)
+    both = sides.sum(axis=0) + own[:, None]
+    inner = np.tile(table.diagonal(), (size, 1))
+    inner[every, classes] -= both[every, classes]
+    total += _xlogx(inner + both) - _xlogx(inner)
+    for side, margin in zip(sides, (table.sum(axis=0), table.sum(axis=1))):
+        mass = side.sum(axis=1) + own
+        rest = np.tile(margin, (size, 1))
+        rest[every, classes] -= mass
+        total -= _xlogx(rest + mass[:, None]) - _xlogx(rest)
+    stay = total[every, classes]
+    total[:, (table.sum(axis=0) + table.sum(axis=1) == 0) | (np.arange(k) == END)] = -np.inf  # each word alone would gain by an empty class, all at once would lose
+    best = total.argmax(axis=1)
+    return np.where(total[every, best] > stay + 1e-9 * np.abs(stay), best, classes)
+
+
+def class_table(bigrams: DataFrame, classes: np.ndarray) -> np.ndarray:
+    """Counts of class after class among core words and ends."""
+    of = bigrams.sparkSession.createDataFrame([(i, int(c)) for i, c in enumerate([*classes, END])], "word long, class int")
+    one, two = (F.broadcast(of.select(F.col("word").alias(w), F.col("class").alias(c))) for w, c in (("a", "from"), ("b", "to")))
+    table = np.zeros((ONCE, ONCE))
+    for r in bigrams.join(one, "a").join(two, "b").groupBy("from", "to").agg(F.sum("n").alias("n")).collect():  # at most ONCE x ONCE rows
+        table[r["from"], r["to"]] = r["n"]
+    return table
+
+
+def _flat(batch: pa.RecordBatch, cells: str, ns: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, cell, n) of lists of neighbouring classes and their counts; ``word`` is a row of the batch."""
+    sizes = pc.fill_null(pc.list_value_length(batch.column(cells)), 0).to_numpy(zero_copy_only=False)
+    word = np.repeat(np.arange(batch.num_rows), sizes)
+    return word, batch.column(cells).flatten().to_numpy(zero_copy_only=False).astype(np.int64), batch.column(ns).flatten().to_numpy(zero_copy_only=False)
+
+
+def _numbers(batch: pa.RecordBatch, column: str) -> np.ndarray:
+    return batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def others_table(seen: DataFrame) -> np.ndarray:
+    """Counts of class after class where a word outside the core takes part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(ONCE * ONCE, dtype=np.int64)
+        for batch in batches:
+            classes = _numbers(batch, "class")
+            for cells, ns in (("cells", "ns"), ("near", "times")):
+                word, cell, n = _flat(batch, cells, ns)
+                side, beside = np.divmod(cell, ONCE)
+                a, b = np.where(side == 0, beside, classes[word]), np.where(side == 0, classes[word], beside)
+                once = (side == 0) | (cells == "cells")  # two words outside the core are counted by the second of them
+                np.add.at(table, a[once] * ONCE + b[once], n[once])
+        full = np.flatnonzero(table)
+        yield pa.record_batch([pa.array(full), pa.array(table[full])], names=["cell", "n"])
+
+    table = np.zeros(ONCE * ONCE)
+    for r in seen.drop("word", "c", "own").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most ONCE x ONCE rows
+        table[r["cell"]] = r["n"]
+    return table.reshape(ONCE, ONCE)
+
+
+def _moves(seen: DataFrame, table: np.ndarray, parts: int, turn: int) -> DataFrame:
+    """(word, class) after a sweep of one word in ``parts``; a class takes in no more than about what it holds, words drawn by a hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, CHUNK_WORDS):
+                part = batch.slice(at, CHUNK_WORDS)
+                word, cell, n = (np.concatenate(p) for p in zip(_flat(part, "cells", "ns"), _flat(part, "near", "times")))
+                before = _numbers(part, "class")
+                after = np.where(_numbers(part, "part") == turn % parts, moved(table, before, _numbers(part, "own"), word, cell, n), before)
+                columns = [part.column("word"), part.column("c"), part.column("class"), pa.array(after.astype(np.int32))]
+                yield pa.record_batch(columns, names=["word", "c", "class", "to"])
+
+    dealt = seen.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)))
+    moves = settle(dealt.mapInArrow(run, "word string, c long, class int, to int"), "moved")
+    held, share = table.sum(axis=0), np.ones(ONCE)
+    for r in moves.filter("to != class").groupBy("to").agg(F.sum("c").alias("n")).collect():  # at most ONCE rows
+        share[r["to"]] = min(1.0, held[r["to"]] / r["n"])
+    drawn = F.pmod(F.xxhash64("word", F.lit(turn)), F.lit(1_000_000)) < F.element_at(F.array(*[F.lit(int(1e6 * x)) for x in share]), F.col("to") + 1)
+    return moves.select("word", F.when(drawn, F.col("to")).otherwise(F.col("class")).alias("class"))
+
+
+def _near(links: DataFrame, of: DataFrame) -> DataFrame:
+    """(word, near, times): the classes of each word's neighbours outside the core, as cells."""
+    first, second = (of.select(F.col("word").alias(side), "class") for side in ("word", "other"))
+    before = links.join(first, "word").select(F.col("other").alias("word"), F.col("class").alias("cell"), "n")
+    after = links.join(second, "other").select("word", (F.col("class") + ONCE).alias("cell"), "n")
+    return before.unionAll(after).groupBy("word").agg(F.collect_list("cell").alias("near"), F.collect_list("n").alias("times"))
+
+
+def exchange_others(rest: DataFrame, found: DataFrame, core_table: np.ndarray, settled: float = SETTLED) -> DataFrame:
+    """(word, c, class) of the words ``rest`` outside the core; ``found`` are their ``contexts``.
+
+    Each sweep sends every word's class to its neighbours outside the core and joins what arrives with the word's core neighbours.
+    """
+    words = rest.select("word")
+    links = found.filter(F.col("other").isNotNull()).join(words, "word").join(words.withColumnRenamed("word", "other"), "other")
+    links = settle(links.select("word", "other", "n"), "links")
+    cells = found.filter(F.col("other").isNull()).groupBy("word").agg(
+        F.collect_list("cell").alias("cells"),
+        F.collect_list("n").alias("ns"),
+        F.max(F.struct((F.col("cell") < ONCE).alias("before"), "n", (-F.col("cell")).alias("cell"))).alias("most"),
+    )
+    own = links.filter(F.col("word") == F.col("other")).select("word", F.col("n").alias("own"))
+    begun = F.coalesce(F.lit(RARE) + F.pmod(-F.col("most.cell"), F.lit(ONCE)), F.lit(RARE + ALONE)).cast("int")
+    known = rest.join(cells, "word", "left").join(own, "word", "left")
+    known = settle(known.select("word", "c", F.coalesce("own", F.lit(0)).alias("own"), "cells", "ns", begun.alias("class")), "others")
+    drop_shuffles(known.sparkSession)
+    of, known = known.select("word", "class"), known.drop("class")
+    best, best_table, best_value, base = None, None, -np.inf, -np.inf
+    parts, turn, still = 1, 0, 0
+    while True:
+        seen = settle(known.join(of, "word").join(_near(links, of), "word", "left"), "seen")
+        table = core_table + others_table(seen)
+        value = likelihood(table)
+        if turn:
+            discard(of, seen if value <= best_value else best)
+        drop_shuffles(known.sparkSession)
+        base, still = (value, 0) if value > base + settled * abs(value) else (base, still + 1)
+        if value < best_value:
+            parts, still = 2 * parts, 0
+        elif value > best_value:
+            best, best_table, best_value = seen, table, value
+        if still >= parts or parts > MOST_PARTS:
+            discard(links, known)
+            return best.select("word", "c", "class")
+        of = _moves(best, best_table, parts, turn)
+        turn += 1
+
+
 def _asked(packed: DataFrame, core: list[str]) -> DataFrame:
     """(block, word): the words of a block outside the core."""
 
@@ -327,12 +519,24 @@ def score_documents(docs: DataFrame) -> DataFrame:
     ).first()
     ends = texts.filter(~F.col("held_out")).count()
     n, v, once, twice = sums[0] + ends, sums[1] + int(ends > 0), sums[2] or 0, sums[3] or 0
-    top = most_frequent(counts.filter("c > 1"), CORE).collect()
+    size = HEAD if CORE is None else CORE
+    top = most_frequent(counts.filter("c > 1"), size).collect()
     core, core_counts = [r["word"] for r in top], np.array([r["c"] for r in top], dtype=np.int64)
-    classes = exchange(settle(core_bigrams(texts, core), "bigrams"), len(core)) if core else np.empty(0, dtype=np.int64)
+    bigrams = settle(core_bigrams(texts, core), "bigrams") if core else None
+    classes = exchange(bigrams, len(core)) if core else np.empty(0, dtype=np.int64)
+    if CORE is not None:
+        others = other_words(texts, core, classes)
+    else:
+        others = counts.filter("c = 1").select("word", "c", F.lit(ONCE).alias("class"))
+        if core and len(core) == size:
+            rest = counts.filter((F.col("c") > 1) & ((F.col("c") < top[-1]["c"]) | ((F.col("c") == top[-1]["c"]) & (F.col("word") > core[-1]))))
+            found = settle(contexts(texts, core, classes), "contexts")
+            drop_shuffles(docs.sparkSession)
+            others = others.unionAll(exchange_others(rest, found, class_table(bigrams, classes)))
+            discard(found, bigrams)
     packed = _packed(texts)
     # A word without an answer is in no training document.
-    answered = _asked(packed, core).join(other_words(texts, core, classes), "word").select("block", "word", "c", "class")
+    answered = _asked(packed, core).join(others, "word").select("block", "word", "c", "class")
     sequences = settle(_sequences(packed, answered, core, core_counts, classes, n, v, ends), "classes")
     table = transition_table(sequences)
     steps = log_transitions(table).ravel()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from functools import lru_cache
@@ -44,6 +45,21 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*written: DataFrame) -> None:
+    """Remove settled tables that nothing reads any more."""
+    for table in written:
+        jvm, files = table.sparkSession._jvm, table.inputFiles()
+        for folder in {f.rpartition("/")[0] for f in files}:
+            place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            place.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of queries that have ended; it does so once the driver has collected their plans."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove the tables this application has settled; call it when no result of theirs is read any more."""
     owner = spark.conf.get("spark.app.id", "session")

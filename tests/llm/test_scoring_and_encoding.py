@@ -196,6 +196,58 @@ def test_exchange_of_one_word_is_exact():
     assert options[moved[0]] == max(options)
 
 
+def test_a_word_moves_where_the_likelihood_is_highest():
+    draw = np.random.default_rng(5)
+    size = 40
+    words = draw.poisson(0.6, (size, size))
+    classes = draw.choice([0, 1, 2, 3, brown.RARE, brown.RARE + 5], size)
+    classes[0] = brown.END
+
+    def table_of(classes):
+        table = np.zeros((brown.ONCE, brown.ONCE))
+        np.add.at(table, (classes[:, None], classes[None, :]), words)
+        return table
+
+    rest = np.arange(10, size)
+    parts = [(i, side * brown.ONCE + classes[v], c) for i, w in enumerate(rest) for side, line in ((0, words[:, w]), (1, words[w])) for v, c in enumerate(line) if c]
+    got = brown.moved(table_of(classes), classes[rest], words[rest, rest], *(np.array(p) for p in zip(*parts)))
+    for w, b in zip(rest, got):
+        options = {c: brown.likelihood(table_of(np.where(np.arange(size) == w, c, classes))) for c in {*classes.tolist()} - {brown.END}}
+        assert options[b] >= max(options.values()) - 1e-6
+    assert (got != classes[rest]).any()
+
+
+def test_words_outside_the_head_are_exchanged_too(spark, monkeypatch):
+    draw = random.Random(6)  # after a frequent word come two rare ones, the second of the kind of the first
+    kinds = [[f"{k}{i}" for i in range(60)] for k in "abcd"]
+    made = [[(f"h{draw.randrange(8)}", draw.choice(kinds[k]), draw.choice(kinds[(k + 1) % 4])) for k in (draw.randrange(4) for _ in range(20))] for _ in range(300)]
+    rows = [(i, " ".join(" ".join(three) for three in x)) for i, x in enumerate(made)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    values, chosen, heads, plain, outer, inner = [], [], [], brown.likelihood, brown.exchange_others, brown.exchange
+    monkeypatch.setattr(brown, "exchange", lambda *given: heads.append(inner(*given)) or heads[-1])
+    monkeypatch.setattr(brown, "likelihood", lambda table: values.append((len(table), plain(table))) or values[-1][1])
+    monkeypatch.setattr(brown, "exchange_others", lambda *given: chosen.append(outer(*given)) or chosen[-1])
+    monkeypatch.setattr(brown, "HEAD", 8)
+    whole = sum(r["score"] for r in brown.score_documents(docs).collect() if r["held_out"])
+    of = {r["word"]: r["class"] for r in chosen[0].collect()}
+    learnt = [x.split() for d, x in rows if zlib.crc32(str(d).encode()) % 5 != 1]
+    counts = collections.Counter(t for x in learnt for t in x)
+    assert of.keys() == {t for t, c in counts.items() if c > 1 and t[0] != "h"} and chosen[0].count() == len(of)
+    # The likelihood is that of all bigrams of words seen twice or more, and the exchange has raised it.
+    core = [w for w, _ in sorted(((w, c) for w, c in counts.items()), key=lambda p: (-p[1], p[0].encode()))[:8]]
+    of |= dict(zip(core, heads[0].tolist()))
+    table = np.zeros((brown.ONCE, brown.ONCE))
+    for x in learnt:
+        path = [brown.END, *(of.get(t, -1) for t in x), brown.END]
+        for a, b in zip(path, path[1:]):
+            table[a, b] += a >= 0 and b >= 0
+    found = [v for n, v in values if n == brown.ONCE]
+    assert max(found) == pytest.approx(plain(table), rel=1e-9) and max(found) > found[0] + 0.01 * abs(found[0])
+    monkeypatch.setattr(brown, "CORE", 8)
+    capped = brown.score_documents(docs)
+    assert whole > sum(r["score"] for r in capped.collect() if r["held_out"]) + 100
+
+
 def test_empty_tables(empty):
     for made in (brown.score_documents(empty), repair.round_trip(empty, BYTE), packing.pack(empty, WORD), encode_table(empty, PIECE)):
         assert made.count() == 0
