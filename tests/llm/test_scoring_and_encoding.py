@@ -248,6 +248,29 @@ def test_words_outside_the_head_are_exchanged_too(spark, monkeypatch):
     assert whole > sum(r["score"] for r in capped.collect() if r["held_out"]) + 100
 
 
+def test_a_sweep_sends_one_row_for_two_parts_and_scores_do_not_depend_on_parts(spark, monkeypatch):
+    draw = random.Random(8)
+    texts = [" ".join(f"w{int(draw.paretovariate(0.5)) % 300}" for _ in range(40)) for _ in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sent, inner = [], brown.classes_seen
+    monkeypatch.setattr(brown, "classes_seen", lambda states, requests, of: sent.append((states.count(), requests.count())) or inner(states, requests, of))
+    monkeypatch.setattr(brown, "HEAD", 20)
+    monkeypatch.setattr(brown, "MOST_PARTS", 1)
+    scores = []
+    for words in (1 << 14, 20):
+        monkeypatch.setattr(brown, "PART_WORDS", words)
+        scores.append(sorted((r["doc_id"], r["score"]) for r in brown.score_documents(docs).collect()))
+    assert scores[0] == scores[1]
+    assert sent[0][0] == 1 and sent[-1][0] > 2 and all(rows <= parts * parts for parts, rows in sent)
+
+
+def test_words_are_drawn_as_spark_hashes_them(spark):
+    rows = spark.createDataFrame([("a",), ("déf",), ("x" * 50,)], "word string")
+    for turn in (0, 7):
+        got = rows.select(brown.F.xxhash64("word").alias("one"), brown.F.xxhash64("word", brown.F.lit(turn)).alias("two")).collect()
+        assert brown.hashed_again(np.array([r["one"] for r in got]), turn).tolist() == [r["two"] for r in got]
+
+
 def test_empty_tables(empty):
     for made in (brown.score_documents(empty), repair.round_trip(empty, BYTE), packing.pack(empty, WORD), encode_table(empty, PIECE)):
         assert made.count() == 0
